@@ -21,7 +21,15 @@ from lakeferry.plans import store
 from lakeferry.plans.commit import replace_content, token
 from lakeferry.plans.workspace import shared_root, stage
 from lakeferry.sources.tables import Table, as_table, table_exists
-from lakeferry.sources.trees import FILES_SCHEMA, PART_BYTES, open_uri, read_tree
+from lakeferry.sources.trees import (
+    FILES_SCHEMA,
+    PART_BYTES,
+    list_tree,
+    open_uri,
+    read_listed,
+    read_tree,
+    relative_path,
+)
 
 BUCKETS = 64
 
@@ -96,33 +104,44 @@ def ingest_tree(
         raise ValueError(f"if_exists is 'sync', 'error' or 'replace', got {if_exists!r}")
     ref = create_files_table(spark, table)
     files = read_tree(spark, root, prefix=prefix, part_bytes=part_bytes)
+    manifest = list_files(spark.table(ref.name))
+    if manifest.isEmpty():
+        write_table(spark, ref, with_bucket(files))
+        return {"new": manifest.count(), "changed": 0, "same": 0}
     scratch = f"{shared_root(spark)}/lakeferry/ingest-{token()}"
     try:
-        listing = list_files(files)
-        manifest = list_files(spark.table(ref.name))
+        plan, _ = stage(spark, _planned(spark, files, manifest, root, prefix), f"{scratch}/plan")
         if if_exists == "error":
-            clash = conflicts(listing, manifest).take(5)
+            clash = plan.where("action <> 'new'").take(5)
             if clash:
                 raise FileConflictError(f"files exist already, as {[r.path for r in clash]}")
-        plan, _ = stage(spark, sync_plan(listing, manifest), f"{scratch}/plan")
         if if_exists == "replace":
-            plan = plan.withColumn(
-                "action", F.when(F.col("action") == "same", "changed").otherwise(F.col("action"))
-            )
-        _write_planned(spark, ref, files, plan)
-        counts = plan.groupBy("action").agg(F.count("*").alias("n")).collect()
-        return {"new": 0, "changed": 0, "same": 0, **{r["action"]: r["n"] for r in counts}}
+            plan = plan.replace("same", "changed", "action")
+        counts = {r["action"]: r["n"] for r in plan.groupBy("action").agg(_n()).collect()}
+        if counts.get("changed"):
+            again = read_listed(plan.where("action = 'changed'"), part_bytes=part_bytes)
+            replace_keys(spark, ref, with_bucket(again), ["path"])
+        if counts.get("new"):
+            first = read_listed(plan.where("action = 'new'"), part_bytes=part_bytes)
+            write_table(spark, ref, with_bucket(first))
+        return {"new": 0, "changed": 0, "same": 0, **counts}
     finally:
         store.delete(spark, scratch)
 
 
-def _write_planned(spark: SparkSession, ref: Table, files: DataFrame, plan: DataFrame) -> None:
-    changed = plan.where("action = 'changed'").select("path")
-    if not changed.isEmpty():
-        replace_keys(spark, ref, with_bucket(files.join(changed, "path", "left_semi")), ["path"])
-    new = plan.where("action = 'new'").select("path")
-    if not new.isEmpty():
-        write_table(spark, ref, with_bucket(files.join(new, "path", "left_semi")))
+def _planned(
+    spark: SparkSession, files: DataFrame, manifest: DataFrame, root: str, prefix: str
+) -> DataFrame:
+    """The sync plan with the URI and size of every listed file, for reading some of them."""
+    listing = list_files(files)
+    uris = list_tree(spark, root).select(
+        "uri", "size", relative_path(spark, F.col("uri"), root, prefix).alias("path")
+    )
+    return sync_plan(listing, manifest).join(uris, "path")
+
+
+def _n() -> Column:
+    return F.count("*").alias("n")
 
 
 def drop_files(spark: SparkSession, table: str | Table, prefix: str = "") -> None:

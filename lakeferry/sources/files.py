@@ -129,7 +129,7 @@ def _merge_csv(spark: SparkSession, path, options: dict[str, object]) -> DataFra
     )
     parts: list[DataFrame] = []
     for row in groups.toLocalIterator():
-        names = _split_header(spark, row["header"], plain)
+        names = _reader(spark, "CSV", {**plain, "inferSchema": False}).load(row["paths"][0]).columns
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
         parts.append(_reader(spark, "CSV", plain).schema(text).load(row["paths"]))
     if not parts:
@@ -165,13 +165,6 @@ def file_headers(spark: SparkSession, path, options: dict[str, object]) -> DataF
     return first.groupBy("path").agg(F.min_by("header", "row").alias("header"))
 
 
-def _split_header(spark: SparkSession, header: str, options: dict[str, object]) -> list[str]:
-    """Column names as the CSV reader itself reads them."""
-    keep = {k: v for k, v in options.items() if k in ("sep", "delimiter", "quote", "escape")}
-    line = spark.createDataFrame([(header,)], "value string").rdd.map(lambda r: r[0])
-    return spark.read.options(header=True, **keep).csv(line).columns
-
-
 def read_jdbc(
     spark: SparkSession,
     url: str,

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from lakeferry.plans import store
 
 PART_BYTES = 64 * 2**20
+# Bytes of file content per task, and a bound on the tasks of one shuffle.
+TASK_BYTES = 128 * 2**20
+MAX_TASKS = 100_000
 FILES_SCHEMA = (
     "path string, size bigint, sha256 string, part bigint, n_parts bigint, content binary"
 )
@@ -87,21 +90,35 @@ def read_tree(
 
 
 def _read_large(files: DataFrame, part_bytes: int) -> DataFrame:
-    """Parts of large files by parallel range reads; hashes by one streaming pass per file."""
-    size = F.col("size")
-    parts = files.withColumn("n_parts", F.ceil(size / F.lit(part_bytes)).cast("bigint"))
+    """Large files: hashes by one streaming pass per file, content by parallel range reads."""
+    uris = spread_by_bytes(files, "uri").select("uri")
+    hashes = uris.mapInArrow(_hash_files, "uri string, sha256 string")
+    return read_listed(files.join(hashes, "uri"), part_bytes=part_bytes)
+
+
+def read_listed(files: DataFrame, *, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The content of listed files ``(uri, path, size, sha256)``; no other file is opened."""
+    n_parts = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(part_bytes))).cast("bigint")
     numbers = F.sequence(F.lit(0).cast("bigint"), F.col("n_parts") - 1)
-    parts = parts.select("*", F.explode(numbers).alias("part"))
-    spread = parts.repartition(F.col("uri"), F.col("part"))
-    content = spread.mapInArrow(
+    parts = files.withColumn("n_parts", n_parts).withColumn("part", F.explode(numbers))
+    wanted = parts.select("uri", "path", "size", "sha256", "n_parts", "part")
+    content = spread_by_bytes(wanted, "uri", "part", by=files).mapInArrow(
         _range_reader(part_bytes),
-        "uri string, path string, size bigint, n_parts bigint, part bigint, content binary",
-    )
-    uris = files.select("uri").repartition(F.col("uri"))
-    hashes = uris.mapInArrow(_hash_files, "uri string, sha256 string")
-    return content.join(hashes, "uri").select(
-        "path", "size", "sha256", "part", "n_parts", "content"
+        "uri string, path string, size bigint, sha256 string, n_parts bigint, part bigint,"
+        " content binary",
     )
+    return content.select("path", "size", "sha256", "part", "n_parts", "content")
+
+
+def spread_by_bytes(df: DataFrame, *columns: str, by: DataFrame | None = None) -> DataFrame:
+    """Names of files over enough tasks for the bytes behind them.
+
+    The rows are small, so adaptive execution would put them all into one task: the number of
+    partitions is set from the sizes of the files.
+    """
+    total = (df if by is None else by).agg(F.sum("size").alias("n")).first()["n"] or 0
+    wanted = max(1, -(-total // TASK_BYTES))
+    return df.repartition(min(wanted, MAX_TASKS), *[F.col(c) for c in columns])
 
 
 # The functions below run inside tasks.
@@ -115,7 +132,7 @@ def open_uri(uri: str):
 
 
 def _range_reader(part_bytes: int):
-    columns = ("uri", "path", "size", "n_parts", "part")
+    columns = ("uri", "path", "size", "sha256", "n_parts", "part")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeferry.plans.workspace import Workspace
@@ -40,9 +42,11 @@ def external(spark: SparkSession, ws: Workspace, sf_dir: str, name: str) -> Tabl
     return ref
 
 
-def views(spark: SparkSession, sf_dir: str) -> None:
+def views(spark: SparkSession, sf_dir: str, query: str) -> None:
+    """Views for the tables that a query names."""
     for name in TABLES:
-        load(spark, sf_dir, name).createOrReplaceTempView(name)
+        if re.search(rf"\b{name}\b", query):
+            load(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from workloads.base import load, views
 
 def _text(query: str, params: dict[str, object] | None = None, settings=None):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        views(spark, sf)
+        views(spark, sf, query)
         return run_sql(spark, query, params, settings=settings)
 
     return run
@@ -45,12 +45,6 @@ _SHARED = {
     "sql_join_anti": """
         SELECT c_custkey FROM customer c WHERE NOT EXISTS
         (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P')""",
-    "sql_join_range": """
-        SELECT b.band, count(*) AS n FROM orders o
-        JOIN (VALUES ('low', 0, 50000), ('middle', 50000, 200000), ('high', 200000, 100000000))
-             AS b(band, low, high)
-          ON o.o_totalprice >= b.low AND o.o_totalprice < b.high
-        GROUP BY b.band""",
     "sql_agg": """
         SELECT l_returnflag, l_linestatus, count(*) AS n, count(DISTINCT l_suppkey) AS n_supp,
                max(l_quantity) AS max_q
@@ -113,6 +107,18 @@ _WINDOW = """
     FROM e JOIN carried c ON e.user_id = c.user_id AND e.h = c.h
     WINDOW v AS (PARTITION BY e.user_id, e.h ORDER BY e.ts, e.event_id)"""
 
+_BANDS = "(VALUES ('low', 0, 50000), ('middle', 50000, 200000), ('high', 200000, 1000000))"
+
+# A range join through cells of fixed width: the join is on the cell, the range is a filter on it.
+_RANGE = f"""
+    WITH cells AS (SELECT band, low, high,
+                          explode(sequence(low DIV 10000, (high - 1) DIV 10000)) AS cell
+                   FROM {_BANDS} AS b(band, low, high))
+    SELECT c.band, count(*) AS n FROM orders o
+    JOIN cells c ON CAST(floor(o.o_totalprice / 10000) AS INT) = c.cell
+                AND o.o_totalprice >= c.low AND o.o_totalprice < c.high
+    GROUP BY c.band"""
+
 QUERIES = {
     **{key: _text(query) for key, query in _SHARED.items()},
     "sql_params": _text(
@@ -129,6 +135,7 @@ QUERIES = {
         "SELECT count(*) AS n FROM customer WHERE CAST(c_name AS INT) IS NULL",
         settings={"spark.sql.ansi.enabled": False},
     ),
+    "sql_join_range": _text(_RANGE),
     "sql_join_asof": _text(_ASOF),
     "sql_window": _text(_WINDOW),
     "sql_json": _text(
@@ -150,6 +157,11 @@ ORACLES = {
     "sql_in_long_list": "SELECT p_partkey, p_size FROM part WHERE p_size BETWEEN -2000 AND 25",
     "sql_session_conf": """
         SELECT count(*) AS n FROM customer WHERE TRY_CAST(c_name AS INTEGER) IS NULL""",
+    "sql_join_range": f"""
+        SELECT b.band, count(*) AS n FROM orders o
+        JOIN {_BANDS} AS b(band, low, high)
+          ON o.o_totalprice >= b.low AND o.o_totalprice < b.high
+        GROUP BY b.band""",
     "sql_join_asof": """
         SELECT e.event_id,
                (SELECT arg_max(p.event_id, p.ts) FROM events p

@@ -117,14 +117,14 @@ def _save_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sql_to_files(spark: SparkSession, sf: str) -> DataFrame:
-    views(spark, sf)
     query = "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey"
+    views(spark, sf, query)
     return spark.read.parquet(sql_to_files(spark, query, Workspace(spark).dir("out")))
 
 
 def _chunks(spark: SparkSession, sf: str) -> DataFrame:
-    views(spark, sf)
     query = "SELECT l_orderkey, l_linenumber FROM lineitem"
+    views(spark, sf, query)
     rows = spark.read.parquet(sql_to_files(spark, query, Workspace(spark).dir("out")))
     per_file = rows.groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n"))
     return per_file.agg(
