@@ -163,7 +163,7 @@ class _Rules:
     def json(self, v: Column, source: T.DataType) -> Column:
         """NULL is a JSON document too, so only a present value can fail."""
         if isinstance(source, T.StringType):
-            return v.isNull() | is_json_text(v)
+            return v.isNull() | json_document(v).isNotNull()
         if isinstance(source, T.ArrayType):
             inner = F.forall(v, lambda x: self.json(x, source.elementType))
             return v.isNull() | F.coalesce(inner, _no())
@@ -185,15 +185,15 @@ def in_float_range(v: Column, low: float, high: float) -> Column:
     )
 
 
-def is_json_text(v: Column) -> Column:
-    """Is the whole text one JSON document?
+def json_document(v: Column) -> Column:
+    """Text that is one JSON document, as a VARIANT; other text is NULL.
 
     The JSON parser stops after the first document.  Text that parses as an array's only element
     and as an object's only value cannot have anything behind that document.
     """
     element = F.try_parse_json(F.concat(F.lit("["), v, F.lit("]")))
     value = F.try_parse_json(F.concat(F.lit('{"v":'), v, F.lit("}")))
-    return element.isNotNull() & value.isNotNull()
+    return F.when(element.isNotNull(), F.variant_get(value, "$.v", "variant"))
 
 
 def as_number(v: Column) -> Column:

@@ -127,12 +127,25 @@ def parse_literal(text: Column, dtype: T.DataType) -> Column:
     The text ``NULL`` and text that is not such a literal give NULL; a plain number, date or
     timestamp without its literal marks is read as well.
     """
-    if not isinstance(dtype, T.StringType):
-        text = F.trim(text)
-    return F.when(text == NULL_TEXT, F.lit(None).cast(dtype)).otherwise(_parse(text, dtype))
+    if isinstance(dtype, T.StringType):
+        return _or_none(text, dtype)
+    trimmed = F.trim(text)
+    if not isinstance(dtype, _NESTED):
+        return _or_none(trimmed, dtype)
+    whole = "^" + literal_pattern(dtype) + "$"
+    return _let(trimmed, lambda t: F.when(t.rlike(whole), _nested(t, dtype)))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.transform(F.array(value), lambda x: use(x))[0]
+
 
+def _or_none(text: Column, dtype: T.DataType) -> Column:
+    return F.when(text != NULL_TEXT, _value(text, dtype))
 
-def _parse(text: Column, dtype: T.DataType) -> Column:
+
+def _value(text: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         kind = "float" if isinstance(dtype, T.FloatType) else "double"
         special = F.regexp_extract(text, rf"^{kind}\('([^']*)'\)$", 1)
@@ -159,34 +172,38 @@ def _parse(text: Column, dtype: T.DataType) -> Column:
         return text.try_cast(dtype)
     if isinstance(dtype, T.NullType):
         return F.lit(None)
-    whole = text.rlike("^" + literal_pattern(dtype) + "$")
-    return F.when(whole, _parse_nested(text, dtype))
+    return F.when(text != NULL_TEXT, _nested(text, dtype))
 
 
-def _parse_nested(text: Column, dtype: T.DataType) -> Column:
+def _nested(text: Column, dtype: T.DataType) -> Column:
+    """``text`` is known to match the pattern of ``dtype``, and so do its parts theirs."""
     body = F.regexp_extract(text, r"(?s)^\w+\((.*)\)$", 1)
     if isinstance(dtype, T.ArrayType):
-        item = _or_null(dtype.elementType)
-        items = F.regexp_extract_all(body, F.lit(f"({item})"), F.lit(1))
-        parsed = _parse_all(items, dtype.elementType)
-        return F.when(body == "", F.array().cast(dtype)).otherwise(parsed)
+        item = f"({_or_null(dtype.elementType)})"
+        return _values(_matches(body, item, 1), dtype.elementType).cast(dtype)
     if isinstance(dtype, T.MapType):
         pair = f"({literal_pattern(dtype.keyType)}),\\s*+({_or_null(dtype.valueType)})"
-        keys, values = (
-            _parse_all(F.regexp_extract_all(body, F.lit(pair), F.lit(group)), part)
-            for group, part in ((1, dtype.keyType), (2, dtype.valueType))
+        return F.map_from_arrays(
+            _values(_matches(body, pair, 1), dtype.keyType),
+            _values(_matches(body, pair, 2), dtype.valueType),
         )
-        return F.map_from_arrays(keys, values)
-    fields = []
-    for field in dtype.fields:
-        pattern = "(?s)^" + _struct_pattern(dtype, capture=field.name) + "$"
-        part = F.regexp_extract(text, pattern, 1)
-        fields.append(parse_literal(part, field.dataType).alias(field.name))
-    return F.struct(*fields)
+    names = "|".join(re.escape(f.name) for f in dtype.fields)
+    either = "|".join(dict.fromkeys(literal_pattern(f.dataType) for f in dtype.fields))
+    pair = f'"(?:{names})",\\s*+({either}|{NULL_TEXT})'
+    return _let(
+        _matches(body, pair, 1),
+        lambda parts: F.struct(
+            *[_or_none(parts[i], f.dataType).alias(f.name) for i, f in enumerate(dtype.fields)]
+        ),
+    )
+
+
+def _matches(text: Column, pattern: str, group: int) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def _parse_all(texts: Column, dtype: T.DataType) -> Column:
-    return F.transform(texts, lambda x: parse_literal(x, dtype))
+def _values(texts: Column, dtype: T.DataType) -> Column:
+    return F.transform(texts, lambda x: _or_none(x, dtype))
 
 
 def unquote_text(v: Column) -> Column:
@@ -236,11 +253,6 @@ def literal_pattern(dtype: T.DataType) -> str:
     raise TypeError(f"no literal form for {dtype.simpleString()}")
 
 
-def _struct_pattern(dtype: T.StructType, capture: str | None = None) -> str:
-    parts = []
-    for field in dtype.fields:
-        value = _or_null(field.dataType)
-        if field.name == capture:
-            value = f"({value})"
-        parts.append(rf'"{re.escape(field.name)}",\s*+{value}')
+def _struct_pattern(dtype: T.StructType) -> str:
+    parts = [rf'"{re.escape(f.name)}",\s*+{_or_null(f.dataType)}' for f in dtype.fields]
     return r"named_struct\(" + r",\s*+".join(parts) + r"\)"

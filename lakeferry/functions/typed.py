@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeferry.functions.fit import as_timestamp, is_json_text
+from lakeferry.functions.fit import as_timestamp, json_document
 from lakeferry.functions.types import is_json, missing_from, quote, sql_type
 
 
@@ -53,7 +53,7 @@ def _read(
 ) -> Column:
     dtype = target.dataType
     if as_json:
-        value = F.when(is_json_text(col), F.try_parse_json(col))
+        value = json_document(col)
         dtype, kind = T.VariantType(), "JSON"
         return value if on_error == "null" else _or_fail(col, value, target.name, kind, dtype)
     if source == dtype:

@@ -20,7 +20,7 @@ from lakeferry.functions.fit import (
     as_number,
     as_timestamp,
     in_float_range,
-    is_json_text,
+    json_document,
 )
 from lakeferry.functions.types import quote, sql_type
 
@@ -116,36 +116,33 @@ class _Facts:
         return choose
 
     def _text(self, v: Column):
-        whole = F.when(v.rlike(INTEGER_PATTERN), v.try_cast(WIDE_INTEGER))
+        """Every value has one kind, the first that its text spells; the kinds decide the type."""
         number = as_number(v)
-        flags = {
-            "some": v.isNotNull(),
-            "whole": whole.isNotNull(),
-            "number": number.isNotNull(),
-            "float": in_float_range(number, *FLOAT_BOUNDS[T.FloatType]),
-            "bool": F.lower(v).isin("true", "false"),
-            "date": v.rlike(DATE_PATTERN) & v.try_cast("date").isNotNull(),
-            "stamp": as_timestamp(v, self.formats).isNotNull(),
-        }
-        ask = {name: self._ask(_count(flag)) for name, flag in flags.items()}
+        kind = (
+            F.when(F.lower(v).isin("true", "false"), "bool")
+            .when(v.rlike(INTEGER_PATTERN) & v.try_cast(WIDE_INTEGER).isNotNull(), "whole")
+            .when(in_float_range(number, *FLOAT_BOUNDS[T.FloatType]), "float")
+            .when(number.isNotNull(), "double")
+            .when(v.rlike(DATE_PATTERN) & v.try_cast("date").isNotNull(), "date")
+            .when(as_timestamp(v, self.formats).isNotNull(), "stamp")
+            .when(v.isNotNull(), "other")
+        )
+        kinds = self._ask(F.collect_set(kind))
+        whole = F.when(v.rlike(INTEGER_PATTERN), v.try_cast(WIDE_INTEGER))
         low, high = self._ask(F.min(whole)), self._ask(F.max(whole))
 
         def choose(r):
-            total = r[ask["some"]]
-            if not total:
+            found = set(r[kinds])
+            if not found:
                 return T.NullType()
-            if r[ask["bool"]] == total:
-                return T.BooleanType()
-            if r[ask["whole"]] == total:
+            if found == {"whole"}:
                 return _whole_type(r[low], r[high])
-            if r[ask["number"]] == total:
-                single = self.float_type == "float" and r[ask["float"]] == total
+            if found <= {"whole", "float", "double"}:
+                single = self.float_type == "float" and "double" not in found
                 return T.FloatType() if single else T.DoubleType()
-            if r[ask["date"]] == total:
-                return T.DateType()
-            if r[ask["stamp"]] == total:
-                return T.TimestampType()
-            return T.StringType()
+            if found <= {"date", "stamp"}:
+                return T.TimestampType() if "stamp" in found else T.DateType()
+            return T.BooleanType() if found == {"bool"} else T.StringType()
 
         return choose
 
@@ -202,8 +199,7 @@ def infer_json(df: DataFrame, column: str, *, float_type: str = "float") -> T.Da
     key inside the aggregation, so only the key types, never the documents, reach the driver.
     Rows that are no JSON are passed over; with none left the type is VOID.
     """
-    text = F.col(quote(column))
-    documents = df.where(is_json_text(text)).select(F.parse_json(text).alias("v"))
+    documents = df.select(json_document(F.col(quote(column))).alias("v")).where("v IS NOT NULL")
     kind = F.schema_of_variant("v")
     counts = documents.agg(
         F.count("*").alias("rows"),
@@ -261,7 +257,6 @@ def _from_variant(text: str) -> T.DataType:
 
 
 def _narrow_json(df: DataFrame, column: str, dtype: T.DataType, float_type: str) -> T.DataType:
-    text = F.col(quote(column))
-    parsed = F.when(is_json_text(text), F.try_parse_json(text))
+    parsed = json_document(F.col(quote(column)))
     typed = df.select(F.try_variant_get(parsed, "$", sql_type(dtype)).alias("v"))
     return infer_schema(typed, float_type=float_type)["v"].dataType

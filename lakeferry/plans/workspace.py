@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeferry.plans import store
 
 _local_roots: dict[str, str] = {}
+_opened: list[Workspace] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -42,6 +43,7 @@ class Workspace:
         self.path = f"{(root or shared_root(spark)).rstrip('/')}/lakeferry/{token}"
         self.database = f"lakeferry_{token}"
         self._has_database = False
+        _opened.append(self)
 
     def dir(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -56,6 +58,9 @@ class Workspace:
         return f"spark_catalog.{self.database}.{name}"
 
     def close(self) -> None:
+        """Drop the database and the folder; DataFrames that read them are gone too."""
+        if self in _opened:
+            _opened.remove(self)
         if self._has_database:
             self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
         store.delete(self.spark, self.path)
@@ -67,6 +72,12 @@ class Workspace:
         self.close()
 
 
+def close_all() -> None:
+    """Close every open workspace of this process."""
+    for workspace in list(_opened):
+        workspace.close()
+
+
 def stage(spark: SparkSession, df: DataFrame, path: str) -> tuple[DataFrame, int]:
     """Write ``df`` once to shared storage; return it read back, with its size in bytes.
 

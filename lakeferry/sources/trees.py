@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from lakeferry.plans import store
 
 PART_BYTES = 64 * 2**20
-# Bytes of file content per task, and a bound on the tasks of one shuffle.
+# Bytes of file content per task, what opening a file counts, and a bound on the tasks of a shuffle.
 TASK_BYTES = 128 * 2**20
+OPEN_BYTES = 2 * 2**20
 MAX_TASKS = 100_000
 FILES_SCHEMA = (
     "path string, size bigint, sha256 string, part bigint, n_parts bigint, content binary"
@@ -111,12 +112,13 @@ def read_listed(files: DataFrame, *, part_bytes: int = PART_BYTES) -> DataFrame:
 
 
 def spread_by_bytes(df: DataFrame, *columns: str, by: DataFrame | None = None) -> DataFrame:
-    """Names of files over enough tasks for the bytes behind them.
+    """Names of files over enough tasks for the bytes behind them, and for opening each file.
 
     The rows are small, so adaptive execution would put them all into one task: the number of
     partitions is set from the sizes of the files.
     """
-    total = (df if by is None else by).agg(F.sum("size").alias("n")).first()["n"] or 0
+    cost = F.sum(F.col("size") + F.lit(OPEN_BYTES))
+    total = (df if by is None else by).agg(cost.alias("n")).first()["n"] or 0
     wanted = max(1, -(-total // TASK_BYTES))
     return df.repartition(min(wanted, MAX_TASKS), *[F.col(c) for c in columns])
 
@@ -136,22 +138,38 @@ def _range_reader(part_bytes: int):
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                uri, size, part = (row.column(c)[0].as_py() for c in ("uri", "size", "part"))
-                start = part * part_bytes
-                wanted = min(part_bytes, size - start)
-                system, name = open_uri(uri)
-                with system.open_input_file(name) as source:
-                    content = source.read_at(wanted, start)
-                if len(content) != wanted:
-                    raise OSError(f"{uri} changed while it was read")
-                arrays = [row.column(c) for c in columns] + [pa.array([content], pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "content"])
+            rows = batch.select(list(columns))
+            first, contents, held = 0, [], 0
+            for i, (uri, size, part) in enumerate(
+                zip(*(batch.column(c).to_pylist() for c in ("uri", "size", "part")), strict=True)
+            ):
+                content = _read_range(uri, part * part_bytes, size, part_bytes)
+                contents.append(content)
+                held += len(content)
+                if held >= part_bytes:
+                    yield _with_content(rows.slice(first, len(contents)), contents)
+                    first, contents, held = i + 1, [], 0
+            if contents:
+                yield _with_content(rows.slice(first, len(contents)), contents)
 
     return read
 
 
+def _read_range(uri: str, start: int, size: int, part_bytes: int) -> bytes:
+    wanted = min(part_bytes, size - start)
+    system, name = open_uri(uri)
+    with system.open_input_file(name) as source:
+        content = source.read_at(wanted, start)
+    if len(content) != wanted:
+        raise OSError(f"{uri} changed while it was read")
+    return content
+
+
+def _with_content(rows: pa.RecordBatch, contents: list[bytes]) -> pa.RecordBatch:
+    arrays = [*rows.columns, pa.array(contents, pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, names=[*rows.schema.names, "content"])
+
+
 def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for uri in batch.column("uri").to_pylist():
