@@ -28,6 +28,8 @@ _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 _LONG_MIN, _LONG_MAX = -(2**63), 2**63 - 1
 WIDE_INTEGER = T.DecimalType(38, 0)
+# What a text value can spell.
+_KINDS = ("whole", "float", "double", "bool", "date", "stamp", "other")
 # Beyond this many distinct keys a JSON object with mixed value types stays a VARIANT.
 MAX_STRUCT_FIELDS = 10_000
 
@@ -49,7 +51,9 @@ def infer_schema(
         raise ValueError(f"float_type is 'float' or 'double', got {float_type!r}")
     facts = _Facts(parse_text, float_type, timestamp_formats)
     plans = [(f, facts.plan(F.col(quote(f.name)), f.dataType, False)) for f in df.schema.fields]
-    row = df.agg(F.count("*").alias("rows"), *facts.aggregates).first()
+    if not plans:
+        return T.StructType([])
+    row = df.select("*", *facts.prepared).agg(*facts.aggregates).first()
     return T.StructType([T.StructField(f.name, plan(row), True, f.metadata) for f, plan in plans])
 
 
@@ -67,6 +71,13 @@ class _Facts:
     float_type: str
     formats: tuple[str, ...]
     aggregates: list[Column] = field(default_factory=list)
+    prepared: list[Column] = field(default_factory=list)
+
+    def _once(self, value: Column) -> Column:
+        """A column of its own for a value that several expressions use."""
+        name = f"__lakeferry_{len(self.prepared)}"
+        self.prepared.append(value.alias(name))
+        return F.col(name)
 
     def _ask(self, aggregate: Column) -> str:
         name = f"f{len(self.aggregates)}"
@@ -117,22 +128,24 @@ class _Facts:
 
     def _text(self, v: Column):
         """Every value has one kind, the first that its text spells; the kinds decide the type."""
-        number = as_number(v)
+        number = self._once(as_number(v))
+        whole = self._once(F.when(v.rlike(INTEGER_PATTERN), v.try_cast(WIDE_INTEGER)))
+        bits = {name: 1 << i for i, name in enumerate(_KINDS)}
         kind = (
-            F.when(F.lower(v).isin("true", "false"), "bool")
-            .when(v.rlike(INTEGER_PATTERN) & v.try_cast(WIDE_INTEGER).isNotNull(), "whole")
-            .when(in_float_range(number, *FLOAT_BOUNDS[T.FloatType]), "float")
-            .when(number.isNotNull(), "double")
-            .when(v.rlike(DATE_PATTERN) & v.try_cast("date").isNotNull(), "date")
-            .when(as_timestamp(v, self.formats).isNotNull(), "stamp")
-            .when(v.isNotNull(), "other")
+            F.when(v.isNull(), 0)
+            .when(whole.isNotNull(), bits["whole"])
+            .when(in_float_range(number, *FLOAT_BOUNDS[T.FloatType]), bits["float"])
+            .when(number.isNotNull(), bits["double"])
+            .when(F.lower(v).isin("true", "false"), bits["bool"])
+            .when(v.rlike(DATE_PATTERN) & v.try_cast("date").isNotNull(), bits["date"])
+            .when(as_timestamp(v, self.formats).isNotNull(), bits["stamp"])
+            .otherwise(bits["other"])
         )
-        kinds = self._ask(F.collect_set(kind))
-        whole = F.when(v.rlike(INTEGER_PATTERN), v.try_cast(WIDE_INTEGER))
+        kinds = self._ask(F.bit_or(kind))
         low, high = self._ask(F.min(whole)), self._ask(F.max(whole))
 
         def choose(r):
-            found = set(r[kinds])
+            found = {name for name, bit in bits.items() if (r[kinds] or 0) & bit}
             if not found:
                 return T.NullType()
             if found == {"whole"}:
@@ -199,52 +212,45 @@ def infer_json(df: DataFrame, column: str, *, float_type: str = "float") -> T.Da
     key inside the aggregation, so only the key types, never the documents, reach the driver.
     Rows that are no JSON are passed over; with none left the type is VOID.
     """
-    documents = df.select(json_document(F.col(quote(column))).alias("v")).where("v IS NOT NULL")
-    kind = F.schema_of_variant("v")
-    counts = documents.agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.startswith(kind, F.lit("OBJECT<"))).alias("objects"),
-        F.count_if(kind == "VOID").alias("nulls"),
-    ).first()
-    if counts["rows"] == counts["nulls"]:
-        return T.NullType()
-    if not counts["objects"]:
-        kind = documents.agg(F.schema_of_variant_agg("v").alias("t")).first()["t"]
-        return _narrow_json(df, column, _from_variant(kind), float_type)
-    if counts["objects"] + counts["nulls"] < counts["rows"]:
-        return T.VariantType()
-    return _infer_object(df, column, documents, float_type)
-
-
-def _infer_object(df: DataFrame, column: str, documents: DataFrame, float_type: str) -> T.DataType:
-    entries = documents.lateralJoin(
-        df.sparkSession.tvf.variant_explode(F.col("v").outer())
-    ).select("key", "value")
-    merged = F.schema_of_variant_agg("value")
-    per_key = entries.groupBy("key").agg(
-        F.regexp_replace(merged, _FRACTION, "DOUBLE").alias("type")
-    )
-    kinds = (
-        per_key.where("type <> 'VOID'")
-        .agg(
-            F.count_distinct("type").alias("types"),
+    document = json_document(F.col(quote(column)))
+    types = _types_by_key(df.select(document.alias("v")).where("v IS NOT NULL"))
+    rows = types.take(MAX_STRUCT_FIELDS + 2)
+    by_key = {r["key"]: r["type"] for r in rows if r["type"] != "VOID"}
+    if len(rows) > MAX_STRUCT_FIELDS + 1:
+        # too many keys for a STRUCT: all of one type, or a VARIANT
+        kinds = types.where("type <> 'VOID'").agg(
+            F.count_distinct("type").alias("n"),
             F.min("type").alias("type"),
-            F.count("*").alias("keys"),
+            F.count_if(F.col("key").isNull()).alias("others"),
         )
-        .first()
-    )
-    if not kinds["keys"]:
-        return T.MapType(T.StringType(), T.NullType())
-    if kinds["types"] == 1:
-        shape = T.MapType(T.StringType(), _from_variant(kinds["type"]))
-        return _narrow_json(df, column, shape, float_type)
-    if kinds["keys"] > MAX_STRUCT_FIELDS:
-        return T.VariantType()
-    fields = [
-        T.StructField(row["key"], _from_variant(row["type"]))
-        for row in per_key.orderBy("key").toLocalIterator()
-    ]
-    return _narrow_json(df, column, T.StructType(fields), float_type)
+        found = kinds.first()
+        if found["n"] != 1 or found["others"]:
+            return T.VariantType()
+        shape = T.MapType(T.StringType(), _from_variant(found["type"]))
+    elif not by_key:
+        objects = any(r["key"] is not None for r in rows)
+        return T.MapType(T.StringType(), T.NullType()) if objects else T.NullType()
+    elif None in by_key:
+        # documents that are no objects have one merged type, or do not go with objects
+        if any(r["key"] is not None for r in rows):
+            return T.VariantType()
+        shape = _from_variant(by_key[None])
+    elif len(set(by_key.values())) == 1:
+        shape = T.MapType(T.StringType(), _from_variant(next(iter(by_key.values()))))
+    else:
+        names = sorted(r["key"] for r in rows if r["key"] is not None)
+        every = {r["key"]: r["type"] for r in rows}
+        shape = T.StructType([T.StructField(n, _from_variant(every[n])) for n in names])
+    return _narrow_json(df, column, shape, float_type)
+
+
+def _types_by_key(documents: DataFrame) -> DataFrame:
+    """``(key, type)``: the merged type per object key; other documents have the key NULL."""
+    entries = F.map_entries(F.try_variant_get("v", "$", "map<string, variant>"))
+    itself = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("v").alias("value")))
+    each = documents.select(F.explode(F.coalesce(entries, itself)).alias("e"))
+    merged = F.regexp_replace(F.schema_of_variant_agg("e.value"), _FRACTION, "DOUBLE")
+    return each.groupBy(F.col("e.key").alias("key")).agg(merged.alias("type"))
 
 
 # A JSON number with a fraction is a floating number on the ladder, whatever its digits.
