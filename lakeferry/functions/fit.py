@@ -107,8 +107,7 @@ class _Rules:
         wide = "decimal(38,0)"
         low, high = (F.lit(str(b)).cast(wide) for b in (-(2 ** (bits - 1)), 2 ** (bits - 1) - 1))
         if isinstance(source, T.DecimalType):
-            whole = v.try_cast(wide)
-            return (whole == v) & whole.between(low, high)
+            return (v % F.lit(1) == 0) & v.try_cast(wide).between(low, high)
         if isinstance(source, T.StringType) and self.parse_text:
             return v.rlike(INTEGER_PATTERN) & v.try_cast(wide).between(low, high)
         return _no()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakeferry.functions.types import align, missing_from, quote
 from lakeferry.plans import store
 from lakeferry.plans.commit import replace_content, replace_partitions, token
-from lakeferry.plans.workspace import shared_root, stage
+from lakeferry.plans.workspace import broadcast_limit, shared_root, stage
 from lakeferry.sources.tables import ROW_LEVEL_PROVIDERS, Table, TableFacts, as_table, table_facts
 
 _SOURCE = "__s_"
@@ -59,7 +59,10 @@ class Merge:
 
     def inserts(self) -> DataFrame:
         """Source rows without a target row, those with a NULL key among them."""
-        fresh = self._with_keys(self.source).join(self.matched(), self.keys, "left_anti")
+        known = self.matched()
+        if not self.source_is_small:
+            known = _counted(self._with_keys(_columns(self.target, self.keys)), self.keys)
+        fresh = self._with_keys(self.source).join(known, self.keys, "left_anti")
         return fresh.unionByName(self.source.where(~_all_present(self.keys)))
 
     def _updates(self) -> DataFrame:
@@ -142,7 +145,7 @@ def plan_merge(
         *[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in target.schema.fields]
     )
     staged, size = stage(spark, rows, scratch or f"{_scratch(spark)}/source")
-    return Merge(target, staged, keys, size <= _broadcast_limit(spark), tuple(newer_by))
+    return Merge(target, staged, keys, size <= broadcast_limit(spark), tuple(newer_by))
 
 
 def merge_table(
@@ -296,9 +299,3 @@ def _all_present(names: list[str]) -> Column:
 def _scratch(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/lakeferry/merge-{token()}"
 
-
-def _broadcast_limit(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip()
-    if text.startswith("-"):
-        return -1
-    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)

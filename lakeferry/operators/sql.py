@@ -11,10 +11,12 @@ from pyspark.sql import types as T
 
 from lakeferry.functions.types import quote
 from lakeferry.plans.commit import token
-from lakeferry.plans.workspace import session_settings, shared_root, stage
+from lakeferry.plans.workspace import broadcast_limit, session_settings, shared_root, stage
 
 # A longer list becomes a join side, which the optimizer broadcasts or shuffles by its size.
 INLINE_VALUES = 1_000
+# Bytes a row of one value takes beside the value.
+VALUE_OVERHEAD = 32
 
 
 def run_sql(
@@ -54,7 +56,8 @@ def _bind(value: object) -> object:
 def where_in(df: DataFrame, column: str, values: Iterable[object]) -> DataFrame:
     """Rows whose ``column`` is one of ``values``.
 
-    A short list is a predicate that reaches the file scan; a long one is a semi-join.
+    A short list is a predicate that reaches the file scan.  A long one is a semi-join, broadcast
+    while its own size stays within the session's limit for that.
     """
     wanted = list(dict.fromkeys(values))
     if len(wanted) <= INLINE_VALUES:
@@ -63,4 +66,7 @@ def where_in(df: DataFrame, column: str, values: Iterable[object]) -> DataFrame:
     side = df.sparkSession.createDataFrame(
         [(v,) for v in wanted], T.StructType([T.StructField(column, dtype)])
     )
+    size = sum(len(str(v)) + VALUE_OVERHEAD for v in wanted)
+    if size <= broadcast_limit(df.sparkSession):
+        side = F.broadcast(side)
     return df.join(side, column, "left_semi")

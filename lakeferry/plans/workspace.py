@@ -107,3 +107,11 @@ def session_settings(spark: SparkSession, settings: dict[str, object] | None) ->
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes up to which the session broadcasts a join side; -1 if it never does."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip()
+    if text.startswith("-"):
+        return -1
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+from itertools import groupby, islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeferry.functions.types import SchemaLike, build_schema, quote
 from lakeferry.operators.infer import infer_schema
+from lakeferry.plans.workspace import shared_root, stage
 from lakeferry.sources.tables import FORMATS
-from lakeferry.sources.trees import list_tree
+from lakeferry.sources.trees import first_lines, list_tree
 
 # Formats that carry their own column types: a hint is a cast there, not another way to parse.
 SELF_DESCRIBING = ("PARQUET", "ORC", "AVRO", "DELTA")
+FILES_PER_SCAN = 10_000
 # Fixed value: the formats that need a package which a plain Spark does not ship.
 NEEDS_PACKAGE = {"AVRO": "spark-avro", "DELTA": "delta-spark"}
 
@@ -120,23 +125,23 @@ def _merge_csv(spark: SparkSession, path, options: dict[str, object]) -> DataFra
     Columns are typed over all files at once, so two files never disagree on a type.
     """
     infer = str(options.get("inferSchema", "true")).lower() == "true"
-    plain = {k: v for k, v in options.items() if k not in ("inferSchema", "pathGlobFilter")}
-    groups = (
-        file_headers(spark, path, options)
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("header")
+    plain = {k: v for k, v in options.items() if k != "inferSchema"}
+    listed = list_tree(
+        spark,
+        path,
+        pattern=options.get("pathGlobFilter"),
+        recursive=str(options.get("recursiveFileLookup", "false")).lower() == "true",
+    )
+    headers, _ = stage(
+        spark,
+        first_lines(listed.where("size > 0")),
+        f"{shared_root(spark)}/lakeferry/headers-{uuid.uuid4().hex}",
     )
-    parts: list[DataFrame] = []
-    for row in groups.toLocalIterator():
-        names = _reader(spark, "CSV", {**plain, "inferSchema": False}).load(row["paths"][0]).columns
-        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        parts.append(_reader(spark, "CSV", plain).schema(text).load(row["paths"]))
-    if not parts:
-        return _reader(spark, "CSV", options).load(path)
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part, allowMissingColumns=True)
+    kinds = headers.agg(F.count_distinct("header").alias("n"), F.min("uri").alias("uri")).first()
+    if kinds["n"] < 2:
+        merged = _text_csv(spark, path, kinds["uri"] or path, plain)
+    else:
+        merged = _union_csv(spark, headers, plain)
     if not infer:
         return merged
     typed = infer_schema(merged, parse_text=True, float_type="double")
@@ -152,17 +157,26 @@ def _merge_csv(spark: SparkSession, path, options: dict[str, object]) -> DataFra
     )
 
 
-def file_headers(spark: SparkSession, path, options: dict[str, object]) -> DataFrame:
-    """``(path, header)``: the first line of every non-empty file, read in parallel."""
-    keep = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup")}
-    lines = spark.read.format("text").options(**keep).load(path)
-    # the file's first line is the first row of the split that starts at offset 0
-    first = lines.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("value").alias("header"),
-        F.monotonically_increasing_id().alias("row"),
-    ).where(F.col("_metadata.file_block_start") == 0)
-    return first.groupBy("path").agg(F.min_by("header", "row").alias("header"))
+def _text_csv(spark: SparkSession, path, example, options: dict[str, object]) -> DataFrame:
+    """CSV files that share the header of ``example``, every column as text."""
+    one = {k: v for k, v in options.items() if k != "pathGlobFilter"}
+    names = _reader(spark, "CSV", {**one, "inferSchema": False}).load(example).columns
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return _reader(spark, "CSV", options).schema(text).load(path)
+
+
+def _union_csv(spark: SparkSession, headers: DataFrame, options: dict[str, object]) -> DataFrame:
+    """One scan per header, its files named in lists of bounded length."""
+    options = {k: v for k, v in options.items() if k != "pathGlobFilter"}
+    merged: DataFrame | None = None
+    by_header = groupby(
+        headers.orderBy("header", "uri").toLocalIterator(), key=lambda row: row["header"]
+    )
+    for _, rows in by_header:
+        while uris := [row["uri"] for row in islice(rows, FILES_PER_SCAN)]:
+            part = _text_csv(spark, uris, uris[0], options)
+            merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
+    return merged
 
 
 def read_jdbc(

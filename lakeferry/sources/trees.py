@@ -87,6 +87,8 @@ def read_tree(
     large = found.where(F.col("length") > part_bytes).select(
         F.col("path").alias("uri"), path.alias("path"), F.col("length").alias("size")
     )
+    if large.isEmpty():
+        return small
     return small.unionByName(_read_large(large, part_bytes))
 
 
@@ -94,16 +96,21 @@ def _read_large(files: DataFrame, part_bytes: int) -> DataFrame:
     """Large files: hashes by one streaming pass per file, content by parallel range reads."""
     uris = spread_by_bytes(files, "uri").select("uri")
     hashes = uris.mapInArrow(_hash_files, "uri string, sha256 string")
-    return read_listed(files.join(hashes, "uri"), part_bytes=part_bytes)
+    return read_listed(files.join(hashes, "uri"), part_bytes=part_bytes, by=files)
 
 
-def read_listed(files: DataFrame, *, part_bytes: int = PART_BYTES) -> DataFrame:
-    """The content of listed files ``(uri, path, size, sha256)``; no other file is opened."""
+def read_listed(
+    files: DataFrame, *, part_bytes: int = PART_BYTES, by: DataFrame | None = None
+) -> DataFrame:
+    """The content of listed files ``(uri, path, size, sha256)``; no other file is opened.
+
+    ``by`` has the sizes of the same files where that is cheaper to read than ``files``.
+    """
     n_parts = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(part_bytes))).cast("bigint")
     numbers = F.sequence(F.lit(0).cast("bigint"), F.col("n_parts") - 1)
     parts = files.withColumn("n_parts", n_parts).withColumn("part", F.explode(numbers))
     wanted = parts.select("uri", "path", "size", "sha256", "n_parts", "part")
-    content = spread_by_bytes(wanted, "uri", "part", by=files).mapInArrow(
+    content = spread_by_bytes(wanted, "uri", "part", by=files if by is None else by).mapInArrow(
         _range_reader(part_bytes),
         "uri string, path string, size bigint, sha256 string, n_parts bigint, part bigint,"
         " content binary",
@@ -170,6 +177,28 @@ def _with_content(rows: pa.RecordBatch, contents: list[bytes]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(arrays, names=[*rows.schema.names, "content"])
 
 
+def first_lines(files: DataFrame) -> DataFrame:
+    """``(uri, header)``: the first line of every listed file ``(uri, size)``, nothing after it."""
+    opened = files.withColumn("size", F.lit(0))
+    return spread_by_bytes(opened, "uri").select("uri").mapInArrow(
+        _first_lines, "uri string, header string"
+    )
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        uris = batch.column("uri").to_pylist()
+        found = []
+        for uri in uris:
+            system, name = open_uri(uri)
+            with system.open_input_stream(name, compression="detect") as source:
+                line = b""
+                while b"\n" not in line and (block := source.read(2**14)):
+                    line += block
+            found.append(line.split(b"\n", 1)[0].rstrip(b"\r").decode())
+        yield pa.RecordBatch.from_arrays([pa.array(uris), pa.array(found)], names=["uri", "header"])
+
+
 def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for uri in batch.column("uri").to_pylist():
