@@ -172,10 +172,8 @@ class _Facts:
         return lambda r: T.MapType(key(r), value(r), True)
 
     def _struct(self, v: Column, dtype: T.StructType, nested: bool):
-        plans = []
-        for f in dtype.fields:
-            inner = F.transform(v, lambda x, n=f.name: x[n]) if nested else v[f.name]
-            plans.append((f, self.plan(inner, f.dataType, nested)))
+        # on an array of structs the field name gives the array of that field
+        plans = [(f, self.plan(v[f.name], f.dataType, nested)) for f in dtype.fields]
         return lambda r: T.StructType([T.StructField(f.name, p(r), True) for f, p in plans])
 
 
@@ -215,10 +213,11 @@ def infer_json(df: DataFrame, column: str, *, float_type: str = "float") -> T.Da
     document = json_document(F.col(quote(column)))
     types = _types_by_key(df.select(document.alias("v")).where("v IS NOT NULL"))
     rows = types.take(MAX_STRUCT_FIELDS + 2)
-    by_key = {r["key"]: r["type"] for r in rows if r["type"] != "VOID"}
+    by_key = {r["key"]: r["type"] for r in rows if r["type"] not in ("VOID", _EMPTY)}
+    objects = any(r["key"] is not None or r["type"] == _EMPTY for r in rows)
     if len(rows) > MAX_STRUCT_FIELDS + 1:
         # too many keys for a STRUCT: all of one type, or a VARIANT
-        kinds = types.where("type <> 'VOID'").agg(
+        kinds = types.where(~F.col("type").isin("VOID", _EMPTY)).agg(
             F.count_distinct("type").alias("n"),
             F.min("type").alias("type"),
             F.count_if(F.col("key").isNull()).alias("others"),
@@ -228,11 +227,10 @@ def infer_json(df: DataFrame, column: str, *, float_type: str = "float") -> T.Da
             return T.VariantType()
         shape = T.MapType(T.StringType(), _from_variant(found["type"]))
     elif not by_key:
-        objects = any(r["key"] is not None for r in rows)
         return T.MapType(T.StringType(), T.NullType()) if objects else T.NullType()
     elif None in by_key:
         # documents that are no objects have one merged type, or do not go with objects
-        if any(r["key"] is not None for r in rows):
+        if objects:
             return T.VariantType()
         shape = _from_variant(by_key[None])
     elif len(set(by_key.values())) == 1:
@@ -245,14 +243,19 @@ def infer_json(df: DataFrame, column: str, *, float_type: str = "float") -> T.Da
 
 
 def _types_by_key(documents: DataFrame) -> DataFrame:
-    """``(key, type)``: the merged type per object key; other documents have the key NULL."""
+    """``(key, type)``: the merged type per object key.
+
+    Documents without a key, which are empty objects and other values, have the key NULL.
+    """
     entries = F.map_entries(F.try_variant_get("v", "$", "map<string, variant>"))
     itself = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("v").alias("value")))
-    each = documents.select(F.explode(F.coalesce(entries, itself)).alias("e"))
+    each = documents.select(F.explode(F.when(F.size(entries) > 0, entries).otherwise(itself)).alias("e"))
     merged = F.regexp_replace(F.schema_of_variant_agg("e.value"), _FRACTION, "DOUBLE")
     return each.groupBy(F.col("e.key").alias("key")).agg(merged.alias("type"))
 
 
+# The variant type of an object without keys.
+_EMPTY = "OBJECT<>"
 # A JSON number with a fraction is a floating number on the ladder, whatever its digits.
 _FRACTION = r"DECIMAL\(\d+,\s*[1-9]\d*\)"
 

@@ -117,9 +117,11 @@ def new_files(
     else:
         found = found.withColumn("sha256", F.lit(None).cast("string"))
         same = ["uri", "size", "modified"]
-    found = found.select("uri", "size", F.unix_micros("modified").alias("modified"), "sha256")
+    found = found.withColumn("modified", F.unix_micros("modified"))
     done = ledger(spark, table)
-    return found if done is None else found.join(done.select(*same), same, "left_anti")
+    if done is not None:
+        found = found.join(done.select(*same), same, "left_anti")
+    return found.select("uri", "size", "modified", "sha256")
 
 
 def _with_hashes(

@@ -134,7 +134,7 @@ def _planned(
 ) -> DataFrame:
     """The sync plan with the URI and size of every listed file, for reading some of them."""
     listing = list_files(files)
-    uris = list_tree(spark, root).select(
+    uris = list_tree(spark, root, with_empty=True).select(
         "uri", "size", relative_path(spark, F.col("uri"), root, prefix).alias("path")
     )
     return sync_plan(listing, manifest).join(uris, "path")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from fnmatch import fnmatchcase
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -22,6 +24,7 @@ PART_BYTES = 64 * 2**20
 TASK_BYTES = 128 * 2**20
 OPEN_BYTES = 2 * 2**20
 MAX_TASKS = 100_000
+LISTING_TASKS = 1_000
 FILES_SCHEMA = (
     "path string, size bigint, sha256 string, part bigint, n_parts bigint, content binary"
 )
@@ -33,16 +36,44 @@ def list_tree(
     *,
     pattern: str | None = None,
     recursive: bool = True,
+    with_empty: bool = False,
 ) -> DataFrame:
     """``(uri, size, modified)`` of every visible file; no content is read.
 
-    Spark's listing skips files and directories whose names start with ``.`` or ``_``.
+    Spark's listing skips files and directories whose names start with ``.`` or ``_``, and files
+    without content; ``with_empty`` adds the latter.
     """
-    return _scan(spark, root, pattern, recursive).select(
+    found = _scan(spark, root, pattern, recursive).select(
         F.col("path").alias("uri"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("modified"),
     )
+    if not with_empty:
+        return found
+    return found.unionByName(
+        empty_files(spark, root, pattern=pattern, recursive=recursive).select(
+            "uri", F.lit(0).cast("bigint").alias("size"), "modified"
+        )
+    )
+
+
+def empty_files(
+    spark: SparkSession, root: str, *, pattern: str | None = None, recursive: bool = True
+) -> DataFrame:
+    """``(uri, modified)`` of the visible files without content, which Spark's scans leave out.
+
+    The entries directly below ``root`` are listed in parallel, each in a task that holds one
+    directory at a time.
+    """
+    base = store.qualified(spark, root).rstrip("/")
+    tops = [base]
+    if store.is_directory(spark, root):
+        tops = [f"{base}/{n}" for n in store.children(spark, root) if not n.startswith((".", "_"))]
+    names = spark.createDataFrame([(t,) for t in tops], "uri string")
+    spread = names.repartition(min(max(1, len(tops)), LISTING_TASKS))
+    return spread.mapInArrow(
+        _empty_finder(pattern, recursive), "uri string, modified timestamp"
+    )
 
 
 def _scan(spark: SparkSession, root, pattern: str | None, recursive: bool) -> DataFrame:
@@ -84,12 +115,23 @@ def read_tree(
         F.lit(1).cast("bigint").alias("n_parts"),
         "content",
     )
+    nothing = empty_files(spark, root, pattern=pattern, recursive=recursive)
+    uri = F.col("uri")
+    empty = nothing.select(
+        (uri if absolute else relative_path(spark, uri, root, prefix)).alias("path"),
+        F.lit(0).cast("bigint").alias("size"),
+        F.sha2(F.lit(b""), 256).alias("sha256"),
+        F.lit(0).cast("bigint").alias("part"),
+        F.lit(1).cast("bigint").alias("n_parts"),
+        F.lit(b"").alias("content"),
+    )
+    files = small.unionByName(empty)
     large = found.where(F.col("length") > part_bytes).select(
         F.col("path").alias("uri"), path.alias("path"), F.col("length").alias("size")
     )
     if large.isEmpty():
-        return small
-    return small.unionByName(_read_large(large, part_bytes))
+        return files
+    return files.unionByName(_read_large(large, part_bytes))
 
 
 def _read_large(files: DataFrame, part_bytes: int) -> DataFrame:
@@ -134,10 +176,37 @@ def spread_by_bytes(df: DataFrame, *columns: str, by: DataFrame | None = None) -
 
 
 def open_uri(uri: str):
-    """The pyarrow file system of a URI, and the path in it."""
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    return fs.FileSystem.from_uri(uri)
+    """The pyarrow file system of a Hadoop path, and the path in it.
+
+    Hadoop writes ``file:/a b``, where a URI is ``file:///a%20b``.
+    """
+    scheme, rest = uri.split(":", 1)
+    authority, path = "", rest
+    if rest.startswith("//"):
+        authority, _, path = rest[2:].partition("/")
+    return fs.FileSystem.from_uri(f"{scheme}://{authority}/{quote(path.lstrip('/'))}")
+
+
+def _empty_finder(pattern: str | None, recursive: bool):
+    def wanted(name: str) -> bool:
+        return not name.startswith((".", "_")) and (not pattern or fnmatchcase(name, pattern))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for top in batch.column("uri").to_pylist():
+                system, name = open_uri(top)
+                todo = system.get_file_info([name])
+                while todo:
+                    info = todo.pop()
+                    if info.type == fs.FileType.Directory and recursive:
+                        inside = system.get_file_info(fs.FileSelector(info.path))
+                        todo += [i for i in inside if not i.base_name.startswith((".", "_"))]
+                    elif info.type == fs.FileType.File and not info.size and wanted(info.base_name):
+                        uri = pa.array([top + info.path[len(name):]], pa.string())
+                        when = pa.array([info.mtime], pa.timestamp("us", "UTC"))
+                        yield pa.RecordBatch.from_arrays([uri, when], names=["uri", "modified"])
+
+    return find
 
 
 def _range_reader(part_bytes: int):

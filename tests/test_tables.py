@@ -1,0 +1,201 @@
+"""Table reads, sinks and exports."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakeferry.operators.export import export, save_table_to_files, sql_to_files
+from lakeferry.operators.write import (
+    bulk_write_table,
+    create_statement,
+    create_table,
+    evolve_table,
+    replace_table,
+    write_table,
+)
+from lakeferry.plans import store
+from lakeferry.sources.tables import (
+    Table,
+    drop_table,
+    read_external,
+    read_table,
+    table_exists,
+    table_facts,
+)
+
+
+@pytest.fixture
+def pairs(spark, ws):
+    name = ws.table("pairs")
+    write_table(spark, name, spark.createDataFrame([(1, 2), (3, 4), (3, 4)], "a int, b int"))
+    return name
+
+
+def test_read(spark, pairs):
+    assert rows(read_table(spark, pairs)) == [(1, 2), (3, 4), (3, 4)]
+    assert rows(read_table(spark, pairs, ["b"], distinct=True)) == [(2,), (4,)]
+    assert read_table(spark, pairs, limit=2).count() == 2
+    assert read_table(spark, pairs, limit=0).count() == 0
+
+
+def test_read_prunes_and_pushes(spark, pairs):
+    plan = plan_of(read_table(spark, pairs, ["b"]).where("b > 1"))
+    assert "ReadSchema: struct<b:int>" in plan
+    assert "GreaterThan(b,1)" in plan
+
+
+def test_distinct_with_maps_and_variants(spark, ws):
+    table = ws.table("maps")
+    df = spark.createDataFrame([({"a": 1},), ({"a": 1},), (None,)], "m map<string,int>")
+    write_table(spark, table, df)
+    assert rows(read_table(spark, table, distinct=True)) == rows(df.limit(1).union(df.where("m IS NULL")))
+    write_table(spark, ws.table("variants"), spark.sql("SELECT parse_json('1') AS v"))
+    with pytest.raises(ValueError, match="VARIANT"):
+        read_table(spark, ws.table("variants"), distinct=True)
+
+
+def test_typed_read_of_odd_names(spark, ws):
+    table = ws.table("odd")
+    write_table(spark, table, spark.createDataFrame([("1", "2")], "`a b` string, `c.d` string"))
+    typed = Table(table, schema=T.StructType().add("a b", T.IntegerType()).add("c.d", T.LongType()))
+    assert read_table(spark, typed).first() == (1, 2)
+    assert read_table(spark, typed, ["c.d"]).first() == (2,)
+
+
+def test_existence_and_drop(spark, pairs):
+    assert table_exists(spark, pairs)
+    drop_table(spark, pairs)
+    assert not table_exists(spark, pairs)
+    drop_table(spark, pairs, if_exists=True)
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        drop_table(spark, pairs)
+
+
+def test_an_empty_table_exists(spark, ws):
+    create_table(spark, Table(ws.table("empty"), schema="a INT"))
+    assert table_exists(spark, ws.table("empty"))
+    assert read_table(spark, ws.table("empty")).count() == 0
+
+
+def test_create_statement():
+    table = Table(
+        "c.d.t",
+        format="ORC",
+        schema="a INT, b STRING",
+        location="/x/it's",
+        partitioned_by=["b"],
+        properties={"k": "v"},
+    )
+    assert create_statement(table) == (
+        "CREATE TABLE IF NOT EXISTS `c`.`d`.`t` (`a` INT, `b` STRING) USING ORC"
+        " PARTITIONED BY (`b`) LOCATION '/x/it\\'s' TBLPROPERTIES ('k' = 'v')"
+    )
+
+
+def test_create_honors_format_and_keeps_existing(spark, ws):
+    table = Table(ws.table("t"), format="ORC", schema="a INT")
+    create_table(spark, table)
+    assert table_facts(spark, table).provider == "orc"
+    write_table(spark, table, spark.createDataFrame([(1,)], "a int"))
+    create_table(spark, table)
+    assert read_table(spark, table).count() == 1
+    create_table(spark, Table(table.identifier, schema="z STRING"), replace=True)
+    assert read_table(spark, table.identifier).columns == ["z"]
+    assert read_table(spark, table.identifier).count() == 0
+
+
+def test_void_columns_are_refused_early(spark, ws):
+    with pytest.raises(ValueError, match="without a type"):
+        create_table(spark, Table(ws.table("t"), schema="a VOID"))
+
+
+def test_overwrite_keeps_schema_replace_changes_it(spark, pairs):
+    fresh = spark.createDataFrame([(9, 8)], "b int, a int")
+    write_table(spark, pairs, fresh, append=False)
+    assert rows(read_table(spark, pairs)) == [(8, 9)]
+    bulk_write_table(spark, pairs, spark.createDataFrame([("x",)], "s string"), append=False)
+    assert rows(read_table(spark, pairs)) == [("x",)]
+
+
+def test_empty_input(spark, pairs):
+    nothing = spark.createDataFrame([], "a int, b int")
+    write_table(spark, pairs, nothing)
+    assert read_table(spark, pairs).count() == 3
+    write_table(spark, pairs, nothing, append=False)
+    assert read_table(spark, pairs).count() == 0
+
+
+def test_columns_by_name(spark, pairs):
+    with_schema = Table(pairs, schema="a INT, b INT")
+    write_table(spark, with_schema, spark.createDataFrame([(5, "x")], "b int, extra string"))
+    assert (None, 5) in rows(read_table(spark, pairs))
+    with pytest.raises(ValueError, match="extra"):
+        write_table(spark, pairs, spark.createDataFrame([(5, "x")], "b int, extra string"))
+    with pytest.raises(Exception, match="CANNOT_SAFELY_CAST|INCOMPATIBLE_DATA"):
+        write_table(spark, pairs, spark.createDataFrame([("x",)], "a string"))
+
+
+def test_partition_columns_keep_their_values(spark, ws):
+    """The table puts partition columns last; rows are written by name."""
+    table = Table(ws.table("t"), schema="p STRING, a INT, q INT", partitioned_by=["p", "q"])
+    df = spark.createDataFrame([("x", 1, 10), ("y", 2, 20), (None, 3, 30)], "p string, a int, q int")
+    write_table(spark, table, df)
+    got = read_table(spark, table.identifier).select("p", "a", "q")
+    assert rows(got) == rows(df)
+    assert spark.sql(f"SHOW PARTITIONS {table.name}").count() == 3
+    write_table(spark, table, df.where("a = 1"), append=False)
+    assert rows(read_table(spark, table.identifier).select("p", "a", "q")) == [("x", 1, 10)]
+
+
+def test_evolution(spark, pairs):
+    bulk_write_table(spark, pairs, spark.createDataFrame([(7, "x")], "a int, c string"))
+    assert (7, None, "x") in rows(read_table(spark, pairs))
+    assert evolve_table(spark, pairs, T.StructType().add("C", "string")) == []
+    assert read_table(spark, pairs).columns == ["a", "b", "c"]
+
+
+def test_replace_reads_the_table_it_replaces(spark, pairs):
+    replace_table(spark, pairs, spark.table(pairs).select((F.col("a") + 1).alias("n")))
+    assert rows(read_table(spark, pairs)) == [(2,), (4,), (4,)]
+
+
+def test_a_failing_replacement_leaves_the_table(spark, pairs):
+    bad = spark.table(pairs).select(F.raise_error(F.lit("no")).cast("int").alias("n"))
+    with pytest.raises(Exception, match="no"):
+        replace_table(spark, pairs, bad)
+    assert read_table(spark, pairs).count() == 3
+
+
+def test_external_table(spark, ws):
+    table = Table(ws.table("ext"), format="CSV", schema="a INT, b STRING", location=ws.dir("ext"))
+    write_table(spark, table, spark.createDataFrame([(1, "x")], "a int, b string"))
+    assert rows(read_external(spark, table)) == [(1, "x")]
+    replace_table(spark, table, spark.table(table.name).select(F.lit(2).alias("a"), "b"))
+    assert rows(read_external(spark, table)) == [(2, "x")]
+    assert not table_facts(spark, table).managed
+    with pytest.raises(ValueError):
+        read_external(spark, Table("a.b.c"))
+
+
+def test_export_in_chunks(spark, ws):
+    df = spark.range(0, 1000, 1, 1)
+    path = export(df, ws.dir("out"), rows_per_file=300, run_id="run")
+    assert path.endswith("/out/run")
+    files = [n for n in store.files(spark, path) if n.endswith(".parquet")]
+    assert len(files) == 4
+    assert spark.read.parquet(path).count() == 1000
+    whole = export(df, ws.dir("out"), rows_per_file=None)
+    assert len([n for n in store.files(spark, whole) if n.endswith(".parquet")]) == 1
+
+
+def test_export_of_tables_and_queries(spark, ws, pairs):
+    first = save_table_to_files(spark, pairs, ws.dir("out"))
+    second = sql_to_files(
+        spark, f"SELECT a FROM {pairs} WHERE b > :b", ws.dir("out"), params={"b": 2}
+    )
+    assert first != second
+    assert rows(spark.read.parquet(first)) == [(1, 2), (3, 4), (3, 4)]
+    assert rows(spark.read.parquet(second)) == [(3,), (3,)]
