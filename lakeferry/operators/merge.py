@@ -19,6 +19,7 @@ from lakeferry.sources.tables import ROW_LEVEL_PROVIDERS, Table, TableFacts, as_
 
 _SOURCE = "__s_"
 _HIT = "__hit"
+_TOUCHED = "__touched"
 
 
 class DuplicateKeysError(ValueError):
@@ -204,22 +205,41 @@ def scoped_result(
     A partition changes if one of its rows matches, or if the source has a row for it.
     """
     columns = list(facts.partition_columns)
-    changed = _columns(merge.matched(columns), columns).union(_columns(merge.source, columns))
-    changed = changed.distinct()
-    # never more rows than the table has, or gets, partitions
-    touched, _ = stage(spark, changed.coalesce(1), f"{scratch}/touched")
+    touched, _ = stage(spark, changed_partitions(merge, columns), f"{scratch}/touched")
     scoped = only_partitions(merge.target, touched, columns)
+    if covers(merge.keys, columns):
+        # a match is within one partition, so the others are not even searched for keys
+        merge = replace(merge, target=scoped)
     rows, _ = stage(
         spark, merge.updated(scoped).unionByName(merge.inserts()), f"{scratch}/result"
     )
     return touched, rows
 
 
+def covers(keys: list[str], columns: list[str]) -> bool:
+    return {c.lower() for c in columns} <= {k.lower() for k in keys}
+
+
+def changed_partitions(merge: Merge, columns: list[str]) -> DataFrame:
+    """Distinct partition values that the source has rows for, or that hold a matching row.
+
+    Never more rows than the table has, or gets, partitions, so they fit into one file.
+    """
+    changed = _columns(merge.source, columns)
+    if not covers(merge.keys, columns):
+        changed = changed.union(_columns(merge.matched(columns), columns))
+    return changed.distinct().coalesce(1).withColumn(_TOUCHED, F.lit(1))
+
+
 def only_partitions(target: DataFrame, touched: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows in the touched partitions; the small join side prunes the scan's partitions."""
+    """Rows in the touched partitions; the small join side prunes the scan's partitions.
+
+    Spark prunes a scan by a join side only if that side has a selective filter: the one on the
+    stored mark, which is 1 in every row, is there for that.
+    """
     has_null = not touched.where(~_all_present(columns)).isEmpty()
     if not has_null:
-        return target.join(touched, columns, "left_semi")
+        return target.join(touched.where(F.col(_TOUCHED) == 1), columns, "left_semi")
     same = [target[c].eqNullSafe(touched[c]) for c in columns]
     return target.join(touched, same, "left_semi")
 
@@ -242,9 +262,7 @@ def replace_keys(
             replace_content(spark, ref, kept.unionByName(merge.source))
             return
         columns = list(facts.partition_columns)
-        changed = _columns(merge.matched(columns), columns).union(_columns(merge.source, columns))
-        changed = changed.distinct()
-        touched, _ = stage(spark, changed.coalesce(1), f"{scratch}/touched")
+        touched, _ = stage(spark, changed_partitions(merge, columns), f"{scratch}/touched")
         kept = only_partitions(merge.target, touched, columns).join(gone, merge.keys, "left_anti")
         rows, _ = stage(spark, kept.unionByName(merge.source), f"{scratch}/result")
         replace_partitions(spark, ref, rows, touched)

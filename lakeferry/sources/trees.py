@@ -24,7 +24,6 @@ PART_BYTES = 64 * 2**20
 TASK_BYTES = 128 * 2**20
 OPEN_BYTES = 2 * 2**20
 MAX_TASKS = 100_000
-LISTING_TASKS = 1_000
 FILES_SCHEMA = (
     "path string, size bigint, sha256 string, part bigint, n_parts bigint, content binary"
 )
@@ -62,18 +61,17 @@ def empty_files(
 ) -> DataFrame:
     """``(uri, modified)`` of the visible files without content, which Spark's scans leave out.
 
-    The entries directly below ``root`` are listed in parallel, each in a task that holds one
-    directory at a time.
+    One task lists ``root`` itself; the directories below it are listed in parallel, each by a
+    task that holds one directory at a time.
     """
     base = store.qualified(spark, root).rstrip("/")
-    tops = [base]
-    if store.is_directory(spark, root):
-        tops = [f"{base}/{n}" for n in store.children(spark, root) if not n.startswith((".", "_"))]
-    names = spark.createDataFrame([(t,) for t in tops], "uri string")
-    spread = names.repartition(min(max(1, len(tops)), LISTING_TASKS))
-    return spread.mapInArrow(
-        _empty_finder(pattern, recursive), "uri string, modified timestamp"
-    )
+    columns = "uri string, modified timestamp"
+    start = spark.createDataFrame([(base,)], "uri string")
+    tops = start.mapInArrow(_empty_finder(pattern, "top" if recursive else "none"), columns)
+    if not recursive:
+        return tops
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return tops.repartition(tasks).select("uri").mapInArrow(_empty_finder(pattern, "all"), columns)
 
 
 def _scan(spark: SparkSession, root, pattern: str | None, recursive: bool) -> DataFrame:
@@ -187,9 +185,14 @@ def open_uri(uri: str):
     return fs.FileSystem.from_uri(f"{scheme}://{authority}/{quote(path.lstrip('/'))}")
 
 
-def _empty_finder(pattern: str | None, recursive: bool):
-    def wanted(name: str) -> bool:
-        return not name.startswith((".", "_")) and (not pattern or fnmatchcase(name, pattern))
+def _empty_finder(pattern: str | None, below: str):
+    """Finds empty files in directories, and what is to be done for the directories in them:
+
+    nothing (``none``), name them (``top``), or search them as well (``all``).
+    """
+
+    def hidden(name: str) -> bool:
+        return name.startswith((".", "_"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,10 +201,14 @@ def _empty_finder(pattern: str | None, recursive: bool):
                 todo = system.get_file_info([name])
                 while todo:
                     info = todo.pop()
-                    if info.type == fs.FileType.Directory and recursive:
+                    if info.type == fs.FileType.Directory and (info.path == name or below == "all"):
                         inside = system.get_file_info(fs.FileSelector(info.path))
-                        todo += [i for i in inside if not i.base_name.startswith((".", "_"))]
-                    elif info.type == fs.FileType.File and not info.size and wanted(info.base_name):
+                        todo += [i for i in inside if not hidden(i.base_name)]
+                        continue
+                    empty = info.type == fs.FileType.File and not info.size
+                    if empty and pattern and not fnmatchcase(info.base_name, pattern):
+                        continue
+                    if empty or (info.type == fs.FileType.Directory and below == "top"):
                         uri = pa.array([top + info.path[len(name):]], pa.string())
                         when = pa.array([info.mtime], pa.timestamp("us", "UTC"))
                         yield pa.RecordBatch.from_arrays([uri, when], names=["uri", "modified"])

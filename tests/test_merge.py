@@ -12,8 +12,10 @@ from lakeferry.operators.merge import (
     DuplicateKeysError,
     merge_statement,
     merge_table,
+    only_partitions,
     plan_merge,
     replace_keys,
+    scoped_result,
 )
 from lakeferry.operators.write import write_table
 from lakeferry.plans.workspace import session_settings
@@ -218,3 +220,33 @@ def test_native_statement():
         " WHEN MATCHED AND struct(s.`at`) > struct(t.`at`) THEN UPDATE SET *"
         " WHEN NOT MATCHED THEN INSERT *"
     )
+
+
+def test_partition_keys_limit_the_search(spark, ws):
+    """With the partition column among the keys, only the source's partitions are read."""
+    table = Table(ws.table("t"), schema="k BIGINT, p BIGINT, v STRING", partitioned_by=["p"])
+    write_table(spark, table, spark.range(0, 40).selectExpr("id AS k", "id % 4 AS p", "'a' AS v"))
+    source = spark.range(0, 60, 4).selectExpr("id AS k", "id % 4 AS p", "'b' AS v")
+    merge = plan_merge(spark, table, source, ["k", "p"])
+    _, result = scoped_result(spark, table_facts(spark, table), merge, ws.dir("scratch"))
+    assert result.count() == 15 and result.where("p <> 0").count() == 0
+    scoped = only_partitions(merge.target, spark.read.parquet(ws.dir("scratch/touched")), ["p"])
+    assert "dynamicpruning" in plan_of(scoped)
+    merge_table(spark, table, source, ["k", "p"])
+    got = read_table(spark, table.identifier)
+    assert got.count() == 45 and got.where("v = 'b'").count() == 15
+
+
+def test_a_null_partition(spark, ws):
+    schema = "k int, p string, v int"
+    table = Table(ws.table("t"), schema=schema, partitioned_by=["p"])
+    write_table(spark, table, spark.createDataFrame([(1, None, 1), (2, None, 2), (3, "x", 3)], schema))
+    merge_table(spark, table, spark.createDataFrame([(1, "x", 10), (4, None, 4)], schema), "k")
+    got = read_table(spark, table.identifier).select("k", "p", "v")
+    assert rows(got) == rows(
+        spark.createDataFrame([(1, "x", 10), (2, None, 2), (3, "x", 3), (4, None, 4)], schema)
+    )
+    # the last row of the NULL partition moves away
+    merge_table(spark, table, spark.createDataFrame([(2, "y", 0), (4, "y", 0)], schema), "k")
+    assert read_table(spark, table.identifier).where("p IS NULL").count() == 0
+    assert spark.sql(f"SHOW PARTITIONS {table.name}").count() == 2
