@@ -10,9 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.functions.types import SchemaLike, align, build_schema
-from lakeferry.operators.write import create_table, evolve_table, replace_table
+from lakeferry.operators.write import (
+    bulk_write_table,
+    create_table,
+    evolve_table,
+    replace_table,
+)
 from lakeferry.plans import store
-from lakeferry.plans.commit import LEDGER, append_once, committed_keys, recover, token
+from lakeferry.plans.commit import (
+    LEDGER,
+    append_once,
+    committed_batches,
+    ledger_root,
+    recover,
+    token,
+)
 from lakeferry.sources.files import known_format, read_files
 from lakeferry.sources.tables import Table, as_table, table_exists, table_facts
 from lakeferry.sources.trees import list_tree, read_tree
@@ -71,7 +83,7 @@ def copy_into(
 ) -> int:
     """Append the files that are not in the table yet; returns how many were loaded.
 
-    A ledger beside the data remembers every file by path, size and modification time, or by path
+    A ledger beside the table remembers every file by path, size and modification time, or by path
     and SHA-256 with ``by_content`` (which reads each file once more).  Files go in batches, each
     committed on its own, so the driver never holds more than ``files_per_batch`` names.  Columns
     that the table lacks are added.  Running again, also after a crash, loads nothing twice.
@@ -94,8 +106,8 @@ def copy_into(
         evolve_table(spark, ref, df.schema)
         facts = table_facts(spark, ref)
         key = token()
-        ledger = spark.createDataFrame(batch, LEDGER_SCHEMA)
-        ledger.coalesce(1).write.parquet(f"{facts.location}/{LEDGER}/{key}")
+        names = spark.createDataFrame(batch, LEDGER_SCHEMA).coalesce(1)
+        names.write.parquet(f"{ledger_root(spark, ref, facts)}/{LEDGER}/{key}")
         append_once(spark, ref, align(df, facts.schema), key)
         loaded += len(uris)
     return loaded
@@ -137,10 +149,7 @@ def ledger(spark: SparkSession, table: str | Table) -> DataFrame | None:
     ref = as_table(table)
     if not table_exists(spark, ref):
         return None
-    facts = table_facts(spark, ref)
-    root = f"{facts.location}/{LEDGER}"
-    batches = set(store.children(spark, root))
-    done = [f"{root}/{key}" for key in committed_keys(spark, facts) if key in batches]
+    done = committed_batches(spark, table_facts(spark, ref))
     return spark.read.schema(LEDGER_SCHEMA).parquet(*done) if done else None
 
 
@@ -154,25 +163,17 @@ def bulk_write_files(
     recursive: bool = False,
     options: dict[str, object] | None = None,
 ) -> None:
-    """Load a file, or a directory's ``*.<format>`` files, under the table's schema.
+    """Append a file, or a directory's ``*.<format>`` files, or make them the table.
 
-    ``append`` loads each file once however often it is called; otherwise the files become the
-    table.  The files' columns must be those of the schema.
+    The table's schema is forced on the files.  Unlike ``copy_into``, every call appends.
     """
     if table.schema is None:
         raise ValueError(f"{table.identifier} needs a schema for a bulk load")
-    if append:
-        create_table(spark, table)
-        pattern = True if store.is_directory(spark, path) else None
-        copy_into(
-            spark, table, path, format, pattern=pattern, recursive=recursive, options=options
-        )
-        return
     pattern = True if store.is_directory(spark, path) else None
     df = read_files(
         spark, path, format, table.schema, pattern=pattern, recursive=recursive, options=options
     )
-    replace_table(spark, table, df)
+    bulk_write_table(spark, table, df, append=append)
 
 
 def _chunks(rows: Iterator, size: int) -> Iterator[list]:

@@ -13,9 +13,16 @@ from pyspark.sql import functions as F
 
 from lakeferry.functions.types import align, missing_from, quote
 from lakeferry.plans import store
-from lakeferry.plans.commit import replace_content, replace_partitions, token
+from lakeferry.plans.commit import recover, replace_content, replace_partitions, token
 from lakeferry.plans.workspace import broadcast_limit, shared_root, stage
-from lakeferry.sources.tables import ROW_LEVEL_PROVIDERS, Table, TableFacts, as_table, table_facts
+from lakeferry.sources.tables import (
+    PENDING,
+    ROW_LEVEL_PROVIDERS,
+    Table,
+    TableFacts,
+    as_table,
+    table_facts,
+)
 
 _SOURCE = "__s_"
 _HIT = "__hit"
@@ -168,14 +175,20 @@ def merge_table(
     if facts.provider in ROW_LEVEL_PROVIDERS:
         _merge_natively(spark, ref, source, keys, tuple(newer_by))
         return
+    recover(spark, ref)
     scratch = _scratch(spark)
     try:
         merge = plan_merge(
             spark, ref, source, keys, newer_by=tuple(newer_by), scratch=f"{scratch}/source"
         )
-        _apply(spark, ref, facts, refuse_duplicates(merge), scratch)
+        merge = refuse_duplicates(merge)
+        if facts.partition_columns:
+            scoped_result(spark, facts, merge, scratch)
+            replace_partitions(spark, ref, scratch)
+        else:
+            replace_content(spark, ref, merge.result())
     finally:
-        store.delete(spark, scratch)
+        _clean(spark, ref, scratch)
 
 
 def refuse_duplicates(merge: Merge) -> Merge:
@@ -187,16 +200,6 @@ def refuse_duplicates(merge: Merge) -> Merge:
     return replace(merge, repeats=True)
 
 
-def _apply(
-    spark: SparkSession, ref: Table, facts: TableFacts, merge: Merge, scratch: str
-) -> None:
-    if not facts.partition_columns:
-        replace_content(spark, ref, merge.result())
-        return
-    touched, rows = scoped_result(spark, facts, merge, scratch)
-    replace_partitions(spark, ref, rows, touched)
-
-
 def scoped_result(
     spark: SparkSession, facts: TableFacts, merge: Merge, scratch: str
 ) -> tuple[DataFrame, DataFrame]:
@@ -252,6 +255,7 @@ def replace_keys(
     Unlike a merge, a key may have any number of rows on both sides.
     """
     ref = as_table(table)
+    recover(spark, ref)
     facts = table_facts(spark, ref)
     scratch = _scratch(spark)
     try:
@@ -264,9 +268,15 @@ def replace_keys(
         columns = list(facts.partition_columns)
         touched, _ = stage(spark, changed_partitions(merge, columns), f"{scratch}/touched")
         kept = only_partitions(merge.target, touched, columns).join(gone, merge.keys, "left_anti")
-        rows, _ = stage(spark, kept.unionByName(merge.source), f"{scratch}/result")
-        replace_partitions(spark, ref, rows, touched)
+        stage(spark, kept.unionByName(merge.source), f"{scratch}/result")
+        replace_partitions(spark, ref, scratch)
     finally:
+        _clean(spark, ref, scratch)
+
+
+def _clean(spark: SparkSession, ref: Table, scratch: str) -> None:
+    """Delete the staged rows, unless an unfinished overwrite still needs them."""
+    if PENDING not in table_facts(spark, ref).properties:
         store.delete(spark, scratch)
 
 

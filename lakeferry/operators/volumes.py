@@ -18,7 +18,7 @@ from lakeferry.functions.types import quote
 from lakeferry.operators.merge import replace_keys
 from lakeferry.operators.write import write_table
 from lakeferry.plans import store
-from lakeferry.plans.commit import replace_content, token
+from lakeferry.plans.commit import recover, replace_content, token
 from lakeferry.plans.workspace import shared_root, stage
 from lakeferry.sources.tables import Table, as_table, table_exists
 from lakeferry.sources.trees import (
@@ -147,6 +147,7 @@ def _n() -> Column:
 def drop_files(spark: SparkSession, table: str | Table, prefix: str = "") -> None:
     """Delete a sub-tree from a files table."""
     ref = as_table(table)
+    recover(spark, ref)
     kept = spark.table(ref.name).where(~in_subtree(F.col(quote("path")), prefix))
     replace_content(spark, ref, kept)
 

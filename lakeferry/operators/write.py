@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from lakeferry.functions.types import align, missing_from, quote, reject_void, schema_ddl, sql_type
 from lakeferry.plans import store
-from lakeferry.plans.commit import rebalance, token
+from lakeferry.plans.commit import rebalance, recover, token
 from lakeferry.sources.tables import Table, as_table, drop_table, table_exists, table_facts
 
 
@@ -136,6 +136,7 @@ def _ensure(spark: SparkSession, ref: Table, schema: T.StructType) -> None:
 
 def _insert(spark: SparkSession, ref: Table, df: DataFrame, overwrite: bool) -> None:
     """By name: the table's column order decides, partition columns included."""
+    recover(spark, ref)
     facts = table_facts(spark, ref)
     unknown = missing_from(df, df.columns, facts.schema.names)
     if unknown:

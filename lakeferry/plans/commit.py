@@ -1,13 +1,15 @@
 """How a finished result becomes the table's content.
 
-Contract: one writer per table at a time.  All data is complete in its final form before a commit
-starts, so a lost executor or a failed job leaves the old content untouched.
+Contract: one writer per table at a time.  All data is complete on shared storage before a commit
+starts, so a lost executor or a failed job leaves the old content untouched.  A commit that takes
+several steps is recorded in the table's properties first; ``recover`` finishes it after a crash.
 """
 
 from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +17,23 @@ from pyspark.sql import functions as F
 from lakeferry.functions.types import quote
 from lakeferry.plans import store
 from lakeferry.plans.workspace import session_settings
-from lakeferry.sources.tables import PREVIOUS, Table, TableFacts, table_facts
+from lakeferry.sources.tables import (
+    LEDGER_AT,
+    PENDING,
+    PREVIOUS,
+    Table,
+    TableFacts,
+    table_facts,
+)
 
 # Names starting with "_" are invisible to Spark's file listing.
-STAGING, COMMITS, LEDGER = "_staging", "_commits", "_ledger"
-STAGED = "_staged"
+STAGING, STAGED = "_staging", "_staged"
+COMMITS, LEDGER = "commits", "files"
+CONTENT, PARTITIONS = "content", "partitions"
+# Fixed value: how a NULL partition value is written in a path.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 MOVERS = 16
+PARTITIONS_PER_STATEMENT = 100
 
 
 def token() -> str:
@@ -48,6 +61,13 @@ def save(df: DataFrame, facts: TableFacts, path: str) -> None:
     writer.save(path)
 
 
+def set_property(spark: SparkSession, table: Table, key: str, value: str | None) -> None:
+    if value is None:
+        spark.sql(f"ALTER TABLE {table.name} UNSET TBLPROPERTIES IF EXISTS ('{key}')")
+    else:
+        spark.sql(f"ALTER TABLE {table.name} SET TBLPROPERTIES ('{key}' = {_value(value)})")
+
+
 # ------------------------------------------------------- whole content
 
 
@@ -63,41 +83,64 @@ def replace_content(spark: SparkSession, table: Table, df: DataFrame) -> None:
     save(as_stored(df, facts), facts, target)
     if facts.managed and not facts.partition_columns:
         _switch(spark, table, facts, target)
-        return
-    staged = spark.read.format(facts.provider).options(**facts.options)
-    rows = as_stored(staged.schema(facts.schema).load(target), facts)
-    rebalance(rows, facts.partition_columns).write.insertInto(table.name, overwrite=True)
-    store.delete(spark, target)
+    else:
+        set_property(spark, table, PENDING, f"{CONTENT} {target}")
+        _overwrite_content(spark, table, target)
 
 
 def _switch(spark: SparkSession, table: Table, facts: TableFacts, target: str) -> None:
     spark.sql(f"ALTER TABLE {table.name} SET LOCATION '{target}'")
     older = facts.properties.get(PREVIOUS)
-    spark.sql(f"ALTER TABLE {table.name} SET TBLPROPERTIES ('{PREVIOUS}' = '{facts.location}')")
+    set_property(spark, table, PREVIOUS, facts.location)
     if older and older != target:
         store.delete(spark, older)
 
 
+def _overwrite_content(spark: SparkSession, table: Table, staged: str) -> None:
+    facts = table_facts(spark, table)
+    reader = spark.read.format(facts.provider).options(**facts.options)
+    rows = as_stored(reader.schema(facts.schema).load(staged), facts)
+    with session_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+        rebalance(rows, facts.partition_columns).write.insertInto(table.name, overwrite=True)
+    set_property(spark, table, PENDING, None)
+    store.delete(spark, staged)
+
+
 # ------------------------------------------------------- single partitions
 
 
-def replace_partitions(
-    spark: SparkSession, table: Table, staged: DataFrame, touched: DataFrame
-) -> None:
-    """Make ``staged`` the content of the ``touched`` partitions; others are not read or written.
+def replace_partitions(spark: SparkSession, table: Table, staged: str) -> None:
+    """Make the rows in ``staged/result`` the content of the partitions in ``staged/touched``.
 
-    ``staged`` is on shared storage already.  A touched partition that has no rows left is dropped.
+    Other partitions are not read or written.  A touched partition without rows is dropped.
     """
+    set_property(spark, table, PENDING, f"{PARTITIONS} {staged}")
+    _overwrite_partitions(spark, table, staged)
+
+
+def _overwrite_partitions(spark: SparkSession, table: Table, staged: str) -> None:
     facts = table_facts(spark, table)
     columns = facts.partition_columns
+    result = spark.read.parquet(f"{staged}/result")
+    touched = spark.read.parquet(f"{staged}/touched")
     with session_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        rows = rebalance(as_stored(staged, facts), columns)
+        rows = rebalance(as_stored(result, facts), columns)
         rows.write.insertInto(table.name, overwrite=True)
-    left = staged.select(*[F.col(quote(c)) for c in columns]).distinct()
+    left = result.select(*[F.col(quote(c)) for c in columns]).distinct()
     same = [touched[c].eqNullSafe(left[c]) for c in columns]
     for row in touched.join(left, same, "left_anti").toLocalIterator():
         spec = ", ".join(f"{quote(c)} = {_value(row[c])}" for c in columns)
-        spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS PARTITION ({spec})")
+        _drop_partition(spark, table, facts, spec)
+    set_property(spark, table, PENDING, None)
+    store.delete(spark, staged)
+
+
+def _drop_partition(spark: SparkSession, table: Table, facts: TableFacts, spec: str) -> None:
+    """Drop a partition with its files, which a table at a location of its own would keep."""
+    folders = spark.sql(f"SHOW PARTITIONS {table.name} PARTITION ({spec})").collect()
+    spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS PARTITION ({spec})")
+    for row in folders:
+        store.delete(spark, f"{facts.location}/{row[0]}")
 
 
 def _value(value: object) -> str:
@@ -117,53 +160,96 @@ def append_once(spark: SparkSession, table: Table, df: DataFrame, key: str) -> b
     the staging again, so the rows are neither lost nor doubled.  Returns whether rows were added.
     """
     facts = table_facts(spark, table)
-    if is_committed(spark, facts, key):
-        store.delete(spark, f"{facts.location}/{STAGING}/{key}")
-        return False
+    root = ledger_root(spark, table, facts)
     staged = f"{facts.location}/{STAGING}/{key}"
+    if store.exists(spark, f"{root}/{COMMITS}/{key}"):
+        store.delete(spark, staged)
+        return False
     if not store.exists(spark, f"{staged}/{STAGED}"):
         save(as_stored(df, facts), facts, staged)
         store.touch(spark, f"{staged}/{STAGED}")
-    _publish(spark, table, facts, key)
+    _publish(spark, table, facts, root, key)
     return True
 
 
-def is_committed(spark: SparkSession, facts: TableFacts, key: str) -> bool:
-    return store.exists(spark, f"{facts.location}/{COMMITS}/{key}")
+def ledger_root(spark: SparkSession, table: Table, facts: TableFacts) -> str:
+    """The directory that remembers what is in the table; a table property names it.
+
+    It is outside the data, which merges replace.  It lives as long as the table.
+    """
+    root = facts.properties.get(LEDGER_AT)
+    if root is None:
+        folder, name = facts.location.rstrip("/").rsplit("/", 1)
+        root = f"{folder}/_lakeferry/{name.split('__v_')[0]}-{token()}"
+        set_property(spark, table, LEDGER_AT, root)
+    return root
 
 
-def committed_keys(spark: SparkSession, facts: TableFacts) -> list[str]:
-    return store.children(spark, f"{facts.location}/{COMMITS}")
+def committed_batches(spark: SparkSession, facts: TableFacts) -> list[str]:
+    """The ledger directories of the batches that are in the table."""
+    root = facts.properties.get(LEDGER_AT)
+    if root is None:
+        return []
+    listed = set(store.children(spark, f"{root}/{LEDGER}"))
+    done = store.children(spark, f"{root}/{COMMITS}")
+    return [f"{root}/{LEDGER}/{key}" for key in done if key in listed]
 
 
 def recover(spark: SparkSession, table: Table) -> None:
-    """Finish appends that were staged completely; discard those that were not."""
+    """Finish what a crashed writer had staged completely; discard what it had not.
+
+    Every writer of this package calls it first, so no write comes between.
+    """
     facts = table_facts(spark, table)
+    if pending := facts.properties.get(PENDING):
+        kind, path = pending.split(" ", 1)
+        (_overwrite_content if kind == CONTENT else _overwrite_partitions)(spark, table, path)
+    root = facts.properties.get(LEDGER_AT)
+    if root is None:
+        return
     for key in store.children(spark, f"{facts.location}/{STAGING}"):
         staged = f"{facts.location}/{STAGING}/{key}"
-        if not is_committed(spark, facts, key) and store.exists(spark, f"{staged}/{STAGED}"):
-            _publish(spark, table, facts, key)
+        done = store.exists(spark, f"{root}/{COMMITS}/{key}")
+        if not done and store.exists(spark, f"{staged}/{STAGED}"):
+            _publish(spark, table, facts, root, key)
         else:
             store.delete(spark, staged)
 
 
-def _publish(spark: SparkSession, table: Table, facts: TableFacts, key: str) -> None:
+def _publish(spark: SparkSession, table: Table, facts: TableFacts, root: str, key: str) -> None:
     staged = f"{facts.location}/{STAGING}/{key}"
     # file names carry the id of the job that wrote them, so a move never meets another file
-    visible = (
+    names = [
         name
         for name in store.files(spark, staged)
         if not name.rsplit("/", 1)[-1].startswith(("_", "."))
-    )
+    ]
+    if facts.partition_columns:
+        # a crash may come after some moves, so partitions are added before the first
+        _add_partitions(spark, table, {name.rsplit("/", 1)[0] for name in names})
     with ThreadPoolExecutor(MOVERS) as pool:
         moves = [
             pool.submit(store.move, spark, f"{staged}/{name}", f"{facts.location}/{name}")
-            for name in list(visible)
+            for name in names
         ]
         for done in moves:
             done.result()
-    if facts.partition_columns:
-        spark.sql(f"ALTER TABLE {table.name} RECOVER PARTITIONS")
     spark.catalog.refreshTable(table.name)
-    store.touch(spark, f"{facts.location}/{COMMITS}/{key}")
+    store.touch(spark, f"{root}/{COMMITS}/{key}")
     store.delete(spark, staged)
+
+
+def _add_partitions(spark: SparkSession, table: Table, folders: set[str]) -> None:
+    """Catalog entries for partition folders ``a=1/b=x``, named as Spark names them."""
+    specs = []
+    for folder in sorted(folders):
+        pairs = (part.split("=", 1) for part in folder.split("/"))
+        values = (
+            f"{quote(unquote(name))} = "
+            + _value(None if value == NULL_PARTITION else unquote(value))
+            for name, value in pairs
+        )
+        specs.append(f"PARTITION ({', '.join(values)})")
+    for start in range(0, len(specs), PARTITIONS_PER_STATEMENT):
+        some = " ".join(specs[start : start + PARTITIONS_PER_STATEMENT])
+        spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {some}")

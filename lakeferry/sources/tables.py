@@ -28,8 +28,11 @@ FORMATS = (
     "LIBSVM",
 )
 ROW_LEVEL_PROVIDERS = ("delta", "iceberg", "hudi")
-# Table property: the directory that held the content before the last replacement.
+# Table properties: the directory that held the content before the last replacement, the
+# directory of the load ledger, and an overwrite that has begun.
 PREVIOUS = "lakeferry.previous"
+LEDGER_AT = "lakeferry.ledger"
+PENDING = "lakeferry.pending"
 
 _TO_UNDERSCORE = {ord(c): "_" for c in set(string.punctuation) - set("-._`")}
 _CLEAN = {**_TO_UNDERSCORE, ord("`"): None}
@@ -91,14 +94,15 @@ def table_exists(spark: SparkSession, table: str | Table) -> bool:
 
 
 def drop_table(spark: SparkSession, table: str | Table, if_exists: bool = False) -> None:
-    """Drop a table, and the directory that its last replacement left for running readers."""
+    """Drop a table, its load ledger, and what its last replacement left for running readers."""
     ref = as_table(table)
     if if_exists and not table_exists(spark, ref):
         return
-    older = table_facts(spark, ref).properties.get(PREVIOUS)
+    properties = table_facts(spark, ref).properties
     spark.sql(f"DROP TABLE {ref.name}")
-    if older:
-        store.delete(spark, older)
+    for key in (PREVIOUS, LEDGER_AT):
+        if key in properties:
+            store.delete(spark, properties[key])
 
 
 @dataclass(frozen=True)

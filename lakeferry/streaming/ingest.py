@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeferry.functions.types import SchemaLike, align, build_schema
 from lakeferry.operators.write import create_table, evolve_table
-from lakeferry.plans.commit import append_once
+from lakeferry.plans.commit import append_once, recover
 from lakeferry.sources.files import known_format
 from lakeferry.sources.tables import Table, as_table, table_exists, table_facts
 
@@ -47,6 +47,7 @@ def stream_ingest(stream: DataFrame, table: str | Table, checkpoint: str) -> Str
         spark = batch.sparkSession
         if not table_exists(spark, ref):
             create_table(spark, Table(ref.identifier, ref.format, batch.schema, ref.location))
+        recover(spark, ref)
         evolve_table(spark, ref, batch.schema)
         rows = align(batch, table_facts(spark, ref).schema)
         append_once(spark, ref, rows, f"{query_id(spark)}-{batch_id}")

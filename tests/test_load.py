@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from lakeferry.functions.types import schema_ddl
 from lakeferry.operators import load as loading
 from lakeferry.operators.load import bulk_write_files, copy_into, ledger, read_files_as_table
-from lakeferry.operators.write import create_table
+from lakeferry.operators.merge import merge_table
+from lakeferry.operators.write import create_table, replace_table, write_table
 from lakeferry.plans import commit
 from lakeferry.sources.files import read_files, read_jdbc
 from lakeferry.sources.tables import Table, read_table, table_facts
@@ -190,6 +191,31 @@ def test_copy_into_a_partitioned_table(spark, ws):
     assert read_table(spark, table.identifier).where("p = 1").count() == 3
 
 
+def test_the_ledger_outlives_merges(spark, ws):
+    put(spark, ws.dir("in"), 0, 10)
+    table = ws.table("t")
+    copy_into(spark, table, ws.dir("in"), "PARQUET")
+    merge_table(spark, table, spark.range(5, 15), "id")
+    assert copy_into(spark, table, ws.dir("in"), "PARQUET") == 0
+    assert ids(spark, table) == list(range(15))
+    write_table(spark, table, spark.range(1), append=False)
+    assert copy_into(spark, table, ws.dir("in"), "PARQUET") == 0
+    replace_table(spark, table, spark.range(1))
+    assert copy_into(spark, table, ws.dir("in"), "PARQUET") == 3
+
+
+def test_partition_values_of_every_kind(spark, ws):
+    df = spark.createDataFrame(
+        [(1, "a b/c%=:'x"), (2, None), (3, "ü")], "id bigint, p string"
+    ).repartition(3)
+    df.write.parquet(ws.dir("in"))
+    table = Table(ws.table("t"), schema="id BIGINT, p STRING", partitioned_by=["p"])
+    create_table(spark, table)
+    copy_into(spark, table, ws.dir("in"), "PARQUET")
+    assert rows(read_table(spark, table.identifier)) == rows(df)
+    assert rows(spark.table(table.name).where("p = 'ü'")) == [(3, "ü")]
+
+
 class Crash(Exception):
     pass
 
@@ -211,7 +237,7 @@ def test_copy_survives_a_crash_at_any_point(spark, ws, monkeypatch, point):
     def touch(spark, path):
         if point == "staged" and path.endswith("/_staged"):
             raise Crash
-        if point == "mark" and "/_commits/" in path:
+        if point == "mark" and "/commits/" in path:
             raise Crash
         real_touch(spark, path)
 
@@ -247,8 +273,9 @@ def test_bulk_files(spark, ws):
     spark.range(0, 6).selectExpr("id", "concat('n', id) AS name").repartition(3).write.csv(ws.dir("in"))
     table = Table(ws.table("t"), schema="id INT, name STRING")
     bulk_write_files(spark, table, ws.dir("in"), "CSV")
-    bulk_write_files(spark, table, ws.dir("in"), "CSV")
     assert ids(spark, table.identifier) == list(range(6))
+    bulk_write_files(spark, table, ws.dir("in"), "CSV")
+    assert ids(spark, table.identifier) == sorted([*range(6)] * 2)
     single = next(Path(ws.dir("in")).glob("*.csv"))
     bulk_write_files(spark, table, str(single), "CSV", append=False)
     assert read_table(spark, table.identifier).count() == len(single.read_text().splitlines())

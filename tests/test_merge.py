@@ -18,6 +18,7 @@ from lakeferry.operators.merge import (
     scoped_result,
 )
 from lakeferry.operators.write import write_table
+from lakeferry.plans import commit
 from lakeferry.plans.workspace import session_settings
 from lakeferry.sources.tables import Table, read_table, table_facts
 
@@ -250,3 +251,33 @@ def test_a_null_partition(spark, ws):
     merge_table(spark, table, spark.createDataFrame([(2, "y", 0), (4, "y", 0)], schema), "k")
     assert read_table(spark, table.identifier).where("p IS NULL").count() == 0
     assert spark.sql(f"SHOW PARTITIONS {table.name}").count() == 2
+
+
+@pytest.mark.parametrize("partitioned", [(), ("p",)])
+@pytest.mark.parametrize("external", [False, True])
+def test_a_crash_in_the_overwrite_is_finished_by_the_next_writer(
+    spark, ws, monkeypatch, partitioned, external
+):
+    schema = "k int, p string"
+    table = Table(
+        ws.table("t"),
+        schema=schema,
+        partitioned_by=partitioned,
+        location=ws.dir("t") if external else None,
+    )
+    if not partitioned and not external:
+        pytest.skip("one catalog change, no overwrite")
+    write_table(spark, table, spark.createDataFrame([(1, "x"), (2, "y"), (3, "y")], schema))
+
+    def crash(*args):
+        raise RuntimeError("crash")
+
+    name = "_overwrite_partitions" if partitioned else "_overwrite_content"
+    with monkeypatch.context() as patch:
+        patch.setattr(commit, name, crash)
+        with pytest.raises(RuntimeError, match="crash"):
+            merge_table(spark, table, spark.createDataFrame([(1, "z"), (4, "y")], schema), "k")
+    write_table(spark, table, spark.createDataFrame([(5, "x")], schema))
+    got = read_table(spark, table.identifier).select("k", "p")
+    assert rows(got) == [(1, "z"), (2, "y"), (3, "y"), (4, "y"), (5, "x")]
+    assert "lakeferry.pending" not in table_facts(spark, table).properties
