@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakeferry.functions.types import align, missing_from, quote
 from lakeferry.plans import store
 from lakeferry.plans.commit import recover, replace_content, replace_partitions, token
-from lakeferry.plans.workspace import broadcast_limit, shared_root, stage
+from lakeferry.plans.workspace import may_broadcast, shared_root, stage
 from lakeferry.sources.tables import (
     PENDING,
     ROW_LEVEL_PROVIDERS,
@@ -47,6 +47,10 @@ class Merge:
     def _with_keys(self, df: DataFrame) -> DataFrame:
         return df.where(_all_present(self.keys))
 
+    def _side(self, df: DataFrame) -> DataFrame:
+        """A join side from the source: beyond the measured bound it is not broadcast."""
+        return df if self.source_is_small else df.hint("merge")
+
     def matched(self, columns: list[str] | tuple[str, ...] = ()) -> DataFrame:
         """``(*columns, *keys, n)``: the target rows whose key the source has, counted.
 
@@ -55,7 +59,7 @@ class Merge:
         """
         names = list(dict.fromkeys([*columns, *self.keys]))
         rows = self._with_keys(_columns(self.target, names))
-        wanted = self._with_keys(_columns(self.source, self.keys)).distinct()
+        wanted = self._side(self._with_keys(_columns(self.source, self.keys)).distinct())
         if self.source_is_small:
             return _counted(rows.join(wanted, self.keys, "left_semi"), names)
         return _counted(rows, names).join(wanted, self.keys, "left_semi")
@@ -93,7 +97,7 @@ class Merge:
             F.lit(True).alias(_HIT),
         )
         same = [F.col(quote(k)) == F.col(quote(_SOURCE + k)) for k in self.keys]
-        joined = target.join(source, same, "left")
+        joined = target.join(self._side(source), same, "left")
         take = F.col(_HIT).isNotNull()
         if self.newer_by:
             take = take & _newer(self.newer_by)
@@ -153,7 +157,7 @@ def plan_merge(
         *[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in target.schema.fields]
     )
     staged, size = stage(spark, rows, scratch or f"{_scratch(spark)}/source")
-    return Merge(target, staged, keys, size <= broadcast_limit(spark), tuple(newer_by))
+    return Merge(target, staged, keys, may_broadcast(staged, size), tuple(newer_by))
 
 
 def merge_table(

@@ -6,11 +6,17 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeferry.plans import store
 
+# A broadcast side may take this many times the session's limit in memory.
+MEMORY_PER_LIMIT = 10
+
 _local_roots: dict[str, str] = {}
 _opened: list[Workspace] = []
 
@@ -115,3 +121,23 @@ def broadcast_limit(spark: SparkSession) -> int:
     if text.startswith("-"):
         return -1
     return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
+def memory_bytes(df: DataFrame) -> int:
+    """What the rows of ``df`` take as Spark rows, measured: files may be far more compact."""
+    measured = [F.count("*") * F.lit(16 + 8 * len(df.columns))]
+    for field in df.schema.fields:
+        column = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            measured.append(F.coalesce(F.sum(F.octet_length(column)), F.lit(0)))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            text = F.octet_length(F.to_json(F.struct(column)))
+            measured.append(F.coalesce(F.sum(text), F.lit(0)))
+    total = reduce(lambda a, b: a + b, measured)
+    return df.agg(total.cast("bigint").alias("n")).first()["n"]
+
+
+def may_broadcast(df: DataFrame, file_bytes: int) -> bool:
+    """Is staged data within the session's limit as files, and of a bounded size in memory?"""
+    limit = broadcast_limit(df.sparkSession)
+    return file_bytes <= limit and memory_bytes(df) <= MEMORY_PER_LIMIT * limit

@@ -281,3 +281,39 @@ def test_a_crash_in_the_overwrite_is_finished_by_the_next_writer(
     got = read_table(spark, table.identifier).select("k", "p")
     assert rows(got) == [(1, "z"), (2, "y"), (3, "y"), (4, "y"), (5, "x")]
     assert "lakeferry.pending" not in table_facts(spark, table).properties
+
+
+def test_a_compact_file_may_be_large_in_memory(spark, ws):
+    """Half a million equal rows are a tiny file, but not a tiny broadcast."""
+    table = ws.table("t")
+    write_table(spark, table, spark.range(10).selectExpr("id AS k", "'a' AS v"))
+    source = spark.range(500_000).selectExpr("id % 10 AS k", "repeat('x', 200) AS v")
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "8000000b"}):
+        merge = plan_merge(spark, table, source, "k")
+        assert not merge.source_is_small
+        assert "BroadcastHashJoin" not in plan_of(merge.updated())
+
+
+def test_a_frequent_target_key_is_split(spark, ws):
+    """A third of the target has one key; adaptive execution splits it on the target side."""
+    table = ws.table("t")
+    rows_in = spark.range(0, 300_000, 1, 8).selectExpr(
+        "IF(id % 3 = 0, 0, id) AS k", "sha2(CAST(id AS STRING), 256) AS v"
+    )
+    write_table(spark, table, rows_in)
+    source = spark.range(0, 200_000).selectExpr("id AS k", "'new' AS v")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    with session_settings(spark, settings):
+        merge = plan_merge(spark, table, source, "k")
+        result = merge.updated().groupBy((F.col("v") == "new").alias("new")).count()
+        found = {r["new"]: r["count"] for r in result.collect()}
+        assert "skew=true" in plan_of(result)
+    # keys up to 199,999 exist in the source, the frequent key 0 among them
+    above = sum(1 for i in range(200_000, 300_000) if i % 3)
+    assert found == {True: 300_000 - above, False: above}
