@@ -235,7 +235,11 @@ def changed_partitions(merge: Merge, columns: list[str]) -> DataFrame:
     changed = _columns(merge.source, columns)
     if not covers(merge.keys, columns):
         changed = changed.union(_columns(merge.matched(columns), columns))
-    return changed.distinct().coalesce(1).withColumn(_TOUCHED, F.lit(1))
+    return _marked(changed.distinct())
+
+
+def _marked(partitions: DataFrame) -> DataFrame:
+    return partitions.coalesce(1).withColumn(_TOUCHED, F.lit(1))
 
 
 def only_partitions(target: DataFrame, touched: DataFrame, columns: list[str]) -> DataFrame:
@@ -278,6 +282,36 @@ def replace_keys(
         _clean(spark, ref, scratch)
 
 
+def delete_where(spark: SparkSession, table: str | Table, condition: Column) -> None:
+    """Delete the rows for which ``condition`` is true, rewriting only partitions that have any."""
+    ref = as_table(table)
+    recover(spark, ref)
+    facts = table_facts(spark, ref)
+    target = spark.table(ref.name)
+    gone = F.coalesce(condition, F.lit(False))
+    if not facts.partition_columns:
+        replace_content(spark, ref, target.where(~gone))
+        return
+    scratch = _scratch(spark)
+    try:
+        columns = list(facts.partition_columns)
+        hit = _columns(target.where(gone), columns).distinct()
+        touched, _ = stage(spark, _marked(hit), f"{scratch}/touched")
+        stage(spark, only_partitions(target, touched, columns).where(~gone), f"{scratch}/result")
+        replace_partitions(spark, ref, scratch)
+    finally:
+        _clean(spark, ref, scratch)
+
+
+def with_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """A ``bucket`` column from a hash of the keys, for a table partitioned by it.
+
+    Merged by the keys and ``bucket``, such a table is searched and rewritten bucket by bucket.
+    """
+    number = F.pmod(F.xxhash64(*[F.col(quote(k)) for k in keys]), F.lit(buckets))
+    return df.withColumn("bucket", number.cast("int"))
+
+
 def _clean(spark: SparkSession, ref: Table, scratch: str) -> None:
     """Delete the staged rows, unless an unfinished overwrite still needs them."""
     if PENDING not in table_facts(spark, ref).properties:

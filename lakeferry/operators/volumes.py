@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.functions.types import quote
-from lakeferry.operators.merge import replace_keys
+from lakeferry.operators.merge import delete_where, replace_keys, with_bucket
 from lakeferry.operators.write import write_table
 from lakeferry.plans import store
-from lakeferry.plans.commit import recover, replace_content, token
+from lakeferry.plans.commit import token
 from lakeferry.plans.workspace import shared_root, stage
 from lakeferry.sources.tables import Table, as_table, table_exists
 from lakeferry.sources.trees import (
@@ -76,14 +76,14 @@ def create_files_table(spark: SparkSession, table: str | Table) -> Table:
     """A files table in hash buckets, so a changed file rewrites one bucket only."""
     ref = as_table(table)
     if not table_exists(spark, ref):
-        empty = with_bucket(spark.createDataFrame([], FILES_SCHEMA))
+        empty = in_buckets(spark.createDataFrame([], FILES_SCHEMA))
         bucketed = Table(ref.identifier, ref.format, empty.schema, ref.location, ("bucket",))
         write_table(spark, bucketed, empty)
     return ref
 
 
-def with_bucket(files: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    return files.withColumn("bucket", F.pmod(F.xxhash64("path"), F.lit(buckets)).cast("int"))
+def in_buckets(files: DataFrame) -> DataFrame:
+    return with_bucket(files, ["path"], BUCKETS)
 
 
 def ingest_tree(
@@ -106,7 +106,7 @@ def ingest_tree(
     files = read_tree(spark, root, prefix=prefix, part_bytes=part_bytes)
     manifest = list_files(spark.table(ref.name))
     if manifest.isEmpty():
-        write_table(spark, ref, with_bucket(files))
+        write_table(spark, ref, in_buckets(files))
         return {"new": manifest.count(), "changed": 0, "same": 0}
     scratch = f"{shared_root(spark)}/lakeferry/ingest-{token()}"
     try:
@@ -120,10 +120,10 @@ def ingest_tree(
         counts = {r["action"]: r["n"] for r in plan.groupBy("action").agg(_n()).collect()}
         if counts.get("changed"):
             again = read_listed(plan.where("action = 'changed'"), part_bytes=part_bytes)
-            replace_keys(spark, ref, with_bucket(again), ["path"])
+            replace_keys(spark, ref, in_buckets(again), ["path", "bucket"])
         if counts.get("new"):
             first = read_listed(plan.where("action = 'new'"), part_bytes=part_bytes)
-            write_table(spark, ref, with_bucket(first))
+            write_table(spark, ref, in_buckets(first))
         return {"new": 0, "changed": 0, "same": 0, **counts}
     finally:
         store.delete(spark, scratch)
@@ -146,10 +146,7 @@ def _n() -> Column:
 
 def drop_files(spark: SparkSession, table: str | Table, prefix: str = "") -> None:
     """Delete a sub-tree from a files table."""
-    ref = as_table(table)
-    recover(spark, ref)
-    kept = spark.table(ref.name).where(~in_subtree(F.col(quote("path")), prefix))
-    replace_content(spark, ref, kept)
+    delete_where(spark, table, in_subtree(F.col(quote("path")), prefix))
 
 
 def export_files(

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+import dataclasses
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lakeferry.functions.types import align, missing_from, quote, reject_void, schema_ddl, sql_type
 from lakeferry.plans import store
-from lakeferry.plans.commit import rebalance, recover, token
-from lakeferry.sources.tables import Table, as_table, drop_table, table_exists, table_facts
+from lakeferry.plans.commit import FOLDERS, rebalance, recover, token
+from lakeferry.sources.tables import (
+    PENDING,
+    Table,
+    as_table,
+    drop_table,
+    table_exists,
+    table_facts,
+)
 
 
 def create_table(spark: SparkSession, table: str | Table, replace: bool = False) -> None:
@@ -105,6 +112,9 @@ def replace_table(spark: SparkSession, table: str | Table, df: DataFrame) -> Non
     if not table_exists(spark, ref):
         _save_as(ref, df)
         return
+    if ref.partitioned_by and not ref.location:
+        _replace_partitioned(spark, ref, df)
+        return
     fresh = ref.sibling(f"new_{token()}")
     if ref.location:
         # the location stays: write beside it, then fill it again from the finished copy
@@ -119,11 +129,25 @@ def replace_table(spark: SparkSession, table: str | Table, df: DataFrame) -> Non
     spark.sql(f"ALTER TABLE {fresh.name} RENAME TO {ref.name.split('.', 1)[1]}")
 
 
-def _save_as(ref: Table, df: DataFrame) -> None:
+def _replace_partitioned(spark: SparkSession, ref: Table, df: DataFrame) -> None:
+    """A renamed table would leave its partitions behind, so the finished folders are moved in."""
+    folder, name = table_facts(spark, ref).location.rstrip("/").rsplit("/", 1)
+    staged = f"{folder}/_lakeferry/{name.split('__v_')[0]}-new-{token()}"
+    _writer(ref, df).save(staged)
+    drop_table(spark, ref)
+    properties = {**ref.properties, PENDING: f"{FOLDERS} {staged}"}
+    spark.sql(create_statement(dataclasses.replace(ref, schema=df.schema, properties=properties)))
+    recover(spark, ref)
+
+
+def _writer(ref: Table, df: DataFrame):
     writer = rebalance(df, ref.partitioned_by).write.format(ref.format.lower())
     writer = writer.options(**ref.options)
-    if ref.partitioned_by:
-        writer = writer.partitionBy(*ref.partitioned_by)
+    return writer.partitionBy(*ref.partitioned_by) if ref.partitioned_by else writer
+
+
+def _save_as(ref: Table, df: DataFrame) -> None:
+    writer = _writer(ref, df)
     if ref.location:
         writer = writer.option("path", ref.location)
     writer.saveAsTable(ref.name)
@@ -131,7 +155,7 @@ def _save_as(ref: Table, df: DataFrame) -> None:
 
 def _ensure(spark: SparkSession, ref: Table, schema: T.StructType) -> None:
     if not table_exists(spark, ref):
-        create_table(spark, replace(ref, schema=ref.schema or schema))
+        create_table(spark, dataclasses.replace(ref, schema=ref.schema or schema))
 
 
 def _insert(spark: SparkSession, ref: Table, df: DataFrame, overwrite: bool) -> None:

@@ -29,7 +29,7 @@ from lakeferry.sources.tables import (
 # Names starting with "_" are invisible to Spark's file listing.
 STAGING, STAGED = "_staging", "_staged"
 COMMITS, LEDGER = "commits", "files"
-CONTENT, PARTITIONS = "content", "partitions"
+CONTENT, PARTITIONS, FOLDERS = "content", "partitions", "folders"
 # Fixed value: how a NULL partition value is written in a path.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 MOVERS = 16
@@ -203,7 +203,7 @@ def recover(spark: SparkSession, table: Table) -> None:
     facts = table_facts(spark, table)
     if pending := facts.properties.get(PENDING):
         kind, path = pending.split(" ", 1)
-        (_overwrite_content if kind == CONTENT else _overwrite_partitions)(spark, table, path)
+        _finish(spark, table, kind, path)
     root = facts.properties.get(LEDGER_AT)
     if root is None:
         return
@@ -216,6 +216,26 @@ def recover(spark: SparkSession, table: Table) -> None:
             store.delete(spark, staged)
 
 
+def _finish(spark: SparkSession, table: Table, kind: str, staged: str) -> None:
+    if kind == CONTENT:
+        _overwrite_content(spark, table, staged)
+    elif kind == PARTITIONS:
+        _overwrite_partitions(spark, table, staged)
+    else:
+        _move_folders(spark, table, staged)
+
+
+def _move_folders(spark: SparkSession, table: Table, staged: str) -> None:
+    """Partition folders of a new, empty table: moved as a whole, then found by the catalog."""
+    location = table_facts(spark, table).location
+    for name in store.children(spark, staged):
+        if not name.startswith(("_", ".")):
+            store.move(spark, f"{staged}/{name}", f"{location}/{name}")
+    spark.sql(f"ALTER TABLE {table.name} RECOVER PARTITIONS")
+    set_property(spark, table, PENDING, None)
+    store.delete(spark, staged)
+
+
 def _publish(spark: SparkSession, table: Table, facts: TableFacts, root: str, key: str) -> None:
     staged = f"{facts.location}/{STAGING}/{key}"
     # file names carry the id of the job that wrote them, so a move never meets another file

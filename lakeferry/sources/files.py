@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeferry.functions.typed import apply_schema
 from lakeferry.functions.types import SchemaLike, build_schema, quote
 from lakeferry.operators.infer import infer_schema
+from lakeferry.plans import store
 from lakeferry.plans.workspace import shared_root, stage
 from lakeferry.sources.tables import FORMATS
 from lakeferry.sources.trees import first_lines, list_tree
@@ -82,78 +84,85 @@ def _require_source(spark: SparkSession, fmt: str) -> None:
 def _read_hinted(
     spark: SparkSession, path, fmt: str, hints: T.StructType, options: dict[str, object]
 ) -> DataFrame:
+    if fmt == "CSV" and _is_on(options, "header"):
+        return _merge_csv(spark, path, options, hints)
     if fmt in SELF_DESCRIBING:
         found = _read_merged(spark, path, fmt, options)
-    elif fmt == "CSV":
-        found = _reader(spark, fmt, {"inferSchema": True, **options}).load(path)
-    else:
-        found = _reader(spark, fmt, options).load(path)
+        return apply_schema(found, _patched(found.schema, hints), json_as="string")
+    infer = {"inferSchema": True} if fmt == "CSV" else {}
+    found = _reader(spark, fmt, {**infer, **options}).load(path)
+    # text is parsed again under the hinted types: casting the inferred values would lose digits
+    return _reader(spark, fmt, options).schema(_patched(found.schema, hints)).load(path)
+
+
+def _patched(found: T.StructType, hints: T.StructType) -> T.StructType:
+    """The found schema with the hinted types."""
     by_name = {f.name.lower(): f for f in hints.fields}
-    absent = set(by_name) - {n.lower() for n in found.columns}
+    absent = set(by_name) - {n.lower() for n in found.names}
     if absent:
         raise ValueError(f"hinted columns {sorted(absent)} are not in the files")
-    patched = T.StructType(
-        [
-            T.StructField(f.name, by_name[f.name.lower()].dataType)
-            if f.name.lower() in by_name
-            else f
-            for f in found.schema.fields
-        ]
-    )
-    if fmt in SELF_DESCRIBING:
-        return found.select(
-            *[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in patched.fields]
-        )
-    # text is parsed again under the hinted types: casting the inferred values would lose digits
-    return _reader(spark, fmt, options).schema(patched).load(path)
+    kinds = {f.name: by_name.get(f.name.lower(), f).dataType for f in found.fields}
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+def _is_on(options: dict[str, object], name: str, default: str = "false") -> bool:
+    return str(options.get(name, default)).lower() == "true"
 
 
 def _read_merged(spark: SparkSession, path, fmt: str, options: dict[str, object]) -> DataFrame:
     if fmt in ("PARQUET", "ORC"):
         options = {"mergeSchema": True, **options}
-    header = str(options.get("header", "false")).lower() == "true"
-    if fmt == "CSV" and header:
+    if fmt == "CSV" and _is_on(options, "header"):
         return _merge_csv(spark, path, options)
     if fmt == "CSV":
         options = {"inferSchema": True, **options}
     return _reader(spark, fmt, options).load(path)
 
 
-def _merge_csv(spark: SparkSession, path, options: dict[str, object]) -> DataFrame:
+def _merge_csv(
+    spark: SparkSession, path, options: dict[str, object], hints: T.StructType | None = None
+) -> DataFrame:
     """CSV files with differing headers: one scan per distinct header, joined by column name.
 
-    Columns are typed over all files at once, so two files never disagree on a type.
+    Columns without a hint are typed over all files at once, so two files never disagree on a
+    type.  A value that its hinted type cannot hold is NULL, or an error in ``FAILFAST`` mode.
     """
-    infer = str(options.get("inferSchema", "true")).lower() == "true"
     plain = {k: v for k, v in options.items() if k != "inferSchema"}
     listed = list_tree(
         spark,
         path,
         pattern=options.get("pathGlobFilter"),
-        recursive=str(options.get("recursiveFileLookup", "false")).lower() == "true",
+        recursive=_is_on(options, "recursiveFileLookup"),
     )
-    headers, _ = stage(
-        spark,
-        first_lines(listed.where("size > 0")),
-        f"{shared_root(spark)}/lakeferry/headers-{uuid.uuid4().hex}",
-    )
-    kinds = headers.agg(F.count_distinct("header").alias("n"), F.min("uri").alias("uri")).first()
-    if kinds["n"] < 2:
-        merged = _text_csv(spark, path, kinds["uri"] or path, plain)
-    else:
-        merged = _union_csv(spark, headers, plain)
-    if not infer:
-        return merged
-    typed = infer_schema(merged, parse_text=True, float_type="double")
-    return merged.select(
-        *[
-            (
-                F.col(quote(f.name))
-                if isinstance(f.dataType, (T.NullType, T.StringType))
-                else F.col(quote(f.name)).cast(f.dataType)
-            ).alias(f.name)
-            for f in typed.fields
-        ]
+    scratch = f"{shared_root(spark)}/lakeferry/headers-{uuid.uuid4().hex}"
+    try:
+        headers, _ = stage(spark, first_lines(listed.where("size > 0")), scratch)
+        kinds = headers.agg(F.count_distinct("header").alias("n"), F.min("uri").alias("uri"))
+        found = kinds.first()
+        if found["n"] < 2:
+            merged = _text_csv(spark, path, found["uri"] or path, plain)
+        else:
+            merged = _union_csv(spark, headers, plain)
+    finally:
+        store.delete(spark, scratch)
+    formats = (str(options["timestampFormat"]),) if "timestampFormat" in options else ()
+    hints = hints or T.StructType([])
+    schema = _patched(merged.schema, hints)
+    if _is_on(options, "inferSchema", "true"):
+        hinted = {n.lower() for n in hints.names}
+        free = merged.select(*[F.col(quote(n)) for n in merged.columns if n.lower() not in hinted])
+        found = infer_schema(
+            free, parse_text=True, float_type="double", timestamp_formats=formats
+        )
+        known = [f for f in found.fields if not isinstance(f.dataType, T.NullType)]
+        schema = _patched(schema, T.StructType(known))
+    strict = str(options.get("mode", "")).upper() == "FAILFAST"
+    return apply_schema(
+        merged,
+        schema,
+        on_error="raise" if strict else "null",
+        json_as="string",
+        timestamp_formats=formats,
     )
 
 

@@ -55,6 +55,25 @@ def test_hints_change_how_text_is_parsed(spark, ws):
     row = hinted.first()
     assert str(row["price"]) == "0.1234567890123456789" and row["code"] == "007"
     assert hinted.schema["id"].dataType == T.IntegerType()
+    (Path(ws.dir("in")) / "b.csv").write_text("code,id\nx1,2\n")
+    both = read_files(
+        spark,
+        ws.dir("in"),
+        "CSV",
+        {"code": "STRING", "price": "INT"},
+        force_schema=False,
+        options={"header": True},
+    )
+    assert rows(both.select("id", "price", "code")) == [(1, None, "007"), (2, None, "x1")]
+    with pytest.raises(Exception, match="not a INT"):
+        read_files(
+            spark,
+            ws.dir("in"),
+            "CSV",
+            {"price": "INT"},
+            force_schema=False,
+            options={"header": True, "mode": "FAILFAST"},
+        ).collect()
     with pytest.raises(ValueError, match="zz"):
         read_files(spark, ws.dir("in"), "CSV", {"zz": "INT"}, force_schema=False)
 

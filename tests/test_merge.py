@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from lakeferry.operators.merge import (
     DuplicateKeysError,
+    delete_where,
     merge_statement,
     merge_table,
     only_partitions,
     plan_merge,
     replace_keys,
     scoped_result,
+    with_bucket,
 )
 from lakeferry.operators.write import write_table
 from lakeferry.plans import commit
@@ -317,3 +319,27 @@ def test_a_frequent_target_key_is_split(spark, ws):
     # keys up to 199,999 exist in the source, the frequent key 0 among them
     above = sum(1 for i in range(200_000, 300_000) if i % 3)
     assert found == {True: 300_000 - above, False: above}
+
+
+@pytest.mark.parametrize("partitioned", [(), ("p",)])
+def test_delete_where(spark, ws, partitioned):
+    schema = "k int, p string"
+    table = Table(ws.table("t"), schema=schema, partitioned_by=partitioned)
+    write_table(
+        spark, table, spark.createDataFrame([(1, "x"), (2, "x"), (3, "y"), (None, "z")], schema)
+    )
+    delete_where(spark, table, F.col("k").isin(1, 3))
+    got = read_table(spark, table.identifier).select("k", "p")
+    assert rows(got) == rows(spark.createDataFrame([(2, "x"), (None, "z")], schema))
+    delete_where(spark, table, F.col("k") > 100)
+    assert read_table(spark, table.identifier).count() == 2
+
+
+def test_buckets(spark, ws):
+    table = Table(ws.table("t"), schema="id BIGINT, v STRING, bucket INT", partitioned_by=["bucket"])
+    first = spark.range(100).selectExpr("id", "'a' AS v")
+    write_table(spark, table, with_bucket(first, ["id"], 8))
+    source = spark.range(90, 110).selectExpr("id", "'b' AS v")
+    merge_table(spark, table, with_bucket(source, ["id"], 8), ["id", "bucket"])
+    got = read_table(spark, table.identifier)
+    assert got.groupBy("v").count().orderBy("v").collect() == [("a", 90), ("b", 20)]

@@ -16,7 +16,7 @@ from lakeferry.operators.write import (
     replace_table,
     write_table,
 )
-from lakeferry.plans import store
+from lakeferry.plans import commit, store
 from lakeferry.sources.tables import (
     Table,
     drop_table,
@@ -199,3 +199,23 @@ def test_export_of_tables_and_queries(spark, ws, pairs):
     assert first != second
     assert rows(spark.read.parquet(first)) == [(1, 2), (3, 4), (3, 4)]
     assert rows(spark.read.parquet(second)) == [(3,), (3,)]
+
+
+def test_replacing_a_partitioned_table(spark, ws, monkeypatch):
+    table = Table(ws.table("t"), schema="a INT, p STRING", partitioned_by=["p"])
+    write_table(spark, table, spark.createDataFrame([(1, "x"), (2, "y")], "a int, p string"))
+    fresh = spark.table(table.name).select(F.lit("n").alias("v"), F.concat("p", "a").alias("q"))
+    other = Table(table.identifier, partitioned_by=["q"])
+
+    def crash(*args):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(commit, "_move_folders", crash)
+        with pytest.raises(RuntimeError, match="crash"):
+            replace_table(spark, other, fresh)
+    write_table(spark, other, spark.createDataFrame([("m", "z")], "v string, q string"))
+    assert rows(read_table(spark, table.identifier)) == [("m", "z"), ("n", "x1"), ("n", "y2")]
+    assert table_facts(spark, other).managed
+    replace_table(spark, table.identifier, spark.range(1))
+    assert rows(read_table(spark, table.identifier)) == [(0,)]

@@ -11,10 +11,10 @@ from lakeferry.operators.volumes import (
     create_files_table,
     drop_files,
     export_files,
+    in_buckets,
     ingest_tree,
     list_files,
     sync_plan,
-    with_bucket,
 )
 from lakeferry.operators.write import write_table
 from lakeferry.plans.workspace import Workspace
@@ -41,7 +41,7 @@ def _ingest(spark: SparkSession, sf: str) -> DataFrame:
 def _files_table(spark: SparkSession, sf: str) -> str:
     table = Workspace(spark).table("documents")
     create_files_table(spark, table)
-    write_table(spark, table, with_bucket(_documents(spark, sf)))
+    write_table(spark, table, in_buckets(_documents(spark, sf)))
     return table
 
 
@@ -99,11 +99,11 @@ def _export(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _export_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """Files in several parts: read in ranges of 1 KiB, written, and read again as a whole."""
+    """Files in several parts: read in ranges of 4 KiB, written, and read again as a whole."""
     ws = Workspace(spark)
     pages = text_files(load(spark, sf, "pages"), F.col("page_id"), "html", ".html")
     export_files(spark, pages, ws.dir("whole"))
-    export_files(spark, read_tree(spark, ws.dir("whole"), part_bytes=1024), ws.dir("again"))
+    export_files(spark, read_tree(spark, ws.dir("whole"), part_bytes=4096), ws.dir("again"))
     return list_files(read_tree(spark, ws.dir("again")))
 
 
