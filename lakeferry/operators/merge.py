@@ -81,7 +81,8 @@ class Merge:
         """Source rows that can match: a repeated key, once it is allowed, matches nothing."""
         rows = self._with_keys(self.source)
         if self.repeats:
-            rows = rows.join(repeated_keys(self.source, self.keys), self.keys, "left_anti")
+            repeated = self._side(repeated_keys(self.source, self.keys))
+            rows = rows.join(repeated, self.keys, "left_anti")
         return rows
 
     def updated(self, target: DataFrame | None = None) -> DataFrame:
@@ -230,7 +231,7 @@ def covers(keys: list[str], columns: list[str]) -> bool:
 def changed_partitions(merge: Merge, columns: list[str]) -> DataFrame:
     """Distinct partition values that the source has rows for, or that hold a matching row.
 
-    Never more rows than the table has, or gets, partitions, so they fit into one file.
+    Never more rows than the table has, or gets, partitions.
     """
     changed = _columns(merge.source, columns)
     if not covers(merge.keys, columns):
@@ -239,7 +240,7 @@ def changed_partitions(merge: Merge, columns: list[str]) -> DataFrame:
 
 
 def _marked(partitions: DataFrame) -> DataFrame:
-    return partitions.coalesce(1).withColumn(_TOUCHED, F.lit(1))
+    return partitions.withColumn(_TOUCHED, F.lit(1))
 
 
 def only_partitions(target: DataFrame, touched: DataFrame, columns: list[str]) -> DataFrame:
@@ -268,7 +269,7 @@ def replace_keys(
     scratch = _scratch(spark)
     try:
         merge = plan_merge(spark, ref, source, keys, scratch=f"{scratch}/source")
-        gone = merge._with_keys(_columns(merge.source, merge.keys)).distinct()
+        gone = merge._side(merge._with_keys(_columns(merge.source, merge.keys)).distinct())
         if not facts.partition_columns:
             kept = merge.target.join(gone, merge.keys, "left_anti")
             replace_content(spark, ref, kept.unionByName(merge.source))

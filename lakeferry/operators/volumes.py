@@ -8,6 +8,7 @@ from __future__ import annotations
 import posixpath
 import uuid
 from collections.abc import Iterator
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -16,11 +17,11 @@ from pyspark.sql import functions as F
 
 from lakeferry.functions.types import quote
 from lakeferry.operators.merge import delete_where, replace_keys, with_bucket
-from lakeferry.operators.write import write_table
+from lakeferry.operators.write import create_table, write_table
 from lakeferry.plans import store
 from lakeferry.plans.commit import token
 from lakeferry.plans.workspace import shared_root, stage
-from lakeferry.sources.tables import Table, as_table, table_exists
+from lakeferry.sources.tables import Table, as_table, table_exists, table_facts
 from lakeferry.sources.trees import (
     FILES_SCHEMA,
     PART_BYTES,
@@ -31,7 +32,8 @@ from lakeferry.sources.trees import (
     relative_path,
 )
 
-BUCKETS = 64
+# Table property: the number of hash buckets of a files table.
+BUCKETS = "lakeferry.buckets"
 
 
 class FileConflictError(ValueError):
@@ -72,18 +74,29 @@ def conflicts(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     return listing.select("path").join(manifest.select("path"), "path", "left_semi")
 
 
-def create_files_table(spark: SparkSession, table: str | Table) -> Table:
-    """A files table in hash buckets, so a changed file rewrites one bucket only."""
+def create_files_table(
+    spark: SparkSession, table: str | Table, buckets: int | None = None
+) -> Table:
+    """A files table in hash buckets of the path, so a changed file rewrites one bucket only.
+
+    There are as many buckets as the session has shuffle partitions, unless a number is given;
+    the table remembers it.
+    """
     ref = as_table(table)
     if not table_exists(spark, ref):
-        empty = in_buckets(spark.createDataFrame([], FILES_SCHEMA))
-        bucketed = Table(ref.identifier, ref.format, empty.schema, ref.location, ("bucket",))
-        write_table(spark, bucketed, empty)
+        number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        schema = with_bucket(spark.createDataFrame([], FILES_SCHEMA), ["path"], number).schema
+        properties = {**ref.properties, BUCKETS: str(number)}
+        create_table(
+            spark,
+            replace(ref, schema=schema, partitioned_by=["bucket"], properties=properties),
+        )
     return ref
 
 
-def in_buckets(files: DataFrame) -> DataFrame:
-    return with_bucket(files, ["path"], BUCKETS)
+def in_buckets(spark: SparkSession, table: str | Table, files: DataFrame) -> DataFrame:
+    """Rows of a files table with the bucket that ``table`` keeps them in."""
+    return with_bucket(files, ["path"], int(table_facts(spark, table).properties[BUCKETS]))
 
 
 def ingest_tree(
@@ -106,7 +119,7 @@ def ingest_tree(
     files = read_tree(spark, root, prefix=prefix, part_bytes=part_bytes)
     manifest = list_files(spark.table(ref.name))
     if manifest.isEmpty():
-        write_table(spark, ref, in_buckets(files))
+        write_table(spark, ref, in_buckets(spark, ref, files))
         return {"new": manifest.count(), "changed": 0, "same": 0}
     scratch = f"{shared_root(spark)}/lakeferry/ingest-{token()}"
     try:
@@ -120,10 +133,10 @@ def ingest_tree(
         counts = {r["action"]: r["n"] for r in plan.groupBy("action").agg(_n()).collect()}
         if counts.get("changed"):
             again = read_listed(plan.where("action = 'changed'"), part_bytes=part_bytes)
-            replace_keys(spark, ref, in_buckets(again), ["path", "bucket"])
+            replace_keys(spark, ref, in_buckets(spark, ref, again), ["path", "bucket"])
         if counts.get("new"):
             first = read_listed(plan.where("action = 'new'"), part_bytes=part_bytes)
-            write_table(spark, ref, in_buckets(first))
+            write_table(spark, ref, in_buckets(spark, ref, first))
         return {"new": 0, "changed": 0, "same": 0, **counts}
     finally:
         store.delete(spark, scratch)

@@ -41,7 +41,7 @@ def _ingest(spark: SparkSession, sf: str) -> DataFrame:
 def _files_table(spark: SparkSession, sf: str) -> str:
     table = Workspace(spark).table("documents")
     create_files_table(spark, table)
-    write_table(spark, table, in_buckets(_documents(spark, sf)))
+    write_table(spark, table, in_buckets(spark, table, _documents(spark, sf)))
     return table
 
 
