@@ -118,6 +118,9 @@ def replace_table(spark: SparkSession, table: str | Table, df: DataFrame) -> Non
     fresh = ref.sibling(f"new_{token()}")
     if ref.location:
         # the location stays: write beside it, then fill it again from the finished copy
+        mine = table_facts(spark, ref).location == store.qualified(spark, ref.location)
+        if not mine and store.children(spark, ref.location):
+            raise ValueError(f"{ref.location} holds data that is not {ref.identifier}'s")
         _save_as(fresh, df)
         drop_table(spark, ref)
         store.delete(spark, ref.location)

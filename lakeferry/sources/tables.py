@@ -6,6 +6,7 @@ import json
 import string
 from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,22 +121,53 @@ class TableFacts:
 
 def table_facts(spark: SparkSession, table: str | Table) -> TableFacts:
     ref = as_table(table)
-    row = spark.sql(f"DESCRIBE TABLE EXTENDED {ref.name} AS JSON").first()
+    try:
+        row = spark.sql(f"DESCRIBE TABLE EXTENDED {ref.name} AS JSON").first()
+    except UnsupportedOperationException:
+        return _facts_from_listing(spark, ref)
+    except AnalysisException as error:
+        # catalogs of their own describe their tables as rows only
+        if not (error.getCondition() or "").startswith("UNSUPPORTED_FEATURE"):
+            raise
+        return _facts_from_listing(spark, ref)
     facts = json.loads(row[0])
-    options = {
-        k: v for k, v in (facts.get("storage_properties") or {}).items() if k != "serialization.format"
-    }
+    options = facts.get("storage_properties") or {}
     return TableFacts(
         schema=spark.table(ref.name).schema,
         provider=(facts.get("provider") or "").lower(),
         location=facts.get("location"),
         managed=facts.get("type") == "MANAGED",
         partition_columns=tuple(facts.get("partition_columns") or ()),
-        options=options,
+        options={k: v for k, v in options.items() if k != "serialization.format"},
         properties=dict(facts.get("table_properties") or {}),
     )
 
 
+def _facts_from_listing(spark: SparkSession, ref: Table) -> TableFacts:
+    """The same facts from the rows of ``DESCRIBE TABLE EXTENDED``; options are not among them."""
+    listed: dict[str, str] = {}
+    partitions: list[str] = []
+    section = ""
+    for name, value, _ in spark.sql(f"DESCRIBE TABLE EXTENDED {ref.name}").collect():
+        if name.startswith("# ") and name != "# col_name":
+            section = name
+        elif name and section.startswith("# Partition") and name != "# col_name":
+            # a row per column, or numbered rows whose value is the column
+            partitions.append(value if name.startswith("Part ") else name)
+        elif name and section == "# Detailed Table Information":
+            listed[name] = value
+    properties = spark.sql(f"SHOW TBLPROPERTIES {ref.name}").collect()
+    return TableFacts(
+        schema=spark.table(ref.name).schema,
+        provider=listed.get("Provider", "").lower(),
+        location=listed.get("Location"),
+        managed=listed.get("Type") == "MANAGED",
+        partition_columns=tuple(partitions),
+        options={},
+        properties={r["key"]: r["value"] for r in properties},
+    )
+
+
 def read_table(
     spark: SparkSession,
     table: str | Table,

@@ -255,8 +255,9 @@ def test_a_null_partition(spark, ws):
     assert spark.sql(f"SHOW PARTITIONS {table.name}").count() == 2
 
 
-@pytest.mark.parametrize("partitioned", [(), ("p",)])
-@pytest.mark.parametrize("external", [False, True])
+@pytest.mark.parametrize(
+    ("partitioned", "external"), [((), True), (("p",), False), (("p",), True)]
+)
 def test_a_crash_in_the_overwrite_is_finished_by_the_next_writer(
     spark, ws, monkeypatch, partitioned, external
 ):
@@ -267,8 +268,6 @@ def test_a_crash_in_the_overwrite_is_finished_by_the_next_writer(
         partitioned_by=partitioned,
         location=ws.dir("t") if external else None,
     )
-    if not partitioned and not external:
-        pytest.skip("one catalog change, no overwrite")
     write_table(spark, table, spark.createDataFrame([(1, "x"), (2, "y"), (3, "y")], schema))
 
     def crash(*args):

@@ -19,6 +19,7 @@ from lakeferry.operators.write import (
 from lakeferry.plans import commit, store
 from lakeferry.sources.tables import (
     Table,
+    _facts_from_listing,
     drop_table,
     read_external,
     read_table,
@@ -219,3 +220,25 @@ def test_replacing_a_partitioned_table(spark, ws, monkeypatch):
     assert table_facts(spark, other).managed
     replace_table(spark, table.identifier, spark.range(1))
     assert rows(read_table(spark, table.identifier)) == [(0,)]
+
+
+def test_facts_from_either_description(spark, ws):
+    table = Table(
+        ws.table("t"), schema="a INT, p STRING", partitioned_by=["p"], properties={"k": "v"}
+    )
+    create_table(spark, table)
+    facts, listed = table_facts(spark, table), _facts_from_listing(spark, table)
+    assert listed.properties["k"] == facts.properties["k"] == "v"
+    for name in ("schema", "provider", "location", "managed", "partition_columns"):
+        assert getattr(listed, name) == getattr(facts, name), name
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        table_facts(spark, ws.table("absent"))
+
+
+def test_replacement_does_not_clear_a_foreign_location(spark, ws):
+    spark.range(3).write.parquet(ws.dir("other"))
+    write_table(spark, ws.table("t"), spark.range(1))
+    with pytest.raises(ValueError, match="holds data"):
+        replace_table(spark, Table(ws.table("t"), location=ws.dir("other")), spark.range(9))
+    assert spark.read.parquet(ws.dir("other")).count() == 3
+    assert read_table(spark, ws.table("t")).count() == 1
