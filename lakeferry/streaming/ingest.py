@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -46,7 +48,7 @@ def stream_ingest(stream: DataFrame, table: str | Table, checkpoint: str) -> Str
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if not table_exists(spark, ref):
-            create_table(spark, Table(ref.identifier, ref.format, batch.schema, ref.location))
+            create_table(spark, replace(ref, schema=ref.schema or batch.schema))
         recover(spark, ref)
         evolve_table(spark, ref, batch.schema)
         rows = align(batch, table_facts(spark, ref).schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -51,11 +53,7 @@ def stream_merge(
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if not table_exists(spark, ref):
-            schema = ref.schema or batch.schema
-            create_table(
-                spark,
-                Table(ref.identifier, ref.format, schema, ref.location, ref.partitioned_by),
-            )
+            create_table(spark, replace(ref, schema=ref.schema or batch.schema))
         rows = newest(_with_keys(batch, keys), keys, sequence)
         merge_table(spark, ref, rows, keys, newer_by=sequence)
 

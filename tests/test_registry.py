@@ -24,8 +24,8 @@ from lakeferry.operators.registry import (
     unset_tags_on_table,
 )
 from lakeferry.operators.write import write_table
-from lakeferry.sources.tables import read_table
-from lakeferry.streaming.ingest import read_file_stream
+from lakeferry.sources.tables import Table, read_table, table_facts
+from lakeferry.streaming.ingest import read_file_stream, stream_ingest
 from lakeferry.streaming.upsert import newest, stream_merge, stream_tags, tags_in_force
 
 
@@ -156,3 +156,16 @@ def test_a_hot_entity_is_combined_on_the_map_side(spark):
     )
     plan = replay(log, ["entity"], "value", ["at"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_streams_keep_the_tables_layout(spark, ws):
+    feed(spark, ws, [(1, 1, "a"), (2, 1, "b")])
+    for name, start in (
+        ("merged", lambda s, t: stream_merge(s, t, "k", "seq", ws.dir("ck1"))),
+        ("appended", lambda s, t: stream_ingest(s, t, ws.dir("ck2"))),
+    ):
+        table = Table(ws.table(name), format="ORC", schema=SCHEMA, partitioned_by=["v"])
+        start(read_file_stream(spark, ws.dir("in"), "PARQUET", SCHEMA), table).awaitTermination()
+        facts = table_facts(spark, table)
+        assert (facts.provider, facts.partition_columns) == ("orc", ("v",))
+        assert spark.table(table.name).count() == 2
