@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from lakeferry.plans.workspace import Workspace, close_all  # noqa: E402
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="session", autouse=True)
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")

@@ -54,7 +54,7 @@ def test_ddl():
 
 def test_decimal_bounds():
     assert sql_type(T.DecimalType()) == "DECIMAL(10,0)"
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="DECIMAL|precision|PARSE"):
         build_schema("a DECIMAL(39,0)")
 
 
