@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import mixing, quality_rules, secrets, sharding
+from lakeferry.llm import mixing, near_dup, packing, quality_rules, secrets, sharding, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its group of near duplicates."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its source's target and the words that the mix takes of it."""
     units = mixing.assign(table(spark, sf_dir, "documents"))
@@ -68,6 +73,11 @@ FROM parts
 """
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and its place there."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its slot of the table and the shard that holds it."""
     return sharding.placed(table(spark, sf_dir, "documents"))
@@ -101,6 +111,11 @@ SELECT doc_id, slot, shard FROM hashed JOIN slots USING (slot) JOIN shards USING
 """
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the rule that fits its URL, and the verdict."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules=url_filter.RULES)
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its secrets: counts and a digest of the base spans, and all spans."""
     found = secrets.secret_spans(table(spark, sf_dir, "documents"))
@@ -117,8 +132,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dup": op1_near_dup,
     "op3_mixing": op3_mixing,
+    "op4_packing": op4_packing,
     "op6_sharding": op6_sharding,
+    "op8_url_filter": op8_url_filter,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
 }
