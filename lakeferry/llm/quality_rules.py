@@ -84,27 +84,32 @@ def _per_doc(keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return mix(keys ^ seeds(int(doc[-1]) + 1)[doc]) if len(keys) else keys
 
 
-def repeated_lines(texts: Texts) -> np.ndarray:
-    """Lines with a word that equal an earlier line of the document."""
+def lines(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Where the lines with a word begin and end."""
     breaks = np.flatnonzero(texts.data == 10)
     begin = np.union1d(texts.bounds[:-1], breaks + 1)
     begin = begin[begin < len(texts.data)]
-    end = np.sort(np.concatenate([breaks, texts.bounds[1:]]))
-    end = end[np.searchsorted(end, begin, "left")] if len(begin) else begin
+    end = np.append(breaks, len(texts.data))[np.searchsorted(breaks, begin)]
+    end = np.minimum(end, texts.bounds[np.searchsorted(texts.bounds, begin, "right")])
     worded = np.searchsorted(texts.starts, end) > np.searchsorted(texts.starts, begin)
-    begin, end = begin[worded], end[worded]
+    return begin[worded], end[worded]
+
+
+def repeated_lines(texts: Texts) -> np.ndarray:
+    """Lines with a word that equal an earlier line of the document."""
+    begin, end = lines(texts)
     doc = np.searchsorted(texts.bounds, begin, "right") - 1
     _, first = np.unique(_per_doc(texts.hashes(begin, end), doc), return_index=True)
     return np.bincount(doc, minlength=texts.count) - np.bincount(doc[first], minlength=texts.count)
 
 
-def repeated_words(texts: Texts, hashes: np.ndarray) -> np.ndarray:
-    """Words inside windows that occur twice or more in the document."""
+def in_repeats(texts: Texts, hashes: np.ndarray) -> np.ndarray:
+    """Which words lie inside windows that occur twice or more in the document."""
     n = len(hashes)
     found = windows(hashes, WINDOW)
     at = np.flatnonzero(within(texts.word_bounds, WINDOW, n))
     if not len(at):
-        return np.zeros(texts.count, np.int64)
+        return np.zeros(n, bool)
     keys = _per_doc(found[at], texts.word_doc[at])
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
@@ -116,8 +121,7 @@ def repeated_words(texts: Texts, hashes: np.ndarray) -> np.ndarray:
     where = at[order[again]]
     np.add.at(cover, where, 1)
     np.add.at(cover, where + WINDOW, -1)
-    covered = np.cumsum(cover[:-1]) > 0
-    return np.bincount(texts.word_doc[covered], minlength=texts.count)
+    return np.cumsum(cover[:-1]) > 0
 
 
 def fertility(texts: Texts, hashes: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,7 +152,7 @@ def measure(texts: Texts, langs: list[str | None], path: str, bands: dict[str |
     lead = np.zeros(len(texts.data) + 1, np.int64)
     np.cumsum(LEADS[texts.data], out=lead[1:])
     chars = np.bincount(texts.word_doc, lead[texts.ends] - lead[texts.starts], texts.count).astype(np.int64)
-    repeats = repeated_words(texts, hashes)
+    repeats = np.bincount(texts.word_doc[in_repeats(texts, hashes)], minlength=texts.count)
     tokens, fallback, entropy = fertility(texts, hashes, path)
     some = np.maximum(tokens, 1)
     per_token, share = chars / some, fallback / some

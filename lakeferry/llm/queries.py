@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import mixing, near_dup, packing, quality_rules, secrets, sharding, url_filter
+from lakeferry.llm import mixing, near_dup, neighbors, packing, quality_model, quality_rules, secrets, sharding, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    return neighbors.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its slot of the table and the shard that holds it."""
     return sharding.placed(table(spark, sf_dir, "documents"))
@@ -111,6 +116,11 @@ SELECT doc_id, slot, shard FROM hashed JOIN slots USING (slot) JOIN shards USING
 """
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality by a chain over its lines."""
+    return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page with the rule that fits its URL, and the verdict."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules=url_filter.RULES)
@@ -135,7 +145,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": op1_near_dup,
     "op3_mixing": op3_mixing,
     "op4_packing": op4_packing,
+    "op5_neighbors": op5_neighbors,
     "op6_sharding": op6_sharding,
+    "op7_quality_model": op7_quality_model,
     "op8_url_filter": op8_url_filter,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
