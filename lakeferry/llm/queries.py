@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import mixing, near_dup, neighbors, packing, quality_model, quality_rules, secrets, sharding, url_filter
+from lakeferry.llm import mixing, near_dup, neighbors, packing, quality_model, quality_rules, secrets, sharding, suffix_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with what is left of it without 50-byte strings of earlier documents."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its source's target and the words that the mix takes of it."""
     units = mixing.assign(table(spark, sf_dir, "documents"))
@@ -143,6 +148,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": op1_near_dup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_mixing": op3_mixing,
     "op4_packing": op4_packing,
     "op5_neighbors": op5_neighbors,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeferry.plans import store
@@ -20,8 +22,8 @@ class Scratch:
         self.space = Workspace(spark)
         self._schemas = {}
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.space.dir(name))
+    def put(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        df.write.mode("overwrite").options(**options).parquet(self.space.dir(name))
         self._schemas[name] = df.schema
         return self.get(name)
 
@@ -31,3 +33,8 @@ class Scratch:
     def drop(self, *names: str) -> None:
         for name in names:
             store.delete(self.spark, self.space.dir(name))
+
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of plans that nothing refers to any more."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
