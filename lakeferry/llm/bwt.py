@@ -43,7 +43,7 @@ class Collection:
     def __init__(self, data: np.ndarray, bounds: np.ndarray, limit: int):
         self.n = len(bounds) - 1
         self.lengths = np.diff(bounds)
-        symbols = data + np.uint8(1)  # UTF-8 has no byte 255; 0 ends a string
+        symbols = np.append(data + np.uint8(1), np.uint8(0))  # UTF-8 has no byte 255; 0 ends a string
         ends = bounds[1:]
         longest = int(self.lengths.max(initial=0))
         strings = np.arange(self.n)

@@ -150,9 +150,11 @@ def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 def _slices(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(key, places) of equal keys."""
+    if not len(keys):
+        return
     order = np.argsort(keys, kind="stable")
     ordered = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(keys) else []
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     for a, b in zip(first, [*first[1:], len(keys)], strict=True):
         yield int(ordered[a]), order[a:b]
 

@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+from cases import given, odd, prose
+from hypothesis import given as examples
+from hypothesis import settings
+from hypothesis import strategies as st
+
+from lakeferry.llm import suffix_dedup as S
+from lakeferry.llm.bwt import Collection, shared_prefixes
+
+
+@settings(max_examples=150, deadline=None)
+@examples(st.lists(st.text(alphabet="abc", max_size=14).map(str.encode), min_size=1, max_size=8), st.integers(1, 5))
+def test_transform_and_prefixes(strings, length):
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in strings])]).astype(np.int64)
+    built = Collection(data, bounds, 200)
+    suffixes = sorted((s[i:], k, i) for k, s in enumerate(strings) for i in range(len(s) + 1))
+    assert built.transform.tolist() == [strings[k][i - 1] + 1 if i else 0 for _, k, i in suffixes]
+    common = [0]
+    for (a, *_), (b, *_) in zip(suffixes, suffixes[1:], strict=False):
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        common.append(n)
+    assert built.prefix.tolist() == common
+    groups: dict[int, set] = {}
+    for offsets, who, group in shared_prefixes(data, bounds, length):
+        for o, k, g in zip(offsets, who, group, strict=True):
+            groups.setdefault(int(g), set()).add(strings[k][o : o + length])
+    every = {s[i : i + length] for s in strings for i in range(len(s) - length + 1)}
+    assert sorted(map(sorted, groups.values())) == sorted([x] for x in every)
+
+
+def plain(rows: list[tuple]) -> list[tuple]:
+    first: dict[bytes, int] = {}
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    for i, t in texts:
+        if i is not None:
+            for p in range(len(t) - 49):
+                first[t[p : p + 50]] = min(i, first.get(t[p : p + 50], i))
+    out = []
+    for i, t in texts:
+        gone = bytearray(len(t))
+        end = 0
+        for p in range(len(t) - 49 if i is not None else 0):
+            if first[t[p : p + 50]] < i:
+                for q in range(max(p, end), p + 50):
+                    gone[q] = 1
+                end = p + 50
+        kept = bytes(b for b, g in zip(t, gone, strict=True) if not g)
+        spans = sum(1 for p in range(len(t)) if gone[p] and not (p and gone[p - 1]))
+        out.append((i, len(t), sum(gone), spans, hashlib.sha256(kept).hexdigest(), kept))
+    return sorted(out, key=repr)
+
+
+def check(docs, **how):
+    found = S.remove_repeats(docs, with_text=True, **how).collect()
+    got = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in found]
+    expected = plain([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert sorted(got, key=repr) == expected
+    return expected
+
+
+def test_given_documents(spark):
+    assert sum(r[2] for r in check(given(spark, "documents").repartition(3))) > 0
+
+
+@pytest.mark.parametrize("hot", [1, 4, 1000])
+def test_hot_passages(spark, hot):
+    passage = prose(1, 40)
+    rows = [(i, f"{prose(i + 10, 12)} {passage} {prose(i + 500, 12)}") for i in range(40)]
+    rows += [(100 + i, passage[i : i + 49 + i % 3]) for i in range(20)] + [(200 + i, "the " * 60) for i in range(5)]
+    rows += [(300, "x" * 49), (301, "x" * 50), (302, "x" * 51), (303, "ab" * 400), (304, "ba" * 30)]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), hot=hot)
+
+
+def test_odd_documents(spark):
+    check(odd(spark))
+    assert S.remove_repeats(odd(spark, empty=True)).count() == 0
