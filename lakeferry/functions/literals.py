@@ -7,6 +7,7 @@ pattern, and a nested literal is cut into the literals of its parts by the patte
 
 from __future__ import annotations
 
+import json
 import re
 from functools import reduce
 
@@ -187,9 +188,9 @@ def _nested(text: Column, dtype: T.DataType) -> Column:
             _values(_matches(body, pair, 1), dtype.keyType),
             _values(_matches(body, pair, 2), dtype.valueType),
         )
-    names = "|".join(re.escape(f.name) for f in dtype.fields)
+    names = "|".join(_name_pattern(f.name) for f in dtype.fields)
     either = "|".join(dict.fromkeys(literal_pattern(f.dataType) for f in dtype.fields))
-    pair = f'"(?:{names})",\\s*+({either}|{NULL_TEXT})'
+    pair = f'(?:{names}),\\s*+({either}|{NULL_TEXT})'
     return _let(
         _matches(body, pair, 1),
         lambda parts: F.struct(
@@ -253,6 +254,12 @@ def literal_pattern(dtype: T.DataType) -> str:
     raise TypeError(f"no literal form for {dtype.simpleString()}")
 
 
+def _name_pattern(name: str) -> str:
+    """A field name as `quote_text` writes it, or as it is."""
+    shown = json.dumps(name).replace("\x7f", "\\u007f")
+    return f"(?:{re.escape(shown)}|{re.escape(chr(34) + name + chr(34))})"
+
+
 def _struct_pattern(dtype: T.StructType) -> str:
-    parts = [rf'"{re.escape(f.name)}",\s*+{_or_null(f.dataType)}' for f in dtype.fields]
+    parts = [rf"{_name_pattern(f.name)},\s*+{_or_null(f.dataType)}" for f in dtype.fields]
     return r"named_struct\(" + r",\s*+".join(parts) + r"\)"

@@ -135,6 +135,55 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def holds(have: T.DataType, new: T.DataType) -> bool:
+    """Can a column of type ``have`` take values of type ``new`` without losing any?
+
+    Whole numbers go into DOUBLE, as they do when text with fractions is read at once.
+    """
+    if have == new or isinstance(new, T.NullType):
+        return True
+    if isinstance(have, T.StructType) and isinstance(new, T.StructType):
+        fields = {f.name.lower(): f.dataType for f in have.fields}
+        return all(f.name.lower() in fields and holds(fields[f.name.lower()], f.dataType) for f in new.fields)
+    if isinstance(have, T.ArrayType) and isinstance(new, T.ArrayType):
+        return holds(have.elementType, new.elementType)
+    if isinstance(have, T.MapType) and isinstance(new, T.MapType):
+        return holds(have.keyType, new.keyType) and holds(have.valueType, new.valueType)
+    if isinstance(have, (T.VariantType, *([T.StringType] if isinstance(new, T.AtomicType) else []))):
+        return True
+    if isinstance(new, _WHOLE):
+        if isinstance(have, _WHOLE):
+            return _DIGITS[type(have)] >= _DIGITS[type(new)]
+        if isinstance(have, T.DecimalType):
+            return have.precision - have.scale >= _DIGITS[type(new)]
+        return isinstance(have, T.DoubleType)
+    if isinstance(new, T.DecimalType):
+        if isinstance(have, T.DecimalType):
+            return have.scale >= new.scale and have.precision - have.scale >= new.precision - new.scale
+        return isinstance(have, T.DoubleType)
+    if isinstance(new, T.FloatType):
+        return isinstance(have, T.DoubleType)
+    if isinstance(new, T.DateType):
+        return isinstance(have, (T.TimestampType, T.TimestampNTZType))
+    return False
+
+
+def refuse_narrowing(have: T.StructType, new: T.StructType, name: str) -> None:
+    """An error if a column of ``new`` has values that the same column of ``have`` cannot hold."""
+    types = {f.name.lower(): f.dataType for f in have.fields}
+    wrong = [
+        f"{f.name}: {sql_type(f.dataType)} into {sql_type(types[f.name.lower()])}"
+        for f in new.fields
+        if f.name.lower() in types and not holds(types[f.name.lower()], f.dataType)
+    ]
+    if wrong:
+        raise ValueError(f"{name} cannot hold these columns: {wrong}")
+
+
 def reject_void(schema: T.StructType) -> None:
     """Files cannot store a column without a type; say so before a job starts."""
     untyped = [f.name for f in schema.fields if isinstance(f.dataType, T.NullType)]

@@ -30,8 +30,6 @@ _LONG_MIN, _LONG_MAX = -(2**63), 2**63 - 1
 WIDE_INTEGER = T.DecimalType(38, 0)
 # What a text value can spell.
 _KINDS = ("whole", "float", "double", "bool", "date", "stamp", "other")
-# Beyond this many distinct keys a JSON object with mixed value types stays a VARIANT.
-MAX_STRUCT_FIELDS = 10_000
 
 
 def infer_schema(
@@ -203,30 +201,33 @@ def _present(values: Column) -> Column:
     return F.filter(values, lambda x: x.isNotNull())
 
 
-def infer_json(df: DataFrame, column: str, *, float_type: str = "float") -> T.DataType:
+def infer_json(
+    df: DataFrame, column: str, *, float_type: str = "float", mixed: str = "struct"
+) -> T.DataType:
     """The type of the JSON documents in a text column, over all rows.
 
-    Objects whose values share one type are a MAP, other objects a STRUCT.  Types are merged per
-    key inside the aggregation, so only the key types, never the documents, reach the driver.
-    Rows that are no JSON are passed over; with none left the type is VOID.
+    Objects whose values share one type are a MAP, other objects a STRUCT, or a VARIANT if
+    ``mixed`` says so; the number of keys decides nothing.  Types are merged per key inside the
+    aggregation.  A STRUCT names every key, so its key types, never the documents, reach the
+    driver; ``json_types`` has them as rows.  Rows that are no JSON are passed over; with none
+    left the type is VOID.
     """
-    document = json_document(F.col(quote(column)))
-    types = _types_by_key(df.select(document.alias("v")).where("v IS NOT NULL"))
-    rows = types.take(MAX_STRUCT_FIELDS + 2)
-    by_key = {r["key"]: r["type"] for r in rows if r["type"] not in ("VOID", _EMPTY)}
-    objects = any(r["key"] is not None or r["type"] == _EMPTY for r in rows)
-    if len(rows) > MAX_STRUCT_FIELDS + 1:
-        # too many keys for a STRUCT: all of one type, or a VARIANT
+    if mixed not in ("struct", "variant"):
+        raise ValueError("mixed objects are a struct or a variant")
+    types = json_types(df, column)
+    if mixed == "variant":
         kinds = types.where(~F.col("type").isin("VOID", _EMPTY)).agg(
             F.count_distinct("type").alias("n"),
-            F.min("type").alias("type"),
             F.count_if(F.col("key").isNull()).alias("others"),
+            F.count("key").alias("keys"),
         )
         found = kinds.first()
-        if found["n"] != 1 or found["others"]:
+        if found["keys"] and (found["n"] > 1 or found["others"]):
             return T.VariantType()
-        shape = T.MapType(T.StringType(), _from_variant(found["type"]))
-    elif not by_key:
+    rows = types.collect()
+    by_key = {r["key"]: r["type"] for r in rows if r["type"] not in ("VOID", _EMPTY)}
+    objects = any(r["key"] is not None or r["type"] == _EMPTY for r in rows)
+    if not by_key:
         return T.MapType(T.StringType(), T.NullType()) if objects else T.NullType()
     elif None in by_key:
         # documents that are no objects have one merged type, or do not go with objects
@@ -242,6 +243,12 @@ def infer_json(df: DataFrame, column: str, *, float_type: str = "float") -> T.Da
     return _narrow_json(df, column, shape, float_type)
 
 
+def json_types(df: DataFrame, column: str) -> DataFrame:
+    """``(key, type)``: the merged type of each key of the JSON objects in a text column."""
+    document = json_document(F.col(quote(column)))
+    return _types_by_key(df.select(document.alias("v")).where("v IS NOT NULL"))
+
+
 def _types_by_key(documents: DataFrame) -> DataFrame:
     """``(key, type)``: the merged type per object key.
 

@@ -8,8 +8,9 @@ from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeferry.functions.types import SchemaLike, align, build_schema
+from lakeferry.functions.types import SchemaLike, align, build_schema, refuse_narrowing
 from lakeferry.operators.write import (
     bulk_write_table,
     create_table,
@@ -25,7 +26,9 @@ from lakeferry.plans.commit import (
     recover,
     token,
 )
+from lakeferry.plans.workspace import Workspace, stage
 from lakeferry.sources.files import known_format, read_files
+from lakeferry.sources.records import widen
 from lakeferry.sources.tables import Table, as_table, table_exists, table_facts
 from lakeferry.sources.trees import list_tree, read_tree
 
@@ -85,17 +88,24 @@ def copy_into(
 
     A ledger beside the table remembers every file by path, size and modification time, or by path
     and SHA-256 with ``by_content`` (which reads each file once more).  Files go in batches, each
-    committed on its own, so the driver never holds more than ``files_per_batch`` names.  Columns
-    that the table lacks are added.  Running again, also after a crash, loads nothing twice.
+    committed on its own; a batch's names pass through the driver.  Columns
+    that the table lacks are added.  Without a schema the files of one call are read with one type
+    per column, the one that holds all of them, however many batches they make.  A column that the
+    table cannot hold is refused before anything is loaded.  Running again, also after a crash, loads nothing twice.
     """
     ref = as_table(table)
     fmt = known_format(format)
+    given = schema is not None or ref.schema is not None
     wanted = f"*.{fmt.lower()}" if pattern is True else pattern
     schema = build_schema(schema) or ref.schema
     exists = table_exists(spark, ref)
     if exists:
         recover(spark, ref)
     fresh = new_files(spark, ref, path, wanted, recursive, by_content)
+    if not given:
+        fresh, schema = _settled(spark, fresh, fmt, options, files_per_batch)
+    if exists and schema is not None:
+        refuse_narrowing(spark.table(ref.name).schema, schema, ref.identifier)
     loaded = 0
     for batch in _chunks(fresh.toLocalIterator(), files_per_batch):
         uris = [row["uri"] for row in batch]
@@ -113,6 +123,24 @@ def copy_into(
     return loaded
 
 
+def _settled(
+    spark: SparkSession, fresh: DataFrame, fmt: str, options: dict | None, files_per_batch: int
+) -> tuple[DataFrame, T.StructType | None]:
+    """The new files, listed once, and one schema for all of them."""
+    fresh, _ = stage(spark, fresh, Workspace(spark).dir("new"))
+    schemas = [
+        read_files(spark, [row["uri"] for row in batch], fmt, options=options).schema
+        for batch in _chunks(fresh.toLocalIterator(), files_per_batch)
+    ]
+    if len(schemas) < 2:
+        return fresh, schemas[0] if schemas else None
+    columns: dict[str, T.DataType] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            columns[f.name] = widen(columns.get(f.name, T.NullType()), f.dataType)
+    return fresh, T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
 def new_files(
     spark: SparkSession,
     table: Table,

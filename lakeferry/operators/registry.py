@@ -15,8 +15,6 @@ from lakeferry.operators.write import write_table
 from lakeferry.sources.tables import Table, as_table, table_exists, table_facts
 
 CHANGES_SCHEMA = "entity string, name string, value string, at timestamp, seq bigint"
-# A map of more tags than this is spread over several rows.
-TAGS_PER_MAP = 10_000
 TAG_PROPERTY = "tag."
 
 
@@ -35,22 +33,16 @@ def replay(log: DataFrame, keys: list[str], value: str, order: list[str]) -> Dat
 
 
 def tag_maps(
-    tags: DataFrame, entity: str, name: str, value: str, *, limit: int = TAGS_PER_MAP
+    tags: DataFrame, entity: str, name: str, value: str, *, parts: int = 1
 ) -> DataFrame:
-    """``(entity, part, tags)``: the tags of an entity as a map.
+    """``(entity, part, tags)``: the tags of an entity as a map, one row for every entity.
 
-    ``tags`` has one row per (entity, name).  An entity with more than ``limit`` tags gets several
-    rows, split by a hash of the name, so no map grows without bound and no tag is lost.
+    ``tags`` has one row per (entity, name); a row without a name is no tag and is passed over.
+    A caller whose entities have more tags than a map should hold asks for ``parts``: then every
+    entity is split alike, by a hash of the name, into at most that many rows.
     """
-    counts = tags.groupBy(F.col(quote(entity))).agg(F.count("*").alias("n"))
-    # at most one row per ``limit`` tags, and only entities that need more than one part
-    heavy = counts.where(F.col("n") > limit).select(
-        F.col(quote(entity)), F.ceil(F.col("n") * 2 / F.lit(limit)).cast("bigint").alias("__parts")
-    )
-    split = tags.join(heavy, entity, "left").withColumn(
-        "part",
-        F.pmod(F.xxhash64(F.col(quote(name))), F.coalesce(F.col("__parts"), F.lit(1).cast("bigint"))),
-    )
+    named = tags.where(F.col(quote(name)).isNotNull())
+    split = named.withColumn("part", F.pmod(F.xxhash64(F.col(quote(name))), F.lit(parts).cast("bigint")))
     pairs = F.collect_list(F.struct(F.col(quote(name)), F.col(quote(value))))
     grouped = split.groupBy(F.col(quote(entity)), F.col("part"))
     return grouped.agg(F.map_from_entries(pairs).alias("tags"))
@@ -62,12 +54,14 @@ def tag_maps(
 def record_changes(spark: SparkSession, registry: str | Table, changes: DataFrame) -> None:
     """Append changes ``(entity, name, value)`` to a registry, in one job for any number.
 
+    A change without a name is an error.
+
     ``at`` is the current time; ``seq`` orders the changes of one call by ``changes.seq`` if given.
     """
     seq = F.col("seq") if "seq" in changes.columns else F.lit(0)
     rows = changes.select(
         F.col("entity").cast("string").alias("entity"),
-        F.col("name").cast("string").alias("name"),
+        F.coalesce(F.col("name").cast("string"), F.raise_error(F.lit("a change needs a name"))).alias("name"),
         F.col("value").cast("string").alias("value"),
         F.current_timestamp().alias("at"),
         seq.cast("bigint").alias("seq"),

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeferry.functions.types import quote
-from lakeferry.plans.commit import token
-from lakeferry.plans.workspace import broadcast_limit, session_settings, shared_root, stage
+from lakeferry.plans.workspace import Workspace, broadcast_limit, session_settings, stage
 
 # A longer list becomes a join side, which the optimizer broadcasts or shuffles by its size.
 INLINE_VALUES = 1_000
@@ -30,14 +30,14 @@ def run_sql(
 
     A list, tuple or set binds as an array, for ``array_contains(:names, column)``.  ``settings``
     are session settings for this query only: the query is executed under them, its result kept on
-    shared storage, and the old settings are back when this returns.
+    shared storage until ``close_all``, and the old settings are back when this returns.
     """
     bound = {name: _bind(value) for name, value in (params or {}).items()}
     if settings is None:
         return spark.sql(query, args=bound)
     with session_settings(spark, settings):
         df = spark.sql(query, args=bound)
-        kept, _ = stage(spark, df, f"{shared_root(spark)}/lakeferry/sql-{token()}")
+        kept, _ = stage(spark, df, Workspace(spark).dir("result"))
     return kept
 
 
@@ -57,16 +57,51 @@ def where_in(df: DataFrame, column: str, values: Iterable[object]) -> DataFrame:
     """Rows whose ``column`` is one of ``values``.
 
     A short list is a predicate that reaches the file scan.  A long one is a semi-join, broadcast
-    while its own size stays within the session's limit for that.
+    while its own size stays within the session's limit for that.  Both compare as SQL does, in
+    the type that the column and the values have in common, so the length decides the plan only.
     """
-    wanted = list(dict.fromkeys(values))
+    spark = df.sparkSession
+    wanted = [v for v in dict.fromkeys(values) if v is not None]
+    if not wanted:
+        return df.where(F.lit(False))
+    one_of_each = list({_kind(v): _literal(v) for v in wanted}.values())
     if len(wanted) <= INLINE_VALUES:
-        return df.where(F.col(quote(column)).isin(wanted))
-    dtype = df.schema[column].dataType
-    side = df.sparkSession.createDataFrame(
-        [(v,) for v in wanted], T.StructType([T.StructField(column, dtype)])
-    )
+        return df.where(F.col(quote(column)).isin(*[_literal(v) for v in wanted]))
+    common = spark.range(0).select(F.array(*one_of_each)).schema[0].dataType.elementType
+    sides = []
+    for kind in dict.fromkeys(map(_kind, wanted)):
+        some = [(Decimal(v) if kind == "large" else v,) for v in wanted if _kind(v) == kind]
+        typed = spark.createDataFrame(some, T.StructType([T.StructField("wanted", _TYPES[kind])]))
+        sides.append(typed.select(F.col("wanted").cast(common)))
+    side = reduce(DataFrame.union, sides)
     size = sum(len(str(v)) + VALUE_OVERHEAD for v in wanted)
-    if size <= broadcast_limit(df.sparkSession):
+    if size <= broadcast_limit(spark):
         side = F.broadcast(side)
-    return df.join(side, column, "left_semi")
+    return df.join(side, df[quote(column)] == side["wanted"], "left_semi").select(*df.columns)
+
+
+_TYPES = {
+    "bool": T.BooleanType(),
+    "int": T.LongType(),
+    "large": T.DecimalType(38, 0),
+    "float": T.DoubleType(),
+    "str": T.StringType(),
+    "date": T.DateType(),
+    "datetime": T.TimestampType(),
+    "Decimal": T.DecimalType(38, 18),
+    "bytes": T.BinaryType(),
+}
+
+
+def _kind(value: object) -> str:
+    if isinstance(value, int) and not isinstance(value, bool) and not -(2**63) <= value < 2**63:
+        return "large"
+    name = type(value).__name__
+    if name not in _TYPES:
+        raise TypeError(f"no list of {name} values")
+    return name
+
+
+def _literal(value: object) -> Column:
+    kind = _kind(value)
+    return F.lit(Decimal(value) if kind == "large" else value).cast(_TYPES[kind])

@@ -7,14 +7,23 @@ import dataclasses
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lakeferry.functions.types import align, missing_from, quote, reject_void, schema_ddl, sql_type
+from lakeferry.functions.types import (
+    align,
+    missing_from,
+    quote,
+    refuse_narrowing,
+    reject_void,
+    schema_ddl,
+    sql_type,
+)
 from lakeferry.plans import store
-from lakeferry.plans.commit import FOLDERS, rebalance, recover, token
+from lakeferry.plans.commit import rebalance, recover, replace_content, token
 from lakeferry.sources.tables import (
+    LEDGER_AT,
     PENDING,
+    PREVIOUS,
     Table,
     as_table,
-    drop_table,
     table_exists,
     table_facts,
 )
@@ -63,6 +72,8 @@ def write_table(
 ) -> None:
     """Append to a table, or overwrite its rows and keep its schema.
 
+    An overwrite is complete beside the table before the old rows go, whatever the session's
+    overwrite mode, so a source that fails leaves them, and ``df`` may read the table.
     The table is created if absent.  With a schema on ``table``, columns of ``df`` outside it are
     dropped; columns the rows lack become NULL.  Without one, a column the table lacks is an error.
     """
@@ -89,9 +100,13 @@ def bulk_write_table(
 
 
 def evolve_table(spark: SparkSession, table: str | Table, schema: T.StructType) -> list[str]:
-    """Add the columns of ``schema`` that the table lacks; returns their names."""
+    """Add the columns of ``schema`` that the table lacks; returns their names.
+
+    A column whose new type the table's column cannot hold is an error: nothing is narrowed.
+    """
     ref = as_table(table)
     have = spark.table(ref.name)
+    refuse_narrowing(have.schema, schema, ref.identifier)
     new = missing_from(have, schema.names, have.columns)
     if new:
         wanted = T.StructType([schema[name] for name in new])
@@ -104,43 +119,60 @@ def evolve_table(spark: SparkSession, table: str | Table, schema: T.StructType)
 def replace_table(spark: SparkSession, table: str | Table, df: DataFrame) -> None:
     """Make ``df`` the table: new rows, new schema, new layout.
 
-    The rows are written under another name first.  The old table is dropped only when they are
-    complete, so a failed job leaves it as it was, and ``df`` may read the table it replaces.
+    The rows are written beside the table first, so ``df`` may read the table it replaces.  Then
+    the old folder is moved aside and the new one takes its place; if any step fails, the old
+    folder and the old definition are put back.  Properties, tags and the comment stay.
     """
     ref = as_table(table)
     reject_void(df.schema)
     if not table_exists(spark, ref):
         _save_as(ref, df)
         return
-    if ref.partitioned_by and not ref.location:
-        _replace_partitioned(spark, ref, df)
-        return
-    fresh = ref.sibling(f"new_{token()}")
-    if ref.location:
-        # the location stays: write beside it, then fill it again from the finished copy
-        mine = table_facts(spark, ref).location == store.qualified(spark, ref.location)
-        if not mine and store.children(spark, ref.location):
+    facts = table_facts(spark, ref)
+    folder, name = facts.location.rstrip("/").rsplit("/", 1)
+    beside = f"{folder}/_lakeferry/{name.split('__v_')[0]}-{token()}"
+    if ref.location and facts.location != store.qualified(spark, ref.location):
+        if store.children(spark, ref.location):
             raise ValueError(f"{ref.location} holds data that is not {ref.identifier}'s")
-        _save_as(fresh, df)
-        drop_table(spark, ref)
-        store.delete(spark, ref.location)
-        _save_as(ref, spark.table(fresh.name))
-        drop_table(spark, fresh)
-        return
-    _save_as(fresh, df)
-    drop_table(spark, ref)
-    spark.sql(f"ALTER TABLE {fresh.name} RENAME TO {ref.name.split('.', 1)[1]}")
-
-
-def _replace_partitioned(spark: SparkSession, ref: Table, df: DataFrame) -> None:
-    """A renamed table would leave its partitions behind, so the finished folders are moved in."""
-    folder, name = table_facts(spark, ref).location.rstrip("/").rsplit("/", 1)
-    staged = f"{folder}/_lakeferry/{name.split('__v_')[0]}-new-{token()}"
-    _writer(ref, df).save(staged)
-    drop_table(spark, ref)
-    properties = {**ref.properties, PENDING: f"{FOLDERS} {staged}"}
-    spark.sql(create_statement(dataclasses.replace(ref, schema=df.schema, properties=properties)))
-    recover(spark, ref)
+    kept = {k: v for k, v in facts.properties.items() if k not in (PREVIOUS, LEDGER_AT, PENDING)}
+    comment = spark.catalog.getTable(ref.name).description
+    _writer(ref, df).save(f"{beside}/new")
+    fresh = dataclasses.replace(ref, schema=df.schema, properties={**kept, **ref.properties})
+    old = Table(
+        ref.identifier,
+        facts.provider,
+        facts.schema,
+        None if facts.managed else facts.location,
+        tuple(facts.partition_columns),
+        kept,
+        facts.options,
+    )
+    if PREVIOUS in facts.properties:  # an older version, kept for running readers, may be in the way
+        store.delete(spark, facts.properties[PREVIOUS])
+    store.move(spark, facts.location, f"{beside}/old")
+    try:
+        spark.sql(f"DROP TABLE {ref.name}")
+        _install(spark, fresh, f"{beside}/new", comment)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {ref.name}")
+        _install(spark, old, f"{beside}/old", comment)
+        raise
+    if LEDGER_AT in facts.properties:
+        store.delete(spark, facts.properties[LEDGER_AT])
+    store.delete(spark, beside)
+
+
+def _install(spark: SparkSession, table: Table, folder: str, comment: str | None) -> None:
+    """Create a table over a finished folder, which becomes its own."""
+    spark.sql(create_statement(table))
+    location = table_facts(spark, table).location
+    store.delete(spark, location)
+    store.move(spark, folder, location)
+    if table.partitioned_by:
+        spark.sql(f"ALTER TABLE {table.name} RECOVER PARTITIONS")
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {table.name} IS '{_escape(comment)}'")
+    spark.catalog.refreshTable(table.name)
 
 
 def _writer(ref: Table, df: DataFrame):
@@ -168,5 +200,8 @@ def _insert(spark: SparkSession, ref: Table, df: DataFrame, overwrite: bool) ->
     unknown = missing_from(df, df.columns, facts.schema.names)
     if unknown:
         raise ValueError(f"{ref.identifier} has no columns {unknown}")
-    rows = rebalance(align(df, facts.schema), facts.partition_columns)
-    rows.write.insertInto(ref.name, overwrite=overwrite)
+    rows = align(df, facts.schema)
+    if overwrite:
+        replace_content(spark, ref, rows)
+    else:
+        rebalance(rows, facts.partition_columns).write.insertInto(ref.name)

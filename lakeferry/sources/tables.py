@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import string
+import re
 from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException, UnsupportedOperationException
@@ -35,8 +35,9 @@ PREVIOUS = "lakeferry.previous"
 LEDGER_AT = "lakeferry.ledger"
 PENDING = "lakeferry.pending"
 
-_TO_UNDERSCORE = {ord(c): "_" for c in set(string.punctuation) - set("-._`")}
-_CLEAN = {**_TO_UNDERSCORE, ord("`"): None}
+# Fixed value: the characters that become underscores in a name.
+REPLACED = """!"#$%&'()*+,/:;<=>?@[\\]^{|}~"""
+_REPLACED = re.compile(f"[{re.escape(REPLACED)}]")
 
 
 @dataclass(frozen=True)
@@ -52,7 +53,7 @@ class Table:
     options: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
-        if len(self.identifier.split(".")) != 3:
+        if len(self.parts) != 3:
             raise ValueError(
                 f"name a table as <catalog>.<database>.<table>, got {self.identifier!r}"
             )
@@ -65,11 +66,16 @@ class Table:
             raise TypeError("partitioned_by is a list of column names")
         object.__setattr__(self, "partitioned_by", tuple(self.partitioned_by))
 
+    @property
+    def parts(self) -> list[str]:
+        """Catalog, database and table, each without quotes and fit for a catalog."""
+        written = self.identifier.split(".")
+        return [_REPLACED.sub("_", "".join(part.split("`"))) for part in written]
+
     @property
     def name(self) -> str:
-        """The back-quoted identifier, special characters turned into underscores."""
-        parts = self.identifier.translate(_CLEAN).split(".")
-        return ".".join(f"`{part}`" for part in parts)
+        """The quoted identifier."""
+        return ".".join(map(quote, self.parts))
 
     @property
     def is_unmanaged(self) -> bool:
@@ -81,8 +87,8 @@ class Table:
         return f"{self.format.lower()}.{quote(self.location)}" if self.location else None
 
     def sibling(self, suffix: str) -> Table:
-        clean = self.identifier.translate(_CLEAN)
-        return replace(self, identifier=f"{clean}__{suffix}", location=None)
+        *above, table = self.parts
+        return replace(self, identifier=".".join([*above, f"{table}__{suffix}"]), location=None)
 
 
 def as_table(table: str | Table, schema: SchemaLike | None = None) -> Table:

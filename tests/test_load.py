@@ -360,3 +360,32 @@ def test_names_on_the_driver_are_bounded(spark, ws):
     assert [len(c) for c in loading._chunks(iter(range(5)), 2)] == [2, 2, 1]
     assert copy_into(spark, ws.table("t"), ws.dir("in"), "PARQUET", files_per_batch=1) == 5
     assert read_table(spark, ws.table("t")).agg(F.count("*")).first()[0] == 10
+
+
+# ---------------------------------------------------------------- one schema per load
+
+
+@pytest.mark.parametrize("batch", [1, 100])
+def test_types_do_not_depend_on_batches(spark, ws, batch):
+    folder = Path(ws.dir("in"))
+    folder.mkdir(parents=True)
+    for i, value in enumerate(["1", "1.5"]):
+        (folder / f"{i}.json").write_text(f'{{"v": {value}}}\n')
+    copy_into(spark, ws.table("t"), str(folder), "JSON", files_per_batch=batch)
+    assert rows(read_table(spark, ws.table("t"))) == [(1.0,), (1.5,)]
+    (folder / "9.json").write_text('{"v": 7}\n')
+    copy_into(spark, ws.table("t"), str(folder), "JSON", files_per_batch=batch)
+    assert rows(read_table(spark, ws.table("t"))) == [(1.0,), (1.5,), (7.0,)]
+
+
+def test_a_type_that_does_not_fit_is_refused_first(spark, ws):
+    folder = Path(ws.dir("in"))
+    folder.mkdir(parents=True)
+    (folder / "0.json").write_text('{"v": 1}\n')
+    copy_into(spark, ws.table("t"), str(folder), "JSON")
+    (folder / "1.json").write_text('{"v": 2}\n')
+    (folder / "2.json").write_text('{"v": 2.5}\n')
+    with pytest.raises(ValueError, match="cannot hold"):
+        copy_into(spark, ws.table("t"), str(folder), "JSON", files_per_batch=1)
+    assert rows(read_table(spark, ws.table("t"))) == [(1,)]
+    assert ledger(spark, ws.table("t")).count() == 1

@@ -43,17 +43,26 @@ def test_replay_against_a_model(spark):
     assert rows(replay(df, ["entity", "name"], "value", ["at"])) == expected
 
 
-@pytest.mark.parametrize("limit", [1, 3, 1000])
-def test_maps_keep_every_tag(spark, limit):
+@pytest.mark.parametrize("parts", [1, 3, 1000])
+def test_maps_keep_every_tag(spark, parts):
     tags = [(e, f"t{i}", f"v{i}") for e in range(3) for i in range(10 * e + 1)]
     df = spark.createDataFrame(tags, "entity int, name string, value string")
-    maps = tag_maps(df, "entity", "name", "value", limit=limit).collect()
+    maps = tag_maps(df, "entity", "name", "value", parts=parts).collect()
     found = sorted((m.entity, k, v) for m in maps for k, v in m.tags.items())
     assert found == sorted(tags)
-    if limit == 1000:
-        assert len(maps) == 3
-    else:
-        assert len(maps) > 3
+    assert len(maps) == 3 if parts == 1 else len(maps) > 3
+
+
+def test_one_map_however_many_tags(spark):
+    tags = spark.range(30_000).selectExpr("'e' AS entity", "if(id = 5, NULL, 't' || id) AS name", "'v' AS value")
+    maps = tag_maps(tags, "entity", "name", "value").collect()
+    assert [(m.entity, m.part, len(m.tags)) for m in maps] == [("e", 0, 29_999)]
+
+
+def test_changes_need_names(spark, ws):
+    nameless = spark.createDataFrame([("e", None, "v")], "entity string, name string, value string")
+    with pytest.raises(Exception, match="needs a name"):
+        record_changes(spark, ws.table("registry"), nameless)
 
 
 def test_registry_table(spark, ws):

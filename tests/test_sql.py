@@ -100,3 +100,16 @@ def test_a_cluster_without_a_shared_folder_is_an_error(spark):
     Context.master = "local[2]"
     Context.applicationId = "app-local"
     assert shared_root(Session()) == shared_root(Session())
+
+
+@pytest.mark.parametrize("n", [10, 1_500])
+def test_long_and_short_lists_agree(spark, n):
+    df = spark.range(2_000).selectExpr("id % 7 AS a", "cast(id AS int) AS b", "cast(id AS double) AS c", "'x' || id AS d")
+    values = [*range(n), None, 2**40, 2**70, -3]
+    for column in ("b", "B", "c"):
+        found = where_in(df, column, values)
+        assert found.columns == df.columns
+        assert sorted(r.b for r in found.collect()) == list(range(n))
+    assert where_in(df, "d", [f"x{i}" for i in range(n)]).count() == n
+    assert where_in(df, "c", [i + 0.5 for i in range(n)]).count() == 0
+    assert where_in(df, "b", []).count() == 0

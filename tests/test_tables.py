@@ -7,7 +7,14 @@ from conftest import plan_of, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeferry.operators import write as writing
 from lakeferry.operators.export import export, save_table_to_files, sql_to_files
+from lakeferry.operators.registry import (
+    get_comment_on_table,
+    get_tags_on_table,
+    set_comment_on_table,
+    set_tags_on_table,
+)
 from lakeferry.operators.write import (
     bulk_write_table,
     create_statement,
@@ -207,17 +214,23 @@ def test_replacing_a_partitioned_table(spark, ws, monkeypatch):
     write_table(spark, table, spark.createDataFrame([(1, "x"), (2, "y")], "a int, p string"))
     fresh = spark.table(table.name).select(F.lit("n").alias("v"), F.concat("p", "a").alias("q"))
     other = Table(table.identifier, partitioned_by=["q"])
+    move, moves = store.move, []
 
-    def crash(*args):
-        raise RuntimeError("crash")
+    def broken(spark, source, target):
+        moves.append(source)
+        if len(moves) == 2:  # the new folder on its way in
+            raise RuntimeError("crash")
+        move(spark, source, target)
 
     with monkeypatch.context() as patch:
-        patch.setattr(commit, "_move_folders", crash)
+        patch.setattr(store, "move", broken)
         with pytest.raises(RuntimeError, match="crash"):
             replace_table(spark, other, fresh)
-    write_table(spark, other, spark.createDataFrame([("m", "z")], "v string, q string"))
+    assert rows(read_table(spark, table)) == [(1, "x"), (2, "y")]
+    replace_table(spark, other, fresh)
+    assert rows(read_table(spark, table.identifier)) == [("n", "x1"), ("n", "y2")]
+    write_table(spark, table.identifier, spark.createDataFrame([("m", "z")], "v string, q string"))
     assert rows(read_table(spark, table.identifier)) == [("m", "z"), ("n", "x1"), ("n", "y2")]
-    assert table_facts(spark, other).managed
     replace_table(spark, table.identifier, spark.range(1))
     assert rows(read_table(spark, table.identifier)) == [(0,)]
 
@@ -242,3 +255,61 @@ def test_replacement_does_not_clear_a_foreign_location(spark, ws):
         replace_table(spark, Table(ws.table("t"), location=ws.dir("other")), spark.range(9))
     assert spark.read.parquet(ws.dir("other")).count() == 3
     assert read_table(spark, ws.table("t")).count() == 1
+
+
+# ---------------------------------------------------------------- failures leave the old content
+
+
+def failing(spark):
+    return spark.range(3).selectExpr("id", "if(id = 2, raise_error('no'), 'x') AS p")
+
+
+@pytest.mark.parametrize("partitions", [[], ["p"]])
+def test_failed_overwrite_keeps_rows(spark, ws, partitions):
+    table = Table(ws.table("t"), schema="id BIGINT, p STRING", partitioned_by=partitions)
+    write_table(spark, table, spark.sql("SELECT 1L AS id, 'a' AS p UNION ALL SELECT 2L, 'b'"))
+    with pytest.raises(Exception, match="no"):
+        write_table(spark, table, failing(spark), append=False)
+    with pytest.raises(Exception, match="no"):
+        replace_table(spark, table, failing(spark))
+    assert rows(read_table(spark, table)) == [(1, "a"), (2, "b")]
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_table(spark, table, read_table(spark, table).where("id = 1"), append=False)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows(read_table(spark, table)) == [(1, "a")]
+
+
+@pytest.mark.parametrize("kind", ["plain", "partitioned", "located"])
+def test_failed_replacement_keeps_the_table(spark, ws, monkeypatch, kind):
+    table = Table(
+        ws.table("t"),
+        schema="id BIGINT, p STRING",
+        partitioned_by=["p"] if kind == "partitioned" else [],
+        location=ws.dir("at") if kind == "located" else None,
+        properties={"mine": "1"},
+    )
+    write_table(spark, table, spark.sql("SELECT 1L AS id, 'a' AS p"))
+    set_tags_on_table(spark, table, {"k": "v"})
+    set_comment_on_table(spark, table, "it's")
+    newer = spark.sql("SELECT 'b' AS p, 7 AS n")
+    create = writing.create_statement
+    calls = []
+
+    def broken(ref):
+        calls.append(ref)
+        return "CREATE NONSENSE" if len(calls) == 1 else create(ref)
+
+    monkeypatch.setattr(writing, "create_statement", broken)
+    with pytest.raises(Exception, match="NONSENSE"):
+        replace_table(spark, table, newer)
+    assert rows(read_table(spark, table).select("id", "p")) == [(1, "a")]
+    for expected in ("old", "new"):
+        assert get_tags_on_table(spark, table) == {"k": "v"}, expected
+        assert get_comment_on_table(spark, table) == "it's"
+        assert table_facts(spark, table).properties["mine"] == "1"
+        if expected == "old":
+            changed = Table(ws.table("t"), partitioned_by=table.partitioned_by, location=table.location)
+            replace_table(spark, changed, newer)
+    assert rows(spark.table(table.name).select("p", "n")) == [("b", 7)]

@@ -23,8 +23,8 @@ def _in_list(spark: SparkSession, sf: str) -> DataFrame:
 
 def _in_long_list(spark: SparkSession, sf: str) -> DataFrame:
     """Beyond the inline bound the list is a join side."""
-    parts = load(spark, sf, "part").select("p_partkey", "p_size")
-    return where_in(parts, "p_size", range(-2_000, 26))
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return where_in(orders, "o_custkey", range(1, 1_400))
 
 
 # Same text for Spark and for the check.
@@ -103,9 +103,11 @@ _WINDOW = """
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT e.event_id, c.before + row_number() OVER v AS rn,
            coalesce(lag(e.event_id) OVER v, c.last) AS prev,
-           least(c.before + row_number() OVER v, 3) AS c3
+           count(*) OVER f + least(3 - count(*) OVER f, c.before) AS c3
     FROM e JOIN carried c ON e.user_id = c.user_id AND e.h = c.h
-    WINDOW v AS (PARTITION BY e.user_id, e.h ORDER BY e.ts, e.event_id)"""
+    WINDOW v AS (PARTITION BY e.user_id, e.h ORDER BY e.ts, e.event_id),
+           f AS (PARTITION BY e.user_id, e.h ORDER BY e.ts, e.event_id
+                 ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
 
 _BANDS = "(VALUES ('low', 0, 50000), ('middle', 50000, 200000), ('high', 200000, 1000000))"
 
@@ -154,7 +156,7 @@ ORACLES = {
     "sql_in_list": """
         SELECT o_orderkey, o_orderpriority FROM orders
         WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""",
-    "sql_in_long_list": "SELECT p_partkey, p_size FROM part WHERE p_size BETWEEN -2000 AND 25",
+    "sql_in_long_list": "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey BETWEEN 1 AND 1399",
     "sql_session_conf": """
         SELECT count(*) AS n FROM customer WHERE TRY_CAST(c_name AS INTEGER) IS NULL""",
     "sql_join_range": f"""

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.operators.registry import replay, tag_maps
+from lakeferry.operators.registry import (
+    get_tags,
+    replay,
+    set_comment,
+    set_tags,
+    tag_maps,
+    unset_tags,
+)
 from lakeferry.operators.volumes import (
     conflicts,
     create_files_table,
@@ -123,7 +132,24 @@ def _tags(spark: SparkSession, sf: str) -> DataFrame:
 
 def _tag_maps(spark: SparkSession, sf: str) -> DataFrame:
     maps = tag_maps(_tags(spark, sf), "user_id", "tag_name", "tag_value")
-    return maps.groupBy("user_id").agg(F.sum(F.size("tags")).alias("n_tags"))
+    shown = F.transform(F.map_entries("tags"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return maps.select("user_id", F.array_join(F.array_sort(shown), ",").alias("tags"))
+
+
+def _registry_verbs(spark: SparkSession, sf: str) -> DataFrame:
+    """Tags and a comment of every region: set, changed, removed and read."""
+    registry = Workspace(spark).table("registry")
+    regions = load(spark, sf, "region").collect()
+    for r in regions:
+        set_tags(spark, registry, r.r_name, {"key": "none", "old": r.r_name})
+        set_comment(spark, registry, r.r_name, r.r_name.lower())
+        set_tags(spark, registry, r.r_name, {"key": r.r_regionkey})
+        unset_tags(spark, registry, r.r_name, ["old"])
+    found = [
+        get_tags(spark, registry, r.r_name).select(F.lit(r.r_name).alias("entity"), "name", "value")
+        for r in regions
+    ]
+    return reduce(DataFrame.union, found)
 
 
 def _comments(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,6 +171,7 @@ QUERIES = {
     "files_drop": _drop,
     "tags_apply": _tags,
     "tags_as_map": _tag_maps,
+    "registry_verbs": _registry_verbs,
     "comments_apply": _comments,
 }
 
@@ -185,8 +212,12 @@ ORACLES = {
     "tags_apply": TAG_LOG
     + " SELECT user_id, tag_name, tag_value FROM c WHERE rn = 1 AND tag_value IS NOT NULL",
     "tags_as_map": TAG_LOG
-    + """ SELECT user_id, count(*) AS n_tags FROM c
-          WHERE rn = 1 AND tag_value IS NOT NULL GROUP BY user_id""",
+    + """ SELECT user_id, string_agg(tag_name || '=' || tag_value, ','
+                             ORDER BY tag_name || '=' || tag_value) AS tags FROM c
+          WHERE rn = 1 AND tag_value IS NOT NULL AND tag_name IS NOT NULL GROUP BY user_id""",
+    "registry_verbs": """
+        SELECT r_name AS entity, 'key' AS name, CAST(r_regionkey AS VARCHAR) AS value FROM region
+        UNION ALL SELECT r_name, 'comment', lower(r_name) FROM region""",
     "comments_apply": """
         WITH c AS (
             SELECT user_id, CASE WHEN event_type <> 'error' THEN props END AS comment,

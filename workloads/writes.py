@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lakeferry.operators.export import save_table_to_files, sql_to_files
 from lakeferry.operators.load import bulk_write_files, copy_into
 from lakeferry.operators.write import bulk_write_table, create_table, replace_table, write_table
-from lakeferry.plans.workspace import Workspace
+from lakeferry.plans.workspace import Workspace, session_settings
+from lakeferry.sources.records import from_records
 from lakeferry.sources.tables import Table, read_table
 from workloads.base import external, load, spread, views
 
@@ -125,13 +126,55 @@ def _sql_to_files(spark: SparkSession, sf: str) -> DataFrame:
 def _chunks(spark: SparkSession, sf: str) -> DataFrame:
     query = "SELECT l_orderkey, l_linenumber FROM lineitem"
     views(spark, sf, query)
-    rows = spark.read.parquet(sql_to_files(spark, query, Workspace(spark).dir("out")))
+    path = sql_to_files(spark, query, Workspace(spark).dir("out"), rows_per_file=1_000)
+    rows = spark.read.parquet(path)
     per_file = rows.groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n"))
     return per_file.agg(
-        F.sum("n").alias("n_rows"), (F.max("n") <= 100_000).alias("within_bound")
+        F.sum("n").alias("n_rows"),
+        (F.max("n") <= 1_000).alias("within_bound"),
+        (F.count("*") >= F.sum("n") / 1_000).alias("enough_files"),
     )
 
 
+def _copy_mixed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON files with whole numbers, others with fractions, one batch per file."""
+    ws = Workspace(spark)
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    whole = F.floor("o_totalprice").cast("bigint").alias("price")
+    for status, price in (("F", whole), ("O", F.col("o_totalprice").alias("price")), ("P", whole)):
+        rows = orders.where(F.col("o_orderstatus") == status).select("o_orderkey", price)
+        rows.coalesce(2).write.mode("append").json(ws.dir("in"))
+    copy_into(spark, ws.table("prices"), ws.dir("in"), "JSON", files_per_batch=1)
+    return read_table(spark, ws.table("prices")).select("o_orderkey", "price")
+
+
+def _overwrite_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """All partitions go, also in a session that overwrites single ones."""
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    name = Workspace(spark).table("orders")
+    table = Table(name, schema=orders.schema, partitioned_by=["o_orderstatus"])
+    write_table(spark, table, orders)
+    with session_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        write_table(spark, table, orders.where("o_orderstatus = 'F'"), append=False)
+    return read_table(spark, table).select("o_orderkey", "o_orderstatus")
+
+
+def _overwrite_self(spark: SparkSession, sf: str) -> DataFrame:
+    """A table from its own rows."""
+    table = Workspace(spark).table("customer")
+    write_table(spark, table, load(spark, sf, "customer").select("c_custkey", "c_acctbal"))
+    write_table(spark, table, read_table(spark, table).where("c_acctbal > 0"), append=False)
+    return read_table(spark, table)
+
+
+def _typed_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of a program, here the nations, appended to a table by its schema."""
+    nations = [r.asDict() for r in load(spark, sf, "nation").collect()]
+    table = Table(Workspace(spark).table("nation"), schema="n_nationkey BIGINT, n_name STRING, missing DATE")
+    bulk_write_table(spark, table, from_records(spark, nations, table.schema))
+    return read_table(spark, table)
+
+
 QUERIES = {
     "create_table_partitioned": _create_partitioned,
     "replace_table": _replace,
@@ -147,9 +190,23 @@ QUERIES = {
     "save_table_to_files": _save_table,
     "sql_to_files": _sql_to_files,
     "sql_to_files_chunks": _chunks,
+    "copy_into_mixed_types": _copy_mixed_types,
+    "write_table_overwrite_partitioned": _overwrite_partitioned,
+    "write_table_overwrite_self": _overwrite_self,
+    "typed_records": _typed_records,
 }
 
 ORACLES = {
+    "copy_into_mixed_types": """
+        SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN o_totalprice
+                                ELSE CAST(floor(o_totalprice) AS DOUBLE) END AS price
+        FROM orders""",
+    "write_table_overwrite_partitioned": """
+        SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'""",
+    "write_table_overwrite_self": "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0",
+    "typed_records": """
+        SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(NULL AS DATE) AS missing
+        FROM nation""",
     "create_table_partitioned": "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus",
     "replace_table": "SELECT o_orderkey, o_orderpriority, 'v2' AS version FROM orders",
     "write_table_append": """
@@ -172,5 +229,5 @@ ORACLES = {
     "bulk_write_files_replace": "SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal < 0",
     "save_table_to_files": "SELECT p_partkey, p_brand, p_size FROM part",
     "sql_to_files": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey",
-    "sql_to_files_chunks": "SELECT count(*) AS n_rows, true AS within_bound FROM lineitem",
+    "sql_to_files_chunks": "SELECT count(*) AS n_rows, true AS within_bound, true AS enough_files FROM lineitem",
 }
