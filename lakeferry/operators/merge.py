@@ -25,6 +25,7 @@ from lakeferry.sources.tables import (
 )
 
 _SOURCE = "__s_"
+_SPREAD = "__spread"
 _HIT = "__hit"
 _TOUCHED = "__touched"
 
@@ -85,6 +86,14 @@ class Merge:
             rows = rows.join(repeated, self.keys, "left_anti")
         return rows
 
+    def without(self, target: DataFrame, gone: DataFrame) -> DataFrame:
+        """Target rows whose keys are not among ``gone``; rows without a key are dealt out evenly."""
+        if self.source_is_small:
+            return target.join(gone, self.keys, "left_anti")
+        rows = target.withColumn(_SPREAD, _spread(self.keys))
+        other = gone.withColumn(_SPREAD, _zero(self.keys))
+        return rows.join(other, [*self.keys, _SPREAD], "left_anti").select(*_names(target.columns))
+
     def updated(self, target: DataFrame | None = None) -> DataFrame:
         """The target's rows after the merge, without the inserts.
 
@@ -98,6 +107,10 @@ class Merge:
             F.lit(True).alias(_HIT),
         )
         same = [F.col(quote(k)) == F.col(quote(_SOURCE + k)) for k in self.keys]
+        if not self.source_is_small:  # rows without a key match nothing: deal them out evenly
+            target = target.withColumn(_SPREAD, _spread(self.keys))
+            source = source.withColumn(_SOURCE + _SPREAD, _zero([_SOURCE + k for k in self.keys]))
+            same.append(F.col(_SPREAD) == F.col(_SOURCE + _SPREAD))
         joined = target.join(self._side(source), same, "left")
         take = F.col(_HIT).isNotNull()
         if self.newer_by:
@@ -256,6 +269,20 @@ def only_partitions(target: DataFrame, touched: DataFrame, columns: list[str]) -
     return target.join(touched, same, "left_semi")
 
 
+def _zero(keys: list[str]) -> Column:
+    """0 for every row, in a form that the optimizer takes for a column of the row."""
+    return F.hash(*[F.col(quote(k)) for k in keys]).bitwiseAND(F.lit(0)).cast("bigint")
+
+
+def _spread(keys: list[str]) -> Column:
+    """0 for a row with all keys; a number of its own for a row without, which matches nothing."""
+    return F.when(_all_present(keys), _zero(keys)).otherwise(F.monotonically_increasing_id() + 1)
+
+
+def _names(columns: list[str]) -> list[Column]:
+    return [F.col(quote(c)) for c in columns]
+
+
 def replace_keys(
     spark: SparkSession, table: str | Table, source: DataFrame, keys: str | list[str]
 ) -> None:
@@ -271,12 +298,12 @@ def replace_keys(
         merge = plan_merge(spark, ref, source, keys, scratch=f"{scratch}/source")
         gone = merge._side(merge._with_keys(_columns(merge.source, merge.keys)).distinct())
         if not facts.partition_columns:
-            kept = merge.target.join(gone, merge.keys, "left_anti")
+            kept = merge.without(merge.target, gone)
             replace_content(spark, ref, kept.unionByName(merge.source))
             return
         columns = list(facts.partition_columns)
         touched, _ = stage(spark, changed_partitions(merge, columns), f"{scratch}/touched")
-        kept = only_partitions(merge.target, touched, columns).join(gone, merge.keys, "left_anti")
+        kept = merge.without(only_partitions(merge.target, touched, columns), gone)
         stage(spark, kept.unionByName(merge.source), f"{scratch}/result")
         replace_partitions(spark, ref, scratch)
     finally:

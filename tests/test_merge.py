@@ -342,3 +342,25 @@ def test_buckets(spark, ws):
     merge_table(spark, table, with_bucket(source, ["id"], 8), ["id", "bucket"])
     got = read_table(spark, table.identifier)
     assert got.groupBy("v").count().orderBy("v").collect() == [("a", 90), ("b", 20)]
+
+
+def test_rows_without_keys_are_dealt_out(spark, ws):
+    """95 % of the target without a key, no broadcast: no task gets them all."""
+    table = ws.table("t")
+    write_table(spark, table, spark.range(2_000).selectExpr("if(id % 20 = 0, id, NULL) AS k", "id AS v"))
+    source = spark.range(0, 2_000, 40).selectExpr("id AS k", "-id AS v")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": -1,
+        "spark.sql.adaptive.enabled": False,
+        "spark.sql.shuffle.partitions": 4,
+    }
+    with session_settings(spark, settings):
+        merge = plan_merge(spark, Table(table), source, "k")
+        sizes = [r["count"] for r in merge.updated().groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 2_000 and max(sizes) < 800
+        merge_table(spark, table, source, "k")
+        assert spark.table(table).where("v < 0").count() == 49
+        assert spark.table(table).count() == 2_000
+        replace_keys(spark, table, source.where("k > 1000"), "k")
+        assert spark.table(table).count() == 2_000
+        assert spark.table(table).where("k IS NULL").count() == 1_900
