@@ -20,7 +20,6 @@ the text column are read.
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -32,17 +31,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeferry.llm.words import as_binary
+from lakeferry.llm.words import Texts, chunks
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 2048
 END = 1
 OPEN_WINDOWS = 4096
-# Words that a task remembers the ids of; then it starts anew.
-REMEMBERED = 400_000
-TEXT_BYTES = 1 << 20
+# Parts that a task remembers the ids of; then it starts anew.
+REMEMBERED = 2_000_000
 
-STEM = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+# Kinds of bytes: letters (or of longer code points), points, and digits and apostrophes, whose
+# words are encoded whole.
+_LETTER, _POINT, _OTHER = 1, 2, 3
+_KIND = np.full(256, _POINT, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = _LETTER
+_KIND[[*range(48, 58), ord("'")]] = _OTHER
+_EMPTY, _WHOLE = np.uint64(0), np.uint64(0x5851F42D4C957F2D)
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -55,8 +59,10 @@ class Ids:
     """Token ids of whole texts, word by word.
 
     The vocabulary drops white space and never joins across it, so the ids of a text are those of
-    its words. Words of letters are encoded together, one token of each ending a word; if the
-    number of ends is not that of words, and for all other words, each is encoded alone.
+    its words; a word of letters followed by punctuation is two parts that never join either. The
+    ids of a part are remembered by the hash of its bytes, so each is encoded once. Parts of
+    letters are encoded together, one token of each ending a part; if the number of ends is not
+    that of parts, and for all other words, each is encoded alone.
     """
 
     def __init__(self, path: str):
@@ -71,91 +77,109 @@ class Ids:
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[bytes, int] = {}
-        self.stems: dict[bytes, np.ndarray] = {}
-        self.tails: dict[bytes, np.ndarray] = {b"": np.zeros(0, np.uint32)}
-        self.flat = np.zeros(1 << 20, np.uint32)
-        self.offset = np.zeros(REMEMBERED * 2, np.int64)
-        self.length = np.zeros(REMEMBERED * 2, np.int64)
-        self.used = 0
-
-    def alone(self, word: bytes) -> np.ndarray:
-        return np.array(self.model.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
-
-    def together(self, stems: list[bytes]) -> list[np.ndarray]:
-        ids = np.array(self.model.encode(b" ".join(stems).decode(), add_special_tokens=False).ids, np.uint32)
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(stems):
-            return [self.alone(s) for s in stems]
-        return np.split(ids, cuts[:-1])
+        """Remember only the empty part."""
+        self.keys = np.array([_EMPTY], np.uint64)
+        self.offset, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+
+    def alone(self, part: bytes) -> np.ndarray:
+        return np.array(self.model.encode(part.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
+
+    def together(self, parts: list[bytes]) -> list[np.ndarray]:
+        ids = np.array(self.model.encode(b" ".join(parts).decode(), add_special_tokens=False).ids, np.uint32)
+        cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(cuts) != len(parts):
+            return [self.alone(p) for p in parts]
+        return [ids[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
 
     @staticmethod
-    def plain(stem: bytes) -> bool:
+    def plain(part: bytes) -> bool:
         """Letters that stay letters, one to one, in lower case and composed."""
-        if stem.isascii():
+        if part.isascii():
             return True
         try:
-            text = stem.decode()
+            text = part.decode()
         except UnicodeDecodeError:
             return False
         return text.isalpha() and text.lower().isalpha() and unicodedata.is_normalized("NFC", text)
 
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > REMEMBERED:
-            self.forget()
-            new = list(words)
-        parts: list[tuple[bytes, bytes] | None] = []
-        wanted: dict[bytes, None] = {}
-        for word in new:
-            found = STEM.fullmatch(word)
-            if found and self.plain(found[1]):
-                stem = found[1].lower() if found[1].isascii() else found[1]
-                if stem not in self.stems:
-                    wanted[stem] = None
-                if found[2] not in self.tails:
-                    self.tails[found[2]] = self.alone(found[2])
-                parts.append((stem, found[2]))
+    def remember(self, keys: np.ndarray, ids: list[np.ndarray | None]) -> None:
+        """Add parts; None is a part of letters that does not stand for itself."""
+        length = np.array([-1 if x is None else len(x) for x in ids], np.int64)
+        sizes = np.maximum(length, 0)
+        added = np.concatenate([np.zeros(0, np.uint32), *[x for x in ids if x is not None]])
+        while self.used + len(added) > len(self.flat):
+            self.flat = np.append(self.flat, np.zeros(len(self.flat), np.uint32))
+        self.flat[self.used : self.used + len(added)] = added
+        offset = self.used + np.cumsum(sizes) - sizes
+        self.used += len(added)
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, at, keys[order])
+        self.offset = np.insert(self.offset, at, offset[order])
+        self.length = np.insert(self.length, at, length[order])
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, which are known)."""
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
+
+    def learn(self, texts: Texts, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, letters: bool) -> np.ndarray:
+        """The places of the parts among the remembered ones, new ones included."""
+        distinct, first, code = np.unique(keys, return_index=True, return_inverse=True)
+        new = np.flatnonzero(~self.find(distinct)[1])
+        if len(new):
+            parts = [texts.data[a:b].tobytes() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
+            if letters:
+                plain = [i for i, p in enumerate(parts) if self.plain(p)]
+                ids: list[np.ndarray | None] = [None] * len(parts)
+                for at in range(0, len(plain), 2000):
+                    some = plain[at : at + 2000]
+                    for i, x in zip(some, self.together([parts[i] for i in some]), strict=True):
+                        ids[i] = x
             else:
-                parts.append(None)
-        stems = list(wanted)
-        for at in range(0, len(stems), 2000):
-            some = stems[at : at + 2000]
-            self.stems.update(zip(some, self.together(some), strict=True))
-        if len(self.offset) < len(self.words) + len(new):
-            grow = len(self.words) + len(new) - len(self.offset)
-            self.offset, self.length = (np.append(x, np.zeros(grow, np.int64)) for x in (self.offset, self.length))
-        pieces = []
-        for word, part in zip(new, parts, strict=True):
-            ids = [self.alone(word)] if part is None else [self.stems[part[0]], self.tails[part[1]]]
-            code = len(self.words)
-            self.words[word] = code
-            self.offset[code] = self.used
-            self.length[code] = sum(map(len, ids))
-            self.used += int(self.length[code])
-            pieces += ids
-        if pieces:
-            added = np.concatenate(pieces)
-            if self.used > len(self.flat):
-                self.flat = np.append(self.flat, np.zeros(max(self.used, len(self.flat)), np.uint32))
-            self.flat[self.used - len(added) : self.used] = added
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text, the end id last."""
-        split = [t.split() for t in texts]
-        self.learn({w for words in split for w in words})
-        out = []
-        for words in split:
-            codes = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-            lengths = self.length[codes]
-            total = int(lengths.sum())
-            ids = np.empty(total + 1, np.uint32)
-            if total:
-                first = np.cumsum(lengths) - lengths
-                ids[:-1] = self.flat[np.repeat(self.offset[codes] - first, lengths) + np.arange(total)]
-            ids[-1] = END
-            out.append(ids)
-        return out
+                ids = [self.alone(p) for p in parts]
+            self.remember(distinct[new], ids)
+        return self.find(distinct)[0][code]
+
+    def encode(self, texts: Texts) -> list[np.ndarray]:
+        """The ids of each text, of bytes in lower case, the end id last."""
+        if len(self.keys) > REMEMBERED:
+            self.forget()
+        starts, ends = texts.starts, texts.ends
+        kind = _KIND[texts.data]
+        turns = np.zeros(len(kind) + 1, np.int64)
+        np.cumsum(kind[1:] != kind[:-1], out=turns[1:-1]) if len(kind) else None
+        turned = turns[ends - 1] - turns[starts] if len(starts) else starts
+        letters = np.zeros(len(kind) + 1, np.int64)
+        np.cumsum(kind == _LETTER, out=letters[1:])
+        middle = starts + letters[ends] - letters[starts]
+        regular = (turned == 0) & (middle == ends)
+        if len(starts):
+            regular |= (turned == 1) & (kind[starts] == _LETTER) & (kind[ends - 1] == _POINT)
+        hashes = texts.hashes
+        # letters, then points; a word of other bytes is one part
+        self.learn(texts, starts[regular], middle[regular], hashes(starts[regular], middle[regular]), True)
+        place, _ = self.find(hashes(starts[regular], middle[regular]))
+        odd = np.flatnonzero(regular)[self.length[place] < 0]
+        regular[odd] = False
+        middle = np.where(regular, middle, starts)
+        point = middle < ends
+        keys = np.full((len(starts), 2), _EMPTY, np.uint64)
+        keys[regular, 0] = hashes(starts[regular], middle[regular])
+        keys[point, 1] = hashes(middle[point], ends[point]) ^ _WHOLE
+        self.learn(texts, middle[point], ends[point], keys[point, 1], False)
+        place, _ = self.find(keys.ravel())
+        lengths, offset = self.length[place], self.offset[place]
+        # the end id of a document comes behind its last part
+        doc = np.repeat(texts.word_doc, 2)
+        first = np.cumsum(lengths) - lengths
+        inside = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+        out = np.full(int(lengths.sum()) + texts.count, END, np.uint32)
+        out[np.repeat(first + doc, lengths) + inside] = self.flat[np.repeat(offset, lengths) + inside]
+        size = np.bincount(doc, lengths, texts.count).astype(np.int64) + 1
+        cuts = np.cumsum(size)
+        return [out[a:b] for a, b in zip((cuts - size).tolist(), cuts.tolist(), strict=True)]
 
 
 class Piece:
@@ -301,16 +325,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         for batch in batches:
             kind = batch.column(0).type
             names = batch.column(0).to_pylist()
-            texts = as_binary(batch.column(1))
-            sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1])
-            at = 0
-            while at < len(texts):
-                until = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), TEXT_BYTES, "right")))
+            for first, last, texts in chunks(batch.column(1), lower=True):
                 done = []
-                for name, own in zip(names[at:until], ids.encode(texts.slice(at, until - at).to_pylist()), strict=False):
+                for name, own in zip(names[first:last], ids.encode(texts), strict=True):
                     done += packer.add(name, own)
                 yield from table(done)
-                at = until
         if kind is not None:
             yield from table(packer.close())
 
