@@ -18,23 +18,29 @@ import numpy as np
 class _Least:
     """Least value of ranges of an array, from tables of doubling spans."""
 
-    def __init__(self, values: np.ndarray):
-        self.tables = [values]
-        span = 1
-        while span * 2 <= len(values):
-            last = self.tables[-1]
-            self.tables.append(np.minimum(last[:-span], last[span:]))
-            span *= 2
+    def __init__(self, values: np.ndarray, widest: int):
+        self.n = len(values)
+        levels = max(int(widest).bit_length(), 1)
+        self.tables = np.empty((levels, self.n), values.dtype)
+        self.tables[0] = values
+        for k in range(1, levels):
+            last, span = self.tables[k - 1], 1 << (k - 1)
+            self.tables[k] = last
+            np.minimum(last[:-span], last[span:], out=self.tables[k, :-span])
+        self.flat = self.tables.ravel()
 
     def between(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Least of values[first..last], both included."""
-        out = np.empty(len(first), self.tables[0].dtype)
-        level = np.log2(np.maximum(last - first + 1, 1)).astype(np.int64)
-        for k in np.unique(level):
-            at = level == k
-            table = self.tables[k]
-            out[at] = np.minimum(table[first[at]], table[last[at] - (1 << int(k)) + 1])
-        return out
+        level = _LEVEL[np.minimum(last - first + 1, len(_LEVEL) - 1)]
+        wide = last - first + 1 >= len(_LEVEL)
+        if wide.any():
+            level[wide] = np.log2(last[wide] - first[wide] + 1).astype(np.int64)
+        row = level * self.n
+        return np.minimum(self.flat[row + first], self.flat[row + last + 1 - (1 << level)])
+
+
+# The largest power of two not above a number, as its exponent.
+_LEVEL = np.array([max(i.bit_length() - 1, 0) for i in range(1 << 12)], np.int64)
 
 
 class Collection:
@@ -55,16 +61,19 @@ class Collection:
             active = strings[self.lengths >= j]
             now = place[active]
             order, rank = self._order()
-            symbol, at = self.transform[now], rank[now]
-            least = _Least(self.prefix)
+            symbol, at = self.transform[now], rank[now].astype(np.int64)
             new = at + self.n  # empty suffixes come first
             before, after = order[np.maximum(at - 1, 0)], order[np.minimum(at + 1, len(order) - 1)]
             joined = (at > 0) & (self.transform[before] == symbol)
             follows = (at + 1 < len(order)) & (self.transform[after] == symbol)
+            low, high = now[joined], now[follows]
+            below, above = before[joined], after[follows]
+            widest = max((low - below).max(initial=0), (above - high).max(initial=0))
+            least = _Least(self.prefix, widest)
             own = np.zeros(len(active), np.uint8)
-            own[joined] = np.minimum(least.between(before[joined] + 1, now[joined]), limit - 1) + 1
+            own[joined] = np.minimum(least.between(below + 1, low), limit - 1) + 1
             next_ = np.zeros(len(active), np.uint8)
-            next_[follows] = np.minimum(least.between(now[follows] + 1, after[follows]), limit - 1) + 1
+            next_[follows] = np.minimum(least.between(high + 1, above), limit - 1) + 1
             size = len(self.transform) + len(active)
             old = np.ones(size, bool)
             old[new] = False
@@ -82,10 +91,9 @@ class Collection:
 
     def _order(self) -> tuple[np.ndarray, np.ndarray]:
         """Places with a symbol in the order of the suffixes they make, and the rank of each."""
-        order = np.argsort(self.transform, kind="stable")
-        order = order[np.searchsorted(self.transform[order], 1) :]
-        rank = np.empty(len(self.transform), np.int64)
-        rank[order] = np.arange(len(order))
+        order = np.argsort(self.transform, kind="stable")[len(self.transform) - np.count_nonzero(self.transform) :]
+        rank = np.empty(len(self.transform), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         return order, rank
 
     def suffixes(self, least: int):

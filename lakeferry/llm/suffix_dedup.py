@@ -44,58 +44,70 @@ from pyspark.sql import functions as F
 
 from lakeferry.llm.bwt import shared_prefixes
 from lakeferry.llm.scratch import Scratch
-from lakeferry.llm.words import as_binary, mix
+from lakeferry.llm.words import as_binary, mix, seeds
 from lakeferry.plans.workspace import session_settings
 
 LENGTH = 50
 ANCHOR = 20
-LONGEST_RUN = 48  # strings in a segment
+ANCHOR_BITS = 48  # of an anchor's hash; equal hashes of others only mean more work
+LONGEST_RUN = LENGTH - ANCHOR + 1  # strings in a segment; more only share an anchor by repeating it
 BLOCK_BYTES = 4 << 20
 PART_BYTES = 16 << 20  # of text whose anchors make one part
 COLLECTION_SEGMENTS = 3000
 HOT = 1000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.iinfo(np.int64).max
+_FACTORS = seeds(LENGTH // 8 + 1, 1 << 44) | np.uint64(1)
+_MASKS = [np.uint64((1 << 8 * n) - 1) for n in range(8)]
+_TILE = 1 << 15
 
 
 class Block:
     """Some documents' bytes, one after the other."""
 
-    def __init__(self, ids: list[int | None], texts: list[bytes]):
+    def __init__(self, ids: np.ndarray, null: np.ndarray, sizes: np.ndarray, data: np.ndarray):
         self.count = len(ids)
-        self.data = np.frombuffer(b"".join(texts), np.uint8)
-        self.bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        self.ids = np.array([_NONE if i is None else i for i in ids], np.int64)
-        self.null = np.array([i is None for i in ids], bool)
-
-    def _hashes(self, length: int) -> np.ndarray:
-        """A hash of the string of ``length`` bytes at every place that has one."""
-        n = len(self.data) - length + 1
-        padded = np.zeros(len(self.data) + 8, np.uint8)
-        padded[: len(self.data)] = self.data
-        words = np.zeros(len(self.data), np.uint64)
-        for i in range(8):
-            words |= padded[i : i + len(self.data)].astype(np.uint64) << np.uint64(8 * i)
-        out = np.zeros(n, np.uint64)
-        for at in range(0, length, 8):
-            part = words[at : at + n]
-            if length - at < 8:
-                part = part & np.uint64((1 << 8 * (length - at)) - 1)
-            out = mix(out * _GOLD + part)
+        self.data = data
+        self.bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.ids, self.null = ids, null
+
+        padded = np.zeros(len(data) + 8, np.uint8)
+        padded[: len(data)] = data
+        # the eight bytes from every place on, as a number
+        self.words = np.ndarray((len(data),), "<u8", padded.data, 0, (1,))
+
+    def _hash(self, places, count: int, length: int) -> np.ndarray:
+        """A hash of the ``length`` bytes at ``count`` places, a slice's start or an array."""
+        out = np.zeros(count, np.uint64)
+        for i, at in enumerate(range(0, length, 8)):
+            part = self.words[places + at : places + at + count] if isinstance(places, int) else self.words[places + at]
+            part = part & _MASKS[min(length - at, 8)] if length - at < 8 else part
+            out += part * _FACTORS[i]
+        out ^= out >> np.uint64(32)
+        out *= _GOLD
         return out
 
+    def _anchors(self, n: int) -> np.ndarray:
+        """The least hash of the anchors' strings inside each of the ``n`` long strings, tile by
+        tile, so that a tile's numbers stay in the processor's cache."""
+        spans = LENGTH - ANCHOR + 1
+        found = np.empty(n, np.uint64)
+        for at in range(0, n, _TILE):
+            size = min(_TILE, n - at)
+            least, span = self._hash(at, size + spans - 1, ANCHOR), 1
+            while span * 2 <= spans:
+                least = np.minimum(least[:-span], least[span:])
+                span *= 2
+            np.minimum(least[:size], least[spans - span : spans - span + size], out=found[at : at + size])
+        return found
+
     def segments(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(start, strings, anchor, document) of each segment; documents without an id have none."""
         empty = np.zeros(0, np.int64)
         n = len(self.data) - LENGTH + 1
         if n <= 0:
             return empty, empty, empty.astype(np.uint64), empty
-        least = self._hashes(ANCHOR)
-        spans, span = LENGTH - ANCHOR + 1, 1
-        while span * 2 <= spans:
-            least = np.minimum(least[:-span], least[span:])
-            span *= 2
-        anchors = np.minimum(least[:n], least[spans - span : spans - span + n])
+        anchors = self._anchors(n)
         lengths = np.maximum(np.diff(self.bounds) - LENGTH + 1, 0)
         lengths[self.null] = 0
         doc = np.repeat(np.arange(self.count), lengths)
@@ -109,7 +121,8 @@ class Block:
         run = np.diff(np.append(first, len(places)))
         edge |= (np.arange(len(places)) - np.repeat(first, run)) % LONGEST_RUN == 0
         first = np.flatnonzero(edge)
-        return places[first], np.diff(np.append(first, len(places))), anchors[first], doc[first]
+        runs = np.diff(np.append(first, len(places)))
+        return places[first], runs, mix(anchors[first]) >> np.uint64(64 - ANCHOR_BITS), doc[first]
 
     def wanted(self, flagged: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(start, strings, route, document) of the segments whose anchor is flagged; those with
@@ -122,7 +135,7 @@ class Block:
             return start, run, anchor, doc
         many = run[burning]
         each = np.repeat(start[burning] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-        whole = self._hashes(LENGTH)[each]
+        whole = mix(self._hash(each, len(each), LENGTH))
         cold = ~burning
         return (
             np.concatenate([start[cold], each]),
@@ -135,10 +148,9 @@ class Block:
         """A hash of each segment, from the hashes of its first and last string."""
         if not len(start):
             return np.zeros(0, np.uint64)
-        whole = self._hashes(LENGTH)
-        first = whole[start]
-        # every LENGTH bytes of a segment are read: it is shorter than two of its strings
-        return mix(mix(first + run.astype(np.uint64)) * _GOLD + whole[start + run - 1])
+        first, last = self._hash(start, len(start), LENGTH), self._hash(start + run - 1, len(start), LENGTH)
+        # together they read the whole segment: it is shorter than two of its strings
+        return mix(mix(first + run.astype(np.uint64)) * _GOLD + last)
 
 
 def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -148,6 +160,17 @@ def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == values
 
 
+def _short(anchors: np.ndarray) -> bytes:
+    """Anchors without the bytes that they leave empty."""
+    return np.ascontiguousarray(anchors.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, : ANCHOR_BITS // 8].tobytes()
+
+
+def _long(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) * 8 // ANCHOR_BITS, 8), np.uint8)
+    out[:, : ANCHOR_BITS // 8] = np.frombuffer(raw, np.uint8).reshape(len(out), -1) if raw else 0
+    return out.view("<u8").ravel()
+
+
 def _slices(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(key, places) of equal keys."""
     if not len(keys):
@@ -165,7 +188,16 @@ def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """(block, ids, texts): the rows (id, text), some per block, numbered by task."""
+    """(block, ids, nulls, sizes, data): the rows (id, text), some per block, numbered by task;
+    the texts are compressed, since blocks are moved twice."""
+    names = ["block", "ids", "nulls", "sizes", "data"]
+    kinds = [pa.int64(), *[pa.binary()] * 4]
+
+    def packed(number: int, ids: list[int | None], texts: list[bytes]) -> pa.RecordBatch:
+        own = np.array([_NONE if i is None else i for i in ids], np.int64).tobytes()
+        nulls = np.array([i is None for i in ids], bool).tobytes()
+        sizes = np.array([len(t) for t in texts], np.int64).tobytes()
+        return _batch([(number, own, nulls, sizes, pa.compress(b"".join(texts), "zstd", asbytes=True))], names, kinds)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -173,24 +205,26 @@ def _blocks(docs: DataFrame) -> DataFrame:
         ids: list[int | None] = []
         texts: list[bytes] = []
         size = 0
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary())]
         for batch in batches:
             for i, value in zip(batch.column(0).to_pylist(), as_binary(batch.column(1)), strict=True):
                 text = value.as_py()
                 if ids and size + len(text) > BLOCK_BYTES:
-                    yield _batch([(number, ids, texts)], ["block", "ids", "texts"], kinds)
+                    yield packed(number, ids, texts)
                     number, ids, texts, size = number + 1, [], [], 0
                 ids.append(i)
                 texts.append(text)
                 size += len(text)
         if ids:
-            yield _batch([(number, ids, texts)], ["block", "ids", "texts"], kinds)
+            yield packed(number, ids, texts)
 
-    return docs.mapInArrow(made, "block long, ids array<long>, texts array<binary>")
+    return docs.mapInArrow(made, "block long, ids binary, nulls binary, sizes binary, data binary")
 
 
 def _read(batch: pa.RecordBatch, i: int) -> Block:
-    return Block(batch.column("ids")[i].as_py(), batch.column("texts")[i].as_py())
+    sizes = _array(batch, "sizes", i, np.int64)
+    total = int(sizes.sum())
+    data = pa.decompress(batch.column("data")[i].as_py(), total, "zstd", asbytes=True) if total else b""
+    return Block(_array(batch, "ids", i, np.int64), _array(batch, "nulls", i, bool), sizes, np.frombuffer(data, np.uint8))
 
 
 def _array(batch: pa.RecordBatch, name: str, i: int, kind) -> np.ndarray:
@@ -211,9 +245,9 @@ def _anchors(blocks: DataFrame, parts: int) -> DataFrame:
                 fresh = np.ones(len(anchor), bool)
                 fresh[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
                 distinct, counts = np.unique(anchor[fresh], return_counts=True)
-                counts = counts.astype(np.uint32)
+                counts = np.minimum(counts, 255).astype(np.uint8)
                 rows = [
-                    (part, batch.column("block")[i].as_py(), distinct[at].tobytes(), counts[at].tobytes())
+                    (part, batch.column("block")[i].as_py(), _short(distinct[at]), counts[at].tobytes())
                     for part, at in _slices((distinct % np.uint64(parts)).astype(np.int64))
                 ]
                 yield _batch(rows, ["part", "block", "anchors", "docs"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
@@ -226,8 +260,8 @@ def _repeated(anchors: DataFrame, most: int) -> DataFrame:
 
     def found(table: pa.Table) -> pa.Table:
         batch = table.combine_chunks().to_batches()[0]
-        held = [_array(batch, "anchors", i, np.uint64) for i in range(batch.num_rows)]
-        docs = np.concatenate([_array(batch, "docs", i, np.uint32) for i in range(batch.num_rows)]).astype(np.int64)
+        held = [_long(batch.column("anchors")[i].as_py()) for i in range(batch.num_rows)]
+        docs = np.concatenate([_array(batch, "docs", i, np.uint8) for i in range(batch.num_rows)]).astype(np.int64)
         values = np.concatenate(held)
         sender = np.repeat(np.arange(len(held)), [len(h) for h in held])
         order = np.argsort(values, kind="stable")
@@ -240,7 +274,7 @@ def _repeated(anchors: DataFrame, most: int) -> DataFrame:
             own = many[np.searchsorted(sender, i) : np.searchsorted(sender, i, "right")]
             again = own > 1
             if again.any():
-                rows.append((batch.column("block")[i].as_py(), held[i][again].tobytes(), held[i][own > most].tobytes(), int(again.sum())))
+                rows.append((batch.column("block")[i].as_py(), _short(held[i][again]), _short(held[i][own > most]), int(again.sum())))
         return pa.Table.from_batches([_batch(rows, ["block", "anchors", "hot", "n"], [pa.int64(), pa.binary(), pa.binary(), pa.int64()])])
 
     return anchors.groupBy("part").applyInArrow(found, "block long, anchors binary, hot binary, n long")
@@ -251,7 +285,7 @@ def _flags(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
 
     def merged(name: str) -> np.ndarray:
         parts = batch.column(name)[i].as_py() or []
-        return np.sort(np.frombuffer(b"".join(parts), np.uint64))
+        return np.sort(_long(b"".join(parts)))
 
     return merged("flagged"), merged("hot")
 
@@ -305,15 +339,13 @@ def _verdicts(segments: DataFrame) -> DataFrame:
         own = np.full(len(texts), _NONE)
         np.minimum.at(own, code, least)
         bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        runs = np.diff(bounds) - LENGTH + 1
-        base = np.concatenate([[0], np.cumsum(runs)])
+        base = np.concatenate([[0], np.cumsum(np.diff(bounds) - LENGTH + 1)])
         holder = np.full(int(base[-1]), _NONE)
         parts = shared_prefixes(np.frombuffer(b"".join(texts), np.uint8), bounds, LENGTH)
-        if parts:
-            offset, string, group = (np.concatenate(x) for x in zip(*parts, strict=True))
-            smallest = np.full(int(group.max(initial=0)) + 1, _NONE)
-            np.minimum.at(smallest, group, own[string])
-            holder[base[string] + offset] = smallest[group]
+        offset, string, group = (np.concatenate(x) for x in zip(*parts, strict=True))
+        smallest = np.full(int(group.max(initial=0)) + 1, _NONE)
+        np.minimum.at(smallest, group, own[string])
+        holder[base[string] + offset] = smallest[group]
         # runs of one holder inside each segment
         edge = np.ones(len(holder), bool)
         edge[1:] = holder[1:] != holder[:-1]
@@ -391,7 +423,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     # a row of these tables is a block, so few of them make a batch
     with session_settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": 512}):
-        scratch.put(_blocks(own), "blocks", compression="zstd")
+        scratch.put(_blocks(own), "blocks", compression="none")
     with session_settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": 8}):
         blocks = scratch.get("blocks")
         total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -399,13 +431,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         scratch.release()
         many = flags.agg(F.sum("n")).first()[0] or 0
         by_block = flags.groupBy("block").agg(F.collect_list("anchors").alias("flagged"), F.collect_list("hot").alias("hot"))
-        flagged = blocks.join(by_block, "block")
+        # written once: the shuffle that joins the blocks to their anchors is then over
+        flagged = scratch.put(blocks.join(by_block, "block", "left"), "flagged", compression="none")
+        scratch.drop("blocks", "flags")
+        scratch.release()
         found = _segments(flagged, 1 + many // COLLECTION_SEGMENTS)
         verdicts = scratch.put(_verdicts(found), "verdicts")
         scratch.release()
         decided = verdicts.groupBy("block").agg(F.collect_list("verdicts").alias("verdicts"))
-        whole = blocks.join(by_block, "block", "left").join(decided, "block", "left")
+        whole = flagged.join(decided, "block", "left")
         result = scratch.put(_cleaned(whole, id_col, with_text), "result")
-    scratch.drop("blocks", "flags", "verdicts")
+    scratch.drop("flagged", "verdicts")
     scratch.release()
     return result
