@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from lakeferry.llm.scratch import Scratch
 from lakeferry.llm.words import seeds
+from lakeferry.plans.workspace import session_settings
 
 PLANES = 16  # even, so that the chi-square distribution is a finite sum
 CERTAIN = 0.97
@@ -154,7 +155,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
                 yield _block(batch.column("entries")[i].values, batch.column("queries")[i].values, dimension, k, quantile)
 
     schema = "query_id long, id long, score double"
-    found = pairs.select("dimension", "entries", "queries").mapInArrow(searched, schema)
+    # a row is two blocks, so each makes a batch of its own
+    with session_settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": 1}):
+        found = scratch.put(pairs.select("dimension", "entries", "queries").mapInArrow(searched, schema), "found")
+    scratch.drop("rows", "entries")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
