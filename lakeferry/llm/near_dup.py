@@ -11,14 +11,16 @@ threshold is confirmed on the full sets.
 Two exact rules keep groups of copies from costing the square of their size. Equal sets are one
 set. And links are components: the members of a node that are known to be connected need no
 comparison with each other, so a node counts as small once at most `MINORITY` members lie outside
-its largest component, however many lie in it. For that the first step compares every set with
-the smallest id of each of its root nodes and contracts the links found. Nodes that stay large for
-`DEPTH` levels are compared exhaustively as they are, minority blocks against all members.
+its largest component, however many lie in it; these are compared with all members, `CHUNK` against
+`CHUNK` at a time. For that the first step compares every set with one member of each of its
+root nodes and contracts the links found. Nodes that stay large for `DEPTH` levels are compared in
+the same chunks as they are.
 
 Recall: a pair of similarity 0.75 shares about 12 of 16 root tokens; each shared node of depth d
 keeps the pair with probability of about 1 / (1 + 0.19 d), so at depth 8 about one pair in 30,000
 at the very threshold is missed, far fewer above it. Comparing tokens drops a pair only
-if fewer than `LEAST_EQUAL` of 128 agree, one in some 100,000 pairs at the threshold.
+if fewer than `LEAST_EQUAL` of 128 agree, one in some 5,000 pairs at the very threshold and one in a
+million at 0.8.
 
 Nothing is collected: nodes, links and components are tables in the shared folder. A hot token is
 counted with partial aggregation and met in joins that Spark can split.
@@ -31,6 +33,7 @@ what any of them is linked to; an empty table gives an empty one. Only the id an
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +48,10 @@ WORDS = 5
 THRESHOLD = (3, 4)  # intersection : union
 TOKENS = 128
 ROOTS = 16
-LEAST_EQUAL = 72
-MINORITY = 32
+LEAST_EQUAL = 78
+TINY = 32  # members that are compared as one row
+MINORITY = 1024
+CHUNK = 1024
 DEPTH = 24
 
 _MASKS = seeds(TOKENS, 1 << 40)
@@ -161,10 +166,8 @@ class Join:
             "sets",
         )
 
-    def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) that reach the threshold on their full sets."""
-        pairs = self.scratch.put(pairs, f"{name}-pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    def full(self, wanted: DataFrame, name: str) -> DataFrame:
+        """(id, shingles): the whole sets of the ids (id)."""
         k = self.k
 
         def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,65 +185,71 @@ class Join:
                     yield _listed(batch.column(0), at, held)
 
         kind = self.docs.schema["id"].dataType.simpleString()
-        texts = self.docs.join(wanted, "id", "left_semi").select("id", "text")
-        full = self.scratch.put(texts.mapInArrow(made, f"id {kind}, shingles array<long>"), f"{name}-full")
+        # always the same plan: texts are dealt by id, never met by a table that grows with them
+        texts = self.docs.join(wanted.distinct().hint("shuffle_hash"), "id", "left_semi").select("id", "text")
+        found = self.scratch.put(texts.mapInArrow(made, f"id {kind}, shingles array<long>"), name)
+        self.scratch.release()
+        return found
+
+    def confirmed(self, pairs: DataFrame, full: DataFrame, name: str) -> DataFrame:
+        """The pairs (a, b) that reach the threshold on their full sets."""
         both = pairs.join(full.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(
             full.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b"
         )
         above, below = THRESHOLD
         shared = F.size(F.array_intersect("x", "y"))
         links = both.where(below * shared >= above * (F.size("x") + F.size("y") - shared)).select("a", "b")
-        links = self.scratch.put(links.distinct(), f"{name}-links")
-        self.scratch.drop(f"{name}-pairs", f"{name}-full")
-        return links
+        return self.scratch.put(links.distinct(), name)
 
     def stars(self) -> tuple[DataFrame, DataFrame]:
-        """Root nodes of two sets or more (node, id), and the links to the smallest id of each."""
+        """Root nodes of two sets or more (node, id), and the links to one member of each."""
         members = self.sets.select("id", F.explode("roots").alias("node"))
-        nodes = members.groupBy("node").agg(F.count("*").alias("size"), F.min("id").alias("least")).where("size > 1")
-        roots = self.scratch.put(members.join(nodes, "node").select("node", "id", "least"), "roots")
-        pairs = roots.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+        # one member of each node, chosen by a hash, so that a set meets many others over its roots
+        one = F.min_by("id", F.struct(F.xxhash64("node", "id"), "id")).alias("one")
+        nodes = members.groupBy("node").agg(F.count("*").alias("size"), one).where("size > 1")
+        roots = self.scratch.put(members.join(nodes, "node").select("node", "id", "one"), "roots")
+        pairs = _ordered(roots.where("id <> one").select(F.col("one").alias("a"), F.col("id").alias("b")))
         tokens = self.sets.select("id", "n", "tokens")
         both = pairs.join(tokens.toDF("a", "n_a", "tokens_a"), "a").join(tokens.toDF("b", "n_b", "tokens_b"), "b")
         near = both.where(_may_reach(F.col("n_a"), F.col("n_b")))
         near = near.where(_equal(F.col("tokens_a"), F.col("tokens_b")) >= LEAST_EQUAL).select("a", "b")
-        return roots.select("node", "id"), self.confirmed(near, "stars")
+        near = self.scratch.put(near, "star-pairs")
+        full = self.full(near.select(F.explode(F.array("a", "b")).alias("id")), "star-sets")
+        links = self.confirmed(near, full, "star-links")
+        self.scratch.drop("star-pairs", "star-sets")
+        return roots.select("node", "id"), links
 
     def trees(self, roots: DataFrame, known: DataFrame) -> DataFrame:
-        """Pairs (a, b) between different known components that may reach the threshold."""
-        members = (
-            roots.join(known, "id", "left")
-            .select("node", "id", F.coalesce("component", "id").alias("component"))
-            .join(self.sets.select("id", "n", "tokens"), "id")
-        )
-        found = []
+        """Links (a, b) between different known components, enough of them to connect these."""
+        scratch, sets = self.scratch, self.sets.select("id", "n", "tokens")
+        members = roots.join(known, "id", "left").select("node", "id", F.coalesce("component", "id").alias("component"))
+        levels = []
         for depth in range(DEPTH + 1):
-            if depth == 0:
-                # decide on ids alone; sets follow for the nodes that are left
-                slim = roots.join(known, "id", "left").select("node", "id", F.coalesce("component", "id").alias("component"))
-                sizes = _sizes(slim)
-                alive = slim.join(sizes, "node").join(self.sets.select("id", "n", "tokens"), "id")
-            else:
-                alive = members.join(_sizes(members), "node")
-            alive = self.scratch.put(alive, f"alive-{depth}")
-            if depth:
-                self.scratch.drop(f"alive-{depth - 1}")
-            last = depth == DEPTH
-            small = alive if last else alive.where(F.col("minority") <= MINORITY)
-            found.append(self.scratch.put(_compared(small), f"found-{depth}"))
-            if last or alive.where(F.col("minority") > MINORITY).isEmpty():
+            alive = members.join(_sizes(members), "node")
+            if not depth:  # sizes need ids only; tokens follow for the nodes that are left
+                alive = alive.join(sets, "id")
+            alive = scratch.put(alive, f"alive-{depth}")
+            large = (F.col("minority") > MINORITY) & F.lit(depth < DEPTH)
+            levels.append(alive.where(~large))
+            rest = alive.where(large)
+            if rest.isEmpty():
                 break
-            members = _branched(alive.where(F.col("minority") > MINORITY))
-        pairs = found[0]
-        for more in found[1:]:
-            pairs = pairs.union(more)
-        return pairs.distinct()
+            members = _branched(rest)
+        small = reduce(DataFrame.union, [x.select(*levels[0].columns) for x in levels])
+        pairs = scratch.put(_compared_tiny(small.where(F.col("size") <= TINY)), "tree-pairs")
+        near = scratch.put(_near(small.where(F.col("size") > TINY)), "tree-near")
+        scratch.drop(*[f"alive-{depth}" for depth in range(len(levels))])
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(near.select("id"))
+        full = self.full(wanted, "tree-sets")
+        links = self.confirmed(pairs, full, "tree-links").union(_connected(near.join(full, "id")))
+        return scratch.put(links.distinct(), "more-links")
 
     def run(self) -> DataFrame:
         """(id, component) of every set that is linked."""
         roots, links = self.stars()
         known = self.scratch.put(components(links, self.scratch), "known")
-        more = self.confirmed(self.trees(roots, known), "trees")
+        self.scratch.release()
+        more = self.trees(roots, known)
         # links between components decide the rest
         name = lambda side: known.select(F.col("id").alias(side), F.col("component").alias(f"{side}_of"))
         lifted = (
@@ -262,14 +271,14 @@ def _listed(ids: pa.Array, at: int, held: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def _sizes(members: DataFrame) -> DataFrame:
-    """(node, major, minority) of the nodes with more than one component: the largest component
-    and the number of members outside it."""
+    """(node, major, size, minority) of the nodes with more than one component: the largest
+    component, the number of members, and of those outside it."""
     counts = members.groupBy("node", "component").agg(F.count("*").alias("n"))
     return (
         counts.groupBy("node")
         .agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("major"))
         .where("size > most")
-        .select("node", "major", (F.col("size") - F.col("most")).alias("minority"))
+        .select("node", "major", "size", (F.col("size") - F.col("most")).alias("minority"))
     )
 
 
@@ -283,41 +292,122 @@ def _branched(members: DataFrame) -> DataFrame:
     return members.withColumn("chosen", F.explode(chosen)).select(child.alias("node"), "id", "component", "n", "tokens")
 
 
-def _compared(members: DataFrame) -> DataFrame:
-    """Pairs of every node's minority with all its members, in blocks of the minority."""
-    blocks = F.pmod(F.xxhash64("id"), F.ceil(F.col("minority") / MINORITY))
-    minority = (
-        members.where("component <> major")
-        .groupBy("node", blocks.alias("block"))
-        .agg(F.collect_list(F.struct("id", "component", "n", "tokens")).alias("others"))
-        .select("node", "others")
+def _close(tokens: np.ndarray, others: np.ndarray, parts: np.ndarray, other_parts: np.ndarray,
+           sizes: np.ndarray, other_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, other rows) of different components that may reach the threshold."""
+    above, below = THRESHOLD
+    rows, columns = [], []
+    for i in range(len(tokens)):
+        fits = other_parts != parts[i]
+        fits &= below * np.minimum(other_sizes, sizes[i]) >= above * np.maximum(other_sizes, sizes[i])
+        where = np.flatnonzero(fits)
+        if len(where):
+            where = where[(others[where] == tokens[i]).sum(axis=1) >= LEAST_EQUAL]
+            rows.append(np.full(len(where), i))
+            columns.append(where)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *rows]), np.concatenate([none, *columns])
+
+
+def _compared_tiny(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) inside nodes of few members, one row per node."""
+    nodes = members.groupBy("node").agg(F.collect_list(F.struct("id", "component", "n", "tokens")).alias("members"))
+    kind = members.schema["id"].dataType.simpleString()
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column(0)
+            flat = held.flatten()
+            if not len(flat):
+                continue
+            bounds = np.concatenate([[0], np.cumsum(held.value_lengths().to_numpy(False))]).astype(np.int64)
+            tokens, parts, sizes = _matrix(flat.field(3)), flat.field(1).to_numpy(False), flat.field(2).to_numpy(False)
+            left, right = [], []
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                i, j = _close(tokens[a:b], tokens[a:b], parts[a:b], parts[a:b], sizes[a:b], sizes[a:b])
+                left.append(a + i[i < j])
+                right.append(a + j[i < j])
+            ids = flat.field(0)
+            taken = [ids.take(pa.array(np.concatenate(x), pa.int64())) for x in (left, right)]
+            yield pa.RecordBatch.from_arrays(taken, names=["a", "b"])
+
+    return _ordered(nodes.select("members").mapInArrow(made, f"a {kind}, b {kind}"))
+
+
+def _near(members: DataFrame) -> DataFrame:
+    """Of every node's minority and all its members, chunk against chunk, those that may reach the
+    threshold with one of another component: one row each, however many there are."""
+    spread = lambda n: F.sequence(F.lit(0), F.ceil(n / CHUNK).cast("int") - 1)
+    chunk = lambda n: F.pmod(F.xxhash64("id"), F.ceil(n / CHUNK)).cast("int")
+    size, minority = F.col("size"), F.col("minority")
+    columns = ["node", "own", "other", "asked", "id", "component", "n", "tokens"]
+    every = members.withColumns({"own": chunk(size), "other": F.explode(spread(minority)), "asked": F.lit(False)})
+    asked = members.where("component <> major").withColumns(
+        {"own": F.explode(spread(size)), "other": chunk(minority), "asked": F.lit(True)}
     )
-    both = members.select("node", "id", "component", "n", "tokens").join(minority, "node")
+    both = every.select(*columns).union(asked.select(*columns))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.schema.fields)
 
-    def near(own_id: pa.Array, own_component: pa.Array, own_n: pa.Array, own: pa.Array, others: pa.Array) -> pa.Array:
-        above, below = THRESHOLD
-        flat, bounds = others.flatten(), np.concatenate([[0], np.cumsum(others.value_lengths().to_numpy(False))]).astype(np.int64)
-        if not len(flat):
-            return pa.array([[] for _ in range(len(own))], pa.list_(flat.field(0).type if len(own) else own_id.type))
-        owns, tokens = _matrix(own), _matrix(flat.field(3))
-        ids, parts = flat.field(0), flat.field(1).to_numpy(False)
-        sizes, mine, n = flat.field(2).to_numpy(False), own_component.to_numpy(False), own_n.to_numpy(False)
-        out = []
-        for i in range(len(own)):
-            at = slice(bounds[i], bounds[i + 1])
-            fits = parts[at] != mine[i]
-            fits &= below * np.minimum(sizes[at], n[i]) >= above * np.maximum(sizes[at], n[i])
-            where = np.flatnonzero(fits)
-            if len(where):
-                where = where[(tokens[bounds[i] + where] == owns[i]).sum(axis=1) >= LEAST_EQUAL]
-            out.append([ids[int(bounds[i] + j)].as_py() for j in where])
-        return pa.array(out, pa.list_(ids.type))
-
-    near.__annotations__ = {x: pa.Array for x in ("own_id", "own_component", "own_n", "own", "others", "return")}
+    def made(table: pa.Table) -> pa.Table:
+        batch = table.combine_chunks().to_batches()[0]
+        mine, others = _sides(batch)
+        if not len(mine) or not len(others):
+            return table.slice(0, 0)
+        tokens, parts, sizes = _matrix(batch.column("tokens")), *(batch.column(c).to_numpy(False) for c in ("component", "n"))
+        i, j = _close(tokens[mine], tokens[others], parts[mine], parts[others], sizes[mine], sizes[others])
+        kept = np.union1d(mine[i], others[j])
+        return table.take(pa.array(kept, pa.int64()))
+
+    return both.groupBy("node", "own", "other").applyInArrow(made, kinds)
+
+
+def _sides(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    asked = batch.column("asked").to_numpy(False)
+    return np.flatnonzero(~asked), np.flatnonzero(asked)
+
+
+def _connected(members: DataFrame) -> DataFrame:
+    """Links (a, b) that reach the threshold on the full sets and connect what was not connected,
+    inside each chunk; others between the same sets of components are left out."""
     kind = members.schema["id"].dataType.simpleString()
-    found = F.arrow_udf(near, f"array<{kind}>")("id", "component", "n", "tokens", "others")
-    pairs = both.select("id", F.explode(found).alias("other"))
-    return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    above, below = THRESHOLD
+
+    def made(table: pa.Table) -> pa.Table:
+        batch = table.combine_chunks().to_batches()[0]
+        mine, others = _sides(batch)
+        ids, left, right = batch.column("id"), [], []
+        if len(mine) and len(others):
+            tokens, parts, sizes = _matrix(batch.column("tokens")), *(batch.column(c).to_numpy(False) for c in ("component", "n"))
+            sets = [x.values.to_numpy(False) for x in batch.column("shingles")]
+            words, codes = np.unique(np.concatenate([sets[k] for k in mine]), return_inverse=True)
+            lengths = np.array([len(sets[k]) for k in mine])
+            starts = np.cumsum(lengths) - lengths
+            _, parts = np.unique(parts, return_inverse=True)
+            root = np.arange(len(parts))
+            for j in others:
+                own = root[parts]
+                _, i = _close(tokens[j : j + 1], tokens[mine], own[j : j + 1], own[mine], sizes[j : j + 1], sizes[mine])
+                if not len(i):
+                    continue
+                held = np.zeros(len(words), np.int64)
+                at = np.minimum(np.searchsorted(words, sets[j]), len(words) - 1)
+                held[at[words[at] == sets[j]]] = 1
+                shared = np.add.reduceat(held[codes], starts)[i]
+                linked = i[below * shared >= above * (lengths[i] + len(sets[j]) - shared)]
+                # one link to each component that is met
+                met, first = np.unique(own[mine[linked]], return_index=True)
+                left += mine[linked[first]].tolist()
+                right += [j] * len(met)
+                if len(met):
+                    root[np.isin(root, met)] = root[parts[j]]
+        take = lambda x: ids.take(pa.array(x, pa.int64()))
+        return pa.table({"a": take(left), "b": take(right)})
+
+    return _ordered(members.groupBy("node", "own", "other").applyInArrow(made, f"a {kind}, b {kind}"))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS) -> DataFrame:
