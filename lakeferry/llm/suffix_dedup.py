@@ -77,7 +77,8 @@ class Block:
         self.words = np.ndarray((len(data),), "<u8", padded.data, 0, (1,))
 
     def _hash(self, places, count: int, length: int) -> np.ndarray:
-        """A hash of the ``length`` bytes at ``count`` places, a slice's start or an array."""
+        """A hash of the ``length`` bytes at ``count`` places, a slice's start or an array. It is a
+        sum of words, which others may share that differ in a few bytes: it only serves anchors."""
         out = np.zeros(count, np.uint64)
         for i, at in enumerate(range(0, length, 8)):
             part = self.words[places + at : places + at + count] if isinstance(places, int) else self.words[places + at]
@@ -87,6 +88,21 @@ class Block:
         out *= _GOLD
         return out
 
+    def _chained(self, places: np.ndarray, length: int) -> np.ndarray:
+        """A hash of the ``length`` bytes at the places, scrambled after every word."""
+        out = np.zeros(len(places), np.uint64)
+        for at in range(0, length, 8):
+            part = self.words[places + at]
+            out = mix(out * _GOLD + (part & _MASKS[length - at] if length - at < 8 else part))
+        return out
+
+    def _same(self, places: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Are the long strings at these places equal, byte for byte?"""
+        same = np.ones(len(places), bool)
+        for at in (*range(0, LENGTH - 7, 8), LENGTH - 8):
+            same &= self.words[places + at] == self.words[others + at]
+        return same
+
     def _anchors(self, n: int) -> np.ndarray:
         """The least hash of the anchors' strings inside each of the ``n`` long strings, tile by
         tile, so that a tile's numbers stay in the processor's cache."""
@@ -135,7 +151,7 @@ class Block:
             return start, run, anchor, doc
         many = run[burning]
         each = np.repeat(start[burning] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-        whole = mix(self._hash(each, len(each), LENGTH))
+        whole = self._chained(each, LENGTH)
         cold = ~burning
         return (
             np.concatenate([start[cold], each]),
@@ -144,13 +160,22 @@ class Block:
             np.concatenate([doc[cold], np.repeat(doc[burning], many)]),
         )
 
-    def names(self, start: np.ndarray, run: np.ndarray) -> np.ndarray:
-        """A hash of each segment, from the hashes of its first and last string."""
+    def distinct(self, start: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the first, number of each) of distinct segments. The bytes decide: a hash only
+        brings candidates together. The same segments always get the same numbers."""
         if not len(start):
-            return np.zeros(0, np.uint64)
-        first, last = self._hash(start, len(start), LENGTH), self._hash(start + run - 1, len(start), LENGTH)
-        # together they read the whole segment: it is shorter than two of its strings
-        return mix(mix(first + run.astype(np.uint64)) * _GOLD + last)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # first and last string together are the whole segment: it is shorter than two of them
+        end = start + run - 1
+        name = mix(mix(self._chained(start, LENGTH) + run.astype(np.uint64)) * _GOLD + self._chained(end, LENGTH))
+        _, first, code = np.unique(name, return_index=True, return_inverse=True)
+        like = first[code]
+        same = (run == run[like]) & self._same(start, start[like]) & self._same(end, end[like])
+        more: dict[bytes, tuple[int, int]] = {}
+        for i in np.flatnonzero(~same):
+            held = self.data[start[i] : end[i] + LENGTH].tobytes()
+            code[i], _ = more.setdefault(held, (len(first) + len(more), i))
+        return np.concatenate([first, np.array([i for _, i in more.values()], np.int64)]), code
 
 
 def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -292,7 +317,7 @@ def _flags(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _segments(blocks: DataFrame, collections: int) -> DataFrame:
     """(collection, block, names, lengths, data, least, most): the distinct flagged segments of
-    each block, with the smallest and the largest id that hold each."""
+    each block, named by their numbers there, with the smallest and the largest id that hold each."""
     names = ["collection", "block", "names", "lengths", "data", "least", "most"]
     kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
 
@@ -301,10 +326,9 @@ def _segments(blocks: DataFrame, collections: int) -> DataFrame:
             for i in range(batch.num_rows):
                 block = _read(batch, i)
                 start, run, route, doc = block.wanted(*_flags(batch, i))
-                name = block.names(start, run)
-                distinct, first, code = np.unique(name, return_index=True, return_inverse=True)
-                least = np.full(len(distinct), _NONE)
-                most = np.full(len(distinct), np.iinfo(np.int64).min)
+                first, code = block.distinct(start, run)
+                least = np.full(len(first), _NONE)
+                most = np.full(len(first), np.iinfo(np.int64).min)
                 np.minimum.at(least, code, block.ids[doc])
                 np.maximum.at(most, code, block.ids[doc])
                 start, length = start[first], run[first] + LENGTH - 1
@@ -312,7 +336,7 @@ def _segments(blocks: DataFrame, collections: int) -> DataFrame:
                 for collection, at in _slices((mix(route[first]) % np.uint64(collections)).astype(np.int64)):
                     data = b"".join(block.data[s : s + n].tobytes() for s, n in zip(start[at], length[at], strict=True))
                     rows.append((
-                        collection, batch.column("block")[i].as_py(), distinct[at].tobytes(),
+                        collection, batch.column("block")[i].as_py(), at.astype(np.uint32).tobytes(),
                         length[at].astype(np.uint8).tobytes(), data, least[at].tobytes(), most[at].tobytes(),
                     ))
                 yield _batch(rows, names, kinds)
@@ -327,7 +351,7 @@ def _verdicts(segments: DataFrame) -> DataFrame:
     def found(table: pa.Table) -> pa.Table:
         batch = table.combine_chunks().to_batches()[0]
         column = lambda name, kind: [_array(batch, name, i, kind) for i in range(batch.num_rows)]
-        held = column("names", np.uint64)
+        held = column("names", np.uint32)
         names = np.concatenate(held)
         lengths = np.concatenate(column("lengths", np.uint8)).astype(np.int64)
         least, most = np.concatenate(column("least", np.int64)), np.concatenate(column("most", np.int64))
@@ -368,7 +392,7 @@ def _verdicts(segments: DataFrame) -> DataFrame:
     return segments.groupBy("collection").applyInArrow(found, "block long, verdicts binary")
 
 
-VERDICT = np.dtype([("name", "<u8"), ("begin", "u1"), ("end", "u1"), ("id", "<i8")])
+VERDICT = np.dtype([("name", "<u4"), ("begin", "u1"), ("end", "u1"), ("id", "<i8")])
 
 
 def _marks(block: Block, flagged: np.ndarray, hot: np.ndarray, verdicts: np.ndarray) -> np.ndarray:
@@ -376,7 +400,7 @@ def _marks(block: Block, flagged: np.ndarray, hot: np.ndarray, verdicts: np.ndar
     cover = np.zeros(len(block.data) + 1, np.int32)
     if len(verdicts):
         start, run, _, doc = block.wanted(flagged, hot)
-        name = block.names(start, run)
+        _, name = block.distinct(start, run)
         verdicts = verdicts[np.argsort(verdicts["name"], kind="stable")]
         low = np.searchsorted(verdicts["name"], name, "left")
         many = np.searchsorted(verdicts["name"], name, "right") - low

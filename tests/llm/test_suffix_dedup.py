@@ -82,3 +82,29 @@ def test_hot_passages(spark, hot):
 def test_odd_documents(spark):
     check(odd(spark))
     assert S.remove_repeats(odd(spark, empty=True)).count() == 0
+
+
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_passages_that_differ_in_top_bytes_of_words(spark, hot):
+    """Two digits eight bytes apart differ: sums of words times odd factors can be equal for these."""
+    base = (prose(20, 60).encode().replace(b" ", b"_"))[:400].decode("ascii", "replace").replace("\ufffd", "x")[:200]
+    put = lambda at, x, y: f"{base[:at]}{x}{base[at + 1 : at + 8]}{y}{base[at + 9 : 50]}"
+    rows = []
+    for at in (7, 15, 23, 31, 39):
+        pairs = [(x, y) for x in range(10) for y in range(10)]
+        rows += [(len(rows) + n, f"{put(at, x, y)}") for n, (x, y) in enumerate(pairs)]
+    rows += [(1000 + i, t) for i, t in rows]
+    expected = check(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), hot=hot)
+    assert sum(r[2] for r in expected) == 50 * len(rows) // 2
+
+
+def test_equal_hashes_of_segments(spark, monkeypatch):
+    """Segments are told apart by their bytes, whatever their hashes."""
+    monkeypatch.setattr(S.Block, "_chained", lambda self, places, length: np.zeros(len(places), np.uint64))
+    texts = [np.frombuffer(f"{prose(30 + i % 7, 30)}{'x' * (i % 2)}".encode(), np.uint8) for i in range(20)]
+    block = S.Block(np.arange(20), np.zeros(20, bool), np.array([len(t) for t in texts]), np.concatenate(texts))
+    start, run, _, _ = block.segments()
+    first, code = block.distinct(start, run)
+    held = [block.data[s : s + n + S.LENGTH - 1].tobytes() for s, n in zip(start, run, strict=True)]
+    assert [held[i] for i in first[code]] == held
+    assert len(first) == len(set(held))
