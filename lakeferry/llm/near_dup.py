@@ -3,9 +3,8 @@
 A document is the set of its shingles. Each of `TOKENS` minwise functions picks one shingle of a
 set, its token for that function; two sets share a token with the probability of their Jaccard
 similarity. `ROOTS` independent trees start from one token each: all sets with the same token form
-a node. A node branches by further tokens, 1 / threshold of them on average, chosen by the node's
-own hash, so that similar sets keep meeting and others part. A node stops branching as soon as
-it is small: then its sets are compared exhaustively, by their tokens, and what may reach the
+a node. A node branches by one or two further tokens, chosen by the node's own hash, so that similar
+sets keep meeting and others part. A node stops branching as soon as it is small: then its sets are compared exhaustively, by their tokens, and what may reach the
 threshold is confirmed on the full sets.
 
 Two exact rules keep groups of copies from costing the square of their size. Equal sets are one
@@ -16,11 +15,15 @@ its largest component, however many lie in it; these are compared with all membe
 root nodes and contracts the links found. Nodes that stay large for `DEPTH` levels are compared in
 the same chunks as they are.
 
-Recall: a pair of similarity 0.75 shares about 12 of 16 root tokens; each shared node of depth d
-keeps the pair with probability of about 1 / (1 + 0.19 d), so at depth 8 about one pair in 30,000
-at the very threshold is missed, far fewer above it. Comparing tokens drops a pair only
-if fewer than `LEAST_EQUAL` of 128 agree, one in some 5,000 pairs at the very threshold and one in a
-million at 0.8.
+Recall: a pair at the very threshold agrees in a binomial number of its tokens, and given that
+number its trees are independent branching processes, so `missed` is the exact probability that no
+tree keeps it down to a given depth. With 1 / threshold branches a node, a process is critical and dies
+out the deeper it goes (11 % of pairs at depth 24 even if three quarters of the tokens agree); so the
+share of nodes that branch by two, `TWICE`, is the least for which at most `MISSED` of the pairs at the
+threshold are lost at the last depth, and fewer at every other. Each level then makes 1.78
+memberships of one, of which a node of sets with similarity s below the threshold keeps s.
+Comparing tokens drops a pair only if fewer than `LEAST_EQUAL` of 128 agree, about one in 800,000
+pairs at the very threshold.
 
 Nothing is collected: nodes, links and components are tables in the shared folder. A hot token is
 counted with partial aggregation and met in joins that Spark can split.
@@ -34,6 +37,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +52,35 @@ WORDS = 5
 THRESHOLD = (3, 4)  # intersection : union
 TOKENS = 128
 ROOTS = 16
-LEAST_EQUAL = 78
+LEAST_EQUAL = 72
 TINY = 32  # members that are compared as one row
 MINORITY = 1024
 CHUNK = 1024
 DEPTH = 24
+MISSED = 1e-4  # of the pairs at the threshold, by the trees, at any depth
+
+
+def missed(twice: float, depth: int, roots: int = ROOTS) -> float:
+    """The probability that a pair at the threshold meets in no node of this depth, if a share
+    ``twice`` of the nodes branches by two."""
+    above, below = THRESHOLD
+    chance = above / below
+    equal = np.arange(TOKENS + 1)
+    weight = np.array([comb(TOKENS, int(k)) * chance**k * (1 - chance) ** (TOKENS - k) for k in equal])
+    kept = np.ones(TOKENS + 1)  # of a node that both are in, down to the last level
+    for _ in range(depth):
+        lost = 1 - equal / TOKENS * kept
+        kept = 1 - ((1 - twice) * lost + twice * lost**2)
+    return float((weight * (1 - equal / TOKENS * kept) ** roots).sum())
+
+
+def _rate() -> float:
+    """The least share of nodes that must branch by two, in thousandths."""
+    fits = [n / 1000 for n in range(0, 1001, 5) if missed(n / 1000, DEPTH) <= MISSED]
+    return fits[0]
+
+
+TWICE = _rate()
 
 _MASKS = seeds(TOKENS, 1 << 40)
 _FACTORS = seeds(TOKENS, 1 << 41) | np.uint64(1)
@@ -283,10 +311,10 @@ def _sizes(members: DataFrame) -> DataFrame:
 
 
 def _branched(members: DataFrame) -> DataFrame:
-    """The children of every node: by one token, or by two for a third of the nodes."""
+    """The children of every node: by one token, or by two for `TWICE` of the nodes."""
     first = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(TOKENS))
     second = F.pmod(first + 1 + F.pmod(F.xxhash64("node", F.lit(2)), F.lit(TOKENS - 1)), F.lit(TOKENS))
-    twice = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(3)) == 0
+    twice = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1000)) < round(1000 * TWICE)
     chosen = F.when(twice, F.array(first, second)).otherwise(F.array(first))
     child = F.xxhash64("node", "chosen", F.expr("substring(tokens, cast(chosen + 1 as int), 1)"))
     return members.withColumn("chosen", F.explode(chosen)).select(child.alias("node"), "id", "component", "n", "tokens")

@@ -6,6 +6,8 @@ from itertools import combinations
 
 import pytest
 from cases import WORD, given, odd, prose
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from lakeferry.llm import near_dup as N
 from lakeferry.llm.components import components
@@ -88,6 +90,41 @@ def test_nodes_that_never_part(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_pairs_meet_after_many_levels(spark):
+    """Of 400 pairs whose tokens agree with the threshold's probability, every one still has a
+    common node after ten levels."""
+    rng = random.Random(11)
+    rows = []
+    for pair in range(400):
+        tokens = bytes(rng.randrange(256) for _ in range(N.TOKENS))
+        other = bytes(t if rng.random() < 0.75 else (t + 1) % 256 for t in tokens)
+        for side, held in enumerate((tokens, other)):
+            rows += [((pair * 100 + root) * 256 + held[root], 2 * pair + side, pair, 1, bytearray(held)) for root in range(N.ROOTS)]
+    members = spark.createDataFrame(rows, "node long, id long, component long, n long, tokens binary")
+    met = lambda df: df.withColumn("many", F.count("*").over(Window.partitionBy("node"))).where("many > 1").drop("many")
+    for _ in range(10):
+        members = met(N._branched(met(members))).localCheckpoint()
+    assert members.select("component").distinct().count() == 400
+
+
+def test_recall_of_trees():
+    """The branching rate keeps its promise at every depth, and the sum agrees with a simulation."""
+    assert all(N.missed(N.TWICE, depth) <= N.MISSED for depth in range(N.DEPTH + 1))
+    assert N.missed(1 / 3, 8) > 0.01
+    rng, runs = random.Random(3), 4000
+
+    def meets(equal: int, depth: int) -> bool:
+        if rng.random() >= equal / N.TOKENS:
+            return False
+        return not depth or any(meets(equal, depth - 1) for _ in range(2 if rng.random() < 0.4 else 1))
+
+    lost = 0
+    for _ in range(runs):
+        equal = sum(rng.random() < 0.75 for _ in range(N.TOKENS))
+        lost += not any(meets(equal, 6) for _ in range(4))
+    assert abs(lost / runs - N.missed(0.4, 6, roots=4)) < 0.03
+
+
 def test_odd_documents(spark):
     docs = odd(spark)
     found = N.near_duplicates(docs).collect()
