@@ -2,8 +2,11 @@
 
 Base patterns find assignments, access keys and long hexadecimal runs. The method is a
 token-efficiency test: a run of key characters that a public token vocabulary can only split into
-very short tokens is no word of any language. Known digests and identifiers (UUIDs, digest-labelled
-strings, dates, version paths) are left out, and so is whatever a base pattern already holds.
+very short tokens is no word of any language. A run that passes as a whole is tested once more in
+parts, so that a path, a date or a base pattern beside a key doesn't hide it: the parts are what
+slashes, UUIDs, dates and base spans leave of it. Known digests and identifiers (UUIDs,
+digest-labelled strings, dates, version paths) are left out, and so is whatever a base pattern
+already holds.
 Positions count code points, ends are exclusive.
 
 Defined results: a null or empty text has no spans; every row gets its own result, whatever its
@@ -37,8 +40,10 @@ RUN = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST_LENGTH)
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 DIGEST_LABEL = re.compile(r"(md5|sha\d{1,3}(-\d{3})?)[:= -]\x20?$", re.IGNORECASE | re.ASCII)
 DIGEST_LENGTHS = frozenset({32, 40, 56, 64, 96, 128})
+LABELLED_LENGTHS = DIGEST_LENGTHS | {22, 24, 27, 28, 38, 43, 44, 86, 88}  # in hex or base64, which has slashes
 WHOLE_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 DATED = re.compile(r"\d{4}-\d{2}-\d{2}|\d{8}T\d{6}")
+SLASH = re.compile("/")
 HAS_DIGIT, HAS_LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 WORDY = re.compile(r"[A-Za-z]{5,}")
 
@@ -90,19 +95,38 @@ def known(run: str, before: str) -> bool:
     return sum(len(m) for p in parts for m in WORDY.findall(p) if p.isalpha()) * 2 > len(run)
 
 
+def _parts(text: str, begin: int, end: int, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What slashes, UUIDs, dates and base spans leave of a run."""
+    cuts = [(m.start(), m.end()) for p in (SLASH, UUID, DATED) for m in p.finditer(text, begin, end)]
+    cuts += [(b, e) for b, e, _ in taken if b < end and begin < e]
+    parts, at = [], begin
+    for b, e in [*sorted(cuts), (end, end)]:
+        if b - at >= LEAST_LENGTH:
+            parts.append((at, b))
+        at = max(at, e)
+    return parts
+
+
+def _random(text: str, begin: int, end: int, path: str) -> bool:
+    run = text[begin:end]
+    if not (HAS_DIGIT.search(run) and HAS_LETTER.search(run)) or known(run, text[max(0, begin - 12) : begin]):
+        return False
+    return len(run) < MOST_CHARS_PER_TOKEN * len(_encoding(path).encode_ordinary(run))
+
+
 def random_runs(text: str, taken: list[tuple[int, int, int]], path: str) -> list[tuple[int, int, int]]:
-    """(begin, end, kind's place) of runs that the vocabulary splits into very short tokens."""
+    """(begin, end, kind's place) of runs, or parts of them, that the vocabulary splits into very
+    short tokens."""
     spans = []
     for m in RUN.finditer(text):
-        run = m[0]
-        if not (HAS_DIGIT.search(run) and HAS_LETTER.search(run)):
-            continue
-        if any(b < m.end() and m.start() < e for b, e, _ in taken):
-            continue
-        if known(run, text[max(0, m.start() - 12) : m.start()]):
+        begin, end = m.span()
+        if not (HAS_DIGIT.search(m[0]) and HAS_LETTER.search(m[0])):
             continue
-        if len(run) < MOST_CHARS_PER_TOKEN * len(_encoding(path).encode_ordinary(run)):
-            spans.append((m.start(), m.end(), 3))
+        touched = any(b < end and begin < e for b, e, _ in taken)
+        if not touched and _random(text, begin, end, path):
+            spans.append((begin, end, 3))
+        elif not (len(m[0]) in LABELLED_LENGTHS and DIGEST_LABEL.search(text[max(0, begin - 12) : begin])):
+            spans += [(b, e, 3) for b, e in _parts(text, begin, end, taken) if (touched or (b, e) != (begin, end)) and _random(text, b, e, path)]
     return spans
 
 
