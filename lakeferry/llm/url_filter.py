@@ -37,7 +37,7 @@ RULES = (
     ("org", "/fr/", "allow"),
 )
 
-# The labelled table: words that hosts of unwanted and of ordinary pages are made of, as URLs.
+# The labelled table: words that hosts and paths of unwanted and of ordinary pages are made of, as URLs.
 _UNWANTED = (
     "casino", "casino-royal", "online-casino", "win-casino", "poker-bets", "bets", "free-bets", "sport-bets",
     "bet-win", "lottery-win", "slots-win", "adult", "adult-video", "adult-chat", "xxx-adult", "x-rated", "porn-tube",
@@ -56,7 +56,20 @@ _FORMS = (
     "https://{}.example.com/en/1204.html", "http://www.{}.example.org/de/77?page=2", "https://blog.{}.example.net/fr/31000/",
     "https://m.{}.example.com/es/505#top", "https://{}.org/about", "http://{}.com/",
 )
-LABELED = tuple((form.format(w), bad) for words, bad in ((_UNWANTED, 1), (_ORDINARY, 0)) for w in words for form in _FORMS)
+# The same words as paths of hosts that say nothing: here only the path decides.
+_PATH_FORMS = (
+    "http://files.harbor-hosting.example/{}", "https://members.lumen.example/~kim/{}/", "http://www.pinecone.test/area/{}/index.php",
+    "https://static.quayside.example/u/418/{}.htm", "http://board.millrace.test/thread/{}/latest", "https://orbit.invalid/stuff/{}/gallery",
+)
+# Paths that say nothing either; such pages are ordinary.
+_PLAIN = ("about", "contact", "help", "a/b", "main", "files", "2", "terms", "team", "faq", "list", "print")
+LABELED = tuple(
+    (form.format(w), bad)
+    for words, bad, forms in (
+        (_UNWANTED, 1, (*_FORMS, *_PATH_FORMS)), (_ORDINARY, 0, (*_FORMS, *_PATH_FORMS)), (_PLAIN, 0, _PATH_FORMS),
+    )
+    for w in words for form in forms
+)
 
 PARTS = re.compile(r"://([^/?#]*)([^?#]*)", re.DOTALL)
 FIELDS = "host string, path string, rule string, verdict string, score double"

@@ -41,6 +41,25 @@ def test_model_tells_words_apart():
     assert all(score(u) < 0.5 for u in ("http://www.city-library.example.org/en/5", "https://m.thundering.example.com/fr/88", ""))
 
 
+def test_model_judges_paths():
+    """Hosts and forms that the labelled table does not hold; only the path tells them apart."""
+    weights = U.trained()
+    score = lambda url: U.score(weights, *U.parts(url))
+    unwanted = (
+        "http://photos.example.org/porn-tube/sex-cam/", "http://user.example.org/pages/cheap-pills",
+        "https://www.therble.example.org/casino/free-bets/viagra-cheap.html", "http://users.lineage.example/art/best-online-casino-bonus",
+        "https://cdn.harbour.example/2019/adult-video-chat.php", "https://shop.tern.example/item/malware-drop.exe",
+    )
+    ordinary = (
+        "http://photos.example.org/city-museum/garden/", "http://user.example.org/pages/recipes",
+        "https://www.therble.example.org/weather/history-notes/physics.html", "http://users.lineage.example/art/university-library-handbook",
+        "https://cdn.harbour.example/2019/mountain-photography.php", "http://plain.example.com/x/y/z", "http://abc.com/index.html",
+    )
+    assert not {*unwanted, *ordinary} & {url for url, _ in U.LABELED}
+    assert [u for u in unwanted if score(u) < 0.5] == []
+    assert [u for u in ordinary if score(u) >= 0.5] == []
+
+
 def test_given_pages(spark):
     pages = given(spark, "pages", "/root/testdata/sf0.01")
     found = U.judge_urls(pages).join(pages.select("page_id", "url"), "page_id").collect()
