@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import mixing, near_dup, neighbors, packing, quality_model, quality_rules, secrets, sharding, suffix_dedup, url_filter
+from lakeferry.llm import mixing, near_dup, neighbors, packing, quality_model, quality_rules, secrets, sharding, suffix_dedup, toxicity, url_filter, word_runs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -146,6 +146,42 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity by a sparse model over word n-grams."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _planted(text: Column, doc_id: Column) -> Column:
+    """Texts whose id's checksum ends in 0 repeat their words from a place on, as the checksum says."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(text, F.lit("([^\\x20\\x09-\\x0D]+)"))
+    n = F.size(words)
+    a = (g % n).cast("int")
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
+    repeated = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p)))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
+
+
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its periodic runs of words, and what is left without their repeats."""
+    docs = table(spark, sf_dir, "documents")
+    found = word_runs.word_runs(docs.withColumn("text", _planted(F.col("text"), F.col("doc_id"))))
+    key = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    best = found.withColumn("best", F.array_max(key))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": op1_near_dup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -157,6 +193,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
+    "op12_toxicity": op12_toxicity,
+    "op13_word_runs": op13_word_runs,
 }
 
 ORACLES: dict[str, str] = {"op3_mixing": OP3_SQL, "op6_sharding": OP6_SQL}

@@ -33,6 +33,9 @@ COLUMNS = {
     "op8_url_filter": "page_id host path rule verdict",
     "op9_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op11_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op12_toxicity": "doc_id held_out score predicted",
+    "op13_word_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 

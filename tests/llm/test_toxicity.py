@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+from cases import given, odd
+from pyspark.sql import functions as F
+
+from lakeferry.llm import toxicity as T
+from lakeferry.llm.words import chunks
+
+SF = "/root/testdata/sf0.1"
+
+
+def plain_ftrl(documents, rounds, alpha, beta, l1, l2):
+    """The same learner, one coordinate at a time; key -1 is the intercept."""
+    z, n = {}, {}
+    counts = [sum(1 for _, y in documents if y == v) for v in (0, 1)]
+
+    def weight(i):
+        one, two = (0, 0) if i == -1 else (l1, l2)
+        if abs(z.get(i, 0.0)) <= one:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * one) / ((beta + n[i] ** 0.5) / alpha + two)
+
+    for _ in range(rounds):
+        for places, y in documents:
+            keys = [-1, *places]
+            weights = {i: weight(i) for i in keys}
+            slope = (1 / (1 + np.exp(-sum(weights.values()))) - y) * len(documents) / (2 * counts[y])
+            for i in keys:
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + slope - ((old + slope**2) ** 0.5 - old**0.5) / alpha * weights[i]
+                n[i] = old + slope**2
+    return {i: weight(i) for i in n if weight(i)}
+
+
+def test_learner_equals_plain_ftrl():
+    rng = np.random.default_rng(3)
+    documents = []
+    for i in range(60):
+        y = int(i % 3 == 0)
+        documents.append((np.unique(np.concatenate([rng.integers(10, 60, 12), [7] if y else [8]])).astype(np.uint32), y))
+    how = {"alpha": 0.5, "beta": 1.0, "l1": 1.5, "l2": 0.5}
+    places, weights, first = T.fit(documents, rounds=2, **how)
+    expected = plain_ftrl(documents, 2, **how)
+    assert abs(expected.pop(-1) - first) < 1e-6
+    assert sorted(expected) == places.tolist()
+    assert np.allclose([expected[i] for i in places.tolist()], weights, atol=1e-5)
+    assert 7 in expected and expected[7] > 0
+    assert len(expected) < 52
+
+
+def test_features():
+    def sets(*texts):
+        out = [set() for _ in texts]
+        for first, _, part in chunks(pa.array(texts)):
+            for d, p in zip(*T.features(part), strict=True):
+                out[first + d].add(int(p))
+        return out
+
+    one, two, none, more, other = sets("a bb c", "a, (bb) c!", "", "a bb c a bb c", "bb a c")
+    assert one == two and len(one) == 3 + 2 + 1 and not none
+    assert one <= more and len(one & other) == 3
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = given(spark, "documents", SF), given(spark, "labels", SF)
+    found = T.toxicity(docs, labels)
+    assert found.count() == docs.count()
+    rows = found.join(labels, "doc_id").where("held_out").collect()
+    bad = np.array([r.score for r in rows if r.toxic == 1])
+    good = np.array([r.score for r in rows if r.toxic == 0])
+    assert (bad[:, None] > good[None, :]).mean() > 0.97
+    assert (bad >= T.THRESHOLD).mean() > 0.84 and (good < T.THRESHOLD).mean() > 0.98
+    for r in rows[:50]:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert r.predicted == (r.score >= 0.5)
+
+
+def test_model_is_sparse_and_same_again(spark):
+    docs, labels = given(spark, "documents", SF), given(spark, "labels", SF)
+    first = T.train(docs, labels, most_docs=400)
+    again = T.train(docs.repartition(5), labels.repartition(3), most_docs=400)
+    assert all(np.array_equal(a, b) for a, b in zip(first, again, strict=True))
+    assert 0 < len(first[0]) < 20_000
+    turned = labels.withColumn("toxic", F.when(T.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert all(np.array_equal(a, b) for a, b in zip(first, T.train(docs, turned, most_docs=400), strict=True))
+
+
+def test_long_text_counts_whole(spark):
+    docs, labels = given(spark, "documents", SF), given(spark, "labels", SF)
+    model = T.train(docs, labels)
+    texts = spark.createDataFrame([(1, "the " * 200_000 + "stupid idiot, you worthless pathetic trash scum"), (2, "the " * 200_000)], "doc_id long, text string")
+    found = {r.doc_id: r.s for r in texts.select("doc_id", T.score(F.col("text"), model).alias("s")).collect()}
+    assert found[1] > 0.5 > found[2]
+
+
+def test_odd_documents(spark):
+    docs, labels = odd(spark), given(spark, "labels")
+    found = T.toxicity(docs, labels).collect()
+    assert len(found) == docs.count() and all(0 <= r.score <= 1 for r in found)
+    assert T.toxicity(odd(spark, empty=True), labels).count() == 0
+    assert {r.score for r in T.toxicity(docs, labels.limit(0)).collect()} == {0.5}
+    nulls = spark.createDataFrame([(None, 1), (1, None), (2, 0), (2, 1), (3, 7)], "doc_id long, toxic int")
+    assert T.toxicity(docs, nulls).where("score >= 0").count() == docs.count()
+    assert T.sample(nulls, "doc_id", "toxic", 10).count() <= 1
