@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import mixing, near_dup, neighbors, packing, quality_model, quality_rules, secrets, sharding, suffix_dedup, toxicity, url_filter, word_runs
+from lakeferry.llm import mixing, near_dup, neighbors, packing, prefix_trie, quality_model, quality_rules, secrets, sharding, suffix_dedup, toxicity, url_filter, word_runs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -146,6 +146,77 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the conversations, each opened by turns of the one its id is grouped with."""
+    conv = F.col("conv")
+    opening = (conv - conv % 100, F.crc32(conv.cast("string").cast("binary")) % 6)
+    trie = prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), opening=opening)
+    found = trie.nodes.join(prefix_trie.id_digests(trie.ends), "name", "left")
+    return found.select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
+        F.col("saved").alias("saved_tokens"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
+OP11_SQL = """
+WITH byte_sums AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS sums
+  FROM range(256) t(i)
+),
+turns AS (
+  SELECT conv_id, length(coalesce(text, '')) AS chars,
+    sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1 AS place FROM turns
+),
+convs AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base FROM placed GROUP BY conv_id
+),
+headed AS (
+  SELECT c.conv_id, c.n, c.base, coalesce(b.n, 0) AS given,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(c.conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda a, x: xor(a >> 8, sums[(xor(a, x) & 255) + 1])), 4294967295) % 6 AS h
+  FROM convs c LEFT JOIN convs b ON b.conv_id = c.base, byte_sums
+),
+facts AS (
+  SELECT *, least(h, given) AS taken, least(h, given) + greatest(n - h, 0) AS total FROM headed
+),
+rebuilt AS (
+  SELECT f.conv_id, place - h + taken + 1 AS depth, digest, chars FROM facts f JOIN placed p USING (conv_id) WHERE place >= h
+  UNION ALL
+  SELECT f.conv_id, place + 1, digest, chars FROM facts f JOIN placed p ON p.conv_id = f.base AND place < taken
+  UNION ALL
+  SELECT conv_id, 0, '', 0 FROM facts
+),
+paths AS (
+  SELECT conv_id, depth, chars,
+    sha256(string_agg(digest, ',') OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS name
+  FROM rebuilt
+),
+linked AS (
+  SELECT p.*, depth = total AS ends, lag(name) OVER (PARTITION BY conv_id ORDER BY depth) AS parent
+  FROM paths p JOIN facts USING (conv_id)
+),
+nodes AS (
+  SELECT name, parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM linked GROUP BY name, parent, depth
+),
+kids AS (SELECT parent AS name, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+sums AS (
+  SELECT a.name, count(*) FILTER (k.name IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved
+  FROM nodes n LEFT JOIN kids k ON k.name = n.name JOIN linked a ON a.conv_id = n.conv_id AND a.depth <= n.depth
+  GROUP BY a.name
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+  coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums USING (name) LEFT JOIN kids USING (name) LEFT JOIN nodes p ON p.name = n.parent
+"""
+
+
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its toxicity by a sparse model over word n-grams."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -193,8 +264,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_secrets": op9_secrets,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_toxicity": op12_toxicity,
     "op13_word_runs": op13_word_runs,
 }
 
-ORACLES: dict[str, str] = {"op3_mixing": OP3_SQL, "op6_sharding": OP6_SQL}
+ORACLES: dict[str, str] = {"op3_mixing": OP3_SQL, "op6_sharding": OP6_SQL, "op11_prefix_trie": OP11_SQL}

@@ -13,7 +13,8 @@ from lakeferry.plans.workspace import close_all
 @pytest.mark.parametrize("key", sorted(queries.ORACLES))
 def test_same_result(spark, key):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for name in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     result = con.execute(queries.ORACLES[key])
     names = [c[0] for c in result.description]
     df = queries.QUERIES[key](spark, SF)
