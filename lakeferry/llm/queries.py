@@ -222,22 +222,22 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def _planted(text: Column, doc_id: Column) -> Column:
-    """Texts whose id's checksum ends in 0 repeat their words from a place on, as the checksum says."""
-    h = F.crc32(doc_id.cast("string").cast("binary"))
-    g = F.floor(h / 10)
-    words = F.regexp_extract_all(text, F.lit("([^\\x20\\x09-\\x0D]+)"))
-    n = F.size(words)
-    a = (g % n).cast("int")
-    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
-    repeated = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p)))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
+def _planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): texts whose id's checksum ends in 0 repeat their words from a place on, as the checksum says."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)")))
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    n = F.size("words")
+    a = (F.col("g") % n).cast("int")
+    p = 1 + F.floor((n - a) / (3 + F.col("g") % 8)).cast("int")
+    again = F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int"))
+    whole = F.concat(F.slice("words", 1, a), F.slice(F.flatten(again), 1, n - a))
+    return cut.select("doc_id", F.when(n > 0, F.array_join(whole, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its periodic runs of words, and what is left without their repeats."""
-    docs = table(spark, sf_dir, "documents")
-    found = word_runs.word_runs(docs.withColumn("text", _planted(F.col("text"), F.col("doc_id"))))
+    found = word_runs.word_runs(_planted(table(spark, sf_dir, "documents")))
     key = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
     best = found.withColumn("best", F.array_max(key))
     lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
