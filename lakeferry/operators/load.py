@@ -18,14 +18,7 @@ from lakeferry.operators.write import (
     replace_table,
 )
 from lakeferry.plans import store
-from lakeferry.plans.commit import (
-    LEDGER,
-    append_once,
-    committed_batches,
-    ledger_root,
-    recover,
-    token,
-)
+from lakeferry.plans.commit import append_once, ledger_rows, recover, token
 from lakeferry.plans.workspace import Workspace, stage
 from lakeferry.sources.files import known_format, read_files
 from lakeferry.sources.records import widen
@@ -33,7 +26,7 @@ from lakeferry.sources.tables import Table, as_table, table_exists, table_facts
 from lakeferry.sources.trees import list_tree, read_tree
 
 # the modification time is kept in microseconds: a clock change cannot make it ambiguous
-LEDGER_SCHEMA = "uri string, size bigint, modified bigint, sha256 string"
+FILE_SCHEMA = "uri string, size bigint, modified bigint, sha256 string"
 FILES_PER_BATCH = 10_000
 
 
@@ -86,9 +79,10 @@ def copy_into(
 ) -> int:
     """Append the files that are not in the table yet; returns how many were loaded.
 
-    A ledger beside the table remembers every file by path, size and modification time, or by path
-    and SHA-256 with ``by_content`` (which reads each file once more).  Files go in batches, each
-    committed on its own; a batch's names pass through the driver.  Columns
+    A ledger beside the table, one row per file, remembers every file by path, size and modification
+    time, or by path and SHA-256 with ``by_content`` (which reads each file once more); files in it
+    are left out by an anti-join.  Files go in batches, each committed on its own by the ledger's
+    rows; a batch's names pass to the planner, which lists what it scans.  Columns
     that the table lacks are added.  Without a schema the files of one call are read with one type
     per column, the one that holds all of them, however many batches they make.  A column that the
     table cannot hold is refused before anything is loaded.  Running again, also after a crash, loads nothing twice.
@@ -114,11 +108,8 @@ def copy_into(
             create_table(spark, replace(ref, schema=ref.schema or df.schema))
             exists = True
         evolve_table(spark, ref, df.schema)
-        facts = table_facts(spark, ref)
-        key = token()
-        names = spark.createDataFrame(batch, LEDGER_SCHEMA).coalesce(1)
-        names.write.parquet(f"{ledger_root(spark, ref, facts)}/{LEDGER}/{key}")
-        append_once(spark, ref, align(df, facts.schema), key)
+        rows = align(df, table_facts(spark, ref).schema)
+        append_once(spark, ref, rows, token(), spark.createDataFrame(batch, FILE_SCHEMA))
         loaded += len(uris)
     return loaded
 
@@ -173,12 +164,9 @@ def _with_hashes(
 
 
 def ledger(spark: SparkSession, table: str | Table) -> DataFrame | None:
-    """Every file in the table, from the committed batches only; None before the first one."""
+    """Every file that was loaded, with its batch; None before the first one."""
     ref = as_table(table)
-    if not table_exists(spark, ref):
-        return None
-    done = committed_batches(spark, table_facts(spark, ref))
-    return spark.read.schema(LEDGER_SCHEMA).parquet(*done) if done else None
+    return ledger_rows(spark, table_facts(spark, ref)) if table_exists(spark, ref) else None
 
 
 def bulk_write_files(

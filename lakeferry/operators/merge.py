@@ -1,7 +1,8 @@
 """Upsert by key into tables whose files cannot be updated row by row.
 
 Matched target rows take the source's values, unmatched source rows are added, other target rows
-stay.  A NULL key matches nothing.  Rewriting is limited to the partitions that change.
+stay.  A NULL key matches nothing.  The files that hold a row to be changed are looked up first, and
+only these are read in full and written anew; every other file stays as it is.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeferry.functions.types import align, missing_from, quote
 from lakeferry.plans import store
-from lakeferry.plans.commit import recover, replace_content, replace_partitions, token
+from lakeferry.plans.commit import FILE, in_files, recover, replace_files, token, with_file
 from lakeferry.plans.workspace import may_broadcast, shared_root, stage
 from lakeferry.sources.tables import (
     PENDING,
@@ -28,6 +29,7 @@ _SOURCE = "__s_"
 _SPREAD = "__spread"
 _HIT = "__hit"
 _TOUCHED = "__touched"
+_LEAST = "__least"
 
 
 class DuplicateKeysError(ValueError):
@@ -70,12 +72,37 @@ class Merge:
         repeated = repeated_keys(self.source, self.keys)
         return repeated.join(self.matched().drop("n"), self.keys, "left_semi")
 
-    def inserts(self) -> DataFrame:
-        """Source rows without a target row, those with a NULL key among them."""
-        known = self.matched()
-        if not self.source_is_small:
-            known = _counted(self._with_keys(_columns(self.target, self.keys)), self.keys)
-        fresh = self._with_keys(self.source).join(known, self.keys, "left_anti")
+    def hits(self, partitions: list[str], within: DataFrame | None = None) -> DataFrame:
+        """``(*keys, file, *partitions, changes)``: each file's keys that the source has, once.
+
+        ``changes`` tells whether the merge changes any such row.  One search over the target's key
+        columns, or over the rows ``within``, answers which files are touched and which source rows
+        are new.
+        """
+        names = list(dict.fromkeys([*self.keys, FILE, *partitions]))
+        rows = self._with_keys(with_file(self.target) if within is None else within)
+        wanted = self._side(_columns(self._updates(), [*self.keys, *self.newer_by]))
+        if self.source_is_small:  # filtered before anything moves; else combined before it moves
+            rows = rows.join(_columns(wanted, self.keys), self.keys, "left_semi")
+        if not self.newer_by:
+            found = _columns(rows, names).distinct()
+            found = found if self.source_is_small else found.join(wanted, self.keys, "left_semi")
+            return found.withColumn("changes", F.lit(True))
+        found = rows.groupBy(*_names(names)).agg(F.min(F.struct(*_names(self.newer_by))).alias(_LEAST))
+        mine = [F.col(quote(c)).alias(_SOURCE + c) for c in self.newer_by]
+        found = found.join(wanted.select(*_names(self.keys), F.struct(*mine).alias(_HIT)), self.keys)
+        return found.select(*_names(names), (F.col(_HIT) > F.col(_LEAST)).alias("changes"))
+
+    def inserts(self, known: DataFrame | None = None) -> DataFrame:
+        """Source rows without a target row, those with a NULL key among them.
+
+        ``known`` has the source's keys that the target has, if they were looked up already.
+        """
+        if known is None:
+            known = self.matched()
+            if not self.source_is_small:
+                known = _counted(self._with_keys(_columns(self.target, self.keys)), self.keys)
+        fresh = self._with_keys(self.source).join(_columns(known, self.keys).distinct(), self.keys, "left_anti")
         return fresh.unionByName(self.source.where(~_all_present(self.keys)))
 
     def _updates(self) -> DataFrame:
@@ -199,12 +226,8 @@ def merge_table(
         merge = plan_merge(
             spark, ref, source, keys, newer_by=tuple(newer_by), scratch=f"{scratch}/source"
         )
-        merge = refuse_duplicates(merge)
-        if facts.partition_columns:
-            scoped_result(spark, facts, merge, scratch)
-            replace_partitions(spark, ref, scratch)
-        else:
-            replace_content(spark, ref, merge.result())
+        rows = merged_files(spark, facts, refuse_duplicates(merge), scratch)
+        replace_files(spark, ref, rows, scratch)
     finally:
         _clean(spark, ref, scratch)
 
@@ -218,38 +241,31 @@ def refuse_duplicates(merge: Merge) -> Merge:
     return replace(merge, repeats=True)
 
 
-def scoped_result(
-    spark: SparkSession, facts: TableFacts, merge: Merge, scratch: str
-) -> tuple[DataFrame, DataFrame]:
-    """The partitions a merge changes, and their rows after it, both staged.
+def merged_files(spark: SparkSession, facts: TableFacts, merge: Merge, scratch: str) -> DataFrame:
+    """What to add in the place of the files that change, which are staged as ``scratch/gone``.
 
-    A partition changes if one of its rows matches, or if the source has a row for it.
+    With the partition columns among the keys only the source's partitions are searched.
     """
     columns = list(facts.partition_columns)
-    touched, _ = stage(spark, changed_partitions(merge, columns), f"{scratch}/touched")
-    scoped = only_partitions(merge.target, touched, columns)
-    if covers(merge.keys, columns):
-        # a match is within one partition, so the others are not even searched for keys
-        merge = replace(merge, target=scoped)
-    rows, _ = stage(
-        spark, merge.updated(scoped).unionByName(merge.inserts()), f"{scratch}/result"
-    )
-    return touched, rows
+    within = None
+    if columns and covers(merge.keys, columns):
+        touched, _ = stage(spark, _marked(_columns(merge.source, columns).distinct()), f"{scratch}/touched")
+        within = only_partitions(with_file(merge.target), touched, columns)
+    hits, _ = stage(spark, merge.hits(columns, within), f"{scratch}/hits")
+    files = _gone(spark, hits.where("changes"), columns, scratch)
+    kept = in_files(merge.target, files)
+    return merge.updated(kept).unionByName(merge.inserts(hits))
 
 
-def covers(keys: list[str], columns: list[str]) -> bool:
-    return {c.lower() for c in columns} <= {k.lower() for k in keys}
-
+def _gone(spark: SparkSession, rows: DataFrame, columns: list[str], scratch: str) -> list[str]:
+    """Stage the files of some rows with their partitions; their names also go to the planner, which
+    holds the names of all files that a scan opens."""
+    gone, _ = stage(spark, _columns(rows, [FILE, *columns]).distinct(), f"{scratch}/gone")
+    return [row[FILE] for row in gone.select(FILE).toLocalIterator()]
 
-def changed_partitions(merge: Merge, columns: list[str]) -> DataFrame:
-    """Distinct partition values that the source has rows for, or that hold a matching row.
 
-    Never more rows than the table has, or gets, partitions.
-    """
-    changed = _columns(merge.source, columns)
-    if not covers(merge.keys, columns):
-        changed = changed.union(_columns(merge.matched(columns), columns))
-    return _marked(changed.distinct())
+def covers(keys: list[str], columns: list[str]) -> bool:
+    return {c.lower() for c in columns} <= {k.lower() for k in keys}
 
 
 def _marked(partitions: DataFrame) -> DataFrame:
@@ -279,7 +295,7 @@ def _spread(keys: list[str]) -> Column:
     return F.when(_all_present(keys), _zero(keys)).otherwise(F.monotonically_increasing_id() + 1)
 
 
-def _names(columns: list[str]) -> list[Column]:
+def _names(columns: list[str] | tuple[str, ...]) -> list[Column]:
     return [F.col(quote(c)) for c in columns]
 
 
@@ -296,37 +312,28 @@ def replace_keys(
     scratch = _scratch(spark)
     try:
         merge = plan_merge(spark, ref, source, keys, scratch=f"{scratch}/source")
-        gone = merge._side(merge._with_keys(_columns(merge.source, merge.keys)).distinct())
-        if not facts.partition_columns:
-            kept = merge.without(merge.target, gone)
-            replace_content(spark, ref, kept.unionByName(merge.source))
-            return
+        keys = merge._side(merge._with_keys(_columns(merge.source, merge.keys)).distinct())
         columns = list(facts.partition_columns)
-        touched, _ = stage(spark, changed_partitions(merge, columns), f"{scratch}/touched")
-        kept = merge.without(only_partitions(merge.target, touched, columns), gone)
-        stage(spark, kept.unionByName(merge.source), f"{scratch}/result")
-        replace_partitions(spark, ref, scratch)
+        rows = _columns(merge._with_keys(with_file(merge.target)), [*merge.keys, FILE, *columns])
+        files = _gone(spark, rows.join(keys, merge.keys, "left_semi"), columns, scratch)
+        kept = merge.without(in_files(merge.target, files), keys)
+        replace_files(spark, ref, kept.unionByName(merge.source), scratch)
     finally:
         _clean(spark, ref, scratch)
 
 
 def delete_where(spark: SparkSession, table: str | Table, condition: Column) -> None:
-    """Delete the rows for which ``condition`` is true, rewriting only partitions that have any."""
+    """Delete the rows for which ``condition`` is true, rewriting only files that have any."""
     ref = as_table(table)
     recover(spark, ref)
-    facts = table_facts(spark, ref)
+    columns = list(table_facts(spark, ref).partition_columns)
     target = spark.table(ref.name)
     gone = F.coalesce(condition, F.lit(False))
-    if not facts.partition_columns:
-        replace_content(spark, ref, target.where(~gone))
-        return
     scratch = _scratch(spark)
     try:
-        columns = list(facts.partition_columns)
-        hit = _columns(target.where(gone), columns).distinct()
-        touched, _ = stage(spark, _marked(hit), f"{scratch}/touched")
-        stage(spark, only_partitions(target, touched, columns).where(~gone), f"{scratch}/result")
-        replace_partitions(spark, ref, scratch)
+        files = _gone(spark, with_file(target).where(gone), columns, scratch)
+        if files:
+            replace_files(spark, ref, in_files(target, files).where(~gone), scratch)
     finally:
         _clean(spark, ref, scratch)
 

@@ -1,18 +1,20 @@
 """How a finished result becomes the table's content.
 
-Contract: one writer per table at a time.  All data is complete on shared storage before a commit
-starts, so a lost executor or a failed job leaves the old content untouched.  A commit that takes
-several steps is recorded in the table's properties first; ``recover`` finishes it after a crash.
+Contract: one writer per table at a time.  A lost executor or a failed job leaves the old content
+untouched.  New rows are always written by Spark's own writer, straight into the table; the names of
+their files start with the commit's key, so that a commit that takes several steps, which is recorded
+first, can be undone or finished by the next writer (``recover``).
 """
 
 from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
+from contextlib import AbstractContextManager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeferry.functions.types import quote
 from lakeferry.plans import store
@@ -26,14 +28,12 @@ from lakeferry.sources.tables import (
     table_facts,
 )
 
-# Names starting with "_" are invisible to Spark's file listing.
-STAGING, STAGED = "_staging", "_staged"
-COMMITS, LEDGER = "commits", "files"
-CONTENT, PARTITIONS = "content", "partitions"
-# Fixed value: how a NULL partition value is written in a path.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+CONTENT, ADDING, DROPPING = "content", "adding", "dropping"
+STARTED, LEDGER = "started", "files"
+LEDGER_SCHEMA = "uri string, size bigint, modified bigint, sha256 string, batch string"
+# The file that a row of a table is in.
+FILE = "__file"
 MOVERS = 16
-PARTITIONS_PER_STATEMENT = 100
 
 
 def token() -> str:
@@ -61,6 +61,31 @@ def save(df: DataFrame, facts: TableFacts, path: str) -> None:
     writer.save(path)
 
 
+def named_files(spark: SparkSession, key: str) -> AbstractContextManager[None]:
+    """Files written in the block have names that start with ``prefix_of(key)``."""
+    return session_settings(spark, {"mapreduce.output.basename": prefix_of(key)[:-1]})
+
+
+def prefix_of(key: str) -> str:
+    return f"part-{key}-"
+
+
+def append_rows(spark: SparkSession, table: Table, df: DataFrame, key: str) -> None:
+    """Spark's own append, with the key in the names of the new files."""
+    facts = table_facts(spark, table)
+    with named_files(spark, key):
+        rebalance(as_stored(df, facts), facts.partition_columns).write.insertInto(table.name)
+
+
+def _discard(spark: SparkSession, table: Table, key: str) -> None:
+    """Delete the files that an append under ``key`` left; only after a crash are names listed."""
+    location = table_facts(spark, table).location
+    for name in list(store.files(spark, location)):
+        if name.rsplit("/", 1)[-1].startswith(prefix_of(key)):
+            store.delete(spark, f"{location}/{name}")
+    spark.catalog.refreshTable(table.name)
+
+
 def set_property(spark: SparkSession, table: Table, key: str, value: str | None) -> None:
     if value is None:
         spark.sql(f"ALTER TABLE {table.name} UNSET TBLPROPERTIES IF EXISTS ('{key}')")
@@ -106,31 +131,53 @@ def _overwrite_content(spark: SparkSession, table: Table, staged: str) -> None:
     store.delete(spark, staged)
 
 
-# ------------------------------------------------------- single partitions
+# ------------------------------------------------------- single files
 
 
-def replace_partitions(spark: SparkSession, table: Table, staged: str) -> None:
-    """Make the rows in ``staged/result`` the content of the partitions in ``staged/touched``.
+def with_file(target: DataFrame) -> DataFrame:
+    """The rows of a table with the file that each is in."""
+    return target.select("*", target.metadataColumn("_metadata")["file_path"].alias(FILE))
 
-    Other partitions are not read or written.  A touched partition without rows is dropped.
+
+def in_files(target: DataFrame, files: list[str]) -> DataFrame:
+    """The rows of a table that are in some of its files; the scan opens no other."""
+    return target.where(target.metadataColumn("_metadata")["file_path"].isin(files))
+
+
+def replace_files(spark: SparkSession, table: Table, df: DataFrame, staged: str) -> None:
+    """Put the rows ``df`` in the place of the files listed in ``staged/gone``.
+
+    Every other file stays as it is.  The new files are written once, by an append; then the listed
+    ones go.  A crash before the append is complete undoes it, a later one is finished.
     """
-    set_property(spark, table, PENDING, f"{PARTITIONS} {staged}")
-    _overwrite_partitions(spark, table, staged)
+    set_property(spark, table, PENDING, f"{ADDING} {staged}")
+    append_rows(spark, table, df, staged.rsplit("/", 1)[-1])
+    set_property(spark, table, PENDING, f"{DROPPING} {staged}")
+    _drop_files(spark, table, staged)
 
 
-def _overwrite_partitions(spark: SparkSession, table: Table, staged: str) -> None:
+def _undo_files(spark: SparkSession, table: Table, staged: str) -> None:
+    _discard(spark, table, staged.rsplit("/", 1)[-1])
+    set_property(spark, table, PENDING, None)
+    store.delete(spark, staged)
+
+
+def _drop_files(spark: SparkSession, table: Table, staged: str) -> None:
     facts = table_facts(spark, table)
+    gone = spark.read.parquet(f"{staged}/gone")
+    with ThreadPoolExecutor(MOVERS) as pool:
+        deletes = [pool.submit(store.delete_uri, spark, row[FILE]) for row in gone.select(FILE).toLocalIterator()]
+        for done in deletes:
+            done.result()
+    spark.catalog.refreshTable(table.name)
     columns = facts.partition_columns
-    result = spark.read.parquet(f"{staged}/result")
-    touched = spark.read.parquet(f"{staged}/touched")
-    with session_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        rows = rebalance(as_stored(result, facts), columns)
-        rows.write.insertInto(table.name, overwrite=True)
-    left = result.select(*[F.col(quote(c)) for c in columns]).distinct()
-    same = [touched[c].eqNullSafe(left[c]) for c in columns]
-    for row in touched.join(left, same, "left_anti").toLocalIterator():
-        spec = ", ".join(f"{quote(c)} = {_value(row[c])}" for c in columns)
-        _drop_partition(spark, table, facts, spec)
+    if columns:
+        # one row for each partition that lost a file
+        touched = gone.groupBy(*[F.col(quote(c)) for c in columns]).agg(F.min(FILE).alias(FILE))
+        for row in touched.toLocalIterator():
+            if not any(name[0] not in "_." for name in store.children(spark, store.folder_of(spark, row[FILE]))):
+                spec = ", ".join(f"{quote(c)} = {_value(row[c])}" for c in columns)
+                _drop_partition(spark, table, facts, spec)
     set_property(spark, table, PENDING, None)
     store.delete(spark, staged)
 
@@ -152,26 +199,42 @@ def _value(value: object) -> str:
 # ------------------------------------------------------- append exactly once
 
 
-def append_once(spark: SparkSession, table: Table, df: DataFrame, key: str) -> bool:
+def append_once(
+    spark: SparkSession, table: Table, df: DataFrame, key: str, entries: DataFrame | None = None
+) -> bool:
     """Append ``df`` under ``key``; a key that is in already changes nothing.
 
-    The rows are staged beside the data under a hidden name, then moved in file by file, then
-    ``key`` is marked.  After a crash the same call, or ``recover``, finishes the move or starts
-    the staging again, so the rows are neither lost nor doubled.  Returns whether rows were added.
+    Spark's writer appends the rows, then the ledger's rows for this key, which make the batch part
+    of the table: one file, so all of them or none.  A crash before that is undone by the same call
+    or by ``recover``, which delete the files named by the key.  Returns whether rows were added.
     """
-    facts = table_facts(spark, table)
-    root = ledger_root(spark, table, facts)
-    staged = f"{facts.location}/{STAGING}/{key}"
-    if store.exists(spark, f"{root}/{COMMITS}/{key}"):
-        store.delete(spark, staged)
+    root = ledger_root(spark, table, table_facts(spark, table))
+    if _is_in(spark, root, key):
+        store.delete(spark, f"{root}/{STARTED}/{key}")
         return False
-    if not store.exists(spark, f"{staged}/{STAGED}"):
-        save(as_stored(df, facts), facts, staged)
-        store.touch(spark, f"{staged}/{STAGED}")
-    _publish(spark, table, facts, root, key)
+    if store.exists(spark, f"{root}/{STARTED}/{key}"):
+        _discard(spark, table, key)
+    store.touch(spark, f"{root}/{STARTED}/{key}")
+    append_rows(spark, table, df, key)
+    _enter(spark, root, key, entries)
+    store.delete(spark, f"{root}/{STARTED}/{key}")
     return True
 
 
+def _enter(spark: SparkSession, root: str, key: str, entries: DataFrame | None) -> None:
+    """The ledger's rows of a batch; one without files is a row without a name."""
+    fields = T.StructType.fromDDL(LEDGER_SCHEMA).fields
+    if entries is None:
+        entries = spark.range(1).select(*[F.lit(None).alias(f.name) for f in fields])
+    rows = entries.withColumn("batch", F.lit(key)).select(*[F.col(f.name).cast(f.dataType) for f in fields])
+    with named_files(spark, key):
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/{LEDGER}")
+
+
+def _is_in(spark: SparkSession, root: str, key: str) -> bool:
+    return store.matches(spark, f"{root}/{LEDGER}/{prefix_of(key)}*")
+
+
 def ledger_root(spark: SparkSession, table: Table, facts: TableFacts) -> str:
     """The directory that remembers what is in the table; a table property names it.
 
@@ -185,78 +248,26 @@ def ledger_root(spark: SparkSession, table: Table, facts: TableFacts) -> str:
     return root
 
 
-def committed_batches(spark: SparkSession, facts: TableFacts) -> list[str]:
-    """The ledger directories of the batches that are in the table."""
+def ledger_rows(spark: SparkSession, facts: TableFacts) -> DataFrame | None:
+    """One row for every file that was loaded into the table, with its batch; None before the first."""
     root = facts.properties.get(LEDGER_AT)
-    if root is None:
-        return []
-    listed = set(store.children(spark, f"{root}/{LEDGER}"))
-    done = store.children(spark, f"{root}/{COMMITS}")
-    return [f"{root}/{LEDGER}/{key}" for key in done if key in listed]
+    if root is None or not store.exists(spark, f"{root}/{LEDGER}"):
+        return None
+    return spark.read.schema(LEDGER_SCHEMA).parquet(f"{root}/{LEDGER}").where(F.col("uri").isNotNull())
 
 
 def recover(spark: SparkSession, table: Table) -> None:
-    """Finish what a crashed writer had staged completely; discard what it had not.
+    """Finish or undo what a crashed writer had begun.
 
     Every writer of this package calls it first, so no write comes between.
     """
     facts = table_facts(spark, table)
     if pending := facts.properties.get(PENDING):
         kind, path = pending.split(" ", 1)
-        _finish(spark, table, kind, path)
+        finish = {CONTENT: _overwrite_content, ADDING: _undo_files, DROPPING: _drop_files}[kind]
+        finish(spark, table, path)
     root = facts.properties.get(LEDGER_AT)
-    if root is None:
-        return
-    for key in store.children(spark, f"{facts.location}/{STAGING}"):
-        staged = f"{facts.location}/{STAGING}/{key}"
-        done = store.exists(spark, f"{root}/{COMMITS}/{key}")
-        if not done and store.exists(spark, f"{staged}/{STAGED}"):
-            _publish(spark, table, facts, root, key)
-        else:
-            store.delete(spark, staged)
-
-
-def _finish(spark: SparkSession, table: Table, kind: str, staged: str) -> None:
-    if kind == CONTENT:
-        _overwrite_content(spark, table, staged)
-    else:
-        _overwrite_partitions(spark, table, staged)
-
-
-def _publish(spark: SparkSession, table: Table, facts: TableFacts, root: str, key: str) -> None:
-    staged = f"{facts.location}/{STAGING}/{key}"
-    # file names carry the id of the job that wrote them, so a move never meets another file
-    names = [
-        name
-        for name in store.files(spark, staged)
-        if not name.rsplit("/", 1)[-1].startswith(("_", "."))
-    ]
-    if facts.partition_columns:
-        # a crash may come after some moves, so partitions are added before the first
-        _add_partitions(spark, table, {name.rsplit("/", 1)[0] for name in names})
-    with ThreadPoolExecutor(MOVERS) as pool:
-        moves = [
-            pool.submit(store.move, spark, f"{staged}/{name}", f"{facts.location}/{name}")
-            for name in names
-        ]
-        for done in moves:
-            done.result()
-    spark.catalog.refreshTable(table.name)
-    store.touch(spark, f"{root}/{COMMITS}/{key}")
-    store.delete(spark, staged)
-
-
-def _add_partitions(spark: SparkSession, table: Table, folders: set[str]) -> None:
-    """Catalog entries for partition folders ``a=1/b=x``, named as Spark names them."""
-    specs = []
-    for folder in sorted(folders):
-        pairs = (part.split("=", 1) for part in folder.split("/"))
-        values = (
-            f"{quote(unquote(name))} = "
-            + _value(None if value == NULL_PARTITION else unquote(value))
-            for name, value in pairs
-        )
-        specs.append(f"PARTITION ({', '.join(values)})")
-    for start in range(0, len(specs), PARTITIONS_PER_STATEMENT):
-        some = " ".join(specs[start : start + PARTITIONS_PER_STATEMENT])
-        spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {some}")
+    for key in store.children(spark, f"{root}/{STARTED}") if root else []:
+        if not _is_in(spark, root, key):
+            _discard(spark, table, key)
+        store.delete(spark, f"{root}/{STARTED}/{key}")

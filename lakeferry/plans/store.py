@@ -31,6 +31,26 @@ def delete(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).delete(_path(spark, path), True)
 
 
+def delete_uri(spark: SparkSession, uri: str) -> bool:
+    """Delete the file that a scan names in ``_metadata.file_path``, where special characters are escaped."""
+    path = _of_uri(spark, uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+
+
+def folder_of(spark: SparkSession, uri: str) -> str:
+    return _of_uri(spark, uri).getParent().toString()
+
+
+def _of_uri(spark: SparkSession, uri: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+
+
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Does any path fit the pattern?"""
+    found = _fs(spark, pattern).globStatus(_path(spark, pattern))
+    return found is not None and len(found) > 0
+
+
 def tree_bytes(spark: SparkSession, path: str) -> int:
     return _fs(spark, path).getContentSummary(_path(spark, path)).getLength()
 

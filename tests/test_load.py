@@ -239,50 +239,61 @@ class Crash(Exception):
     pass
 
 
-@pytest.mark.parametrize("point", ["save", "staged", "move", "mark", "clean"])
-def test_copy_survives_a_crash_at_any_point(spark, ws, monkeypatch, point):
-    put(spark, ws.dir("in"), 0, 20, 4)
+@pytest.mark.parametrize("point", ["started", "append", "appended", "enter", "clean"])
+@pytest.mark.parametrize("partitioned", [(), ("p",)])
+def test_copy_survives_a_crash_at_any_point(spark, ws, monkeypatch, point, partitioned):
+    spark.range(0, 20).selectExpr("id", "id % 3 AS p").repartition(4).write.parquet(ws.dir("in"))
     table = ws.table("t")
-    create_table(spark, Table(table, schema="id BIGINT"))
-    real_save, store = commit.save, commit.store
-    real_touch, real_move, real_delete = store.touch, store.move, store.delete
-    moves = []
-
-    def save(df, facts, path):
-        real_save(df, facts, path)
-        if point == "save":
-            raise Crash
+    create_table(spark, Table(table, schema="id BIGINT, p BIGINT", partitioned_by=partitioned))
+    real_append, real_enter, store = commit.append_rows, commit._enter, commit.store
+    real_touch, real_delete = store.touch, store.delete
 
     def touch(spark, path):
-        if point == "staged" and path.endswith("/_staged"):
+        real_touch(spark, path)
+        if point == "started":
             raise Crash
-        if point == "mark" and "/commits/" in path:
+
+    def append(spark, table, df, key):
+        if point == "append":
+            df = df.limit(7)
+        real_append(spark, table, df, key)
+        if point in ("append", "appended"):
             raise Crash
-        real_touch(spark, path)
 
-    def move(spark, source, target):
-        moves.append(source)
-        if point == "move" and len(moves) == 2:
+    def enter(*args):
+        real_enter(*args)
+        if point == "enter":
             raise Crash
-        real_move(spark, source, target)
 
     def delete(spark, path):
-        if point == "clean" and "/_staging/" in path:
+        if point == "clean" and "/started/" in path:
             raise Crash
         return real_delete(spark, path)
 
     with monkeypatch.context() as patch:
-        patch.setattr(commit, "save", save)
+        patch.setattr(commit, "append_rows", append)
+        patch.setattr(commit, "_enter", enter)
         patch.setattr(commit.store, "touch", touch)
-        patch.setattr(commit.store, "move", move)
         patch.setattr(commit.store, "delete", delete)
         with pytest.raises(Crash):
             copy_into(spark, table, ws.dir("in"), "PARQUET")
     copy_into(spark, table, ws.dir("in"), "PARQUET")
     copy_into(spark, table, ws.dir("in"), "PARQUET")
     assert ids(spark, table) == list(range(20))
-    facts = table_facts(spark, table)
-    assert store.children(spark, f"{facts.location}/_staging") == []
+    assert ledger(spark, table).count() == 4
+    root = table_facts(spark, table).properties["lakeferry.ledger"]
+    assert store.children(spark, f"{root}/started") == []
+
+
+def test_the_ledger_names_the_batch_of_every_file(spark, ws):
+    put(spark, ws.dir("in"), 0, 10, 3)
+    table = ws.table("t")
+    copy_into(spark, table, ws.dir("in"), "PARQUET", files_per_batch=2)
+    batches = {r["batch"]: r["n"] for r in ledger(spark, table).groupBy("batch").agg(F.count("*").alias("n")).collect()}
+    assert sorted(batches.values()) == [1, 2]
+    path = spark.table(table).metadataColumn("_metadata")["file_name"]
+    written = {r[0] for r in spark.table(table).select(path).distinct().collect()}
+    assert {name.split("-")[1] for name in written} == set(batches)
 
 
 # ---------------------------------------------------------------- directories
@@ -331,12 +342,12 @@ def test_a_replayed_batch_adds_nothing(spark, ws, monkeypatch):
         stream_ingest(stream, table, ws.dir("ck")).awaitTermination()
 
     def delete(spark, path):
-        if "/_staging/" in path:
+        if "/started/" in path:
             raise Crash
         return real(spark, path)
 
     with monkeypatch.context() as patch:
-        # the rows are in and marked, but the batch fails before the checkpoint knows
+        # the rows are in and entered, but the batch fails before the checkpoint knows
         patch.setattr(commit.store, "delete", delete)
         with pytest.raises(Exception, match="Crash"):
             run()

@@ -13,16 +13,17 @@ from lakeferry.operators.merge import (
     delete_where,
     merge_statement,
     merge_table,
+    merged_files,
     only_partitions,
     plan_merge,
     replace_keys,
-    scoped_result,
     with_bucket,
 )
 from lakeferry.operators.write import write_table
-from lakeferry.plans import commit
+from lakeferry.plans import commit, store
 from lakeferry.plans.workspace import session_settings
 from lakeferry.sources.tables import Table, read_table, table_facts
+from lakeferry.streaming.upsert import stream_merge
 
 SCHEMA = "k int, j string, v int"
 
@@ -169,15 +170,92 @@ def test_unmanaged_table_keeps_its_location(spark, ws):
     assert table_facts(spark, table).location == where
 
 
-def test_many_merges_keep_one_older_version(spark, ws):
+def test_many_merges_leave_nothing_behind(spark, ws):
     table = ws.table("t")
     write_table(spark, table, spark.createDataFrame([(0, "a")], "k int, v string"))
     for i in range(4):
         merge_table(spark, table, spark.createDataFrame([(i, f"v{i}")], "k int, v string"), "k")
     assert rows(read_table(spark, table)) == [(i, f"v{i}") for i in range(4)]
-    from lakeferry.plans import store
+    assert [n for n in store.children(spark, ws.dir("db")) if n.startswith("t")] == ["t"]
 
-    assert len([n for n in store.children(spark, ws.dir("db")) if n.startswith("t")]) == 2
+
+def names(spark, table):
+    path = spark.table(table).metadataColumn("_metadata")["file_path"]
+    return {r[0] for r in spark.table(table).select(path).distinct().collect()}
+
+
+@pytest.mark.parametrize("threshold", ["10485760b", "-1"])
+@pytest.mark.parametrize("partitioned", [(), ("p",)])
+def test_only_touched_files_are_rewritten(spark, ws, threshold, partitioned):
+    table = Table(ws.table("t"), schema="k BIGINT, p BIGINT, v STRING", partitioned_by=partitioned)
+    for part in range(6):
+        some = spark.range(part * 10, part * 10 + 10).selectExpr("id AS k", "id % 2 AS p", "'a' AS v")
+        write_table(spark, table, some.coalesce(1))
+    before = names(spark, table.name)
+    assert len(before) == 6 * (2 if partitioned else 1)
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": threshold}):
+        merge_table(spark, table, spark.createDataFrame([(23, 1, "b")], "k long, p long, v string"), "k")
+        after = names(spark, table.name)
+        # one file is gone, one is new, all others have their names
+        assert len(before - after) == 1 and len(after - before) == 1
+        merge_table(spark, table, spark.createDataFrame([(77, 1, "b")], "k long, p long, v string"), "k")
+        added = names(spark, table.name)
+        assert after < added and len(added - after) == 1
+        replace_keys(spark, table, spark.createDataFrame([(5, 1, "c"), (5, 1, "d")], "k long, p long, v string"), "k")
+        assert len(names(spark, table.name) & before) == len(before) - 2
+        delete_where(spark, table, F.col("k") == 41)
+        delete_where(spark, table, F.col("k") == 4100)
+        assert len(names(spark, table.name) & before) == len(before) - 3
+    got = {(r.k, r.v) for r in spark.table(table.name).collect()}
+    assert got == {(k, "a") for k in range(60) if k not in (5, 23, 41)} | {(23, "b"), (77, "b"), (5, "c"), (5, "d")}
+
+
+@pytest.mark.parametrize("threshold", ["10485760b", "-1"])
+def test_rows_that_are_not_newer_rewrite_nothing(spark, ws, threshold):
+    table = ws.table("t")
+    for part in range(3):
+        write_table(spark, table, spark.range(part * 5, part * 5 + 5).selectExpr("id AS k", "id AS at", "'a' AS v").coalesce(1))
+    before = names(spark, table)
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": threshold}):
+        merge_table(spark, table, spark.range(15).selectExpr("id AS k", "id AS at", "'b' AS v"), "k", newer_by=["at"])
+        assert names(spark, table) == before
+        later = spark.range(15).selectExpr("id AS k", "IF(id = 7, 99, id) AS at", "'b' AS v")
+        merge_table(spark, table, later, "k", newer_by=["at"])
+    assert len(names(spark, table) & before) == 2
+    assert rows(read_table(spark, table).where("v = 'b'")) == [(7, 99, "b")]
+
+
+def test_a_streamed_batch_rewrites_its_own_files(spark, ws):
+    schema = "k long, at long, v string"
+    table = ws.table("t")
+    for part in range(5):
+        write_table(spark, table, spark.range(part * 10, part * 10 + 10).selectExpr("id AS k", "0L AS at", "'a' AS v").coalesce(1))
+    before = names(spark, table)
+
+    def run(changes):
+        spark.createDataFrame(changes, schema).coalesce(1).write.mode("append").parquet(ws.dir("in"))
+        stream = spark.readStream.schema(schema).parquet(ws.dir("in"))
+        stream_merge(stream, table, "k", "at", ws.dir("ck")).awaitTermination()
+        return names(spark, table)
+
+    first = run([(3, 1, "b"), (3, 2, "c"), (60, 1, "n")])
+    assert len(before & first) == 4
+    second = run([(3, 1, "late"), (61, 1, "n")])  # an older change of a known key rewrites nothing
+    assert first < second
+    got = {(r.k, r.v) for r in spark.table(table).collect()}
+    assert got == {(k, "a") for k in range(50) if k != 3} | {(3, "c"), (60, "n"), (61, "n")}
+
+
+def test_awkward_partition_names(spark, ws):
+    schema = "k int, p string, v int"
+    table = Table(ws.table("t"), schema=schema, partitioned_by=["p"])
+    values = ["a b%c", "z=1/ü", None, "100%25", "it's"]
+    write_table(spark, table, spark.createDataFrame([(i, p, 0) for i, p in enumerate(values)], schema))
+    merge_table(spark, table, spark.createDataFrame([(i, p, 1) for i, p in enumerate(values)], schema), "k")
+    got = read_table(spark, table.identifier).select("k", "p", "v")
+    assert rows(got) == rows(spark.createDataFrame([(i, p, 1) for i, p in enumerate(values)], schema))
+    delete_where(spark, table, F.col("k") < 4)
+    assert spark.sql(f"SHOW PARTITIONS {table.name}").count() == 1
 
 
 def test_a_failing_source_leaves_the_table(spark, ws):
@@ -231,7 +309,7 @@ def test_partition_keys_limit_the_search(spark, ws):
     write_table(spark, table, spark.range(0, 40).selectExpr("id AS k", "id % 4 AS p", "'a' AS v"))
     source = spark.range(0, 60, 4).selectExpr("id AS k", "id % 4 AS p", "'b' AS v")
     merge = plan_merge(spark, table, source, ["k", "p"])
-    _, result = scoped_result(spark, table_facts(spark, table), merge, ws.dir("scratch"))
+    result = merged_files(spark, table_facts(spark, table), merge, ws.dir("scratch"))
     assert result.count() == 15 and result.where("p <> 0").count() == 0
     scoped = only_partitions(merge.target, spark.read.parquet(ws.dir("scratch/touched")), ["p"])
     assert "dynamicpruning" in plan_of(scoped)
@@ -258,7 +336,7 @@ def test_a_null_partition(spark, ws):
 @pytest.mark.parametrize(
     ("partitioned", "external"), [((), True), (("p",), False), (("p",), True)]
 )
-def test_a_crash_in_the_overwrite_is_finished_by_the_next_writer(
+def test_a_crash_in_a_merge_is_settled_by_the_next_writer(
     spark, ws, monkeypatch, partitioned, external
 ):
     schema = "k int, p string"
@@ -273,15 +351,30 @@ def test_a_crash_in_the_overwrite_is_finished_by_the_next_writer(
     def crash(*args):
         raise RuntimeError("crash")
 
-    name = "_overwrite_partitions" if partitioned else "_overwrite_content"
-    with monkeypatch.context() as patch:
-        patch.setattr(commit, name, crash)
-        with pytest.raises(RuntimeError, match="crash"):
-            merge_table(spark, table, spark.createDataFrame([(1, "z"), (4, "y")], schema), "k")
-    write_table(spark, table, spark.createDataFrame([(5, "x")], schema))
-    got = read_table(spark, table.identifier).select("k", "p")
-    assert rows(got) == [(1, "z"), (2, "y"), (3, "y"), (4, "y"), (5, "x")]
-    assert "lakeferry.pending" not in table_facts(spark, table).properties
+    def crash_after(step):
+        def run(*args):
+            step(*args)
+            raise RuntimeError("crash")
+
+        return run
+
+    source = spark.createDataFrame([(1, "z"), (4, "y")], schema)
+    # before the append is complete the merge is undone, afterwards it is finished
+    for name, step, merged in (
+        ("append_rows", crash, False),
+        ("append_rows", crash_after(commit.append_rows), False),
+        ("_drop_files", crash, True),
+    ):
+        with monkeypatch.context() as patch:
+            patch.setattr(commit, name, step)
+            with pytest.raises(RuntimeError, match="crash"):
+                merge_table(spark, table, source, "k")
+        write_table(spark, table, spark.createDataFrame([(5, "x")], schema))
+        delete_where(spark, table, F.col("k") == 5)
+        got = read_table(spark, table.identifier).select("k", "p")
+        expected = [(1, "z"), (2, "y"), (3, "y"), (4, "y")] if merged else [(1, "x"), (2, "y"), (3, "y")]
+        assert rows(got) == expected
+        assert "lakeferry.pending" not in table_facts(spark, table).properties
 
 
 def test_a_compact_file_may_be_large_in_memory(spark, ws):
