@@ -259,8 +259,10 @@ def ledger_rows(spark: SparkSession, facts: TableFacts) -> DataFrame | None:
 def recover(spark: SparkSession, table: Table) -> None:
     """Finish or undo what a crashed writer had begun.
 
-    Every writer of this package calls it first, so no write comes between.
+    Every writer of this package calls it first, so no write comes between.  The session also
+    forgets the files it knew, since a stream or another session may have replaced some.
     """
+    spark.catalog.refreshTable(table.name)
     facts = table_facts(spark, table)
     if pending := facts.properties.get(PENDING):
         kind, path = pending.split(" ", 1)

@@ -184,9 +184,11 @@ def read_table(
 ) -> DataFrame:
     """The rows of a table; typed by its schema if it has one.
 
-    One logical plan: the projection reaches the file scan, ``limit`` stops it early.
+    One logical plan: the projection reaches the file scan, ``limit`` stops it early.  The files
+    are those of now, not those that the session knew when it last read the table.
     """
     ref = as_table(table)
+    spark.catalog.refreshTable(ref.name)
     df = spark.table(ref.name)
     if columns is not None:
         df = df.select(*[F.col(quote(c)) for c in columns])
