@@ -187,12 +187,15 @@ def in_float_range(v: Column, low: float, high: float) -> Column:
 def json_document(v: Column) -> Column:
     """Text that is one JSON document, as a VARIANT; other text is NULL.
 
-    The JSON parser stops after the first document.  Text that parses as an array's only element
-    and as an object's only value cannot have anything behind that document.
+    The JSON parser stops after the first document.  In brackets a text that is one document is an
+    array of one element, unless it closes the bracket itself; a text with such a bracket also has
+    to be an object's only value.
     """
     element = F.try_parse_json(F.concat(F.lit("["), v, F.lit("]")))
     value = F.try_parse_json(F.concat(F.lit('{"v":'), v, F.lit("}")))
-    return F.when(element.isNotNull(), F.variant_get(value, "$.v", "variant"))
+    alone = F.when(F.contains(v, F.lit("]")), value.isNotNull()).otherwise(F.lit(True))
+    more = F.try_variant_get(element, "$[1]", "variant").isNotNull()
+    return F.when(element.isNotNull() & alone & ~more, F.try_variant_get(element, "$[0]", "variant"))
 
 
 def as_number(v: Column) -> Column:

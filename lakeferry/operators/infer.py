@@ -23,6 +23,7 @@ from lakeferry.functions.fit import (
     json_document,
 )
 from lakeferry.functions.types import quote, sql_type
+from lakeferry.plans.workspace import Workspace, stage
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
@@ -208,39 +209,51 @@ def infer_json(
 
     Objects whose values share one type are a MAP, other objects a STRUCT, or a VARIANT if
     ``mixed`` says so; the number of keys decides nothing.  Types are merged per key inside the
-    aggregation.  A STRUCT names every key, so its key types, never the documents, reach the
-    driver; ``json_types`` has them as rows.  Rows that are no JSON are passed over; with none
-    left the type is VOID.
+    aggregation and written as rows (``json_types``); one row of facts about them settles the kind,
+    so the driver holds names of keys only if they are the fields of the STRUCT it returns.  Rows
+    that are no JSON are passed over; with none left the type is VOID.
     """
     if mixed not in ("struct", "variant"):
         raise ValueError("mixed objects are a struct or a variant")
-    types = json_types(df, column)
+    spark = df.sparkSession
+    with Workspace(spark) as space:
+        types, _ = stage(spark, json_types(df, column), space.dir("types"))
+        shape = _shape(types, mixed)
+    if shape is None:
+        return T.VariantType()
+    return _narrow_json(df, column, shape, float_type) if _has_numbers(shape) else shape
+
+
+def _shape(types: DataFrame, mixed: str) -> T.DataType | None:
+    """The type of documents with these types by key; None if no type but VARIANT holds them."""
+    named, typed = F.col("key").isNotNull(), ~F.col("type").isin("VOID", _EMPTY)
+    facts = types.agg(
+        F.count_distinct(F.when(named & typed, F.col("type"))).alias("n"),
+        F.max(F.when(named & typed, F.col("type"))).alias("value"),
+        F.max(F.when(~named & typed, F.col("type"))).alias("other"),
+        F.coalesce(F.bool_or(named | (F.col("type") == _EMPTY)), F.lit(False)).alias("objects"),
+    ).first()
+    if facts["other"] is not None:  # documents that are no objects do not go with objects
+        return None if facts["objects"] else _from_variant(facts["other"])
+    if not facts["n"]:
+        return T.MapType(T.StringType(), T.NullType()) if facts["objects"] else T.NullType()
+    if facts["n"] == 1:
+        return T.MapType(T.StringType(), _from_variant(facts["value"]))
     if mixed == "variant":
-        kinds = types.where(~F.col("type").isin("VOID", _EMPTY)).agg(
-            F.count_distinct("type").alias("n"),
-            F.count_if(F.col("key").isNull()).alias("others"),
-            F.count("key").alias("keys"),
-        )
-        found = kinds.first()
-        if found["keys"] and (found["n"] > 1 or found["others"]):
-            return T.VariantType()
-    rows = types.collect()
-    by_key = {r["key"]: r["type"] for r in rows if r["type"] not in ("VOID", _EMPTY)}
-    objects = any(r["key"] is not None or r["type"] == _EMPTY for r in rows)
-    if not by_key:
-        return T.MapType(T.StringType(), T.NullType()) if objects else T.NullType()
-    elif None in by_key:
-        # documents that are no objects have one merged type, or do not go with objects
-        if objects:
-            return T.VariantType()
-        shape = _from_variant(by_key[None])
-    elif len(set(by_key.values())) == 1:
-        shape = T.MapType(T.StringType(), _from_variant(next(iter(by_key.values()))))
-    else:
-        names = sorted(r["key"] for r in rows if r["key"] is not None)
-        every = {r["key"]: r["type"] for r in rows}
-        shape = T.StructType([T.StructField(n, _from_variant(every[n])) for n in names])
-    return _narrow_json(df, column, shape, float_type)
+        return None
+    fields = types.where(named).agg(F.array_sort(F.collect_list(F.struct("key", "type"))).alias("f")).first()["f"]
+    return T.StructType([T.StructField(f["key"], _from_variant(f["type"])) for f in fields])
+
+
+def _has_numbers(dtype: T.DataType) -> bool:
+    """Only numbers may have a narrower type, which their values tell."""
+    if isinstance(dtype, T.ArrayType):
+        return _has_numbers(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return _has_numbers(dtype.valueType)
+    if isinstance(dtype, T.StructType):
+        return any(_has_numbers(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.NumericType)
 
 
 def json_types(df: DataFrame, column: str) -> DataFrame:

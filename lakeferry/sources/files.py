@@ -13,13 +13,14 @@ from lakeferry.functions.typed import apply_schema
 from lakeferry.functions.types import SchemaLike, build_schema, quote
 from lakeferry.operators.infer import infer_schema
 from lakeferry.plans import store
-from lakeferry.plans.workspace import shared_root, stage
+from lakeferry.plans.workspace import Workspace, may_broadcast, shared_root, stage
 from lakeferry.sources.tables import FORMATS
-from lakeferry.sources.trees import first_lines, list_tree
+from lakeferry.sources.trees import first_lines, list_scanned
 
 # Formats that carry their own column types: a hint is a cast there, not another way to parse.
 SELF_DESCRIBING = ("PARQUET", "ORC", "AVRO", "DELTA")
 FILES_PER_SCAN = 10_000
+_FILE, _PLACES, _VALUES = "__file", "__places", "__values"
 # Fixed value: the formats that need a package which a plain Spark does not ship.
 NEEDS_PACKAGE = {"AVRO": "spark-avro", "DELTA": "delta-spark"}
 
@@ -122,13 +123,13 @@ def _read_merged(spark: SparkSession, path, fmt: str, options: dict[str, object]
 def _merge_csv(
     spark: SparkSession, path, options: dict[str, object], hints: T.StructType | None = None
 ) -> DataFrame:
-    """CSV files with differing headers: one scan per distinct header, joined by column name.
+    """CSV files with differing headers, their columns brought together by name.
 
-    Columns without a hint are typed over all files at once, so two files never disagree on a
+    One scan reads all files by position, and each file's header says where a column is.  Columns without a hint are typed over all files at once, so two files never disagree on a
     type.  A value that its hinted type cannot hold is NULL, or an error in ``FAILFAST`` mode.
     """
     plain = {k: v for k, v in options.items() if k != "inferSchema"}
-    listed = list_tree(
+    listed = list_scanned(
         spark,
         path,
         pattern=options.get("pathGlobFilter"),
@@ -137,12 +138,14 @@ def _merge_csv(
     scratch = f"{shared_root(spark)}/lakeferry/headers-{uuid.uuid4().hex}"
     try:
         headers, _ = stage(spark, first_lines(listed.where("size > 0")), scratch)
-        kinds = headers.agg(F.count_distinct("header").alias("n"), F.min("uri").alias("uri"))
-        found = kinds.first()
-        if found["n"] < 2:
-            merged = _text_csv(spark, path, found["uri"] or path, plain)
-        else:
+        examples = headers.groupBy("header").agg(F.min("uri").alias("uri")).orderBy("header").collect()
+        if len(examples) < 2:
+            merged = _text_csv(spark, path, examples[0]["uri"] if examples else path, plain)
+        elif str(plain.get("mode", "PERMISSIVE")).upper() != "PERMISSIVE":
+            # a file with fewer columns than another one must not count as malformed
             merged = _union_csv(spark, headers, plain)
+        else:
+            merged = _one_scan_csv(spark, path, headers, examples, plain)
     finally:
         store.delete(spark, scratch)
     formats = (str(options["timestampFormat"]),) if "timestampFormat" in options else ()
@@ -166,6 +169,36 @@ def _merge_csv(
     )
 
 
+def _one_scan_csv(
+    spark: SparkSession, path, headers: DataFrame, examples: list, options: dict[str, object]
+) -> DataFrame:
+    """CSV files with several headers, every column as text.
+
+    Spark's own reader names the columns of one file per header; a file is joined to the places of
+    the columns in it, so the plan has one scan however many headers there are.
+    """
+    layouts = [(row["header"], _text_csv(spark, row["uri"], row["uri"], options).columns) for row in examples]
+    names: dict[str, str] = {}
+    for _, columns in layouts:
+        for name in columns:
+            names.setdefault(name.lower(), name)
+    places = []
+    for header, columns in layouts:
+        at = {name.lower(): i for i, name in enumerate(columns)}
+        places.append((bytearray(header), [at.get(key) for key in names]))
+    known = spark.createDataFrame(places, "header binary, places array<int>")
+    folder = Workspace(spark).dir("places")
+    by_file, size = stage(spark, headers.join(known, "header").select(F.col("file").alias(_FILE), F.col("places").alias(_PLACES)), folder)
+    width = max(len(columns) for _, columns in layouts)
+    text = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    scan = _reader(spark, "CSV", options).schema(text).load(path)
+    values = scan.select(F.array(*text.names).alias(_VALUES), F.col("_metadata.file_path").alias(_FILE))
+    joined = values.join(F.broadcast(by_file) if may_broadcast(by_file, size) else by_file, _FILE)
+    return joined.select(
+        *[F.get(F.col(_VALUES), F.get(F.col(_PLACES), F.lit(i))).alias(name) for i, name in enumerate(names.values())]
+    )
+
+
 def _text_csv(spark: SparkSession, path, example, options: dict[str, object]) -> DataFrame:
     """CSV files that share the header of ``example``, every column as text."""
     one = {k: v for k, v in options.items() if k != "pathGlobFilter"}
@@ -175,7 +208,7 @@ def _text_csv(spark: SparkSession, path, example, options: dict[str, object]) ->
 
 
 def _union_csv(spark: SparkSession, headers: DataFrame, options: dict[str, object]) -> DataFrame:
-    """One scan per header, its files named in lists of bounded length."""
+    """One scan per header, its files named in lists of bounded length; for modes that refuse rows."""
     options = {k: v for k, v in options.items() if k != "pathGlobFilter"}
     merged: DataFrame | None = None
     by_header = groupby(

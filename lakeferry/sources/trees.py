@@ -253,11 +253,19 @@ def _with_content(rows: pa.RecordBatch, contents: list[bytes]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(arrays, names=[*rows.schema.names, "content"])
 
 
+def list_scanned(spark: SparkSession, root, *, pattern: str | None = None, recursive: bool = True) -> DataFrame:
+    """``(uri, size, file)``: as ``list_tree``, with the name that a scan gives the file in ``_metadata``."""
+    found = _scan(spark, root, pattern, recursive)
+    return found.select(
+        F.col("path").alias("uri"), F.col("length").alias("size"), F.col("_metadata.file_path").alias("file")
+    )
+
+
 def first_lines(files: DataFrame) -> DataFrame:
-    """``(uri, header)``: the first line of every listed file ``(uri, size)``, nothing after it."""
+    """``(uri, file, header)``: the first line of every listed file, as bytes, and nothing after it."""
     opened = files.withColumn("size", F.lit(0))
-    return spread_by_bytes(opened, "uri").select("uri").mapInArrow(
-        _first_lines, "uri string, header string"
+    return spread_by_bytes(opened, "uri").select("uri", "file").mapInArrow(
+        _first_lines, "uri string, file string, header binary"
     )
 
 
@@ -271,8 +279,9 @@ def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 line = b""
                 while b"\n" not in line and (block := source.read(2**14)):
                     line += block
-            found.append(line.split(b"\n", 1)[0].rstrip(b"\r").decode())
-        yield pa.RecordBatch.from_arrays([pa.array(uris), pa.array(found)], names=["uri", "header"])
+            found.append(line.split(b"\n", 1)[0].rstrip(b"\r"))
+        headers = pa.array(found, pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns, headers], names=["uri", "file", "header"])
 
 
 def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,8 +5,10 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeferry.functions.fit import json_document
 from lakeferry.functions.types import schema_ddl, sql_type
 from lakeferry.operators.infer import infer_json, infer_schema
 
@@ -121,4 +123,34 @@ def test_json_with_very_many_keys(spark):
     many = spark.range(0, 12_000).selectExpr("concat('{\"k', id, '\": ', id, '}') AS v")
     assert sql_type(infer_json(many, "v")) == "MAP<STRING, INT>"
     mixed = many.selectExpr("IF(v LIKE '%7}', replace(replace(v, ': ', ': \"'), '}', '\"}'), v) AS v")
-    assert isinstance(infer_json(mixed, "v"), T.VariantType)
+    kind = infer_json(mixed.where("cast(regexp_extract(v, 'k([0-9]+)', 1) AS int) < 1000"), "v")
+    assert isinstance(kind, T.StructType) and len(kind) == 1_000
+    assert kind["k16"].dataType == T.IntegerType() and kind["k17"].dataType == T.StringType()
+    assert isinstance(infer_json(mixed, "v", mixed="variant"), T.VariantType)
+
+
+def test_keys_of_a_map_stay_off_the_driver(spark, monkeypatch):
+    """However many keys there are, the driver gets one row of facts."""
+    collected = []
+    real = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: collected.append(real(df)) or collected[-1])
+    for n in (10, 20_000):
+        many = spark.range(n).selectExpr("concat('{\"k', id, '\": \"x\"}') AS v")
+        assert sql_type(infer_json(many, "v", mixed="variant")) == "MAP<STRING, STRING>"
+    assert all(len(rows) <= 1 for rows in collected)
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("1] , [2", None), ("1,2", None), ('1, "w":2', None), ("[1,2]", "ARRAY<INT>"), ("[1],[2]", None), ("[]]", None),
+        ('"]"', "STRING"), ('{"a": "]"}', "MAP<STRING, STRING>"), ("", None), (" ", None), ("null", "VOID"), ("1}", None),
+        ('"a" "b"', None), ("1 2", None), ("1,", None), ("[1", None), ("1,null", None),
+    ],
+)
+def test_one_document_only(spark, text, kind):
+    df = spark.createDataFrame([(text,)], "v string")
+    found = df.select(json_document(F.col("v")).alias("d")).first()["d"]
+    assert (found is None) == (kind is None)
+    if kind is not None:
+        assert sql_type(infer_json(df, "v")) == kind
