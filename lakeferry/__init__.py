@@ -15,7 +15,15 @@ from lakeferry.operators.infer import infer_json, infer_schema  # noqa: E402
 from lakeferry.operators.load import bulk_write_files, copy_into, read_files_as_table  # noqa: E402
 from lakeferry.operators.merge import delete_where, merge_table, replace_keys  # noqa: E402
 from lakeferry.operators.sql import run_sql, where_in  # noqa: E402
-from lakeferry.operators.volumes import drop_files, export_files, ingest_tree, list_files  # noqa: E402
+from lakeferry.operators.volumes import (  # noqa: E402
+    drop_files,
+    export_files,
+    ingest_tree,
+    list_files,
+    move_files,
+    put_files,
+    stored_files,
+)
 from lakeferry.operators.write import (  # noqa: E402
     bulk_write_table,
     create_table,
@@ -23,7 +31,7 @@ from lakeferry.operators.write import (  # noqa: E402
     write_table,
 )
 from lakeferry.sources.files import read_files, read_jdbc  # noqa: E402
-from lakeferry.sources.records import from_records  # noqa: E402
+from lakeferry.sources.records import from_records, records_of  # noqa: E402
 from lakeferry.sources.tables import (  # noqa: E402
     Table,
     drop_table,
@@ -54,7 +62,9 @@ __all__ = [
     "list_files",
     "list_tree",
     "merge_table",
+    "move_files",
     "parse_literal",
+    "put_files",
     "read_external",
     "read_file_stream",
     "read_files",
@@ -62,6 +72,7 @@ __all__ = [
     "read_jdbc",
     "read_table",
     "read_tree",
+    "records_of",
     "render_literal",
     "replace_keys",
     "replace_table",
@@ -71,6 +82,7 @@ __all__ = [
     "split_by_fit",
     "sql_to_files",
     "sql_type",
+    "stored_files",
     "stream_ingest",
     "stream_merge",
     "stream_tags",

@@ -7,6 +7,7 @@ only these are read in full and written anew; every other file stays as it is.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -324,16 +325,50 @@ def replace_keys(
 
 def delete_where(spark: SparkSession, table: str | Table, condition: Column) -> None:
     """Delete the rows for which ``condition`` is true, rewriting only files that have any."""
+    gone = F.coalesce(condition, F.lit(False))
+    _rewrite(spark, table, lambda rows: rows.where(gone), lambda rows: rows.where(~gone))
+
+
+def update_where(
+    spark: SparkSession, table: str | Table, condition: Column, values: dict[str, Column]
+) -> None:
+    """Give columns new values where ``condition`` is true, rewriting only files with such rows."""
+    hit = F.coalesce(condition, F.lit(False))
+
+    def changed(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            *[F.when(hit, values[c]).otherwise(F.col(quote(c))).alias(c) if c in values else F.col(quote(c)) for c in rows.columns]
+        )
+
+    _rewrite(spark, table, lambda rows: rows.where(hit), changed)
+
+
+def delete_unmatched(
+    spark: SparkSession, table: str | Table, keep: DataFrame, keys: list[str]
+) -> None:
+    """Delete the rows whose keys do not occur in ``keep``, rewriting only files that have any."""
+    known = _columns(keep, keys).distinct()
+    _rewrite(
+        spark, table, lambda rows: rows.join(known, keys, "left_anti"), lambda rows: rows.join(known, keys, "left_semi")
+    )
+
+
+def _rewrite(
+    spark: SparkSession,
+    table: str | Table,
+    hit: Callable[[DataFrame], DataFrame],
+    after: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Put ``after`` of their rows in the place of the files that have a row of ``hit``."""
     ref = as_table(table)
     recover(spark, ref)
     columns = list(table_facts(spark, ref).partition_columns)
     target = spark.table(ref.name)
-    gone = F.coalesce(condition, F.lit(False))
     scratch = _scratch(spark)
     try:
-        files = _gone(spark, with_file(target).where(gone), columns, scratch)
+        files = _gone(spark, hit(with_file(target)), columns, scratch)
         if files:
-            replace_files(spark, ref, in_files(target, files).where(~gone), scratch)
+            replace_files(spark, ref, after(in_files(target, files)).select(*_names(target.columns)), scratch)
     finally:
         _clean(spark, ref, scratch)
 

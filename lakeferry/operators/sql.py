@@ -6,15 +6,18 @@ from collections.abc import Iterable
 from decimal import Decimal
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lakeferry.functions.types import quote
 from lakeferry.plans.workspace import Workspace, broadcast_limit, session_settings, stage
 
 # A longer list becomes a join side, which the optimizer broadcasts or shuffles by its size.
-INLINE_VALUES = 1_000
+INLINE_VALUES = 200
+_WANTED = "__wanted"
 # Bytes a row of one value takes beside the value.
 VALUE_OVERHEAD = 32
 
@@ -57,27 +60,34 @@ def where_in(df: DataFrame, column: str, values: Iterable[object]) -> DataFrame:
     """Rows whose ``column`` is one of ``values``.
 
     A short list is a predicate that reaches the file scan.  A long one is a semi-join, broadcast
-    while its own size stays within the session's limit for that.  Both compare as SQL does, in
-    the type that the column and the values have in common, so the length decides the plan only.
+    while its own size stays within the session's limit for that; its least and greatest value
+    still reach the scan.  Both compare as SQL does, in the type that the column and the values
+    have in common, so the length decides the plan only.
     """
     spark = df.sparkSession
     wanted = [v for v in dict.fromkeys(values) if v is not None]
     if not wanted:
         return df.where(F.lit(False))
-    one_of_each = list({_kind(v): _literal(v) for v in wanted}.values())
+    by_kind: dict[str, list] = {}
+    for value in wanted:
+        by_kind.setdefault(_kind(value), []).append(value)
+    target = F.col(quote(column))
     if len(wanted) <= INLINE_VALUES:
-        return df.where(F.col(quote(column)).isin(*[_literal(v) for v in wanted]))
+        return df.where(target.isin(*map(_literal, wanted)))
+    if len(by_kind) == 1 and not any(v != v for v in wanted):
+        df = df.where((target >= _literal(min(wanted))) & (target <= _literal(max(wanted))))
+    one_of_each = [_literal(some[0]) for some in by_kind.values()]
     common = spark.range(0).select(F.array(*one_of_each)).schema[0].dataType.elementType
     sides = []
-    for kind in dict.fromkeys(map(_kind, wanted)):
-        some = [(Decimal(v) if kind == "large" else v,) for v in wanted if _kind(v) == kind]
-        typed = spark.createDataFrame(some, T.StructType([T.StructField("wanted", _TYPES[kind])]))
-        sides.append(typed.select(F.col("wanted").cast(common)))
+    for kind, some in by_kind.items():
+        plain = [Decimal(v) for v in some] if kind == "large" else some
+        table = pa.table({_WANTED: pa.array(plain, to_arrow_type(_TYPES[kind]))})
+        sides.append(spark.createDataFrame(table).select(F.col(_WANTED).cast(common)))
     side = reduce(DataFrame.union, sides)
     size = sum(len(str(v)) + VALUE_OVERHEAD for v in wanted)
     if size <= broadcast_limit(spark):
         side = F.broadcast(side)
-    return df.join(side, df[quote(column)] == side["wanted"], "left_semi").select(*df.columns)
+    return df.join(side, df[quote(column)] == side[_WANTED], "left_semi").select(*[F.col(quote(c)) for c in df.columns])
 
 
 _TYPES = {

@@ -1,6 +1,7 @@
 """Files as data: plan a sync, find conflicts, list, export and drop sub-trees.
 
-A *files table* has the columns of ``lakeferry.sources.trees``: one row per part of a file.
+A *files table* has the columns of ``lakeferry.sources.trees``: one row per part of a file.  A *store*
+keeps files as two tables: a manifest of paths, and the content of each hash once.
 """
 
 from __future__ import annotations
@@ -14,26 +15,26 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeferry.functions.types import quote
-from lakeferry.operators.merge import delete_where, replace_keys, with_bucket
-from lakeferry.operators.write import create_table, write_table
+from lakeferry.operators.merge import delete_unmatched, delete_where, merge_table, update_where
+from lakeferry.operators.write import create_table
 from lakeferry.plans import store
-from lakeferry.plans.commit import token
+from lakeferry.plans.commit import append_once, recover, token
 from lakeferry.plans.workspace import shared_root, stage
-from lakeferry.sources.tables import Table, as_table, table_exists, table_facts
+from lakeferry.sources.tables import Table, as_table, read_table
 from lakeferry.sources.trees import (
     FILES_SCHEMA,
     PART_BYTES,
-    list_tree,
     open_uri,
     read_listed,
     read_tree,
     relative_path,
 )
 
-# Table property: the number of hash buckets of a files table.
-BUCKETS = "lakeferry.buckets"
+MANIFEST_SCHEMA = "path string, size bigint, sha256 string"
+CONTENT_SCHEMA = "sha256 string, part bigint, n_parts bigint, content binary"
 
 
 class FileConflictError(ValueError):
@@ -74,29 +75,63 @@ def conflicts(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     return listing.select("path").join(manifest.select("path"), "path", "left_semi")
 
 
-def create_files_table(
-    spark: SparkSession, table: str | Table, buckets: int | None = None
-) -> Table:
-    """A files table in hash buckets of the path, so a changed file rewrites one bucket only.
+def create_files_table(spark: SparkSession, table: str | Table) -> Table:
+    """A store of files: ``table`` is its manifest, a sibling holds every content once.
 
-    There are as many buckets as the session has shuffle partitions, unless a number is given;
-    the table remembers it.
+    Changes of the tree are changes of the manifest, rows of a path, a size and a hash; the sibling,
+    keyed by the hash, is only ever appended to, and what no path needs any more goes by
+    ``drop_unused_content``.
     """
     ref = as_table(table)
-    if not table_exists(spark, ref):
-        number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        schema = with_bucket(spark.createDataFrame([], FILES_SCHEMA), ["path"], number).schema
-        properties = {**ref.properties, BUCKETS: str(number)}
-        create_table(
-            spark,
-            replace(ref, schema=schema, partitioned_by=["bucket"], properties=properties),
-        )
+    content = content_table(ref)
+    create_table(spark, replace(ref, schema=MANIFEST_SCHEMA))
+    create_table(spark, replace(content, schema=CONTENT_SCHEMA))
     return ref
 
 
-def in_buckets(spark: SparkSession, table: str | Table, files: DataFrame) -> DataFrame:
-    """Rows of a files table with the bucket that ``table`` keeps them in."""
-    return with_bucket(files, ["path"], int(table_facts(spark, table).properties[BUCKETS]))
+def content_table(table: str | Table) -> Table:
+    return as_table(table).sibling("content")
+
+
+def stored_files(spark: SparkSession, table: str | Table, prefix: str = "") -> DataFrame:
+    """The files of a sub-tree with their content, as a files table.
+
+    A manifest within the session's broadcast limit is broadcast, so content does not move.
+    """
+    ref = as_table(table)
+    manifest = read_table(spark, ref.name).where(in_subtree(F.col("path"), prefix))
+    joined = manifest.join(read_table(spark, content_table(ref)), "sha256")
+    return joined.select(*T.StructType.fromDDL(FILES_SCHEMA).names)
+
+
+def put_files(spark: SparkSession, table: str | Table, files: DataFrame) -> None:
+    """Add or replace files given as a files table; content that is stored already is not written."""
+    ref = create_files_table(spark, table)
+    listing = list_files(files)
+    scratch = f"{shared_root(spark)}/lakeferry/put-{token()}"
+    try:
+        listed, _ = stage(spark, listing, f"{scratch}/listing")
+        wanted, _ = stage(spark, _lacking(spark, ref, listed).select("path"), f"{scratch}/wanted")
+        rows = files.join(wanted, "path", "left_semi").select(*T.StructType.fromDDL(CONTENT_SCHEMA).names)
+        _store(spark, ref, None if wanted.isEmpty() else rows, listed)
+    finally:
+        store.delete(spark, scratch)
+
+
+def _lacking(spark: SparkSession, ref: Table, listed: DataFrame) -> DataFrame:
+    """One row of ``(sha256, path, …)`` for each content that the store lacks; only hashes are compared."""
+    rest = [F.col(c) for c in listed.columns if c not in ("sha256", "path")]
+    first = listed.groupBy("sha256").agg(F.min(F.struct("path", *rest)).alias("one")).select("sha256", "one.*")
+    known = read_table(spark, content_table(ref), ["sha256", "part"]).where("part = 0")
+    return first.join(known, "sha256", "left_anti")
+
+
+def _store(spark: SparkSession, ref: Table, content: DataFrame | None, manifest: DataFrame) -> None:
+    """Content first: a crash before the manifest leaves content that the next call finds."""
+    recover(spark, content_table(ref))
+    if content is not None:
+        append_once(spark, content_table(ref), content, token())
+    merge_table(spark, ref, manifest.select(*T.StructType.fromDDL(MANIFEST_SCHEMA).names), "path")
 
 
 def ingest_tree(
@@ -108,22 +143,25 @@ def ingest_tree(
     if_exists: str = "sync",
     part_bytes: int = PART_BYTES,
 ) -> dict[str, int]:
-    """Bring the files below ``root`` into a files table; returns how many were written or kept.
+    """Bring the files below ``root`` into a store; returns how many were written or kept.
 
     ``if_exists="sync"`` skips files with the same path and content and replaces changed ones;
-    ``"error"`` refuses if any path exists; ``"replace"`` writes every file again.
+    ``"error"`` refuses if any path exists; ``"replace"`` enters every file again.  Every file is
+    hashed once; only files whose content the store lacks are read a second time and written, so a
+    renamed or copied file is a row of the manifest and nothing else.
     """
     if if_exists not in ("sync", "error", "replace"):
         raise ValueError(f"if_exists is 'sync', 'error' or 'replace', got {if_exists!r}")
     ref = create_files_table(spark, table)
-    files = read_tree(spark, root, prefix=prefix, part_bytes=part_bytes)
-    manifest = list_files(spark.table(ref.name))
-    if manifest.isEmpty():
-        write_table(spark, ref, in_buckets(spark, ref, files))
-        return {"new": manifest.count(), "changed": 0, "same": 0}
     scratch = f"{shared_root(spark)}/lakeferry/ingest-{token()}"
     try:
-        plan, _ = stage(spark, _planned(spark, files, manifest, root, prefix), f"{scratch}/plan")
+        files = read_tree(spark, root, absolute=True, part_bytes=part_bytes).where("part = 0")
+        listing = files.select(
+            F.col("path").alias("uri"), relative_path(spark, F.col("path"), root, prefix).alias("path"), "size", "sha256"
+        )
+        listed, _ = stage(spark, listing, f"{scratch}/listing")
+        plan = sync_plan(listed, read_table(spark, ref.name)).select("path", "action").join(listed, "path")
+        plan, _ = stage(spark, plan, f"{scratch}/plan")
         if if_exists == "error":
             clash = plan.where("action <> 'new'").take(5)
             if clash:
@@ -131,26 +169,38 @@ def ingest_tree(
         if if_exists == "replace":
             plan = plan.replace("same", "changed", "action")
         counts = {r["action"]: r["n"] for r in plan.groupBy("action").agg(_n()).collect()}
-        if counts.get("changed"):
-            again = read_listed(plan.where("action = 'changed'"), part_bytes=part_bytes)
-            replace_keys(spark, ref, in_buckets(spark, ref, again), ["path", "bucket"])
-        if counts.get("new"):
-            first = read_listed(plan.where("action = 'new'"), part_bytes=part_bytes)
-            write_table(spark, ref, in_buckets(spark, ref, first))
+        entered = plan.where("action <> 'same'")
+        if set(counts) - {"same"}:
+            wanted, _ = stage(spark, _lacking(spark, ref, entered.select("sha256", "path", "uri", "size")), f"{scratch}/wanted")
+            content = read_listed(wanted, part_bytes=part_bytes).select(*T.StructType.fromDDL(CONTENT_SCHEMA).names)
+            _store(spark, ref, None if wanted.isEmpty() else content, entered)
         return {"new": 0, "changed": 0, "same": 0, **counts}
     finally:
         store.delete(spark, scratch)
 
 
-def _planned(
-    spark: SparkSession, files: DataFrame, manifest: DataFrame, root: str, prefix: str
-) -> DataFrame:
-    """The sync plan with the URI and size of every listed file, for reading some of them."""
-    listing = list_files(files)
-    uris = list_tree(spark, root, with_empty=True).select(
-        "uri", "size", relative_path(spark, F.col("uri"), root, prefix).alias("path")
-    )
-    return sync_plan(listing, manifest).join(uris, "path")
+def move_files(spark: SparkSession, table: str | Table, prefix: str, target: str) -> None:
+    """Give a sub-tree, or a single file, another place; only rows of the manifest change.
+
+    A path that exists already outside the sub-tree is an error before anything is written.
+    """
+    ref = as_table(table)
+    base, to = prefix.strip("/"), target.strip("/")
+    manifest = read_table(spark, ref.name)
+    inside = in_subtree(F.col("path"), base)
+    rest = F.col("path") if not base else F.substring(F.col("path"), len(base) + 2, 2**31 - 1)
+    moved = F.concat_ws("/", *[F.nullif(part, F.lit("")) for part in (F.lit(to), rest)])
+    moving = manifest.where(inside).select(moved.alias("path"))
+    clash = conflicts(moving, manifest.where(~inside)).take(5)
+    if clash:
+        raise FileConflictError(f"files exist already, as {[r.path for r in clash]}")
+    update_where(spark, ref, inside, {"path": moved})
+
+
+def drop_unused_content(spark: SparkSession, table: str | Table) -> None:
+    """Delete content that no path has any more; files of the store without any are left alone."""
+    keep = read_table(spark, as_table(table).name).select("sha256")
+    delete_unmatched(spark, content_table(table), keep, ["sha256"])
 
 
 def _n() -> Column:
@@ -158,7 +208,7 @@ def _n() -> Column:
 
 
 def drop_files(spark: SparkSession, table: str | Table, prefix: str = "") -> None:
-    """Delete a sub-tree from a files table."""
+    """Delete a sub-tree from a store of files; only rows of the manifest go."""
     delete_where(spark, table, in_subtree(F.col(quote("path")), prefix))
 
 

@@ -1,15 +1,17 @@
-"""Python records as a DataFrame, for data that is small enough to be in the program anyway."""
+"""Python records as a DataFrame: those of the program, or those that tasks make of a table's rows."""
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from decimal import Decimal
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lakeferry.functions.fit import FLOAT_BOUNDS
 from lakeferry.functions.typed import apply_schema
@@ -116,6 +118,94 @@ def from_records(
     return apply_schema(spark.createDataFrame(rows, given), schema, json_as="string")
 
 
+def records_of(
+    df: DataFrame,
+    make: Callable[[dict[str, object]], Mapping[str, object] | None],
+    schema: SchemaLike | None = None,
+    *,
+    float_type: str = "float",
+) -> DataFrame:
+    """The records that ``make`` makes of the rows, as typed columns; None makes no record.
+
+    ``make`` runs in tasks, on one row as a dictionary, and its records become typed Arrow batches
+    there.  Without a schema a first pass over all rows widens their types to common ones: a task
+    sends each schema it met once, and only different schemas reach the driver.
+    """
+    schema = build_schema(schema)
+    if schema is None:
+        schema = _settled(df, make, float_type)
+    kinds = [_carried(f) for f in schema.fields]
+    arrow = [to_arrow_type(kind) for kind in kinds]
+    names = schema.names
+
+    def typed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            records = [r for r in map(make, batch.to_pylist()) if r is not None]
+            columns = [
+                pa.array([_carry(field, kind, r.get(field.name)) for r in records], target)
+                for field, kind, target in zip(schema.fields, kinds, arrow, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    carried = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
+    return apply_schema(df.mapInArrow(typed, carried), schema, json_as="string")
+
+
+def _settled(df: DataFrame, make, float_type: str) -> T.StructType:
+    """The common type of every name that any record has."""
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, T.StructType] = {}
+        for batch in batches:
+            for record in map(make, batch.to_pylist()):
+                if record is not None:
+                    fields = [T.StructField(n, value_type(v, float_type)) for n, v in record.items()]
+                    seen.setdefault(T.StructType(fields).json(), None)
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["kind"])
+
+    kinds: dict[str, T.DataType] = {}
+    for row in df.mapInArrow(met, "kind string").distinct().orderBy("kind").toLocalIterator():
+        for field in T.StructType.fromJson(json.loads(row["kind"])).fields:
+            kinds[field.name] = widen(kinds.get(field.name, T.NullType()), field.dataType)
+    return T.StructType([T.StructField(n, t) for n, t in sorted(kinds.items())])
+
+
+def _carried(field: T.StructField) -> T.DataType:
+    """The type in which a column leaves a task: dates and times as text, whatever records hold."""
+    if isinstance(field.dataType, _MOMENTS) or is_json(field):
+        return T.StringType()
+    return field.dataType
+
+
+def _carry(field: T.StructField, kind: T.DataType, value: object) -> object:
+    if value is None:
+        return None
+    if is_json(field):
+        return json.dumps(value)
+    return _plain(kind, value)
+
+
+def _plain(kind: T.DataType, value: object) -> object:
+    """A value in the form that Arrow takes for a type."""
+    if value is None:
+        return None
+    if isinstance(kind, T.StringType):
+        return value if isinstance(value, str) else str(value)
+    if isinstance(kind, T.BinaryType):
+        return value.encode() if isinstance(value, str) else value
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return float(value)
+    if isinstance(kind, T.DecimalType):
+        return Decimal(str(value))
+    if isinstance(kind, T.ArrayType):
+        return [_plain(kind.elementType, v) for v in value]
+    if isinstance(kind, T.MapType):
+        return [(_plain(kind.keyType, k), _plain(kind.valueType, v)) for k, v in value.items()]
+    if isinstance(kind, T.StructType):
+        return {f.name: _plain(f.dataType, value.get(f.name)) for f in kind.fields}
+    return value
+
+
 def _values(field: T.StructField, values: list) -> tuple[T.DataType, list]:
     """A column's values in a form that Spark takes, and the type of that form."""
     if is_json(field):

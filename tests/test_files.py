@@ -12,13 +12,20 @@ from pyspark.sql import functions as F
 from lakeferry.operators import volumes
 from lakeferry.operators.volumes import (
     FileConflictError,
+    content_table,
     drop_files,
+    drop_unused_content,
     export_files,
     in_subtree,
     ingest_tree,
     list_files,
+    move_files,
+    put_files,
+    stored_files,
     sync_plan,
 )
+from lakeferry.plans import store
+from lakeferry.sources.tables import read_table, table_facts
 from lakeferry.sources.trees import FILES_SCHEMA, list_tree, read_tree
 
 TREE = {
@@ -149,11 +156,11 @@ def test_sync(spark, ws, part_bytes):
     tree = {**TREE, "file": b"two", "sub/sub2/file": b"short", "new/file": bytes(1000)}
     grow(ws.dir("in"), tree)
     assert again() == {"new": 1, "changed": 2, "same": 4}
-    assert rows(list_files(spark.table(table))) == expected(tree)
-    export_files(spark, spark.table(table), ws.dir("out"))
+    assert rows(list_files(read_table(spark, table))) == expected(tree)
+    export_files(spark, stored_files(spark, table), ws.dir("out"))
     assert exported(ws.dir("out")) == tree
     assert again(if_exists="replace") == {"new": 0, "changed": 7, "same": 0}
-    assert rows(list_files(spark.table(table))) == expected(tree)
+    assert rows(list_files(read_table(spark, table))) == expected(tree)
 
 
 def test_conflicts(spark, ws):
@@ -185,11 +192,70 @@ def test_drop(spark, ws):
     grow(ws.dir("in"))
     ingest_tree(spark, table, ws.dir("in"))
     drop_files(spark, table, "sub")
-    assert [r.path for r in list_files(spark.table(table)).orderBy("path").collect()] == [
+    assert [r.path for r in list_files(read_table(spark, table)).orderBy("path").collect()] == [
         "file",
         "odd names/a%20b #1?.txt",
         "same",
         "sub1/file",
     ]
     drop_files(spark, table)
-    assert spark.table(table).count() == 0
+    assert read_table(spark, table).count() == 0
+
+
+def content_bytes(spark, table):
+    return store.tree_bytes(spark, table_facts(spark, content_table(table)).location)
+
+
+def test_moves_drops_and_copies_write_no_content(spark, ws):
+    table = ws.table("files")
+    tree = {f"d{i}/f{j}": bytes([i, j]) * 500 for i in range(3) for j in range(4)}
+    grow(ws.dir("in"), tree)
+    ingest_tree(spark, table, ws.dir("in"))
+    before = content_bytes(spark, table)
+    assert spark.table(content_table(table).name).count() == 12
+    move_files(spark, table, "d0", "moved/deep")
+    move_files(spark, table, "d1/f0", "single")
+    drop_files(spark, table, "d2")
+    # files that were renamed or copied outside come back under other paths
+    grow(ws.dir("again"), {"copy/a": tree["d2/f1"], "copy/b": tree["d2/f1"], "copy/c": tree["d0/f0"]})
+    assert ingest_tree(spark, table, ws.dir("again")) == {"new": 3, "changed": 0, "same": 0}
+    assert content_bytes(spark, table) == before
+    now = {k.replace("d0/", "moved/deep/"): v for k, v in tree.items() if k[:2] in ("d0", "d1")}
+    now["single"] = now.pop("d1/f0")
+    now |= {"copy/a": tree["d2/f1"], "copy/b": tree["d2/f1"], "copy/c": tree["d0/f0"]}
+    assert {r.path: bytes(r.content) for r in stored_files(spark, table).collect()} == now
+    with pytest.raises(FileConflictError):
+        move_files(spark, table, "d1", "moved/deep")
+    with pytest.raises(FileConflictError):
+        move_files(spark, table, "single", "copy/a")
+    drop_unused_content(spark, table)
+    assert spark.table(content_table(table).name).count() == 9
+    assert {r.path: bytes(r.content) for r in stored_files(spark, table).collect()} == now
+
+
+def test_put_files(spark, ws):
+    table = ws.table("files")
+    grow(ws.dir("in"))
+    put_files(spark, table, read_tree(spark, ws.dir("in"), part_bytes=1000))
+    assert {r.path for r in list_files(read_table(spark, table)).collect()} == set(TREE)
+    # "file" and "same" have one content
+    assert spark.table(content_table(table).name).where("part = 0").count() == len(TREE) - 1
+    put_files(spark, table, read_tree(spark, ws.dir("in"), prefix="more", part_bytes=1000))
+    export_files(spark, stored_files(spark, table, "more"), ws.dir("out"), prefix="more")
+    assert exported(ws.dir("out")) == TREE
+
+
+def test_a_crash_between_content_and_manifest(spark, ws, monkeypatch):
+    table = ws.table("files")
+    grow(ws.dir("in"))
+
+    def crash(*args):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(volumes, "merge_table", crash)
+        with pytest.raises(RuntimeError):
+            ingest_tree(spark, table, ws.dir("in"))
+    assert read_table(spark, table).isEmpty()
+    assert ingest_tree(spark, table, ws.dir("in"))["new"] == len(TREE)
+    assert {r.path: bytes(r.content) for r in stored_files(spark, table).collect()} == TREE

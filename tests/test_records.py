@@ -4,10 +4,11 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from conftest import rows
 
 from lakeferry.functions.types import schema_ddl, sql_type
 from lakeferry.operators.write import bulk_write_table
-from lakeferry.sources.records import from_records, value_type
+from lakeferry.sources.records import from_records, records_of, value_type
 from lakeferry.sources.tables import Table, read_table
 
 
@@ -117,3 +118,26 @@ def test_a_value_outside_its_type_is_an_error(spark):
 
 def test_no_records(spark):
     assert from_records(spark, [], "a INT").count() == 0
+
+
+def test_records_made_in_tasks(spark):
+    """Types are widened over all tasks; names, nested values and moments as from a program."""
+    df = spark.range(0, 40, 1, 4)
+
+    def make(row):
+        i = row["id"]
+        if i == 7:
+            return None
+        record = {"i": i if i < 39 else 2**40, "mixed": 1 if i % 2 else 1.5, "at": dt.datetime(2020, 1, 1, 5), "day": dt.date(2020, 1, 2)}
+        record |= {"items": [i, None], "pair": {"a": i, "b": "x"}, "raw": b"\x00", "price": Decimal("1.5")}
+        return record | ({"late": "x"} if i > 35 else {})
+
+    found = records_of(df, make, float_type="double")
+    plain = from_records(spark, [make({"id": i}) for i in range(40) if i != 7], float_type="double")
+    assert {f.name: f.dataType for f in found.schema.fields} == {f.name: f.dataType for f in plain.schema.fields}
+    assert rows(found.select(*plain.columns)) == rows(plain)
+    forced = records_of(df, lambda r: {"i": r["id"], "m": {"k": r["id"]}, "j": {"x": [1]}, "extra": 1, "at": "2020-01-01 05:00:00"},
+                        {"i": "STRING", "m": "MAP<STRING, BIGINT>", "j": "JSON", "none": "DATE", "at": "TIMESTAMP"})
+    row = forced.where("i = '3'").first()
+    assert (row.i, row.m, row.j, row.none, row["at"]) == ("3", {"k": 3}, '{"x": [1]}', None, dt.datetime(2020, 1, 1, 5))
+    assert records_of(df.limit(0), make, "i INT").count() == 0

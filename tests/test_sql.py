@@ -113,3 +113,30 @@ def test_long_and_short_lists_agree(spark, n):
     assert where_in(df, "d", [f"x{i}" for i in range(n)]).count() == n
     assert where_in(df, "c", [i + 0.5 for i in range(n)]).count() == 0
     assert where_in(df, "b", []).count() == 0
+
+
+@pytest.mark.parametrize("n", [3, 900])
+def test_lists_of_every_kind_and_awkward_columns(spark, n):
+    days = [dt.date(2020, 1, 1) + dt.timedelta(i) for i in range(n)]
+    df = spark.createDataFrame(
+        [(i, f"v{i}", days[0] + dt.timedelta(i), dt.datetime(2020, 1, 1) + dt.timedelta(hours=i), Decimal(i) / 4, i / 4, str(i).encode(), i % 2 == 0)
+         for i in range(n + 5)],
+        "`a.b` int, `c``d` string, day date, at timestamp, d decimal(10,2), f double, raw binary, flag boolean",
+    )
+    lists = {
+        "a.b": range(n), "c`d": [f"v{i}" for i in range(n)], "day": days, "at": [dt.datetime(2020, 1, 1) + dt.timedelta(hours=i) for i in range(n)],
+        "d": [Decimal(i) / 4 for i in range(n)], "f": [i / 4 for i in range(n)], "raw": [str(i).encode() for i in range(n)],
+    }
+    for column, values in lists.items():
+        found = where_in(df, column, values)
+        assert found.columns == df.columns
+        assert sorted(r[0] for r in found.select("`a.b`").collect()) == list(range(n)), column
+    assert where_in(df, "f", [*lists["f"], float("nan")]).count() == n
+    assert where_in(df, "flag", [True]).count() == (n + 6) // 2
+
+
+def test_a_long_list_narrows_the_scan(spark, ws):
+    spark.range(5_000).selectExpr("id", "'v' || id AS v").write.parquet(ws.dir("ids"))
+    found = where_in(spark.read.parquet(ws.dir("ids")), "id", range(100, 1_900))
+    assert "GreaterThanOrEqual(id,100), LessThanOrEqual(id,1899)" in plan_of(found)
+    assert found.count() == 1_800

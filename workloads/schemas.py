@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeferry.functions.literals import parse_literal, render_literal
-from lakeferry.functions.types import sql_type
+from lakeferry.functions.typed import apply_schema
+from lakeferry.functions.types import build_schema, sql_type
 from lakeferry.operators.conform import type_fit_report, with_fit
 from lakeferry.operators.infer import infer_json, infer_schema, schema_rows
 from lakeferry.operators.write import write_table
@@ -212,8 +213,10 @@ def _nested_literal(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _json_column(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = F.from_json("props", "k BIGINT")
-    return load(spark, sf, "events").select("event_id", parsed["k"].alias("k"))
+    """JSON text read as the column type that a schema gives it."""
+    events = load(spark, sf, "events").select("event_id", "props")
+    typed = apply_schema(events, build_schema({"event_id": "BIGINT", "props": "STRUCT<k: BIGINT>"}))
+    return typed.select("event_id", F.col("props.k").alias("k"))
 
 
 def _variant_column(spark: SparkSession, sf: str) -> DataFrame:

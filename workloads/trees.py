@@ -2,31 +2,23 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.operators.registry import (
-    get_tags,
-    replay,
-    set_comment,
-    set_tags,
-    tag_maps,
-    unset_tags,
-)
+from lakeferry.operators.registry import record_changes, replay, tag_maps
 from lakeferry.operators.volumes import (
     conflicts,
-    create_files_table,
     drop_files,
     export_files,
-    in_buckets,
     ingest_tree,
     list_files,
+    move_files,
+    put_files,
+    stored_files,
     sync_plan,
 )
-from lakeferry.operators.write import write_table
 from lakeferry.plans.workspace import Workspace
+from lakeferry.sources.tables import read_table
 from lakeferry.sources.trees import read_tree
 from workloads.base import load
 from workloads.reads import text_files
@@ -49,20 +41,27 @@ def _ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 def _files_table(spark: SparkSession, sf: str) -> str:
     table = Workspace(spark).table("documents")
-    create_files_table(spark, table)
-    write_table(spark, table, in_buckets(spark, table, _documents(spark, sf)))
+    put_files(spark, table, _documents(spark, sf))
     return table
 
 
 def _list_prefix(spark: SparkSession, sf: str) -> DataFrame:
     table = _files_table(spark, sf)
-    return list_files(spark.table(table), "en/src1").select("path")
+    return list_files(read_table(spark, table), "en/src1").select("path")
 
 
 def _drop(spark: SparkSession, sf: str) -> DataFrame:
     table = _files_table(spark, sf)
     drop_files(spark, table, "en/src1")
-    return list_files(spark.table(table)).select("path")
+    return list_files(read_table(spark, table)).select("path")
+
+
+def _move(spark: SparkSession, sf: str) -> DataFrame:
+    """A sub-tree at another place, with the content that its paths lead to."""
+    table = _files_table(spark, sf)
+    move_files(spark, table, "en/src1", "moved/here")
+    found = stored_files(spark, table, "moved")
+    return found.select("path", F.octet_length("content").cast("bigint").alias("size"), F.sha2("content", 256).alias("sha256"))
 
 
 def _listing_and_manifest(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -97,7 +96,7 @@ def _sync(spark: SparkSession, sf: str) -> DataFrame:
     changed = text_files(pages.where(secure), path, "url", ".html")
     export_files(spark, changed, ws.dir("pages"))
     ingest_tree(spark, ws.table("pages"), ws.dir("pages"))
-    return list_files(spark.table(ws.table("pages")))
+    return list_files(read_table(spark, ws.table("pages")))
 
 
 def _export(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,19 +136,19 @@ def _tag_maps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _registry_verbs(spark: SparkSession, sf: str) -> DataFrame:
-    """Tags and a comment of every region: set, changed, removed and read."""
+    """Tags and a comment of every customer: set, changed, removed and read, a job for each step."""
     registry = Workspace(spark).table("registry")
-    regions = load(spark, sf, "region").collect()
-    for r in regions:
-        set_tags(spark, registry, r.r_name, {"key": "none", "old": r.r_name})
-        set_comment(spark, registry, r.r_name, r.r_name.lower())
-        set_tags(spark, registry, r.r_name, {"key": r.r_regionkey})
-        unset_tags(spark, registry, r.r_name, ["old"])
-    found = [
-        get_tags(spark, registry, r.r_name).select(F.lit(r.r_name).alias("entity"), "name", "value")
-        for r in regions
+    customers = load(spark, sf, "customer").withColumn("entity", F.col("c_custkey").cast("string"))
+    steps = [
+        {"key": F.lit("none"), "old": F.col("c_name")},
+        {"comment": F.lower("c_name")},
+        {"key": F.col("c_mktsegment")},
+        {"old": F.lit(None)},
     ]
-    return reduce(DataFrame.union, found)
+    for tags in steps:
+        change = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), v.cast("string").alias("value")) for k, v in tags.items()]))
+        record_changes(spark, registry, customers.select("entity", change.alias("c")).select("entity", "c.*"))
+    return replay(read_table(spark, registry), ["entity", "name"], "value", ["at", "seq"])
 
 
 def _comments(spark: SparkSession, sf: str) -> DataFrame:
@@ -169,6 +168,7 @@ QUERIES = {
     "files_export": _export,
     "files_export_parts": _export_parts,
     "files_drop": _drop,
+    "files_move": _move,
     "tags_apply": _tags,
     "tags_as_map": _tag_maps,
     "registry_verbs": _registry_verbs,
@@ -209,6 +209,9 @@ ORACLES = {
     "files_export_parts": _PAGES,
     "files_drop": f"""
         SELECT {_PATH} AS path FROM documents WHERE NOT (lang = 'en' AND source = 'src1')""",
+    "files_move": """
+        SELECT 'moved/here/' || doc_id || '.txt' AS path, CAST(strlen(text) AS BIGINT) AS size, sha256(text) AS sha256
+        FROM documents WHERE lang = 'en' AND source = 'src1'""",
     "tags_apply": TAG_LOG
     + " SELECT user_id, tag_name, tag_value FROM c WHERE rn = 1 AND tag_value IS NOT NULL",
     "tags_as_map": TAG_LOG
@@ -216,8 +219,8 @@ ORACLES = {
                              ORDER BY tag_name || '=' || tag_value) AS tags FROM c
           WHERE rn = 1 AND tag_value IS NOT NULL AND tag_name IS NOT NULL GROUP BY user_id""",
     "registry_verbs": """
-        SELECT r_name AS entity, 'key' AS name, CAST(r_regionkey AS VARCHAR) AS value FROM region
-        UNION ALL SELECT r_name, 'comment', lower(r_name) FROM region""",
+        SELECT CAST(c_custkey AS VARCHAR) AS entity, 'key' AS name, c_mktsegment AS value FROM customer
+        UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'comment', lower(c_name) FROM customer""",
     "comments_apply": """
         WITH c AS (
             SELECT user_id, CASE WHEN event_type <> 'error' THEN props END AS comment,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from lakeferry.operators.export import save_table_to_files, sql_to_files
 from lakeferry.operators.load import bulk_write_files, copy_into
 from lakeferry.operators.write import bulk_write_table, create_table, replace_table, write_table
 from lakeferry.plans.workspace import Workspace, session_settings
-from lakeferry.sources.records import from_records
+from lakeferry.sources.records import records_of
 from lakeferry.sources.tables import Table, read_table
 from workloads.base import external, load, spread, views
 
@@ -168,11 +170,18 @@ def _overwrite_self(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _typed_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Records of a program, here the nations, appended to a table by its schema."""
-    nations = [r.asDict() for r in load(spark, sf, "nation").collect()]
-    table = Table(Workspace(spark).table("nation"), schema="n_nationkey BIGINT, n_name STRING, missing DATE")
-    bulk_write_table(spark, table, from_records(spark, nations, table.schema))
-    return read_table(spark, table)
+    """Records that tasks make of the events, with the types that all of them have in common."""
+
+    def record(row: dict) -> dict:
+        found = {"event_id": row["event_id"], "day": row["ts"].date(), "props": json.loads(row["props"])}
+        # one name has three types, another is missing in most records
+        value = {"view": row["user_id"], "click": row["value"]}.get(row["event_type"])
+        return found | {"value": value} | ({"failed": True} if row["event_type"] == "error" else {})
+
+    records = records_of(load(spark, sf, "events"), record, float_type="double")
+    table = Workspace(spark).table("records")
+    bulk_write_table(spark, table, records)
+    return read_table(spark, table).select("event_id", "day", "failed", "value", F.col("props")["k"].cast("bigint").alias("k"))
 
 
 QUERIES = {
@@ -205,8 +214,10 @@ ORACLES = {
         SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'""",
     "write_table_overwrite_self": "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0",
     "typed_records": """
-        SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(NULL AS DATE) AS missing
-        FROM nation""",
+        SELECT event_id, CAST(ts AS DATE) AS day, CASE WHEN event_type = 'error' THEN true END AS failed,
+               CASE event_type WHEN 'view' THEN CAST(user_id AS DOUBLE) WHEN 'click' THEN value END AS value,
+               CAST(json_extract(props, '$.k') AS BIGINT) AS k
+        FROM events""",
     "create_table_partitioned": "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus",
     "replace_table": "SELECT o_orderkey, o_orderpriority, 'v2' AS version FROM orders",
     "write_table_append": """
