@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeferry.llm.scratch import Scratch
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 # Multiples of the weight at the start and at the end, for each place in `WEIGHTS`; they sum to 2.
@@ -78,6 +80,7 @@ def assign(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
         .groupBy("id", "source", "size")
         .agg(F.count("*").alias("copies"))
     )
+    units = Scratch(docs.sparkSession).put(units, "units")  # texts are counted once
     facts = targets(units, weights, cap)
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
     share = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
@@ -111,16 +114,31 @@ def assign(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     )
 
 
-def slots(assigned: DataFrame, ramps: tuple = RAMPS) -> DataFrame:
-    """One row per unit and epoch that takes it, with its ``position`` in training, 0 to 1."""
-    each = assigned.where("times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
-    middle = F.col("epoch") * F.col("source_size") + F.col("before") + F.col("size") * F.col("copies") / 2
-    demand = F.when(F.col("target") > 0, F.least(middle / F.col("target"), F.lit(1.0))).otherwise(F.lit(0.0))
+def scheduled(assigned: DataFrame, ramps: tuple = RAMPS) -> DataFrame:
+    """Every unit with its ``positions`` in training, 0 to 1, one for each epoch that takes it."""
     start = _by_place(tuple(r[0] for r in ramps), F.col("place"))
     slope = _by_place(tuple((r[1] - r[0]) / 2 for r in ramps), F.col("place"))
-    # demand(t) = start * t + slope * t^2; this form of its inverse also holds for slope 0
-    root = F.sqrt(F.greatest(start * start + 4 * slope * demand, F.lit(0.0)))
-    return each.withColumn("position", 2 * demand / (start + root))
+
+    def due(epoch: Column) -> Column:
+        middle = epoch * F.col("source_size") + F.col("before") + F.col("size") * F.col("copies") / 2
+        demand = F.when(F.col("target") > 0, F.least(middle / F.col("target"), F.lit(1.0))).otherwise(F.lit(0.0))
+        # demand(t) = start * t + slope * t^2; this form of its inverse also holds for slope 0
+        return 2 * demand / (start + F.sqrt(F.greatest(start * start + 4 * slope * demand, F.lit(0.0))))
+
+    epochs = F.when(F.col("times") > 0, F.sequence(F.lit(0).cast("long"), F.col("times") - 1)).otherwise(F.array().cast("array<long>"))
+    return assigned.withColumn("positions", F.transform(epochs, due))
+
+
+def slots(assigned: DataFrame, ramps: tuple = RAMPS) -> DataFrame:
+    """One row per unit and epoch that takes it, with its ``position`` in training, 0 to 1."""
+    rows = scheduled(assigned, ramps)
+    each = rows.select(*assigned.columns, F.posexplode("positions").alias("epoch", "position"))
+    return each.withColumn("epoch", F.col("epoch").cast("long"))
+
+
+def in_training_order(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows sorted over all partitions, the first column being a position in training."""
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
@@ -143,4 +161,4 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     )
     found = rows.join(due, same).select("row", "position", "own_id", "epoch")
     order = ["position", "own_id", "epoch"]
-    return found.repartitionByRange(*order).sortWithinPartitions(*order).select("row.*")
+    return in_training_order(found, *order).select("row.*")

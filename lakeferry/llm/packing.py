@@ -60,7 +60,9 @@ class Ids:
 
     The vocabulary drops white space and never joins across it, so the ids of a text are those of
     its words; a word of letters followed by punctuation is two parts that never join either. The
-    ids of a part are remembered by the hash of its bytes, so each is encoded once. Parts of
+    ids of a part are remembered by the hash of its bytes, so each is encoded once; its size and its
+    first and last eight bytes are compared as well, and a text with a part that has only the hash of
+    another one is encoded whole. Parts of
     letters are encoded together, one token of each ending a part; if the number of ends is not
     that of parts, and for all other words, each is encoded alone.
     """
@@ -80,6 +82,7 @@ class Ids:
         """Remember only the empty part."""
         self.keys = np.array([_EMPTY], np.uint64)
         self.offset, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.bytes = np.zeros((3, 1), np.uint64)
         self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
 
     def alone(self, part: bytes) -> np.ndarray:
@@ -103,7 +106,7 @@ class Ids:
             return False
         return text.isalpha() and text.lower().isalpha() and unicodedata.is_normalized("NFC", text)
 
-    def remember(self, keys: np.ndarray, ids: list[np.ndarray | None]) -> None:
+    def remember(self, keys: np.ndarray, known: np.ndarray, ids: list[np.ndarray | None]) -> None:
         """Add parts; None is a part of letters that does not stand for itself."""
         length = np.array([-1 if x is None else len(x) for x in ids], np.int64)
         sizes = np.maximum(length, 0)
@@ -118,6 +121,7 @@ class Ids:
         self.keys = np.insert(self.keys, at, keys[order])
         self.offset = np.insert(self.offset, at, offset[order])
         self.length = np.insert(self.length, at, length[order])
+        self.bytes = np.insert(self.bytes, at, known[:, order], axis=1)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places, which are known)."""
@@ -139,7 +143,7 @@ class Ids:
                         ids[i] = x
             else:
                 ids = [self.alone(p) for p in parts]
-            self.remember(distinct[new], ids)
+            self.remember(distinct[new], texts.ends_of(starts[first[new]], ends[first[new]]), ids)
         return self.find(distinct)[0][code]
 
     def encode(self, texts: Texts) -> list[np.ndarray]:
@@ -157,18 +161,21 @@ class Ids:
         regular = (turned == 0) & (middle == ends)
         if len(starts):
             regular |= (turned == 1) & (kind[starts] == _LETTER) & (kind[ends - 1] == _POINT)
-        hashes = texts.hashes
         # letters, then points; a word of other bytes is one part
-        self.learn(texts, starts[regular], middle[regular], hashes(starts[regular], middle[regular]), True)
-        place, _ = self.find(hashes(starts[regular], middle[regular]))
-        odd = np.flatnonzero(regular)[self.length[place] < 0]
-        regular[odd] = False
+        at = np.flatnonzero(regular)
+        letter_keys = texts.hashes(starts[at], middle[at])
+        place = self.learn(texts, starts[at], middle[at], letter_keys, True)
+        wrong = [texts.word_doc[at[self.differ(place, texts, starts[at], middle[at])]]]
+        whole = self.length[place] >= 0
+        regular[at[~whole]] = False
         middle = np.where(regular, middle, starts)
-        point = middle < ends
+        point = np.flatnonzero(middle < ends)
         keys = np.full((len(starts), 2), _EMPTY, np.uint64)
-        keys[regular, 0] = hashes(starts[regular], middle[regular])
-        keys[point, 1] = hashes(middle[point], ends[point]) ^ _WHOLE
-        self.learn(texts, middle[point], ends[point], keys[point, 1], False)
+        keys[at[whole], 0] = letter_keys[whole]
+        point_keys = texts.hashes(middle[point], ends[point]) ^ _WHOLE
+        keys[point, 1] = point_keys
+        place = self.learn(texts, middle[point], ends[point], point_keys, False)
+        wrong.append(texts.word_doc[point[self.differ(place, texts, middle[point], ends[point])]])
         place, _ = self.find(keys.ravel())
         lengths, offset = self.length[place], self.offset[place]
         # the end id of a document comes behind its last part
@@ -179,7 +186,14 @@ class Ids:
         out[np.repeat(first + doc, lengths) + inside] = self.flat[np.repeat(offset, lengths) + inside]
         size = np.bincount(doc, lengths, texts.count).astype(np.int64) + 1
         cuts = np.cumsum(size)
-        return [out[a:b] for a, b in zip((cuts - size).tolist(), cuts.tolist(), strict=True)]
+        found = [out[a:b] for a, b in zip((cuts - size).tolist(), cuts.tolist(), strict=True)]
+        for i in np.unique(np.concatenate(wrong)).tolist():
+            found[i] = np.append(self.alone(texts.data[texts.bounds[i] : texts.bounds[i + 1]].tobytes()), np.uint32(END))
+        return found
+
+    def differ(self, place: np.ndarray, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which parts are not the remembered ones at these places, by their size and ends."""
+        return (self.bytes[:, place] != texts.ends_of(starts, ends)).any(0)
 
 
 class Piece:

@@ -97,49 +97,52 @@ def line_features(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Chains:
-    """Lines of some documents, one row of a padded table per document, longest first."""
+    """Lines of some documents, longest document first: all first lines, then all second ones, and so on.
+
+    There is one row per line, so one long document among short ones takes no more than its lines.
+    """
 
     def __init__(self, doc: np.ndarray, count: int):
         lengths = np.bincount(doc, minlength=count)
-        self.order = np.argsort(-lengths, kind="stable")
-        self.order = self.order[lengths[self.order] > 0]
-        self.lengths = lengths[self.order]
-        place = np.zeros(count, np.int64)
-        place[self.order] = np.arange(len(self.order))
+        order = np.argsort(-lengths, kind="stable")
+        order = order[lengths[order] > 0]
+        row = np.zeros(count, np.int64)
+        row[order] = np.arange(len(order))
         starts = np.cumsum(lengths) - lengths
-        self.row, self.column = place[doc], np.arange(len(doc)) - starts[doc]
-        self.width = int(self.lengths[0]) if len(self.lengths) else 0
-        # documents that have a line at each place
-        self.active = np.searchsorted(-self.lengths, -np.arange(self.width), "left")
+        # documents that have a line at each place, and where those lines begin
+        self.active = np.searchsorted(-lengths[order], -np.arange(lengths.max(initial=0)), "left").tolist()
+        self.begin = np.concatenate([[0], np.cumsum(self.active, dtype=np.int64)]).tolist()
+        self.at = np.array(self.begin, np.int64)[np.arange(len(doc)) - starts[doc]] + row[doc]
 
     def marginals(self, scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(how likely each line is good, expected moves between states) from line scores."""
-        n = len(self.order)
-        table = np.zeros((n, self.width))
-        table[self.row, self.column] = scores
-        good = 1 / (1 + np.exp(-np.clip(table, -30, 30)))
+        good = np.zeros(len(scores))
+        good[self.at] = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
         emit = np.stack([1 - good, good], -1)
         step = np.exp(moves)
-        ahead = np.zeros((n, self.width, 2))
-        for t in range(self.width):
-            m = self.active[t]
-            now = emit[:m, t] if not t else (ahead[:m, t - 1] @ step) * emit[:m, t]
-            ahead[:m, t] = now / now.sum(1, keepdims=True)
+        ahead = np.zeros(emit.shape)
+        for t, (m, a) in enumerate(zip(self.active, self.begin, strict=False)):
+            now = emit[a : a + m]
+            if t:
+                before = self.begin[t - 1]
+                now = (ahead[before : before + m] @ step) * now
+            ahead[a : a + m] = now / now.sum(1, keepdims=True)
         both = np.zeros((2, 2))
-        behind = np.ones((n, 2))
-        found = np.zeros((n, self.width))
-        for t in range(self.width - 1, -1, -1):
-            m = self.active[t]
-            joint = ahead[:m, t] * behind[:m]
+        behind = np.ones((self.active[0] if self.active else 0, 2))
+        found = np.zeros(len(scores))
+        for t in range(len(self.active) - 1, -1, -1):
+            m, a = self.active[t], self.begin[t]
+            joint = ahead[a : a + m] * behind[:m]
             joint /= joint.sum(1, keepdims=True)
-            found[:m, t] = joint[:, 1]
+            found[a : a + m] = joint[:, 1]
             if t:
-                into = emit[:m, t] * behind[:m]
-                pair = ahead[:m, t - 1, :, None] * step * into[:, None, :]
+                into = emit[a : a + m] * behind[:m]
+                before = self.begin[t - 1]
+                pair = ahead[before : before + m, :, None] * step * into[:, None, :]
                 both += (pair / pair.sum((1, 2), keepdims=True)).sum(0)
                 back = into @ step.T
                 behind[:m] = back / back.sum(1, keepdims=True)
-        return found[self.row, self.column], both
+        return found[self.at], both
 
 
 def fit(features: np.ndarray, doc: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:

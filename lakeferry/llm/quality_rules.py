@@ -3,9 +3,9 @@
 Base rules are counts of words, symbols, repeated lines and repeated word windows. The method is
 tokeniser fertility: every word is split by a public piece vocabulary with byte fallback, and the
 characters per token, the share of byte-fallback tokens and the entropy of the tokens must lie in
-a band that the document's language names. A band holds for every text of that language, whatever
-its length; entropy is divided by the most that so many tokens could have, so that short texts are
-not below it for being short.
+a band that the document's language names; texts of under `short_tokens` tokens take a wider one of
+the same language, and none is kept unjudged. Entropy is divided by the most that so many tokens could
+have, so that short texts are not below it for being short.
 
 Defined results: a null or empty text has no words and fails the base rules; a null or unknown
 language takes the band named ``None``; equal rows get equal verdicts, rows keep null ids, and an
@@ -36,8 +36,10 @@ class Band:
     # Of the entropy that as many tokens (up to `entropy_tokens`) could have.
     least_entropy: float = 0.5
     entropy_tokens: int = 2000
-    # Below so many tokens the measures say nothing.
-    least_tokens: int = 100
+    # Texts of fewer tokens have a band of their own: one name or number weighs more in them.
+    short_tokens: int = 100
+    short_chars: float = 0.8  # of `least_chars`
+    short_fallback: float = 1.5  # of `most_fallback`
 
 
 # Set below what 99.9 % of the labelled good documents of each language reach.
@@ -160,10 +162,11 @@ def measure(texts: Texts, langs: list[str | None], path: str, bands: dict[str |
     own = [bands.get(lang, bands[None]) for lang in langs]
     take = lambda field: np.array([getattr(b, field) for b in own])
     most = np.log2(np.maximum(np.minimum(tokens, take("entropy_tokens")), 2))
+    short = tokens < take("short_tokens")
     fits = (
-        (per_token >= take("least_chars"))
+        (per_token >= take("least_chars") * np.where(short, take("short_chars"), 1.0))
         & (per_token <= take("most_chars"))
-        & (share <= take("most_fallback"))
+        & (share <= take("most_fallback") * np.where(short, take("short_fallback"), 1.0))
         & (entropy >= take("least_entropy") * most)
     )
     return {
@@ -177,7 +180,7 @@ def measure(texts: Texts, langs: list[str | None], path: str, bands: dict[str |
         "fallback_share": share,
         "token_entropy": entropy,
         "base_failed": failed,
-        "kept": ~failed & (fits | (tokens < take("least_tokens"))),
+        "kept": ~failed & fits,
     }
 
 

@@ -25,13 +25,20 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its source's target and the words that the mix takes of it."""
-    units = mixing.assign(table(spark, sf_dir, "documents"))
+    """Every document with its source's target and what the mix takes of it, in the order of training.
+
+    A document is taken at its positions; those that are not taken come last.
+    """
+    units = mixing.scheduled(mixing.assign(table(spark, sf_dir, "documents")))
     each = units.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return each.select(
+    found = each.select(
         F.col("id").alias("doc_id"), "size", "source_size", "target",
-        (F.col("size") * F.col("times")).alias("taken"),
+        (F.col("size") * F.size("positions")).alias("taken"),
+        F.get("positions", F.lit(0)).alias("first_position"),
+        F.get("positions", F.size("positions") - 1).alias("last_position"),
     )
+    late = found.withColumn("due", F.coalesce("first_position", F.lit(2.0)))
+    return mixing.in_training_order(late, "due", "doc_id").drop("due")
 
 
 OP3_SQL = """
@@ -57,24 +64,35 @@ leveled AS (
   WINDOW b AS (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
 targets AS (
-  SELECT source, source_size,
+  SELECT source, source_size, place,
     least((source_size * 3)::DOUBLE,
           weight * (SELECT level FROM leveled WHERE level <= ratio ORDER BY ratio, place LIMIT 1)) AS target
   FROM leveled
 ),
 ordered AS (
-  SELECT u.doc_id, u.size, t.source_size, t.target,
+  SELECT u.doc_id, u.size, t.source_size, t.target, t.place,
     coalesce(sum(u.size) OVER (PARTITION BY u.source ORDER BY md5('mix:' || u.doc_id::VARCHAR), u.doc_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM units u JOIN targets t ON u.source IS NOT DISTINCT FROM t.source
 ),
 parts AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM ordered
+),
+counted AS (
+  SELECT *, whole + CASE WHEN target - whole * source_size > 0
+      AND 2 * before + size <= 2 * (target - whole * source_size) THEN 1 ELSE 0 END AS times
+  FROM parts
+),
+demands AS (
+  SELECT *, [1.5::DOUBLE, 1.0, 0.5][place % 3 + 1] AS start, [-0.5::DOUBLE, 0.0, 0.5][place % 3 + 1] AS slope,
+    CASE WHEN target > 0 THEN least((before + size / 2) / target, 1.0) ELSE 0.0 END AS first_demand,
+    CASE WHEN target > 0 THEN least(((times - 1) * source_size + before + size / 2) / target, 1.0) ELSE 0.0 END AS last_demand
+  FROM counted
 )
-SELECT doc_id, size, source_size, target,
-  (size * (whole + CASE WHEN target - whole * source_size > 0
-      AND 2 * before + size <= 2 * (target - whole * source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM parts
+SELECT doc_id, size, source_size, target, (size * times)::BIGINT AS taken,
+  CASE WHEN times > 0 THEN 2 * first_demand / (start + sqrt(greatest(start * start + 4 * slope * first_demand, 0.0))) END AS first_position,
+  CASE WHEN times > 0 THEN 2 * last_demand / (start + sqrt(greatest(start * start + 4 * slope * last_demand, 0.0))) END AS last_position
+FROM demands
 """
 
 

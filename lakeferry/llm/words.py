@@ -2,8 +2,9 @@
 
 Everything works on UTF-8 bytes. A word is a maximal run of bytes other than the six ASCII white
 space bytes (0x20, 0x09-0x0D); no such byte occurs inside a longer UTF-8 sequence, so byte words
-and code point words are the same. Hashes are 64 bits and depend on the bytes alone, not on the
-task, the batch or the run.
+and code point words are the same. Hashes depend on the bytes alone, not on the task, the batch or the
+run: they are polynomials modulo the prime 2^61 - 1, which no pattern of bytes cancels (modulo a power
+of two Thue-Morse words and their complements would be equal), scrambled to 64 bits.
 """
 
 from __future__ import annotations
@@ -39,24 +40,52 @@ def seeds(n: int, start: int = 0) -> np.ndarray:
     return mix((np.arange(start, start + n, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
 
 
-_VALUES = seeds(256, 1 << 20)
-_BASE = int(seeds(1, 1 << 30)[0]) | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[str, np.ndarray] = {}
+PRIME = (1 << 61) - 1
+_BASE = int(seeds(1, 1 << 30)[0]) % PRIME
+_INVERSE = pow(_BASE, -1, PRIME)
+_LOW31, _LOW30, _P = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1), np.uint64(PRIME)
+# Sums over more bytes than this could pass 64 bits.
+_EXACT_BYTES = 1 << 24
+_powers: dict[int, np.ndarray] = {}
+_halves: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _power(base: int, name: str, n: int) -> np.ndarray:
-    have = _powers.get(name)
-    if have is None or len(have) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        factors = np.full(size, base, np.uint64)
-        factors[0] = 1
-        have = np.multiply.accumulate(factors)
-        if size <= 4 * CHUNK_BYTES:
-            _powers[name] = have
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo the prime, for any 64-bit ``x``."""
+    x = (x & _P) + (x >> np.uint64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime, from halves of 31 bits; 2^61 counts as 1."""
+    a1, a0, b1, b0 = a >> np.uint64(31), a & _LOW31, b >> np.uint64(31), b & _LOW31
+    middle = a1 * b0 + a0 * b1
+    low = a0 * b0
+    found = np.uint64(2) * a1 * b1 + (middle >> np.uint64(30)) + ((middle & _LOW30) << np.uint64(31))
+    return _reduced(found + (low >> np.uint64(61)) + (low & _P))
+
+
+def _power(base: int, n: int) -> np.ndarray:
+    """Powers 0 to n - 1 of a number, each doubling of the table one product."""
+    have = _powers.get(base, np.ones(1, np.uint64))
+    while len(have) < n:
+        have = np.concatenate([have, _times(have, np.full(len(have), pow(base, len(have), PRIME), np.uint64))])
+    if len(have) <= 4 * CHUNK_BYTES:
+        _powers[base] = have
     return have[:n]
 
 
+def _factors(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lower 31 and the upper bits of the first powers of the base."""
+    have = _halves.get(_BASE)
+    if have is None or len(have[0]) < n:
+        power = _power(_BASE, max(n, CHUNK_BYTES + 1))
+        have = power & _LOW31, power >> np.uint64(31)
+        if len(power) <= 4 * CHUNK_BYTES:
+            _halves[_BASE] = have
+    return have[0][:n], have[1][:n]
+
+
 class Texts:
     """The bytes of some documents, one after the other, and their words."""
 
@@ -64,7 +93,7 @@ class Texts:
         self.data = LOWER[data] if lower else data
         self.bounds = bounds.astype(np.int64)
         self.count = len(bounds) - 1
-        self._sums: np.ndarray | None = None
+        self._sums: tuple[np.ndarray, np.ndarray] | None = None
         solid = ~WHITE[data]
         n = len(data)
         starts = solid.copy()
@@ -84,15 +113,43 @@ class Texts:
         """A hash of each run of bytes."""
         n = len(self.data)
         if self._sums is None:
-            self._sums = np.zeros(n + 1, np.uint64)
-            terms = _VALUES[self.data]
-            terms *= _power(_BASE, "up", n)
-            np.cumsum(terms, out=self._sums[1:])
-        found = self._sums[ends] - self._sums[starts]
-        found *= _power(_INVERSE, "down", n + 1)[starts]
+            # the two halves of the polynomial's terms, summed up; differences of the sums are exact
+            values = self.data.astype(np.uint64)
+            values += np.uint64(1)
+            self._sums = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+            for sums, factors in zip(self._sums, _factors(n), strict=True):
+                np.cumsum(values * factors, out=sums[1:])
+        low, high = self._sums
+        found = self._total(low[ends] - low[starts], high[ends] - high[starts])
+        for i in np.flatnonzero(ends - starts > _EXACT_BYTES).tolist():
+            cuts = np.array([*range(int(starts[i]), int(ends[i]), _EXACT_BYTES), int(ends[i])])
+            parts = self._total(np.diff(low[cuts]), np.diff(high[cuts]))
+            found[i] = sum(parts.tolist()) % PRIME
+        found = _times(found, _power(_INVERSE, n + 1)[starts])
         found += (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return mix(found)
 
+    @staticmethod
+    def _total(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        high = _reduced(high)
+        return _reduced(_reduced(low) + (high >> np.uint64(30)) + ((high & _LOW30) << np.uint64(31)))
+
+    def ends_of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """(first eight bytes, last eight bytes, size) of runs; for up to sixteen bytes it is the run."""
+        if len(self.data) < 8:
+            data = np.append(self.data, np.zeros(8, np.uint8))
+        else:
+            data = np.ascontiguousarray(self.data)
+        eights = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+        size = ends - starts
+        # a window at the very end of the data begins earlier, and is shifted to where the run begins
+        at = np.minimum(starts, len(eights) - 1)
+        first = eights[at] >> ((starts - at) * 8).astype(np.uint64)
+        short = np.minimum(size, 8)
+        first = np.where(short < 8, first & ((np.uint64(1) << (short % 8 * 8).astype(np.uint64)) - np.uint64(1)), first)
+        last = np.where(size > 8, eights[np.clip(ends - 8, 0, len(eights) - 1)], np.uint64(0))
+        return np.stack([first, last, size.astype(np.uint64)])
+
     def word_hashes(self) -> np.ndarray:
         return self.hashes(self.starts, self.ends)
 

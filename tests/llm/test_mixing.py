@@ -7,6 +7,7 @@ from cases import WORD, given, odd
 from pyspark.sql import functions as F
 
 from lakeferry.llm import mixing as M
+from lakeferry.llm import queries
 
 
 def fill(sizes: list[int], weights: list[int]) -> list[float]:
@@ -83,3 +84,17 @@ def test_hot_source_has_no_large_window(spark):
     found = M.assign(docs)
     assert found.agg(F.sum("times")).first()[0] == 20_000
     assert found.agg(F.countDistinct("before")).first()[0] == 20_000
+
+
+def test_query_is_in_training_order(spark):
+    """Positions are those of the slots, the rows are sorted by them, and words are taken at them."""
+    rows = [r.asDict() for r in queries.op3_mixing(spark, "/root/testdata/sf0.01").collect()]
+    dues = [2.0 if r["first_position"] is None else r["first_position"] for r in rows]
+    assert dues == sorted(dues)
+    due = defaultdict(list)
+    for r in M.slots(M.assign(given(spark, "documents", "/root/testdata/sf0.01"))).collect():
+        due[r.id].append(r.position)
+    for r in rows:
+        own = sorted(due[r["doc_id"]])
+        assert r["taken"] == r["size"] * len(own)
+        assert (r["first_position"], r["last_position"]) == ((own[0], own[-1]) if own else (None, None))

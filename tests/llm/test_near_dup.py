@@ -158,3 +158,12 @@ def test_components(spark, seed):
     linked = {i for a, b in pairs for i in (a, b) if a != b}
     assert got == {i: find(i) for i in linked}
     assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark)).count() == 0
+
+
+def test_words_that_no_hash_may_confuse(spark):
+    from test_words import thue_morse
+
+    rows = [(2 * n + i, w) for n in (256, 1024, 4096) for i, w in enumerate(thue_morse(n))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = N.near_duplicates(docs).collect()
+    assert len(found) == 6 and all(r.kept and r.component_id == r.doc_id for r in found)

@@ -12,7 +12,7 @@ from hypothesis import settings
 from hypothesis import strategies as st
 
 from lakeferry.llm import packing as P
-from lakeferry.llm.words import chunks
+from lakeferry.llm.words import Texts, chunks
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +113,27 @@ def test_sum_of_squares(sizes, most):
         for p in w:
             back[p.doc] += [(p.start + k, v) for k, v in enumerate(p.ids.tolist())]
     assert all(sorted(back[i]) == [(k, k) for k in range(s)] for i, s in enumerate(sizes))
+
+
+def test_words_that_no_hash_may_confuse(spark):
+    """Thue-Morse words and their complements, over documents, and words equal at both ends."""
+    from test_words import thue_morse
+
+    texts = [w for n in (256, 1024, 4096) for w in thue_morse(n)]
+    texts += ["abcdefgh" + x + "ijklmnop" for x in ("q", "r", "qq")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    ids = P.Ids(P.vocabulary_path())
+    found = {}
+    for r in P.pack(docs, with_ids=True).orderBy("doc_id", "start").collect():
+        found.setdefault(r.doc_id, []).extend(r.ids)
+    for i, text in enumerate(texts):
+        assert found[i] == [*ids.alone(text.encode()).tolist(), P.END]
+
+
+def test_parts_with_the_hash_of_others_are_encoded_whole(spark, monkeypatch):
+    monkeypatch.setattr(Texts, "hashes", lambda self, starts, ends: (ends - starts).astype(np.uint64) * np.uint64(7))
+    ids = P.Ids(P.vocabulary_path())
+    texts = ["one two, three!", "six ten, seven?", "", "one", "abc"]
+    part = next(x for *_, x in chunks(pa.array(texts)))
+    for text, own in zip(texts, ids.encode(part), strict=True):
+        assert own.tolist() == [*ids.alone(text.encode()).tolist(), P.END]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 from itertools import product
 
@@ -36,6 +37,20 @@ def test_marginals_are_exact():
     assert likely == pytest.approx(expected) and both == pytest.approx(pairs)
 
 
+def test_one_long_document_among_short_ones():
+    """Memory follows the lines, and the scores are those of each text alone."""
+    texts = ["a short line | here\nand another one"] * 2000 + ["some | line\n" * 3 + "and words here\n" * 60_000]
+    weights, moves = np.linspace(-1, 1, Q.FEATURES), np.array([[0.5, -0.5], [-0.2, 0.3]])
+    part = next(x for *_, x in chunks(pa.array(texts)))
+    tracemalloc.start()
+    found = Q.scores(part, weights, moves)
+    assert tracemalloc.get_traced_memory()[1] < 250e6
+    tracemalloc.stop()
+    for i in (0, 1999, 2000):
+        alone = next(x for *_, x in chunks(pa.array([texts[i]])))
+        assert found[i] == pytest.approx(Q.scores(alone, weights, moves)[0])
+
+
 def test_neighbouring_lines_count():
     texts = [x for *_, x in chunks(pa.array(["aa bb\ncc | dd\n\nee", "x"]))][0]
     features, size, doc = Q.line_features(texts)

@@ -36,12 +36,13 @@ def verdict(found: dict, lang: str | None) -> bool:
     band = Q.BANDS.get(lang, Q.BANDS[None])
     if found["base_failed"]:
         return False
-    if found["n_tokens"] < band.least_tokens:
-        return True
+    short = found["n_tokens"] < band.short_tokens
+    least_chars = band.least_chars * (band.short_chars if short else 1)
+    most_fallback = band.most_fallback * (band.short_fallback if short else 1)
     most = math.log2(max(min(found["n_tokens"], band.entropy_tokens), 2))
     return (
-        band.least_chars <= found["chars_per_token"] <= band.most_chars
-        and found["fallback_share"] <= band.most_fallback
+        least_chars <= found["chars_per_token"] <= band.most_chars
+        and found["fallback_share"] <= most_fallback
         and found["token_entropy"] >= band.least_entropy * most
     )
 
@@ -81,3 +82,32 @@ def test_bands_reject(spark):
     found = {r.doc_id: r for r in Q.quality_rules(docs, bands={"en": Q.Band(least_chars=2.5, least_entropy=0.0), None: Q.Band()}).collect()}
     assert not found[1].base_failed and not found[1].kept
     assert found[2].fallback_share > 0.5 and not found[2].kept
+
+
+def test_short_texts_are_judged(spark):
+    """Texts of some 24 words take a band of their own; none is kept unjudged."""
+    strange = " ".join(chr(0x1E900 + i) for i in range(24))
+    same = " ".join(f"{w} {w} {w} {w} {w} {w}" for w in ("of", "the", "and", "in"))
+    plain_words = "the cat sat on a mat and looked at the bird that sang in an old tree near our house by the river"
+    rows = [(1, strange, "en"), (2, strange, "de"), (3, plain_words, "en"), (4, same, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in Q.quality_rules(docs).collect()}
+    assert not any(found[i].base_failed for i in (1, 2, 3)) and all(found[i].n_tokens < 100 or i < 3 for i in found)
+    assert [found[i].kept for i in (1, 2, 3)] == [False, False, True]
+    check(docs)
+
+
+def test_short_good_documents_are_kept(spark):
+    docs, labels = given(spark, "documents", "/root/testdata/sf0.1"), given(spark, "labels", "/root/testdata/sf0.1")
+    found = Q.quality_rules(docs).join(labels, "doc_id").where("n_tokens < 100 AND quality = 1 AND NOT base_failed")
+    kept = [r.kept for r in found.select("kept").collect()]
+    assert len(kept) > 20 and all(kept)
+
+
+def test_lines_that_are_no_repeats(spark):
+    """Lines of Thue-Morse words and their complements."""
+    from test_words import thue_morse
+
+    docs = spark.createDataFrame([(n, "\n".join(thue_morse(n) * 2), "en") for n in (256, 1024, 4096)], "doc_id long, text string, lang string")
+    assert [r.n_dup_lines for r in Q.quality_rules(docs).collect()] == [2, 2, 2]
+    check(docs)
