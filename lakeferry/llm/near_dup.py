@@ -460,5 +460,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that are the first of their group of near duplicates."""
-    gone = near_duplicates(docs, id_col, text_col, **how).where("NOT kept").select(F.col(id_col).alias("gone id"))
-    return docs.join(gone, F.col(id_col) == F.col("gone id"), "left_anti")
+    free = "gone" + "_" * max(map(len, docs.columns))  # longer than any column of the rows
+    gone = near_duplicates(docs, id_col, text_col, **how).where("NOT kept").select(F.col(id_col).alias(free))
+    return docs.join(gone, F.col(id_col) == F.col(free), "left_anti")

@@ -167,3 +167,11 @@ def test_words_that_no_hash_may_confuse(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = N.near_duplicates(docs).collect()
     assert len(found) == 6 and all(r.kept and r.component_id == r.doc_id for r in found)
+
+
+def test_columns_of_any_name_stay(spark):
+    text = prose(1, 40)
+    docs = spark.createDataFrame([(1, text, "a", 1, 2), (2, text, "b", 1, 2), (None, text, "c", 1, 2)], "doc_id long, text string, `gone id` string, gone int, Gone_ int")
+    left = N.keep_one(docs)
+    assert left.columns == docs.columns
+    assert sorted(r["gone id"] for r in left.collect()) == ["a", "c"]
