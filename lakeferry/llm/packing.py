@@ -79,11 +79,11 @@ class Ids:
         self.forget()
 
     def forget(self) -> None:
-        """Remember only the empty part."""
-        self.keys = np.array([_EMPTY], np.uint64)
-        self.offset, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.bytes = np.zeros((3, 1), np.uint64)
-        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+        """Remember only the empty part, in slot 0."""
+        self.keys, self.slots = np.array([_EMPTY], np.uint64), np.zeros(1, np.int64)
+        self.offset, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.bytes = np.zeros((1 << 16, 3), np.uint64)
+        self.flat, self.used, self.count = np.zeros(1 << 20, np.uint32), 0, 1
 
     def alone(self, part: bytes) -> np.ndarray:
         return np.array(self.model.encode(part.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
@@ -107,31 +107,33 @@ class Ids:
         return text.isalpha() and text.lower().isalpha() and unicodedata.is_normalized("NFC", text)
 
     def remember(self, keys: np.ndarray, known: np.ndarray, ids: list[np.ndarray | None]) -> None:
-        """Add parts; None is a part of letters that does not stand for itself."""
+        """Add parts, in slots that stay theirs; None is a part of letters that does not stand for itself."""
         length = np.array([-1 if x is None else len(x) for x in ids], np.int64)
         sizes = np.maximum(length, 0)
         added = np.concatenate([np.zeros(0, np.uint32), *[x for x in ids if x is not None]])
         while self.used + len(added) > len(self.flat):
-            self.flat = np.append(self.flat, np.zeros(len(self.flat), np.uint32))
+            self.flat = np.append(self.flat, np.zeros_like(self.flat))
+        while self.count + len(keys) > len(self.length):
+            self.offset, self.length, self.bytes = (np.append(x, np.zeros_like(x), axis=0) for x in (self.offset, self.length, self.bytes))
         self.flat[self.used : self.used + len(added)] = added
-        offset = self.used + np.cumsum(sizes) - sizes
+        new = slice(self.count, self.count + len(keys))
+        self.offset[new], self.length[new], self.bytes[new] = self.used + np.cumsum(sizes) - sizes, length, known
+        at = np.searchsorted(self.keys, keys)  # in order, being distinct
+        self.keys = np.insert(self.keys, at, keys)
+        self.slots = np.insert(self.slots, at, np.arange(new.start, new.stop))
         self.used += len(added)
-        order = np.argsort(keys)
-        at = np.searchsorted(self.keys, keys[order])
-        self.keys = np.insert(self.keys, at, keys[order])
-        self.offset = np.insert(self.offset, at, offset[order])
-        self.length = np.insert(self.length, at, length[order])
-        self.bytes = np.insert(self.bytes, at, known[:, order], axis=1)
+        self.count = new.stop
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, which are known)."""
+        """(slots, which are known)."""
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
+        return self.slots[at], self.keys[at] == keys
 
     def learn(self, texts: Texts, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, letters: bool) -> np.ndarray:
-        """The places of the parts among the remembered ones, new ones included."""
+        """The slots of the parts, new ones included."""
         distinct, first, code = np.unique(keys, return_index=True, return_inverse=True)
-        new = np.flatnonzero(~self.find(distinct)[1])
+        slots, known = self.find(distinct)
+        new = np.flatnonzero(~known)
         if len(new):
             parts = [texts.data[a:b].tobytes() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
             if letters:
@@ -143,19 +145,20 @@ class Ids:
                         ids[i] = x
             else:
                 ids = [self.alone(p) for p in parts]
+            slots[new] = self.count + np.arange(len(new))
             self.remember(distinct[new], texts.ends_of(starts[first[new]], ends[first[new]]), ids)
-        return self.find(distinct)[0][code]
+        return slots[code]
 
     def encode(self, texts: Texts) -> list[np.ndarray]:
         """The ids of each text, of bytes in lower case, the end id last."""
-        if len(self.keys) > REMEMBERED:
+        if self.count > REMEMBERED:
             self.forget()
         starts, ends = texts.starts, texts.ends
         kind = _KIND[texts.data]
-        turns = np.zeros(len(kind) + 1, np.int64)
+        turns = np.zeros(len(kind) + 1, np.int32)
         np.cumsum(kind[1:] != kind[:-1], out=turns[1:-1]) if len(kind) else None
         turned = turns[ends - 1] - turns[starts] if len(starts) else starts
-        letters = np.zeros(len(kind) + 1, np.int64)
+        letters = np.zeros(len(kind) + 1, np.int32)
         np.cumsum(kind == _LETTER, out=letters[1:])
         middle = starts + letters[ends] - letters[starts]
         regular = (turned == 0) & (middle == ends)
@@ -163,20 +166,18 @@ class Ids:
             regular |= (turned == 1) & (kind[starts] == _LETTER) & (kind[ends - 1] == _POINT)
         # letters, then points; a word of other bytes is one part
         at = np.flatnonzero(regular)
-        letter_keys = texts.hashes(starts[at], middle[at])
-        place = self.learn(texts, starts[at], middle[at], letter_keys, True)
+        place = self.learn(texts, starts[at], middle[at], texts.hashes(starts[at], middle[at]), True)
         wrong = [texts.word_doc[at[self.differ(place, texts, starts[at], middle[at])]]]
         whole = self.length[place] >= 0
         regular[at[~whole]] = False
+        slots = np.zeros((len(starts), 2), np.int64)
+        slots[at[whole], 0] = place[whole]
         middle = np.where(regular, middle, starts)
-        point = np.flatnonzero(middle < ends)
-        keys = np.full((len(starts), 2), _EMPTY, np.uint64)
-        keys[at[whole], 0] = letter_keys[whole]
-        point_keys = texts.hashes(middle[point], ends[point]) ^ _WHOLE
-        keys[point, 1] = point_keys
-        place = self.learn(texts, middle[point], ends[point], point_keys, False)
-        wrong.append(texts.word_doc[point[self.differ(place, texts, middle[point], ends[point])]])
-        place, _ = self.find(keys.ravel())
+        at = np.flatnonzero(middle < ends)
+        place = self.learn(texts, middle[at], ends[at], texts.hashes(middle[at], ends[at]) ^ _WHOLE, False)
+        wrong.append(texts.word_doc[at[self.differ(place, texts, middle[at], ends[at])]])
+        slots[at, 1] = place
+        place = slots.ravel()
         lengths, offset = self.length[place], self.offset[place]
         # the end id of a document comes behind its last part
         doc = np.repeat(texts.word_doc, 2)
@@ -193,7 +194,7 @@ class Ids:
 
     def differ(self, place: np.ndarray, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Which parts are not the remembered ones at these places, by their size and ends."""
-        return (self.bytes[:, place] != texts.ends_of(starts, ends)).any(0)
+        return (self.bytes[place] != texts.ends_of(starts, ends)).any(1)
 
 
 class Piece:

@@ -135,7 +135,7 @@ class Texts:
         return _reduced(_reduced(low) + (high >> np.uint64(30)) + ((high & _LOW30) << np.uint64(31)))
 
     def ends_of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """(first eight bytes, last eight bytes, size) of runs; for up to sixteen bytes it is the run."""
+        """A row (first eight bytes, last eight bytes, size) of each run; up to sixteen bytes it tells all."""
         if len(self.data) < 8:
             data = np.append(self.data, np.zeros(8, np.uint8))
         else:
@@ -148,7 +148,7 @@ class Texts:
         short = np.minimum(size, 8)
         first = np.where(short < 8, first & ((np.uint64(1) << (short % 8 * 8).astype(np.uint64)) - np.uint64(1)), first)
         last = np.where(size > 8, eights[np.clip(ends - 8, 0, len(eights) - 1)], np.uint64(0))
-        return np.stack([first, last, size.astype(np.uint64)])
+        return np.stack([first, last, size.astype(np.uint64)], 1)
 
     def word_hashes(self) -> np.ndarray:
         return self.hashes(self.starts, self.ends)
