@@ -28,7 +28,9 @@ from lakeferry.sources.trees import (
     FILES_SCHEMA,
     PART_BYTES,
     open_uri,
+    opened_by_tasks,
     read_listed,
+    read_scanned,
     read_tree,
     relative_path,
 )
@@ -172,7 +174,11 @@ def ingest_tree(
         entered = plan.where("action <> 'same'")
         if set(counts) - {"same"}:
             wanted, _ = stage(spark, _lacking(spark, ref, entered.select("sha256", "path", "uri", "size")), f"{scratch}/wanted")
-            content = read_listed(wanted, part_bytes=part_bytes).select(*T.StructType.fromDDL(CONTENT_SCHEMA).names)
+            if opened_by_tasks(store.qualified(spark, root)):
+                rows = read_listed(wanted, part_bytes=part_bytes)
+            else:
+                rows = read_scanned(spark, wanted, root, part_bytes=part_bytes)
+            content = rows.select(*T.StructType.fromDDL(CONTENT_SCHEMA).names)
             _store(spark, ref, None if wanted.isEmpty() else content, entered)
         return {"new": 0, "changed": 0, "same": 0, **counts}
     finally:

@@ -75,6 +75,18 @@ def files(spark: SparkSession, path: str) -> Iterator[str]:
         yield found.next().getPath().toString()[len(root):]
 
 
+def empty_files(spark: SparkSession, path: str, recursive: bool) -> Iterator[tuple[str, int]]:
+    """(uri, milliseconds) of the visible files without content below ``path``, one at a time."""
+    found = _fs(spark, path).listFiles(_path(spark, path), recursive)
+    root = qualified(spark, path)
+    while found.hasNext():
+        status = found.next()
+        uri = status.getPath().toString()
+        hidden = any(part.startswith((".", "_")) for part in uri[len(root):].split("/"))
+        if not hidden and not status.getLen():
+            yield uri, status.getModificationTime()
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     fs = _fs(spark, source)
     destination = _path(spark, target)

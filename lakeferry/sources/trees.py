@@ -24,6 +24,9 @@ PART_BYTES = 64 * 2**20
 TASK_BYTES = 128 * 2**20
 OPEN_BYTES = 2 * 2**20
 MAX_TASKS = 100_000
+# File systems that tasks open by themselves, under the names that Hadoop gives them; files on any
+# other are read through Spark's own scan, which knows all of them.
+OPENED = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 FILES_SCHEMA = (
     "path string, size bigint, sha256 string, part bigint, n_parts bigint, content binary"
 )
@@ -66,6 +69,9 @@ def empty_files(
     """
     base = store.qualified(spark, root).rstrip("/")
     columns = "uri string, modified timestamp"
+    if not opened_by_tasks(base):
+        found = [(uri, modified) for uri, modified in store.empty_files(spark, base, recursive) if not pattern or fnmatchcase(uri.rsplit("/", 1)[-1], pattern)]
+        return spark.createDataFrame(found, "uri string, millis bigint").select("uri", F.timestamp_millis("millis").alias("modified"))
     start = spark.createDataFrame([(base,)], "uri string")
     tops = start.mapInArrow(_empty_finder(pattern, "top" if recursive else "none"), columns)
     if not recursive:
@@ -129,9 +135,16 @@ def read_tree(
     )
     if large.isEmpty():
         return files
+    if not opened_by_tasks(store.qualified(spark, root)):
+        whole = found.where(F.col("length") > part_bytes).select(path.alias("path"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), "content")
+        return files.unionByName(_in_parts(whole, part_bytes))
     return files.unionByName(_read_large(large, part_bytes))
 
 
+def opened_by_tasks(uri: str) -> bool:
+    return uri.split(":", 1)[0] in OPENED
+
+
 def _read_large(files: DataFrame, part_bytes: int) -> DataFrame:
     """Large files: hashes by one streaming pass per file, content by parallel range reads."""
     uris = spread_by_bytes(files, "uri").select("uri")
@@ -158,6 +171,27 @@ def read_listed(
     return content.select("path", "size", "sha256", "part", "n_parts", "content")
 
 
+def _in_parts(files: DataFrame, part_bytes: int) -> DataFrame:
+    """Whole files ``(path, size, sha256, content)`` as a files table."""
+    n_parts = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(part_bytes))).cast("bigint")
+    each = files.withColumn("n_parts", n_parts).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_parts") - 1)))
+    content = F.substring("content", (F.col("part") * part_bytes + 1).cast("int"), F.lit(part_bytes))
+    return each.select("path", "size", "sha256", "part", "n_parts", content.alias("content"))
+
+
+def read_scanned(spark: SparkSession, files: DataFrame, root, *, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The content of listed files ``(uri, path, size, sha256)`` by Spark's scan of ``root``, which
+    opens no other file: their names are a filter on the files' metadata."""
+    scanned = _scan(spark, root, None, True).select("path", "length", F.col("_metadata.file_path").alias("file"))
+    wanted = files.join(scanned.select(F.col("path").alias("uri"), "file"), "uri").select("file")
+    names = [row["file"] for row in wanted.toLocalIterator()]
+    found = _scan(spark, root, None, True)
+    content = found.where(F.col("_metadata.file_path").isin(names)).select(F.col("path").alias("uri"), "content")
+    some = files.where("size > 0").join(content, "uri")
+    none = files.where("size = 0").withColumn("content", F.lit(b""))
+    return _in_parts(some.select(*none.columns).union(none).select("path", "size", "sha256", "content"), part_bytes)
+
+
 def spread_by_bytes(df: DataFrame, *columns: str, by: DataFrame | None = None) -> DataFrame:
     """Names of files over enough tasks for the bytes behind them, and for opening each file.
 
@@ -182,7 +216,7 @@ def open_uri(uri: str):
     authority, path = "", rest
     if rest.startswith("//"):
         authority, _, path = rest[2:].partition("/")
-    return fs.FileSystem.from_uri(f"{scheme}://{authority}/{quote(path.lstrip('/'))}")
+    return fs.FileSystem.from_uri(f"{OPENED.get(scheme, scheme)}://{authority}/{quote(path.lstrip('/'))}")
 
 
 def _empty_finder(pattern: str | None, below: str):
@@ -263,12 +297,28 @@ def list_scanned(spark: SparkSession, root, *, pattern: str | None = None, recur
 
 def first_lines(files: DataFrame) -> DataFrame:
     """``(uri, file, header)``: the first line of every listed file, as bytes, and nothing after it."""
+    example = files.first()
+    if example is not None and not opened_by_tasks(example["uri"]):
+        return _scanned_lines(files)
     opened = files.withColumn("size", F.lit(0))
     return spread_by_bytes(opened, "uri").select("uri", "file").mapInArrow(
         _first_lines, "uri string, file string, header binary"
     )
 
 
+def _scanned_lines(files: DataFrame) -> DataFrame:
+    """First lines by a scan of the listed files, where tasks cannot open them."""
+    uris = [row["uri"] for row in files.select("uri").toLocalIterator()]
+    scan = _scan(files.sparkSession, uris, None, False).select(F.col("path").alias("uri"), F.col("_metadata.file_path").alias("file"), "content")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = [c.as_py().split(b"\n", 1)[0].rstrip(b"\r") for c in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lines, pa.binary())], names=["uri", "file", "header"])
+
+    return scan.mapInArrow(cut, "uri string, file string, header binary")
+
+
 def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         uris = batch.column("uri").to_pylist()

@@ -25,6 +25,7 @@ from lakeferry.operators.volumes import (
     sync_plan,
 )
 from lakeferry.plans import store
+from lakeferry.sources.files import read_files
 from lakeferry.sources.tables import read_table, table_facts
 from lakeferry.sources.trees import FILES_SCHEMA, list_tree, read_tree
 
@@ -259,3 +260,33 @@ def test_a_crash_between_content_and_manifest(spark, ws, monkeypatch):
     assert read_table(spark, table).isEmpty()
     assert ingest_tree(spark, table, ws.dir("in"))["new"] == len(TREE)
     assert {r.path: bytes(r.content) for r in stored_files(spark, table).collect()} == TREE
+
+
+@pytest.fixture
+def linked(spark, ws):
+    """A folder under a name that only Hadoop file systems resolve."""
+    Path(ws.dir("in")).mkdir(parents=True, exist_ok=True)
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.far.link./in", f"file://{ws.dir('in')}")
+    conf.set("fs.viewfs.impl.disable.cache", "true")
+    yield "viewfs://far/in"
+    conf.unset("fs.viewfs.mounttable.far.link./in")
+
+
+@pytest.mark.parametrize("part_bytes", [1000, 10**6])
+def test_files_that_only_spark_can_open(spark, ws, linked, part_bytes):
+    grow(ws.dir("in"), {**TREE, ".hidden/x": b"", "_y": b""})
+    assert rows(list_files(read_tree(spark, linked, part_bytes=part_bytes))) == expected()
+    table = ws.table("files")
+    assert ingest_tree(spark, table, linked, part_bytes=part_bytes)["new"] == len(TREE)
+    grow(ws.dir("in"), {"file": b"two", "sub/again": TREE["sub/sub2/file"]})
+    assert ingest_tree(spark, table, linked, part_bytes=part_bytes) == {"new": 1, "changed": 1, "same": len(TREE) - 1}
+    tree = {**TREE, "file": b"two", "sub/again": TREE["sub/sub2/file"]}
+    export_files(spark, stored_files(spark, table), ws.dir("out"))
+    assert exported(ws.dir("out")) == tree
+
+
+def test_csv_headers_that_only_spark_can_open(spark, ws, linked):
+    grow(ws.dir("in"), {"a 1.csv": b"x,y\n1,2\n", "b.csv": b"y,z\r\n3,4\r\n"})
+    df = read_files(spark, linked, "CSV", options={"header": True})
+    assert {(r.x, r.y, r.z) for r in df.collect()} == {(1, 2, None), (None, 3, 4)}
