@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.operators.export import save_table_to_files, sql_to_files
+from lakeferry.operators.export import export, row_groups, save_table_to_files, sql_to_files
 from lakeferry.operators.load import bulk_write_files, copy_into
 from lakeferry.operators.write import bulk_write_table, create_table, replace_table, write_table
 from lakeferry.plans.workspace import Workspace, session_settings
@@ -126,15 +126,29 @@ def _sql_to_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of at most a fiftieth of the rows, so their number does not grow with the data."""
     query = "SELECT l_orderkey, l_linenumber FROM lineitem"
     views(spark, sf, query)
-    path = sql_to_files(spark, query, Workspace(spark).dir("out"), rows_per_file=1_000)
+    bound = -(-spark.table("lineitem").count() // 50)
+    path = sql_to_files(spark, query, Workspace(spark).dir("out"), rows_per_file=bound)
     rows = spark.read.parquet(path)
     per_file = rows.groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n"))
     return per_file.agg(
         F.sum("n").alias("n_rows"),
-        (F.max("n") <= 1_000).alias("within_bound"),
-        (F.count("*") >= F.sum("n") / 1_000).alias("enough_files"),
+        (F.max("n") <= bound).alias("within_bound"),
+        (F.count("*") >= F.sum("n") / bound).alias("enough_files"),
+    )
+
+
+def _row_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Small row groups, counted in the footers: no row is lost, groups are many and of like size."""
+    lines = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate")
+    path = export(lines.repartition(4), Workspace(spark).dir("out"), rows_per_file=None, row_group_bytes=8 * 1024)
+    groups = row_groups(spark, path)
+    return groups.groupBy("file").agg(F.count("*").alias("n"), F.sum("n_rows").alias("rows"), F.max("n_bytes").alias("most")).agg(
+        F.sum("rows").alias("n_rows"),
+        (F.min("n") > 1).alias("several_groups"),
+        (F.max("most") < 256 * 1024).alias("within_bound"),
     )
 
 
@@ -199,6 +213,7 @@ QUERIES = {
     "save_table_to_files": _save_table,
     "sql_to_files": _sql_to_files,
     "sql_to_files_chunks": _chunks,
+    "export_row_groups": _row_groups,
     "copy_into_mixed_types": _copy_mixed_types,
     "write_table_overwrite_partitioned": _overwrite_partitioned,
     "write_table_overwrite_self": _overwrite_self,
@@ -240,5 +255,6 @@ ORACLES = {
     "bulk_write_files_replace": "SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal < 0",
     "save_table_to_files": "SELECT p_partkey, p_brand, p_size FROM part",
     "sql_to_files": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey",
+    "export_row_groups": "SELECT count(*) AS n_rows, true AS several_groups, true AS within_bound FROM lineitem",
     "sql_to_files_chunks": "SELECT count(*) AS n_rows, true AS within_bound, true AS enough_files FROM lineitem",
 }
