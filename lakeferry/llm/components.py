@@ -16,7 +16,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     Each round points every node's larger neighbours at its smallest one, then its smaller ones,
     until nothing changes, in a number of rounds that grows with the logarithm of the longest
     chain. Smallest neighbours are found by partial aggregation, so a node with very many links is
-    one row per task before the shuffle; its links stay in a plain join, which Spark can split.
+    one row per task before the shuffle, and written; its links stay in a join of two plain shuffles,
+    which Spark can split.
     """
     name = uuid.uuid4().hex[:8]
     stars = scratch.put(
@@ -28,6 +29,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         # larger neighbours to the smallest of the neighbourhood
         both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("least"))
+        least = scratch.put(least, f"{name}-least")
         large = (
             stars.select(F.col("b").alias("a"), F.col("a").alias("far"))
             .join(least, "a")
@@ -38,7 +40,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         step += 1
         large = scratch.put(large, f"{name}-{step}")
         # the node and its smaller neighbours to the smallest of them
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
+        least = scratch.put(large.groupBy("a").agg(F.min("b").alias("least")), f"{name}-smaller")
         small = (
             large.join(least, "a")
             .select(F.explode(F.array(F.struct("a", F.col("least").alias("b")), F.struct(F.col("b").alias("a"), F.col("least").alias("b")))).alias("x"))

@@ -234,7 +234,8 @@ class Join:
         members = self.sets.select("id", F.explode("roots").alias("node"))
         # one member of each node, chosen by a hash, so that a set meets many others over its roots
         one = F.min_by("id", F.struct(F.xxhash64("node", "id"), "id")).alias("one")
-        nodes = members.groupBy("node").agg(F.count("*").alias("size"), one).where("size > 1")
+        # written before the join: Spark splits a hot node of two plain shuffles, not of an aggregate
+        nodes = self.scratch.put(members.groupBy("node").agg(F.count("*").alias("size"), one).where("size > 1"), "root-nodes")
         roots = self.scratch.put(members.join(nodes, "node").select("node", "id", "one"), "roots")
         pairs = _ordered(roots.where("id <> one").select(F.col("one").alias("a"), F.col("id").alias("b")))
         tokens = self.sets.select("id", "n", "tokens")
@@ -251,9 +252,10 @@ class Join:
         """Links (a, b) between different known components, enough of them to connect these."""
         scratch, sets = self.scratch, self.sets.select("id", "n", "tokens")
         members = roots.join(known, "id", "left").select("node", "id", F.coalesce("component", "id").alias("component"))
+        members = scratch.put(members, "rooted")
         levels = []
         for depth in range(DEPTH + 1):
-            alive = members.join(_sizes(members), "node")
+            alive = members.join(scratch.put(_sizes(members), f"sizes-{depth}"), "node")
             if not depth:  # sizes need ids only; tokens follow for the nodes that are left
                 alive = alive.join(sets, "id")
             alive = scratch.put(alive, f"alive-{depth}")
@@ -266,7 +268,7 @@ class Join:
         small = reduce(DataFrame.union, [x.select(*levels[0].columns) for x in levels])
         pairs = scratch.put(_compared_tiny(small.where(F.col("size") <= TINY)), "tree-pairs")
         near = scratch.put(_near(small.where(F.col("size") > TINY)), "tree-near")
-        scratch.drop(*[f"alive-{depth}" for depth in range(len(levels))])
+        scratch.drop("rooted", "root-nodes", *[f"{name}-{depth}" for name in ("alive", "sizes") for depth in range(len(levels))])
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(near.select("id"))
         full = self.full(wanted, "tree-sets")
         links = self.confirmed(pairs, full, "tree-links").union(_connected(near.join(full, "id")))
