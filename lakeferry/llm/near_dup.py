@@ -46,7 +46,8 @@ from pyspark.sql import functions as F
 
 from lakeferry.llm.components import components
 from lakeferry.llm.scratch import Scratch
-from lakeferry.llm.words import Texts, chunks, mix, seeds, windows, within
+from lakeferry.llm.words import CHUNK_BYTES, Texts, chunks, mix, seeds, windows, within
+from lakeferry.plans.workspace import session_settings
 
 WORDS = 5
 THRESHOLD = (3, 4)  # intersection : union
@@ -56,6 +57,7 @@ LEAST_EQUAL = 72
 TINY = 32  # members that are compared as one row
 MINORITY = 1024
 CHUNK = 1024
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1024}
 DEPTH = 24
 MISSED = 1e-4  # of the pairs at the threshold, by the trees, at any depth
 
@@ -116,7 +118,7 @@ def tokens_of(distinct: np.ndarray) -> np.ndarray:
 
 
 def _sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
-    for _, _, texts in chunks(column, lower=True):
+    for _, _, texts in chunks(column, lower=True, limit=CHUNK_BYTES // 2):
         found, bounds = shingles(texts, k)
         for i in range(texts.count):
             yield np.unique(found[bounds[i] : bounds[i + 1]])
@@ -184,7 +186,9 @@ class Join:
 
     def __init__(self, docs: DataFrame, k: int, scratch: Scratch):
         self.docs, self.k, self.scratch = docs, k, scratch
-        self.features = scratch.put(features(docs, k), "features")
+        # batches of few rows, since each is a copy of its texts beside the arrays made of them
+        with session_settings(docs.sparkSession, BATCH):
+            self.features = scratch.put(features(docs, k), "features")
         first = F.min_by(F.struct("roots", "tokens"), "id")
         self.sets = scratch.put(
             self.features.where("n > 0 AND id IS NOT NULL")
@@ -215,7 +219,8 @@ class Join:
         kind = self.docs.schema["id"].dataType.simpleString()
         # always the same plan: texts are dealt by id, never met by a table that grows with them
         texts = self.docs.join(wanted.distinct().hint("shuffle_hash"), "id", "left_semi").select("id", "text")
-        found = self.scratch.put(texts.mapInArrow(made, f"id {kind}, shingles array<long>"), name)
+        with session_settings(self.docs.sparkSession, BATCH):
+            found = self.scratch.put(texts.mapInArrow(made, f"id {kind}, shingles array<long>"), name)
         self.scratch.release()
         return found
 

@@ -46,8 +46,7 @@ _INVERSE = pow(_BASE, -1, PRIME)
 _LOW31, _LOW30, _P = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1), np.uint64(PRIME)
 # Sums over more bytes than this could pass 64 bits.
 _EXACT_BYTES = 1 << 24
-_powers: dict[int, np.ndarray] = {}
-_halves: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: dict[str, tuple[np.ndarray, ...]] = {}
 
 
 def _reduced(x: np.ndarray) -> np.ndarray:
@@ -67,23 +66,31 @@ def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _power(base: int, n: int) -> np.ndarray:
     """Powers 0 to n - 1 of a number, each doubling of the table one product."""
-    have = _powers.get(base, np.ones(1, np.uint64))
+    have = np.ones(1, np.uint64)
     while len(have) < n:
         have = np.concatenate([have, _times(have, np.full(len(have), pow(base, len(have), PRIME), np.uint64))])
-    if len(have) <= 4 * CHUNK_BYTES:
-        _powers[base] = have
-    return have[:n]
+    return have
 
 
-def _factors(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _up(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The lower 31 and the upper bits of the first powers of the base."""
-    have = _halves.get(_BASE)
-    if have is None or len(have[0]) < n:
-        power = _power(_BASE, max(n, CHUNK_BYTES + 1))
-        have = power & _LOW31, power >> np.uint64(31)
-        if len(power) <= 4 * CHUNK_BYTES:
-            _halves[_BASE] = have
-    return have[0][:n], have[1][:n]
+    if "up" not in _powers or len(_powers["up"][0]) < n:
+        power = _power(_BASE, n)
+        made = (power & _LOW31).astype(np.uint32), (power >> np.uint64(31)).astype(np.uint32)
+        if n > 2 * CHUNK_BYTES:
+            return made
+        _powers["up"] = made
+    return _powers["up"]
+
+
+def _down(n: int) -> np.ndarray:
+    """The first powers of the base's inverse."""
+    if "down" not in _powers or len(_powers["down"][0]) < n:
+        made = (_power(_INVERSE, n),)
+        if n > 2 * CHUNK_BYTES:
+            return made[0]
+        _powers["down"] = made
+    return _powers["down"][0]
 
 
 class Texts:
@@ -114,18 +121,19 @@ class Texts:
         n = len(self.data)
         if self._sums is None:
             # the two halves of the polynomial's terms, summed up; differences of the sums are exact
-            values = self.data.astype(np.uint64)
-            values += np.uint64(1)
+            values = self.data.astype(np.uint16)
+            values += np.uint16(1)
             self._sums = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
-            for sums, factors in zip(self._sums, _factors(n), strict=True):
-                np.cumsum(values * factors, out=sums[1:])
+            for sums, factors in zip(self._sums, _up(n), strict=True):
+                np.multiply(factors[:n], values, out=sums[1:], dtype=np.uint64)
+                np.cumsum(sums, out=sums)
         low, high = self._sums
         found = self._total(low[ends] - low[starts], high[ends] - high[starts])
         for i in np.flatnonzero(ends - starts > _EXACT_BYTES).tolist():
             cuts = np.array([*range(int(starts[i]), int(ends[i]), _EXACT_BYTES), int(ends[i])])
             parts = self._total(np.diff(low[cuts]), np.diff(high[cuts]))
             found[i] = sum(parts.tolist()) % PRIME
-        found = _times(found, _power(_INVERSE, n + 1)[starts])
+        found = _times(found, _down(n + 1)[starts])
         found += (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return mix(found)
 
