@@ -38,7 +38,7 @@ WINDOW = 2048
 END = 1
 OPEN_WINDOWS = 4096
 # Parts that a task remembers the ids of; then it starts anew.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 
 # Kinds of bytes: letters (or of longer code points), points, and digits and apostrophes, whose
 # words are encoded whole.
@@ -80,9 +80,9 @@ class Ids:
 
     def forget(self) -> None:
         """Remember only the empty part, in slot 0."""
-        self.keys, self.slots = np.array([_EMPTY], np.uint64), np.zeros(1, np.int64)
-        self.offset, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.bytes = np.zeros((1 << 16, 3), np.uint64)
+        self.keys, self.slots = np.array([_EMPTY], np.uint64), np.zeros(1, np.int32)
+        self.offset, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.bytes = np.zeros((1 << 16, 2), np.uint64)
         self.flat, self.used, self.count = np.zeros(1 << 20, np.uint32), 0, 1
 
     def alone(self, part: bytes) -> np.ndarray:
@@ -120,7 +120,7 @@ class Ids:
         self.offset[new], self.length[new], self.bytes[new] = self.used + np.cumsum(sizes) - sizes, length, known
         at = np.searchsorted(self.keys, keys)  # in order, being distinct
         self.keys = np.insert(self.keys, at, keys)
-        self.slots = np.insert(self.slots, at, np.arange(new.start, new.stop))
+        self.slots = np.insert(self.slots, at, np.arange(new.start, new.stop, dtype=np.int32))
         self.used += len(added)
         self.count = new.stop
 
@@ -178,7 +178,8 @@ class Ids:
         wrong.append(texts.word_doc[at[self.differ(place, texts, middle[at], ends[at])]])
         slots[at, 1] = place
         place = slots.ravel()
-        lengths, offset = self.length[place], self.offset[place]
+        texts.release()
+        lengths, offset = self.length[place].astype(np.int64), self.offset[place]
         # the end id of a document comes behind its last part
         doc = np.repeat(texts.word_doc, 2)
         first = np.cumsum(lengths) - lengths

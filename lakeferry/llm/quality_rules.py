@@ -154,7 +154,10 @@ def measure(texts: Texts, langs: list[str | None], path: str, bands: dict[str |
     lead = np.zeros(len(texts.data) + 1, np.int64)
     np.cumsum(LEADS[texts.data], out=lead[1:])
     chars = np.bincount(texts.word_doc, lead[texts.ends] - lead[texts.starts], texts.count).astype(np.int64)
+    del lead
     repeats = np.bincount(texts.word_doc[in_repeats(texts, hashes)], minlength=texts.count)
+    same_lines = repeated_lines(texts)
+    texts.release()
     tokens, fallback, entropy = fertility(texts, hashes, path)
     some = np.maximum(tokens, 1)
     per_token, share = chars / some, fallback / some
@@ -173,7 +176,7 @@ def measure(texts: Texts, langs: list[str | None], path: str, bands: dict[str |
         "n_words": texts.n_words,
         "word_chars": chars,
         "n_symbols": texts.totals(SYMBOLS[texts.data]),
-        "n_dup_lines": repeated_lines(texts),
+        "n_dup_lines": same_lines,
         "n_repeat_words": repeats,
         "n_tokens": tokens,
         "chars_per_token": per_token,

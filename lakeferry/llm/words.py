@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts are taken together until they reach this many bytes; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -143,7 +143,8 @@ class Texts:
         return _reduced(_reduced(low) + (high >> np.uint64(30)) + ((high & _LOW30) << np.uint64(31)))
 
     def ends_of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A row (first eight bytes, last eight bytes, size) of each run; up to sixteen bytes it tells all."""
+        """A row of each run: its first eight bytes, and its last eight scrambled with its size; up to
+        sixteen bytes these tell all of it."""
         if len(self.data) < 8:
             data = np.append(self.data, np.zeros(8, np.uint8))
         else:
@@ -156,7 +157,11 @@ class Texts:
         short = np.minimum(size, 8)
         first = np.where(short < 8, first & ((np.uint64(1) << (short % 8 * 8).astype(np.uint64)) - np.uint64(1)), first)
         last = np.where(size > 8, eights[np.clip(ends - 8, 0, len(eights) - 1)], np.uint64(0))
-        return np.stack([first, last, size.astype(np.uint64)], 1)
+        return np.stack([first, mix(last + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))], 1)
+
+    def release(self) -> None:
+        """Forget the sums behind the hashes."""
+        self._sums = None
 
     def word_hashes(self) -> np.ndarray:
         return self.hashes(self.starts, self.ends)
