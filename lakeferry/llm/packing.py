@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeferry.llm.words import Texts, chunks
+from lakeferry.llm.words import CHUNK_BYTES, Texts, chunks
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 2048
@@ -341,7 +341,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         for batch in batches:
             kind = batch.column(0).type
             names = batch.column(0).to_pylist()
-            for first, last, texts in chunks(batch.column(1), lower=True):
+            for first, last, texts in chunks(batch.column(1), lower=True, limit=2 * CHUNK_BYTES):
                 done = []
                 for name, own in zip(names[first:last], ids.encode(texts), strict=True):
                     done += packer.add(name, own)
