@@ -38,7 +38,7 @@ WINDOW = 2048
 END = 1
 OPEN_WINDOWS = 4096
 # Parts that a task remembers the ids of; then it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 900_000
 
 # Kinds of bytes: letters (or of longer code points), points, and digits and apostrophes, whose
 # words are encoded whole.

@@ -9,7 +9,8 @@ of two Thue-Morse words and their complements would be equal), scrambled to 64 b
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -196,6 +197,21 @@ def within(bounds: np.ndarray, k: int, n: int) -> np.ndarray:
     return inside
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can: a Python worker lives through many
+    tasks of many steps, and what it keeps for itself adds up on its executor."""
+    if "trim" not in _library:
+        try:
+            _library["trim"] = ctypes.CDLL(None).malloc_trim
+        except (OSError, AttributeError):
+            _library["trim"] = None
+    if _library["trim"] is not None:
+        _library["trim"](0)
+
+
+_library: dict[str, Callable | None] = {}
+
+
 def as_binary(column: pa.Array) -> pa.LargeBinaryArray:
     """A text column with nulls as empty texts, as bytes."""
     if isinstance(column, pa.ChunkedArray):
@@ -220,3 +236,4 @@ def chunks(column: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES) -> I
         last = min(max(last, first + 1), n)
         yield first, last, Texts(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], lower)
         first = last
+    give_back()
