@@ -8,6 +8,10 @@ writes those of this one; no suffix is ever compared or kept.
 
 The common prefix of a new suffix with its neighbour is one more than the least value between the
 places of their rests in the last round. Values are cut off at `limit`.
+
+A symbol may be several bytes (`packed`): a string is then one sequence of symbols for each place
+that its first symbol may start at, and a round inserts a symbol of each of these. Rounds, and so
+the passes over the transform, become fewer by the width of a symbol, and the suffixes stay the same.
 """
 
 from __future__ import annotations
@@ -39,22 +43,25 @@ class _Least:
         return np.minimum(self.flat[row + first], self.flat[row + last + 1 - (1 << level)])
 
 
+_WIDEST = 5  # bytes of a symbol
+
 # The largest power of two not above a number, as its exponent.
 _LEVEL = np.array([max(i.bit_length() - 1, 0) for i in range(1 << 12)], np.int64)
 
 
 class Collection:
-    """Strings over bytes 0..254, as one array and their bounds; `limit` caps common prefixes."""
+    """Strings of symbols, as one array of numbers from 0 on and their bounds; `limit` caps common prefixes."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, limit: int):
         self.n = len(bounds) - 1
         self.lengths = np.diff(bounds)
-        symbols = np.append(data + np.uint8(1), np.uint8(0))  # UTF-8 has no byte 255; 0 ends a string
+        kind = np.min_scalar_type(int(data.max(initial=0)) + 1)
+        symbols = np.append(data.astype(kind) + kind.type(1), kind.type(0))  # 0 ends a string
         ends = bounds[1:]
         longest = int(self.lengths.max(initial=0))
         strings = np.arange(self.n)
         # the empty suffixes, in the order of the strings
-        self.transform = np.where(self.lengths > 0, symbols[np.maximum(ends - 1, 0)], 0).astype(np.uint8)
+        self.transform = np.where(self.lengths > 0, symbols[np.maximum(ends - 1, 0)], 0).astype(kind)
         self.prefix = np.zeros(self.n, np.uint8)
         place = strings.copy()
         for j in range(1, longest + 1):
@@ -77,7 +84,7 @@ class Collection:
             size = len(self.transform) + len(active)
             old = np.ones(size, bool)
             old[new] = False
-            transform, prefix = np.empty(size, np.uint8), np.empty(size, np.uint8)
+            transform, prefix = np.empty(size, kind), np.empty(size, np.uint8)
             transform[old], prefix[old] = self.transform, self.prefix
             more = self.lengths[active] > j
             transform[new] = np.where(more, symbols[np.maximum(ends[active] - j - 1, 0)], 0)
@@ -109,8 +116,30 @@ class Collection:
                 yield j, strings, place
 
 
+def packed(data: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, bounds) of `width` times as many sequences: those of a string's symbols of `width`
+    bytes from its byte 0, 1, ... on, numbered in the order of their bytes; what is shorter than a
+    symbol is left out."""
+    sizes = np.maximum(np.diff(bounds)[:, None] - np.arange(width), 0) // width
+    whole = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    start = (bounds[:-1, None] + np.arange(width)).ravel()
+    at = np.repeat(start - width * whole[:-1], sizes.ravel()) + width * np.arange(whole[-1])
+    words = np.zeros(len(at), np.uint64)
+    for i in range(width):
+        words = (words << np.uint64(8)) | data[at + i]
+    _, symbols = np.unique(words, return_inverse=True)
+    return symbols, whole
+
+
 def shared_prefixes(data: np.ndarray, bounds: np.ndarray, length: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(offsets, strings, groups) of all substrings of ``length`` bytes; equal ones share a group."""
-    built = Collection(data, bounds, length)
-    group = np.cumsum(built.prefix < length) - 1
-    return [(built.lengths[s] - j, s, group[p]) for j, s, p in built.suffixes(length)]
+    width = max(w for w in range(1, min(_WIDEST, length) + 1) if length % w == 0)
+    symbols, whole = packed(data, bounds, width)
+    built = Collection(symbols, whole, length // width)
+    group = np.cumsum(built.prefix < length // width) - 1
+    return [
+        (width * (built.lengths[s] - j) + s % width, s // width, group[p])
+        for j, s, p in built.suffixes(length // width)
+    ]
+
+

@@ -2,7 +2,8 @@
 
 Every byte that lies in a `LENGTH`-byte string which also starts in a document of smaller id is
 removed. Equal strings are found by the Burrows-Wheeler transform and common prefixes of a
-collection of strings, built one column of all strings per round (`bwt`).
+collection of strings, built one column of all strings per round (`bwt`), a column being five bytes
+wide.
 
 Distribution. Every `LENGTH`-byte string has an anchor, the least hash of the `ANCHOR`-byte strings
 inside it; equal strings have equal anchors, and neighbours mostly share theirs. So a text falls
@@ -18,7 +19,8 @@ the same anchors.
 4. Each block marks what its documents share with smaller ids, and removes it.
 
 A block is one sender however often it holds a string, so a passage in a third of all documents is
-one entry per block and collection. Anchors that more than `HOT` documents hold, whose segments may
+one entry per block and collection; a block's entries travel by groups of `GROUP` collections,
+compressed, so that its rows are few. Anchors that more than `HOT` documents hold, whose segments may
 differ at their ends without bound, are split further: their strings are sent one by one, to the
 collection that the whole string hashes to. The number of parts and collections grows with the
 input, so each stays of one size.
@@ -26,7 +28,7 @@ input, so each stays of one size.
 Collections are built in the memory of a task, in arrays that each round reads and writes once
 from front to back; files of a machine's own would be lost with an executor.
 
-Defined results: a null text is empty; rows with a null id neither lose nor cause anything to be
+Defined results: ids are whole numbers; a null text is empty; rows with a null id neither lose nor cause anything to be
 lost; rows of the same id don't affect each other; texts shorter than `LENGTH` stay whole; an empty
 table gives an empty one. Only id and text are read.
 """
@@ -54,12 +56,16 @@ LONGEST_RUN = LENGTH - ANCHOR + 1  # strings in a segment; more only share an an
 BLOCK_BYTES = 4 << 20
 PART_BYTES = 16 << 20  # of text whose anchors make one part
 COLLECTION_SEGMENTS = 3000
+GROUP = 32  # collections that one task builds one after the other
 HOT = 1000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.iinfo(np.int64).max
 _FACTORS = seeds(LENGTH // 8 + 1, 1 << 44) | np.uint64(1)
 _MASKS = [np.uint64((1 << 8 * n) - 1) for n in range(8)]
 _TILE = 1 << 15
+# a segment on its way to its collection, and what comes back
+ENTRY = np.dtype([("least", "<i8"), ("most", "<i8"), ("name", "<u4"), ("length", "u1"), ("collection", "u1")])
+VERDICT = np.dtype([("name", "<u4"), ("begin", "u1"), ("end", "u1"), ("id", "<i8")])
 
 
 class Block:
@@ -315,11 +321,18 @@ def _flags(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     return merged("flagged"), merged("hot")
 
 
-def _segments(blocks: DataFrame, collections: int) -> DataFrame:
-    """(collection, block, names, lengths, data, least, most): the distinct flagged segments of
-    each block, named by their numbers there, with the smallest and the largest id that hold each."""
-    names = ["collection", "block", "names", "lengths", "data", "least", "most"]
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+def _zipped(*arrays: np.ndarray | bytes) -> bytes:
+    raw = b"".join(x if isinstance(x, bytes) else x.tobytes() for x in arrays)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unzipped(held: bytes) -> bytes:
+    return pa.decompress(held[8:], int.from_bytes(held[:8], "little"), "zstd", asbytes=True)
+
+
+def _segments(blocks: DataFrame, groups: int) -> DataFrame:
+    """(group, block, held): the distinct flagged segments of each block by groups of collections,
+    as `ENTRY` records and then their bytes; named by their numbers in the block."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -327,21 +340,52 @@ def _segments(blocks: DataFrame, collections: int) -> DataFrame:
                 block = _read(batch, i)
                 start, run, route, doc = block.wanted(*_flags(batch, i))
                 first, code = block.distinct(start, run)
-                least = np.full(len(first), _NONE)
-                most = np.full(len(first), np.iinfo(np.int64).min)
-                np.minimum.at(least, code, block.ids[doc])
-                np.maximum.at(most, code, block.ids[doc])
-                start, length = start[first], run[first] + LENGTH - 1
+                entries = np.zeros(len(first), ENTRY)
+                entries["least"], entries["most"] = _NONE, np.iinfo(np.int64).min
+                np.minimum.at(entries["least"], code, block.ids[doc])
+                np.maximum.at(entries["most"], code, block.ids[doc])
+                start, spot = start[first], mix(route[first])
+                entries["name"], entries["length"] = np.arange(len(first)), run[first] + LENGTH - 1
+                entries["collection"] = (spot >> np.uint64(32)) % np.uint64(GROUP)
                 rows = []
-                for collection, at in _slices((mix(route[first]) % np.uint64(collections)).astype(np.int64)):
-                    data = b"".join(block.data[s : s + n].tobytes() for s, n in zip(start[at], length[at], strict=True))
-                    rows.append((
-                        collection, batch.column("block")[i].as_py(), at.astype(np.uint32).tobytes(),
-                        length[at].astype(np.uint8).tobytes(), data, least[at].tobytes(), most[at].tobytes(),
-                    ))
-                yield _batch(rows, names, kinds)
-
-    return blocks.mapInArrow(made, "collection int, block long, names binary, lengths binary, data binary, least binary, most binary")
+                for group, at in _slices((spot % np.uint64(groups)).astype(np.int64)):
+                    spans = zip(start[at].tolist(), entries["length"][at].tolist(), strict=True)
+                    data = b"".join([block.data[s : s + n].tobytes() for s, n in spans])
+                    rows.append((group, batch.column("block")[i].as_py(), _zipped(len(at).to_bytes(8, "little"), entries[at], data)))
+                yield _batch(rows, ["group", "block", "held"], [pa.int32(), pa.int64(), pa.binary()])
+
+    return blocks.mapInArrow(made, "group int, block long, held binary")
+
+
+def _holders(texts: list[bytes], least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, begin, end, id): for entries of a collection, each with the smallest and the largest
+    id that hold it, the runs of strings that a smaller id than their largest holds, and which."""
+    seen: dict[bytes, int] = {}
+    code = np.array([seen.setdefault(t, len(seen)) for t in texts], np.int64)
+    own = np.full(len(seen), _NONE)
+    np.minimum.at(own, code, least)
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in seen])]).astype(np.int64)
+    base = np.concatenate([[0], np.cumsum(np.diff(bounds) - LENGTH + 1)])
+    holder = np.full(int(base[-1]), _NONE)
+    parts = shared_prefixes(np.frombuffer(b"".join(seen), np.uint8), bounds, LENGTH)
+    offset, string, group = (np.concatenate(x) for x in zip(*parts, strict=True))
+    smallest = np.full(int(group.max(initial=0)) + 1, _NONE)
+    np.minimum.at(smallest, group, own[string])
+    holder[base[string] + offset] = smallest[group]
+    # runs of one holder inside each segment
+    edge = np.ones(len(holder), bool)
+    edge[1:] = holder[1:] != holder[:-1]
+    edge[base[:-1]] = True
+    first = np.flatnonzero(edge)
+    of = np.searchsorted(base, first, "right") - 1
+    begin, end = first - base[of], np.append(first[1:], len(holder)) - base[of]
+    head = np.searchsorted(of, np.arange(len(seen) + 1))
+    many = np.diff(head)[code]
+    entry = np.repeat(np.arange(len(code)), many)
+    run = np.repeat(head[code] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+    useful = holder[first[run]] < most[entry]
+    entry, run = entry[useful], run[useful]
+    return entry, begin[run], end[run], holder[first[run]]
 
 
 def _verdicts(segments: DataFrame) -> DataFrame:
@@ -349,50 +393,28 @@ def _verdicts(segments: DataFrame) -> DataFrame:
     holds each, where a larger id of the block holds them too."""
 
     def found(table: pa.Table) -> pa.Table:
-        batch = table.combine_chunks().to_batches()[0]
-        column = lambda name, kind: [_array(batch, name, i, kind) for i in range(batch.num_rows)]
-        held = column("names", np.uint32)
-        names = np.concatenate(held)
-        lengths = np.concatenate(column("lengths", np.uint8)).astype(np.int64)
-        least, most = np.concatenate(column("least", np.int64)), np.concatenate(column("most", np.int64))
-        data = b"".join(batch.column("data").to_pylist())
-        ends = np.cumsum(lengths)
-        seen: dict[bytes, int] = {}
-        code = np.array([seen.setdefault(data[e - n : e], len(seen)) for e, n in zip(ends, lengths, strict=True)], np.int64)
-        texts = list(seen)
-        own = np.full(len(texts), _NONE)
-        np.minimum.at(own, code, least)
-        bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        base = np.concatenate([[0], np.cumsum(np.diff(bounds) - LENGTH + 1)])
-        holder = np.full(int(base[-1]), _NONE)
-        parts = shared_prefixes(np.frombuffer(b"".join(texts), np.uint8), bounds, LENGTH)
-        offset, string, group = (np.concatenate(x) for x in zip(*parts, strict=True))
-        smallest = np.full(int(group.max(initial=0)) + 1, _NONE)
-        np.minimum.at(smallest, group, own[string])
-        holder[base[string] + offset] = smallest[group]
-        # runs of one holder inside each segment
-        edge = np.ones(len(holder), bool)
-        edge[1:] = holder[1:] != holder[:-1]
-        edge[base[:-1]] = True
-        first = np.flatnonzero(edge)
-        of = np.searchsorted(base, first, "right") - 1
-        begin, end = first - base[of], np.append(first[1:], len(holder)) - base[of]
-        head = np.searchsorted(of, np.arange(len(texts) + 1))
-        many = np.diff(head)[code]
-        entry = np.repeat(np.arange(len(code)), many)
-        run = np.repeat(head[code] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-        useful = holder[first[run]] < most[entry]
-        entry, run = entry[useful], run[useful]
-        out = np.zeros(len(entry), VERDICT)
-        out["name"], out["begin"], out["end"], out["id"] = names[entry], begin[run], end[run], holder[first[run]]
-        sender = np.repeat(np.arange(len(held)), [len(h) for h in held])[entry]
-        rows = [(batch.column("block")[i].as_py(), out[at].tobytes()) for i, at in _slices(sender)]
+        entries, texts = [], []
+        for held in table.column("held").to_pylist():
+            raw = _unzipped(held)
+            size = int.from_bytes(raw[:8], "little") * ENTRY.itemsize
+            own, data = np.frombuffer(raw[8 : 8 + size], ENTRY), raw[8 + size :]
+            ends = np.cumsum(own["length"], dtype=np.int64)
+            texts += [data[e - n : e] for e, n in zip(ends.tolist(), own["length"].tolist(), strict=True)]
+            entries.append(own)
+        sender = np.repeat(np.arange(len(entries)), [len(e) for e in entries])
+        every = np.concatenate(entries)
+        senders, decided = [], []
+        for _, at in _slices(every["collection"]):
+            entry, begin, end, holder = _holders([texts[k] for k in at], every["least"][at], every["most"][at])
+            out = np.zeros(len(entry), VERDICT)
+            out["name"], out["begin"], out["end"], out["id"] = every["name"][at][entry], begin, end, holder
+            senders.append(sender[at][entry])
+            decided.append(out)
+        verdicts, blocks = np.concatenate(decided), table.column("block").to_pylist()
+        rows = [(blocks[i], _zipped(verdicts[at])) for i, at in _slices(np.concatenate(senders))]
         return pa.Table.from_batches([_batch(rows, ["block", "verdicts"], [pa.int64(), pa.binary()])])
 
-    return segments.groupBy("collection").applyInArrow(found, "block long, verdicts binary")
-
-
-VERDICT = np.dtype([("name", "<u4"), ("begin", "u1"), ("end", "u1"), ("id", "<i8")])
+    return segments.groupBy("group").applyInArrow(found, "block long, verdicts binary")
 
 
 def _marks(block: Block, flagged: np.ndarray, hot: np.ndarray, verdicts: np.ndarray) -> np.ndarray:
@@ -421,7 +443,7 @@ def _cleaned(blocks: DataFrame, id_name: str, with_text: bool) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 block = _read(batch, i)
-                verdicts = np.frombuffer(b"".join(batch.column("verdicts")[i].as_py() or []), VERDICT)
+                verdicts = np.frombuffer(b"".join(map(_unzipped, batch.column("verdicts")[i].as_py() or [])), VERDICT)
                 marked = _marks(block, *_flags(batch, i), verdicts)
                 rows = []
                 for d in range(block.count):
@@ -459,7 +481,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         flagged = scratch.put(blocks.join(by_block, "block", "left"), "flagged", compression="none")
         scratch.drop("blocks", "flags")
         scratch.release()
-        found = _segments(flagged, 1 + many // COLLECTION_SEGMENTS)
+        found = _segments(flagged, 1 + many // (COLLECTION_SEGMENTS * GROUP))
         verdicts = scratch.put(_verdicts(found), "verdicts")
         scratch.release()
         decided = verdicts.groupBy("block").agg(F.collect_list("verdicts").alias("verdicts"))

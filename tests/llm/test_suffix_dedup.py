@@ -14,7 +14,7 @@ from lakeferry.llm.bwt import Collection, shared_prefixes
 
 
 @settings(max_examples=150, deadline=None)
-@examples(st.lists(st.text(alphabet="abc", max_size=14).map(str.encode), min_size=1, max_size=8), st.integers(1, 5))
+@examples(st.lists(st.text(alphabet="abc", max_size=30).map(str.encode), min_size=1, max_size=8), st.integers(1, 12))
 def test_transform_and_prefixes(strings, length):
     data = np.frombuffer(b"".join(strings), np.uint8)
     bounds = np.concatenate([[0], np.cumsum([len(s) for s in strings])]).astype(np.int64)
