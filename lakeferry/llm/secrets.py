@@ -4,11 +4,15 @@ Base patterns find assignments, access keys and long hexadecimal runs. The metho
 token-efficiency test: a run of key characters that a public token vocabulary can only split into
 very short tokens is no word of any language. A run that passes as a whole is tested once more in
 parts, so that a path, a date or a base pattern beside a key doesn't hide it: the parts are what
-slashes, UUIDs, dates and base spans leave of it. Known digests and identifiers (UUIDs,
-digest-labelled strings, dates, version paths) are left out, and so is whatever a base pattern
-already holds.
+slashes, UUIDs, dates and base spans leave of it. In a run without digits the unbroken stretches of
+letters are tested: any word, even a compound of several or a made-up one, splits into longer tokens.
+Known digests and identifiers (UUIDs, digest-labelled strings, dates, version paths, alphabets,
+strings over few letters as of genes) are left out, and so is whatever a base pattern already holds.
 Positions count code points, ends are exclusive.
 
+Limits of the method: what is shorter than `LEAST_LENGTH` characters, or of digits only, is left to
+the base patterns; of random strings of 20 lower-case letters a tenth splits as well as words do.
+
 Defined results: a null or empty text has no spans; every row gets its own result, whatever its
 id; an empty table gives an empty one. Other columns are never read.
 """
@@ -16,7 +20,6 @@ id; an empty table gives an empty one. Other columns are never read.
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 
 import pyarrow as pa
@@ -46,6 +49,9 @@ DATED = re.compile(r"\d{4}-\d{2}-\d{2}|\d{8}T\d{6}")
 SLASH = re.compile("/")
 HAS_DIGIT, HAS_LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 WORDY = re.compile(r"[A-Za-z]{5,}")
+LETTERS = re.compile(r"[A-Za-z]{%d,}" % LEAST_LENGTH)
+FEW_LETTERS = 5  # as in genes
+ALPHABETIC = 8  # letters in the order of the alphabet
 
 FIELDS = "n_assign long, n_access long, n_hex long, n_random long, spans array<struct<kind:string,begin:int,end:int>>"
 SPAN = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32())])
@@ -107,6 +113,28 @@ def _parts(text: str, begin: int, end: int, taken: list[tuple[int, int, int]]) -
     return parts
 
 
+def _alphabet(run: str) -> bool:
+    """Is it a listing of letters in their order, or a string over few letters?"""
+    low = run.lower()
+    row = longest = 1
+    for a, b in zip(low, low[1:], strict=False):
+        row = row + 1 if ord(b) == ord(a) + 1 else 1
+        longest = max(longest, row)
+    return longest >= ALPHABETIC or len(set(low)) <= FEW_LETTERS
+
+
+def _random_letters(text: str, begin: int, end: int, taken: list[tuple[int, int, int]], path: str) -> list[tuple[int, int, int]]:
+    """Stretches of letters, in a run without digits, that the vocabulary splits into very short tokens."""
+    spans = []
+    for m in LETTERS.finditer(text, begin, end):
+        b, e = m.span()
+        if any(x < e and b < y for x, y, _ in taken) or DIGEST_LABEL.search(text[max(0, b - 12) : b]) or _alphabet(m[0]):
+            continue
+        if e - b < MOST_CHARS_PER_TOKEN * len(_encoding(path).encode_ordinary(m[0])):
+            spans.append((b, e, 3))
+    return spans
+
+
 def _random(text: str, begin: int, end: int, path: str) -> bool:
     run = text[begin:end]
     if not (HAS_DIGIT.search(run) and HAS_LETTER.search(run)) or known(run, text[max(0, begin - 12) : begin]):
@@ -120,7 +148,10 @@ def random_runs(text: str, taken: list[tuple[int, int, int]], path: str) -> list
     spans = []
     for m in RUN.finditer(text):
         begin, end = m.span()
-        if not (HAS_DIGIT.search(m[0]) and HAS_LETTER.search(m[0])):
+        if not HAS_DIGIT.search(m[0]):
+            spans += _random_letters(text, begin, end, taken, path)
+            continue
+        if not HAS_LETTER.search(m[0]):
             continue
         touched = any(b < end and begin < e for b, e, _ in taken)
         if not touched and _random(text, begin, end, path):
@@ -192,8 +223,3 @@ def digest(spans: Column) -> Column:
     """SHA-256 of the listed spans of the base kinds."""
     return F.sha2(listed(F.filter(spans, lambda s: s["kind"] != "random")).cast("binary"), 256)
 
-
-def reference_digest(text: str) -> str:
-    """The same for one text, for tests."""
-    spans = sorted(base_spans(text), key=lambda s: (s[0], s[2]))
-    return hashlib.sha256(",".join(f"{KINDS[k]}:{b}:{e}" for b, e, k in spans).encode()).hexdigest()
