@@ -10,7 +10,7 @@ of two Thue-Morse words and their complements would be equal), scrambled to 64 b
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -199,17 +199,15 @@ def within(bounds: np.ndarray, k: int, n: int) -> np.ndarray:
 
 def give_back() -> None:
     """Return freed memory to the system, where the C library can: a Python worker lives through many
-    tasks of many steps, and what it keeps for itself adds up on its executor."""
-    if "trim" not in _library:
-        try:
-            _library["trim"] = ctypes.CDLL(None).malloc_trim
-        except (OSError, AttributeError):
-            _library["trim"] = None
-    if _library["trim"] is not None:
-        _library["trim"](0)
+    tasks of many steps, and what it keeps for itself adds up on its executor.
 
-
-_library: dict[str, Callable | None] = {}
+    The library is opened anew each time: a handle kept in the module could not be sent to a task.
+    """
+    try:
+        trim = ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return
+    trim(0)
 
 
 def as_binary(column: pa.Array) -> pa.LargeBinaryArray:

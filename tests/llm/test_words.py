@@ -5,6 +5,7 @@ import pyarrow as pa
 from cases import WORD
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 
 from lakeferry.llm import words
 from lakeferry.llm.words import Texts, chunks, windows, within
@@ -90,3 +91,8 @@ def test_ends_of_runs(raw, draw):
     with np.errstate(over="ignore"):
         scrambled = words.mix(np.array([tail], np.uint64) + np.array([len(run)], np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     assert first == int.from_bytes(run[:8], "little") and last == int(scrambled[0])
+
+
+def test_functions_can_be_sent_to_tasks_after_they_ran_here():
+    assert list(chunks(pa.array(["a b"]), limit=9))
+    assert cloudpickle.loads(cloudpickle.dumps(chunks)) is not None
