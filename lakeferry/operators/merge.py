@@ -8,6 +8,7 @@ only these are read in full and written anew; every other file stays as it is.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,17 @@ from pyspark.sql import functions as F
 
 from lakeferry.functions.types import align, missing_from, quote
 from lakeferry.plans import store
-from lakeferry.plans.commit import FILE, in_files, recover, replace_files, token, with_file
-from lakeferry.plans.workspace import may_broadcast, shared_root, stage
+from lakeferry.plans.commit import (
+    FILE,
+    FILE_NUMBER,
+    FIRST_ROW,
+    in_files,
+    recover,
+    replace_files,
+    token,
+    with_file,
+)
+from lakeferry.plans.workspace import bytes_setting, may_broadcast, session_settings, shared_root, stage
 from lakeferry.sources.tables import (
     PENDING,
     ROW_LEVEL_PROVIDERS,
@@ -26,6 +36,13 @@ from lakeferry.sources.tables import (
     table_facts,
 )
 
+# Rows, and bytes as files or in a shuffle, that one partition of a shuffle of the target is to hold (rows
+# of few columns take some twenty times their shuffled bytes in memory), and the most partitions.
+SHUFFLED_ROWS = 2**20
+SHUFFLED_BYTES = 32 * 2**20
+MAX_TASKS = 100_000
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 _SOURCE = "__s_"
 _SPREAD = "__spread"
 _HIT = "__hit"
@@ -73,14 +90,14 @@ class Merge:
         repeated = repeated_keys(self.source, self.keys)
         return repeated.join(self.matched().drop("n"), self.keys, "left_semi")
 
-    def hits(self, partitions: list[str], within: DataFrame | None = None) -> DataFrame:
-        """``(*keys, file, *partitions, changes)``: each file's keys that the source has, once.
+    def hits(self, within: DataFrame | None = None) -> DataFrame:
+        """``(*keys, file number, changes)``: each file's keys that the source has, once.
 
         ``changes`` tells whether the merge changes any such row.  One search over the target's key
         columns, or over the rows ``within``, answers which files are touched and which source rows
         are new.
         """
-        names = list(dict.fromkeys([*self.keys, FILE, *partitions]))
+        names = [*self.keys, FILE_NUMBER]
         rows = self._with_keys(with_file(self.target) if within is None else within)
         wanted = self._side(_columns(self._updates(), [*self.keys, *self.newer_by]))
         if self.source_is_small:  # filtered before anything moves; else combined before it moves
@@ -227,12 +244,27 @@ def merge_table(
         merge = plan_merge(
             spark, ref, source, keys, newer_by=tuple(newer_by), scratch=f"{scratch}/source"
         )
-        rows = merged_files(spark, facts, refuse_duplicates(merge), scratch)
-        replace_files(spark, ref, rows, scratch)
+        with _enough_tasks(spark, facts, merge):
+            rows = merged_files(spark, facts, refuse_duplicates(merge), scratch)
+            replace_files(spark, ref, rows, scratch)
     finally:
         _clean(spark, ref, scratch)
 
 
+def _enough_tasks(
+    spark: SparkSession, facts: TableFacts, merge: Merge
+) -> AbstractContextManager[None]:
+    """Shuffles of so many partitions that rows and bytes of one stay bounded; adaptive execution joins
+    small ones.  With a small source the target is not shuffled."""
+    if merge.source_is_small:
+        return nullcontext()
+    have = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_rows = merge.target.count() + merge.source.count()
+    wanted = max(n_rows // SHUFFLED_ROWS, store.tree_bytes(spark, facts.location) // SHUFFLED_BYTES)
+    joined = min(bytes_setting(spark, _ADVISORY), SHUFFLED_BYTES)
+    return session_settings(spark, {"spark.sql.shuffle.partitions": min(max(have, wanted), MAX_TASKS), _ADVISORY: joined})
+
+
 def refuse_duplicates(merge: Merge) -> Merge:
     if repeated_keys(merge.source, merge.keys).isEmpty():
         return merge
@@ -252,16 +284,24 @@ def merged_files(spark: SparkSession, facts: TableFacts, merge: Merge, scratch:
     if columns and covers(merge.keys, columns):
         touched, _ = stage(spark, _marked(_columns(merge.source, columns).distinct()), f"{scratch}/touched")
         within = only_partitions(with_file(merge.target), touched, columns)
-    hits, _ = stage(spark, merge.hits(columns, within), f"{scratch}/hits")
-    files = _gone(spark, hits.where("changes"), columns, scratch)
+    searched = with_file(merge.target) if within is None else within
+    hits, _ = stage(spark, merge.hits(within), f"{scratch}/hits")
+    files = _gone(spark, searched, hits.where("changes"), columns, scratch)
     kept = in_files(merge.target, files)
     return merge.updated(kept).unionByName(merge.inserts(hits))
 
 
-def _gone(spark: SparkSession, rows: DataFrame, columns: list[str], scratch: str) -> list[str]:
-    """Stage the files of some rows with their partitions; their names also go to the planner, which
-    holds the names of all files that a scan opens."""
-    gone, _ = stage(spark, _columns(rows, [FILE, *columns]).distinct(), f"{scratch}/gone")
+def _gone(
+    spark: SparkSession, searched: DataFrame, rows: DataFrame, columns: list[str], scratch: str
+) -> list[str]:
+    """Stage the files of some rows of those searched, with their partitions.
+
+    The rows bring the numbers of their files; a second scan, of no column but the partitions, has the
+    names.  These also go to the planner, which holds the names of all files that a scan opens.
+    """
+    numbers, _ = stage(spark, _columns(rows, [FILE_NUMBER]).distinct(), f"{scratch}/numbers")
+    names = _columns(searched.where(FIRST_ROW), [FILE, FILE_NUMBER, *columns]).distinct()
+    gone, _ = stage(spark, names.join(numbers, FILE_NUMBER, "left_semi").drop(FILE_NUMBER), f"{scratch}/gone")
     return [row[FILE] for row in gone.select(FILE).toLocalIterator()]
 
 
@@ -315,10 +355,12 @@ def replace_keys(
         merge = plan_merge(spark, ref, source, keys, scratch=f"{scratch}/source")
         keys = merge._side(merge._with_keys(_columns(merge.source, merge.keys)).distinct())
         columns = list(facts.partition_columns)
-        rows = _columns(merge._with_keys(with_file(merge.target)), [*merge.keys, FILE, *columns])
-        files = _gone(spark, rows.join(keys, merge.keys, "left_semi"), columns, scratch)
-        kept = merge.without(in_files(merge.target, files), keys)
-        replace_files(spark, ref, kept.unionByName(merge.source), scratch)
+        searched = with_file(merge.target)
+        rows = _columns(merge._with_keys(searched), [*merge.keys, FILE_NUMBER])
+        with _enough_tasks(spark, facts, merge):
+            files = _gone(spark, searched, rows.join(keys, merge.keys, "left_semi"), columns, scratch)
+            kept = merge.without(in_files(merge.target, files), keys)
+            replace_files(spark, ref, kept.unionByName(merge.source), scratch)
     finally:
         _clean(spark, ref, scratch)
 
@@ -366,7 +408,8 @@ def _rewrite(
     target = spark.table(ref.name)
     scratch = _scratch(spark)
     try:
-        files = _gone(spark, hit(with_file(target)), columns, scratch)
+        searched = with_file(target)
+        files = _gone(spark, searched, hit(searched), columns, scratch)
         if files:
             replace_files(spark, ref, after(in_files(target, files)).select(*_names(target.columns)), scratch)
     finally:

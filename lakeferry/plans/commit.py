@@ -31,8 +31,9 @@ from lakeferry.sources.tables import (
 CONTENT, ADDING, DROPPING = "content", "adding", "dropping"
 STARTED, LEDGER = "started", "files"
 LEDGER_SCHEMA = "uri string, size bigint, modified bigint, sha256 string, batch string"
-# The file that a row of a table is in.
-FILE = "__file"
+# The file that a row of a table is in, and a number for it, which is what moves with a row: names of
+# files are longer than most rows.  Two files of one number are only rewritten together.
+FILE, FILE_NUMBER, FIRST_ROW = "__file", "__file_number", "__first_row"
 MOVERS = 16
 
 
@@ -135,8 +136,15 @@ def _overwrite_content(spark: SparkSession, table: Table, staged: str) -> None:
 
 
 def with_file(target: DataFrame) -> DataFrame:
-    """The rows of a table with the file that each is in."""
-    return target.select("*", target.metadataColumn("_metadata")["file_path"].alias(FILE))
+    """The rows of a table with the file that each is in, its number, and whether the row names the file.
+
+    That is the first row, where the format counts its rows, otherwise any.
+    """
+    about = target.metadataColumn("_metadata")
+    counted = "row_index" in target.select(about).schema[0].dataType.names
+    first = about["row_index"] == 0 if counted else F.lit(True)
+    name = about["file_path"]
+    return target.select("*", name.alias(FILE), F.xxhash64(name).alias(FILE_NUMBER), first.alias(FIRST_ROW))
 
 
 def in_files(target: DataFrame, files: list[str]) -> DataFrame:

@@ -117,7 +117,12 @@ def session_settings(spark: SparkSession, settings: dict[str, object] | None) ->
 
 def broadcast_limit(spark: SparkSession) -> int:
     """Bytes up to which the session broadcasts a join side; -1 if it never does."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip()
+    return bytes_setting(spark, "spark.sql.autoBroadcastJoinThreshold")
+
+
+def bytes_setting(spark: SparkSession, key: str) -> int:
+    """A session setting of a size, like ``10MB``, in bytes; -1 for a negative one."""
+    text = spark.conf.get(key).strip()
     if text.startswith("-"):
         return -1
     return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)

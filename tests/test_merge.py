@@ -8,6 +8,7 @@ import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
+from lakeferry.operators import merge as operators_merge
 from lakeferry.operators.merge import (
     DuplicateKeysError,
     delete_where,
@@ -458,3 +459,41 @@ def test_rows_without_keys_are_dealt_out(spark, ws):
         replace_keys(spark, table, source.where("k > 1000"), "k")
         assert spark.table(table).count() == 2_000
         assert spark.table(table).where("k IS NULL").count() == 1_900
+
+
+def test_a_large_merge_moves_numbers_of_files(spark, ws):
+    table = ws.table("t")
+    write_table(spark, table, spark.range(0, 100, 1, 4).selectExpr("id AS k", "'a' AS v"))
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        merge = plan_merge(spark, table, spark.range(5).selectExpr("id AS k", "'b' AS v"), "k")
+        assert {f.dataType.typeName() for f in merge.hits().schema} == {"long", "boolean"}
+
+
+def test_tasks_of_a_large_merge_follow_its_rows(spark, ws, monkeypatch):
+    table, seen = ws.table("t"), []
+    write_table(spark, table, spark.range(0, 100, 1, 4).selectExpr("id AS k", "'a' AS v"))
+    files = set(read_table(spark, table).inputFiles())
+
+    def replace(session, ref, df, staged):
+        seen.append(int(session.conf.get("spark.sql.shuffle.partitions")))
+        commit.replace_files(session, ref, df, staged)
+
+    monkeypatch.setattr(operators_merge, "SHUFFLED_ROWS", 10)
+    monkeypatch.setattr(operators_merge, "replace_files", replace)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        merge_table(spark, table, spark.range(75, 105).selectExpr("id AS k", "'b' AS v"), "k")
+    assert seen == [13] and spark.conf.get("spark.sql.shuffle.partitions") == before
+    got = read_table(spark, table)
+    assert {tuple(r) for r in got.collect()} == {(k, "a" if k < 75 else "b") for k in range(105)}
+    assert len(files & set(got.inputFiles())) == 3
+
+
+@pytest.mark.parametrize("kind", ["PARQUET", "CSV"])
+def test_files_of_one_number_are_rewritten_together(spark, ws, monkeypatch, kind):
+    """Also in a format that does not count its rows."""
+    table = Table(ws.table("t"), format=kind, schema="k BIGINT, v STRING")
+    write_table(spark, table, spark.range(0, 40, 1, 4).selectExpr("id AS k", "'a' AS v"))
+    monkeypatch.setattr(commit.F, "xxhash64", lambda *columns: F.length(columns[0]).cast("bigint"))
+    merge_table(spark, table, spark.range(38, 42).selectExpr("id AS k", "'b' AS v"), "k")
+    assert read_table(spark, table).groupBy("v").count().orderBy("v").collect() == [("a", 38), ("b", 4)]
