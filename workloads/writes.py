@@ -15,6 +15,8 @@ from lakeferry.sources.records import records_of
 from lakeferry.sources.tables import Table, read_table
 from workloads.base import external, load, spread, views
 
+# Rows that a task of the export of row groups takes, so that they do not grow with the table.
+ROWS_PER_TASK = 2**20
 CUSTOMER_DDL = "c_custkey BIGINT, c_mktsegment STRING"
 
 
@@ -143,7 +145,8 @@ def _chunks(spark: SparkSession, sf: str) -> DataFrame:
 def _row_groups(spark: SparkSession, sf: str) -> DataFrame:
     """Small row groups, counted in the footers: no row is lost, groups are many and of like size."""
     lines = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate")
-    path = export(lines.repartition(4), Workspace(spark).dir("out"), rows_per_file=None, row_group_bytes=8 * 1024)
+    files = max(4, lines.count() // ROWS_PER_TASK)
+    path = export(lines.repartition(files), Workspace(spark).dir("out"), rows_per_file=None, row_group_bytes=8 * 1024)
     groups = row_groups(spark, path)
     return groups.groupBy("file").agg(F.count("*").alias("n"), F.sum("n_rows").alias("rows"), F.max("n_bytes").alias("most")).agg(
         F.sum("rows").alias("n_rows"),
