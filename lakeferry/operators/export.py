@@ -17,6 +17,8 @@ from lakeferry.sources.trees import list_tree, open_uri, spread_by_bytes
 # Rows per exported file, and the size of a Parquet row group.
 ROWS_PER_FILE = 100_000
 ROW_GROUP_BYTES = 128 * 2**20
+# What a footer counts when footers are dealt to tasks.
+FOOTER_BYTES = 8 * 2**20
 
 
 def export(
@@ -83,7 +85,7 @@ def row_groups(spark: SparkSession, path: str) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["file", "row_group", "n_rows", "n_bytes"]
             )
 
-    opened = list_tree(spark, path, pattern="*.parquet").withColumn("size", F.lit(0))
+    opened = list_tree(spark, path, pattern="*.parquet").withColumn("size", F.lit(FOOTER_BYTES))
     return spread_by_bytes(opened, "uri").select("uri").mapInArrow(
         read, "file string, row_group bigint, n_rows bigint, n_bytes bigint"
     )

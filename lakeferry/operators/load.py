@@ -23,7 +23,7 @@ from lakeferry.plans.workspace import Workspace, stage
 from lakeferry.sources.files import known_format, read_files
 from lakeferry.sources.records import widen
 from lakeferry.sources.tables import Table, as_table, table_exists, table_facts
-from lakeferry.sources.trees import list_tree, read_tree
+from lakeferry.sources.trees import hash_tree, list_tree
 
 # the modification time is kept in microseconds: a clock change cannot make it ambiguous
 FILE_SCHEMA = "uri string, size bigint, modified bigint, sha256 string"
@@ -158,9 +158,8 @@ def new_files(
 def _with_hashes(
     spark: SparkSession, found: DataFrame, path: str, pattern: str | None, recursive: bool
 ) -> DataFrame:
-    hashes = read_tree(spark, path, pattern=pattern, recursive=recursive, absolute=True)
-    hashes = hashes.where("part = 0").select(F.col("path").alias("uri"), "sha256")
-    return found.join(hashes, "uri")
+    hashes = hash_tree(spark, path, pattern=pattern, recursive=recursive)
+    return found.join(hashes.select("uri", "sha256"), "uri")
 
 
 def ledger(spark: SparkSession, table: str | Table) -> DataFrame | None:

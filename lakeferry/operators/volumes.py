@@ -27,11 +27,11 @@ from lakeferry.sources.tables import Table, as_table, read_table
 from lakeferry.sources.trees import (
     FILES_SCHEMA,
     PART_BYTES,
+    hash_tree,
     open_uri,
     opened_by_tasks,
     read_listed,
     read_scanned,
-    read_tree,
     relative_path,
 )
 
@@ -157,9 +157,8 @@ def ingest_tree(
     ref = create_files_table(spark, table)
     scratch = f"{shared_root(spark)}/lakeferry/ingest-{token()}"
     try:
-        files = read_tree(spark, root, absolute=True, part_bytes=part_bytes).where("part = 0")
-        listing = files.select(
-            F.col("path").alias("uri"), relative_path(spark, F.col("path"), root, prefix).alias("path"), "size", "sha256"
+        listing = hash_tree(spark, root).select(
+            "uri", relative_path(spark, F.col("uri"), root, prefix).alias("path"), "size", "sha256"
         )
         listed, _ = stage(spark, listing, f"{scratch}/listing")
         plan = sync_plan(listed, read_table(spark, ref.name)).select("path", "action").join(listed, "path")

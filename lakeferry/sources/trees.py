@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from fnmatch import fnmatchcase
+from itertools import islice
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -18,12 +19,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.plans import store
+from lakeferry.plans.workspace import Workspace, stage
 
 PART_BYTES = 64 * 2**20
-# Bytes of file content per task, what opening a file counts, and a bound on the tasks of a shuffle.
+# Bytes of file content per task and per batch, what opening a file counts, the files from which another
+# task is worth its start, a bound on the tasks of a shuffle, and the files listed in one batch.
 TASK_BYTES = 128 * 2**20
-OPEN_BYTES = 2 * 2**20
+BATCH_BYTES = 16 * 2**20
+OPEN_BYTES = 128 * 2**10
+FEW_FILES = 32
 MAX_TASKS = 100_000
+LISTED = 10_000
 # File systems that tasks open by themselves, under the names that Hadoop gives them; files on any
 # other are read through Spark's own scan, which knows all of them.
 OPENED = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
@@ -108,6 +114,14 @@ def read_tree(
 
     Paths are relative to ``root`` and below ``prefix``, or full URIs with ``absolute``.
     """
+    if _can_walk(spark, root, pattern):
+        uri = F.col("uri")
+        files = _walk(spark, root, pattern, recursive).select(
+            "uri", (uri if absolute else relative_path(spark, uri, root, prefix)).alias("path"), "size"
+        )
+        small = spread_by_bytes(files.where(F.col("size") <= part_bytes), "uri").mapInArrow(_read_whole, FILES_SCHEMA)
+        large = files.where(F.col("size") > part_bytes)
+        return small if large.isEmpty() else small.unionByName(_read_large(large, part_bytes))
     found = _scan(spark, root, pattern, recursive)
     path = F.col("path") if absolute else relative_path(spark, F.col("path"), root, prefix)
     # the length filter reaches the source, so neither branch opens the other's files
@@ -141,14 +155,51 @@ def read_tree(
     return files.unionByName(_read_large(large, part_bytes))
 
 
+def hash_tree(
+    spark: SparkSession, root: str, *, pattern: str | None = None, recursive: bool = True
+) -> DataFrame:
+    """``(uri, size, sha256)`` of every visible file below ``root``; content stays in the tasks that read it."""
+    if _can_walk(spark, root, pattern):
+        files = _walk(spark, root, pattern, recursive)
+        return spread_by_bytes(files, "uri").mapInArrow(_hash_files, "uri string, size bigint, sha256 string")
+    files = read_tree(spark, root, pattern=pattern, recursive=recursive, absolute=True)
+    return files.where("part = 0").select(F.col("path").alias("uri"), "size", "sha256")
+
+
+def _can_walk(spark: SparkSession, root: str, pattern: str | None) -> bool:
+    """Can tasks list ``root`` themselves, and do its name and the pattern mean to them what they mean to Spark?"""
+    return (
+        isinstance(root, str)
+        and not set(root) & set("*?[]{}\\")
+        and not set(pattern or "") & set("[]{}\\^")
+        and opened_by_tasks(store.qualified(spark, root))
+        and store.exists(spark, root)
+    )
+
+
+def _walk(spark: SparkSession, root: str, pattern: str | None, recursive: bool) -> DataFrame:
+    """``(uri, size)`` of every visible file, those without content too, listed once by tasks and staged.
+
+    One task lists ``root`` itself; the directories below it are listed in parallel.  No listing passes
+    through the driver, and what follows has as many tasks as the files need.
+    """
+    columns = "uri string, size bigint, folder boolean"
+    start = spark.createDataFrame([(store.qualified(spark, root).rstrip("/"), 0, True)], columns)
+    found = start.mapInArrow(_file_finder(pattern, "top" if recursive else "none"), columns)
+    if recursive:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        found = found.repartition(tasks).mapInArrow(_file_finder(pattern, "all"), columns)
+    return stage(spark, found.select("uri", "size"), Workspace(spark).dir("listing"))[0]
+
+
 def opened_by_tasks(uri: str) -> bool:
     return uri.split(":", 1)[0] in OPENED
 
 
 def _read_large(files: DataFrame, part_bytes: int) -> DataFrame:
     """Large files: hashes by one streaming pass per file, content by parallel range reads."""
-    uris = spread_by_bytes(files, "uri").select("uri")
-    hashes = uris.mapInArrow(_hash_files, "uri string, sha256 string")
+    hashed = spread_by_bytes(files.select("uri", "size"), "uri").mapInArrow(_hash_files, "uri string, size bigint, sha256 string")
+    hashes = hashed.drop("size")
     return read_listed(files.join(hashes, "uri"), part_bytes=part_bytes, by=files)
 
 
@@ -199,8 +250,9 @@ def spread_by_bytes(df: DataFrame, *columns: str, by: DataFrame | None = None) -
     partitions is set from the sizes of the files.
     """
     cost = F.sum(F.col("size") + F.lit(OPEN_BYTES))
-    total = (df if by is None else by).agg(cost.alias("n")).first()["n"] or 0
-    wanted = max(1, -(-total // TASK_BYTES))
+    total, count = (df if by is None else by).agg(cost, F.count("*")).first()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = max(1, -(-(total or 0) // TASK_BYTES), min(cores, count // FEW_FILES))
     return df.repartition(min(wanted, MAX_TASKS), *[F.col(c) for c in columns])
 
 
@@ -334,12 +386,80 @@ def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, headers], names=["uri", "file", "header"])
 
 
+def _file_finder(pattern: str | None, below: str):
+    """Finds files in directories, and what is to be done for the directories in them: nothing
+    (``none``), name them (``top``), or search them as well (``all``).  Files given are passed on."""
+
+    def visible(info: fs.FileInfo) -> bool:  # as Spark's listing has it
+        name = info.base_name
+        if info.type == fs.FileType.Directory and name.startswith(("_common_metadata", "_metadata")):
+            return True
+        return not (name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_"))
+
+    def search(top: str) -> Iterator[tuple[str, int, bool]]:
+        system, name = open_uri(top)
+        todo = system.get_file_info([name])
+        while todo:
+            info = todo.pop()
+            if info.type == fs.FileType.Directory and (info.path == name or below == "all"):
+                inside = system.get_file_info(fs.FileSelector(info.path))
+                todo += [i for i in inside if visible(i)]
+            elif info.type == fs.FileType.File:
+                if not pattern or fnmatchcase(info.base_name, pattern):
+                    yield top + info.path[len(name):], info.size, False
+            elif info.type == fs.FileType.Directory and below == "top":
+                yield top + info.path[len(name):], 0, True
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bool]]:
+        for batch in batches:
+            for uri, size, folder in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if folder:
+                    yield from search(uri)
+                else:
+                    yield uri, size, False
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = found(batches)
+        while some := list(islice(rows, LISTED)):
+            columns = list(zip(*some, strict=True))
+            kinds = (pa.string(), pa.int64(), pa.bool_())
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["uri", "size", "folder"])
+
+    return find
+
+
+def _read_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files in one part, with their hashes."""
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary())
+        arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["path", "size", "sha256", "part", "n_parts", "content"])
+
+    rows, held = [], 0
+    for batch in batches:
+        for uri, path, size in zip(*(batch.column(c).to_pylist() for c in ("uri", "path", "size")), strict=True):
+            content = _read_range(uri, 0, size, size)
+            rows.append((path, size, hashlib.sha256(content).hexdigest(), 0, 1, content))
+            held += size
+            if held >= BATCH_BYTES or len(rows) >= LISTED:
+                yield made(rows)
+                rows, held = [], 0
+    if rows:
+        yield made(rows)
+
+
 def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(uri, size)`` with the hash of each file, which is streamed."""
     for batch in batches:
+        found = []
         for uri in batch.column("uri").to_pylist():
             system, name = open_uri(uri)
             digest = hashlib.sha256()
             with system.open_input_stream(name) as source:
                 while block := source.read(2**20):
                     digest.update(block)
-            yield pa.RecordBatch.from_pylist([{"uri": uri, "sha256": digest.hexdigest()}])
+            found.append(digest.hexdigest())
+        columns = [batch.column("uri"), batch.column("size"), pa.array(found, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=["uri", "size", "sha256"])

@@ -27,7 +27,7 @@ from lakeferry.operators.volumes import (
 from lakeferry.plans import store
 from lakeferry.sources.files import read_files
 from lakeferry.sources.tables import read_table, table_facts
-from lakeferry.sources.trees import FILES_SCHEMA, list_tree, read_tree
+from lakeferry.sources.trees import FILES_SCHEMA, hash_tree, list_tree, read_tree
 
 TREE = {
     "file": b"one",
@@ -290,3 +290,11 @@ def test_csv_headers_that_only_spark_can_open(spark, ws, linked):
     grow(ws.dir("in"), {"a 1.csv": b"x,y\n1,2\n", "b.csv": b"y,z\r\n3,4\r\n"})
     df = read_files(spark, linked, "CSV", options={"header": True})
     assert {(r.x, r.y, r.z) for r in df.collect()} == {(1, 2, None), (None, 3, 4)}
+
+
+def test_tasks_do_not_follow_small_files(spark, ws):
+    """Two hundred files are four tasks, one for each core; Spark's own scan has one for 32 files."""
+    grow(ws.dir("in"), {f"{i % 3}/{i}": b"%d" % i for i in range(200)})
+    files = read_tree(spark, ws.dir("in"))
+    assert files.rdd.getNumPartitions() == 4
+    assert files.count() == 200 == hash_tree(spark, ws.dir("in")).count()
