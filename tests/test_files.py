@@ -298,3 +298,15 @@ def test_tasks_do_not_follow_small_files(spark, ws):
     files = read_tree(spark, ws.dir("in"))
     assert files.rdd.getNumPartitions() == 4
     assert files.count() == 200 == hash_tree(spark, ws.dir("in")).count()
+
+
+def test_hidden_names_are_spark_s(spark, ws):
+    names = ["_a", "_a=b", ".c", "_metadata", "_common_metadata2", "d._COPYING_", "e=_f", "_x/g", "_x=y/h", ".z/i", "_metadata2/j"]
+    grow(ws.dir("in"), {f"{top}{name}": b"x" for name in names for top in ("", "sub/")})
+    seen = rows(list_tree(spark, ws.dir("in")).select("uri"))
+    assert rows(hash_tree(spark, ws.dir("in")).select("uri")) == seen
+    assert rows(read_tree(spark, ws.dir("in"), absolute=True).select("path")) == seen
+    for pattern in ("*=*", "?"):
+        assert rows(hash_tree(spark, ws.dir("in"), pattern=pattern).select("uri")) == rows(list_tree(spark, ws.dir("in"), pattern=pattern).select("uri"))
+    flat = {r.uri.rsplit("/", 1)[-1] for r in hash_tree(spark, ws.dir("in"), recursive=False).collect()}
+    assert flat == {"_a=b", "e=_f"}
