@@ -259,7 +259,7 @@ def _file_writer(target: str):
         system, root = open_uri(target)
         context = TaskContext.get()
         attempt = f"{context.taskAttemptId()}-{uuid.uuid4().hex}" if context else uuid.uuid4().hex
-        out, size = None, 0
+        out, size, folders = None, 0, set()
         for batch in batches:
             done: list[dict] = []
             for i in range(batch.num_rows):
@@ -272,7 +272,9 @@ def _file_writer(target: str):
                 folder, leaf = posixpath.split(name)
                 partial = posixpath.join(folder, f".{leaf}.{attempt}")
                 if part == 0:
-                    system.create_dir(folder, recursive=True)
+                    if folder not in folders:
+                        system.create_dir(folder, recursive=True)
+                        folders.add(folder)
                     out, size = system.open_output_stream(partial), 0
                 content = batch.column("content")[i].as_buffer()
                 if content is not None:

@@ -310,3 +310,12 @@ def test_hidden_names_are_spark_s(spark, ws):
         assert rows(hash_tree(spark, ws.dir("in"), pattern=pattern).select("uri")) == rows(list_tree(spark, ws.dir("in"), pattern=pattern).select("uri"))
     flat = {r.uri.rsplit("/", 1)[-1] for r in hash_tree(spark, ws.dir("in"), recursive=False).collect()}
     assert flat == {"_a=b", "e=_f"}
+
+
+def test_tasks_do_not_follow_small_files_in_parts(spark, ws):
+    grow(ws.dir("in"), {f"{i % 3}/{i}": b"%04d" % i for i in range(200)})
+    files = read_tree(spark, ws.dir("in"), part_bytes=3)
+    assert files.rdd.getNumPartitions() == 5  # four, and one for files of one part
+    assert files.count() == 400
+    export_files(spark, files, ws.dir("out"))
+    assert exported(ws.dir("out")) == {f"{i % 3}/{i}": b"%04d" % i for i in range(200)}
