@@ -224,8 +224,9 @@ def export_files(
 
     Paths are relative to ``prefix``.  ``target`` is on storage that all executors reach.  Each
     file is written under a temporary name and renamed when it is whole, so a task that runs twice
-    does no harm.  Files in one part need no shuffle; the parts of a larger file come to one task
-    in order and are streamed, never held together.
+    does no harm.  Files in one part are dealt to tasks by their paths, however few tasks read them:
+    opening and renaming a small file takes longer than moving its content.  The parts of a larger
+    file come to one task in order and are streamed, never held together.
     """
     base = prefix.strip("/")
     path = F.col("path")
@@ -240,7 +241,11 @@ def export_files(
         below.alias("path"), "part", "n_parts", "content"
     )
     write = _file_writer(store.qualified(spark, target))
-    whole = rows.where(F.col("n_parts") == 1).mapInArrow(write, "path string, size bigint")
+    whole = (
+        rows.where(F.col("n_parts") == 1)
+        .hint("rebalance", F.col("path"))
+        .mapInArrow(write, "path string, size bigint")
+    )
     split = (
         rows.where(F.col("n_parts") > 1)
         .repartition("path")
@@ -261,30 +266,31 @@ def _file_writer(target: str):
         attempt = f"{context.taskAttemptId()}-{uuid.uuid4().hex}" if context else uuid.uuid4().hex
         out, size, folders = None, 0, set()
         for batch in batches:
-            done: list[dict] = []
-            for i in range(batch.num_rows):
-                path, part, n_parts = (
-                    batch.column(c)[i].as_py() for c in ("path", "part", "n_parts")
-                )
+            paths, sizes = [], []
+            contents = batch.column("content")
+            names = (batch.column(c).to_pylist() for c in ("path", "part", "n_parts"))
+            for i, (path, part, n_parts) in enumerate(zip(*names, strict=True)):
                 name = posixpath.join(root, path)
-                if posixpath.commonpath([root, posixpath.normpath(name)]) != root.rstrip("/"):
-                    raise ValueError(f"{path} leads outside the target")
                 folder, leaf = posixpath.split(name)
+                if folder not in folders or leaf == "..":
+                    inside = posixpath.commonpath([root, posixpath.normpath(folder)]) == root.rstrip("/")
+                    if leaf == ".." or not inside:
+                        raise ValueError(f"{path} leads outside the target")
+                    system.create_dir(folder, recursive=True)
+                    folders.add(folder)
                 partial = posixpath.join(folder, f".{leaf}.{attempt}")
                 if part == 0:
-                    if folder not in folders:
-                        system.create_dir(folder, recursive=True)
-                        folders.add(folder)
                     out, size = system.open_output_stream(partial), 0
-                content = batch.column("content")[i].as_buffer()
+                content = contents[i].as_buffer()
                 if content is not None:
                     out.write(content)
                     size += content.size
                 if part == n_parts - 1:
                     out.close()
                     system.move(partial, name)
-                    done.append({"path": path, "size": size})
-            schema = pa.schema([("path", pa.string()), ("size", pa.int64())])
-            yield pa.RecordBatch.from_pylist(done, schema=schema)
+                    paths.append(path)
+                    sizes.append(size)
+            arrays = [pa.array(paths, pa.string()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["path", "size"])
 
     return write

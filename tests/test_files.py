@@ -319,3 +319,22 @@ def test_tasks_do_not_follow_small_files_in_parts(spark, ws):
     assert files.count() == 400
     export_files(spark, files, ws.dir("out"))
     assert exported(ws.dir("out")) == {f"{i % 3}/{i}": b"%04d" % i for i in range(200)}
+
+
+def test_writers_do_not_follow_the_row_groups_of_the_input(spark, ws):
+    """Files from a single row group, which one task reads, are written by a task for each core."""
+    tree = {f"{i % 3}/{i}": hashlib.shake_128(b"%d" % i).digest(20_000) for i in range(400)}
+    given = [(k, len(v), "h", 0, 1, v) for k, v in tree.items()]
+    spark.createDataFrame(given, FILES_SCHEMA).coalesce(1).write.parquet(ws.dir("given"))
+    report = export_files(spark, spark.read.parquet(ws.dir("given")), ws.dir("out"))
+    assert exported(ws.dir("out")) == tree
+    assert rows(report) == sorted((k, len(v)) for k, v in tree.items())
+    assert report.select(F.input_file_name()).distinct().count() == 4
+
+
+@pytest.mark.parametrize("paths", [["a/.."], ["../out", "../x"], ["a/x", "a/../../x"], ["/x"]])
+def test_no_path_leads_outside(spark, ws, paths):
+    files = spark.createDataFrame([(p, 1, "h", 0, 1, b"x") for p in paths], FILES_SCHEMA).coalesce(1)
+    with pytest.raises(Exception, match="outside"):
+        export_files(spark, files, ws.dir("out"))
+    assert not Path(ws.dir("x")).exists()
