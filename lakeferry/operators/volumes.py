@@ -25,6 +25,7 @@ from lakeferry.plans.commit import append_once, recover, token
 from lakeferry.plans.workspace import shared_root, stage
 from lakeferry.sources.tables import Table, as_table, read_table
 from lakeferry.sources.trees import (
+    FEW_FILES,
     FILES_SCHEMA,
     PART_BYTES,
     hash_tree,
@@ -218,15 +219,15 @@ def drop_files(spark: SparkSession, table: str | Table, prefix: str = "") -> Non
 
 
 def export_files(
-    spark: SparkSession, files: DataFrame, target: str, *, prefix: str = ""
+    spark: SparkSession, files: DataFrame, target: str, *, prefix: str = "", spread: bool = True
 ) -> DataFrame:
     """Write the files of a sub-tree below ``target``; returns ``(path, size)`` as written.
 
     Paths are relative to ``prefix``.  ``target`` is on storage that all executors reach.  Each
     file is written under a temporary name and renamed when it is whole, so a task that runs twice
-    does no harm.  Files in one part are dealt to tasks by their paths, however few tasks read them:
-    opening and renaming a small file takes longer than moving its content.  The parts of a larger
-    file come to one task in order and are streamed, never held together.
+    does no harm.  Files in one part need no shuffle, unless one task has far more than its share of
+    them; ``spread=False`` saves counting them where they are dealt well, as by ``read_tree``.  The
+    parts of a larger file come to one task in order and are streamed, never held together.
     """
     base = prefix.strip("/")
     path = F.col("path")
@@ -241,11 +242,8 @@ def export_files(
         below.alias("path"), "part", "n_parts", "content"
     )
     write = _file_writer(store.qualified(spark, target))
-    whole = (
-        rows.where(F.col("n_parts") == 1)
-        .hint("rebalance", F.col("path"))
-        .mapInArrow(write, "path string, size bigint")
-    )
+    whole = rows.where(F.col("n_parts") == 1)
+    whole = (_spread(whole) if spread else whole).mapInArrow(write, "path string, size bigint")
     split = (
         rows.where(F.col("n_parts") > 1)
         .repartition("path")
@@ -257,6 +255,17 @@ def export_files(
     return report
 
 
+def _spread(files: DataFrame) -> DataFrame:
+    """Over more tasks, by path, if one task has over twice its share of the files.
+
+    So it is if few row groups hold them all, which no setting splits.
+    """
+    counts = files.groupBy(F.spark_partition_id()).agg(_n())
+    most, total = counts.agg(F.max("n"), F.sum("n")).first()
+    share = (total or 0) / files.sparkSession.sparkContext.defaultParallelism
+    return files.hint("rebalance", F.col("path")) if (most or 0) > max(FEW_FILES, 2 * share) else files
+
+
 def _file_writer(target: str):
     """Runs in tasks: rows of ``(path, part, n_parts, content)``, the parts of a file in order."""
 

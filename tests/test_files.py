@@ -6,7 +6,7 @@ import hashlib
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from lakeferry.operators import volumes
@@ -332,6 +332,16 @@ def test_writers_do_not_follow_the_row_groups_of_the_input(spark, ws):
     assert report.select(F.input_file_name()).distinct().count() == 4
 
 
+def test_only_uneven_files_move(spark):
+    even = spark.range(0, 400, 1, 4).select(F.col("id").cast("string").alias("path"))
+    assert volumes._spread(even) is even
+    assert volumes._spread(even.where("false")).isEmpty()
+    few = spark.range(0, 20, 1, 1).select(F.col("id").cast("string").alias("path"))
+    assert volumes._spread(few) is few
+    assert sorted(r.path for r in volumes._spread(even.coalesce(1)).collect()) == sorted(r.path for r in even.collect())
+    assert "REBALANCE" in plan_of(volumes._spread(even.coalesce(1)))
+
+
 @pytest.mark.parametrize("paths", [["a/.."], ["../out", "../x"], ["a/x", "a/../../x"], ["/x"]])
 def test_no_path_leads_outside(spark, ws, paths):
     files = spark.createDataFrame([(p, 1, "h", 0, 1, b"x") for p in paths], FILES_SCHEMA).coalesce(1)

@@ -111,7 +111,7 @@ def _export_parts(spark: SparkSession, sf: str) -> DataFrame:
     ws = Workspace(spark)
     pages = text_files(load(spark, sf, "pages"), F.col("page_id"), "html", ".html")
     export_files(spark, pages, ws.dir("whole"))
-    export_files(spark, read_tree(spark, ws.dir("whole"), part_bytes=4096), ws.dir("again"))
+    export_files(spark, read_tree(spark, ws.dir("whole"), part_bytes=4096), ws.dir("again"), spread=False)
     return list_files(read_tree(spark, ws.dir("again")))
 
 
